@@ -1,0 +1,84 @@
+"""Run registered queries next to their DuckDB twins.
+
+    python tests/compare.py [sf_dir] [query ...]
+"""
+
+from __future__ import annotations
+
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+import __spark_entry__ as entry  # noqa: E402
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for table in TABLES:
+        if Path(f"{sf_dir}/{table}.parquet").exists():
+            con.execute(f"CREATE VIEW {table} AS FROM '{sf_dir}/{table}.parquet'")
+    return con
+
+
+def bag(names, rows) -> Counter:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return Counter(tuple(repr(row[i]) for i in order) for row in rows)
+
+
+def differences(spark, con, sf_dir: str, name: str) -> tuple[int, list[str]]:
+    """Row count, and a description of what differs (empty if nothing does)."""
+    df = entry.queries()[name](spark, sf_dir)
+    got_rows = [tuple(row) for row in df.collect()]
+    result = con.execute(entry.oracle_sql()[name])
+    want_names = [column[0] for column in result.description]
+    want_rows = result.fetchall()
+    if sorted(df.columns) != sorted(want_names):
+        return len(got_rows), [f"columns {sorted(set(df.columns) ^ set(want_names))}"]
+    got, want = bag(df.columns, got_rows), bag(want_names, want_rows)
+    if got == want:
+        return len(got_rows), []
+    notes = [f"rows {len(got_rows)} / {len(want_rows)}"]
+    for label, extra in (("spark", got - want), ("duckdb", want - got)):
+        notes += [f"only {label}: {row}" for row in sorted(extra)[:2]]
+    return len(got_rows), [", ".join(sorted(want_names)), *notes]
+
+
+def session() -> SparkSession:
+    return (
+        SparkSession.builder.master("local[8]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")
+        .getOrCreate()
+    )
+
+
+if __name__ == "__main__":
+    directory = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
+    spark = session()
+    spark.sparkContext.setLogLevel("ERROR")
+    con = duck(directory)
+    failed = []
+    for name in sys.argv[2:] or entry.queries():
+        start = time.time()
+        try:
+            count, notes = differences(spark, con, directory, name)
+        except Exception as exc:  # noqa: BLE001 - report and go on with the next query
+            count, notes = -1, [f"{type(exc).__name__}: {str(exc)[:1500]}"]
+        print(f"{'ok  ' if not notes else 'FAIL'} {name} {count} rows {time.time() - start:.1f}s")
+        for note in notes:
+            print("     ", note[:1500])
+        failed += [name] if notes else []
+    print("failed:", failed)
