@@ -306,6 +306,12 @@ def _energy(measure: str) -> str:
     return f"sum(coalesce({measure}, 0) * {_HOURS})"
 
 
+def _share(part: str, whole: str) -> str:
+    """Half-up on the decimal value, as Spark rounds; DuckDB rounds a DOUBLE on its binary value."""
+    exact = f"CAST({part} / {whole} * 100 AS DECIMAL(38, 12))"
+    return f"CASE WHEN {whole} > 0 THEN CAST(round({exact}, 6) AS DOUBLE) END"
+
+
 _TOTAL = " + ".join(f"{name}_mwh" for name in GENERATION_SOURCES)
 _NAMED = {
     "mix_hydro_storage_charge": "hydro_storage_charge_mwh",
@@ -326,11 +332,10 @@ totals AS (SELECT *, {_TOTAL} AS total FROM summed),
 daily AS (
   SELECT dt, dt AS reference_date, zone, zone_name, country, region, 'daily' AS grain,
          'MWh' AS unit_energy, 'percent' AS unit_share, interval_start, interval_end,
-         last_extracted_at, round(total, 4) AS generation_mwh,
-         {', '.join(f'round({name}_mwh, 4) AS {name}_mwh' for name in GENERATION_SOURCES)},
-         {', '.join(f'CASE WHEN total > 0 THEN round(round({name}_mwh / total * 100, 6), 4) END '
-                    f'AS {name}_pct' for name in GENERATION_SOURCES)},
-         {', '.join(f'round({name}, 4) AS {name}' for name in _NAMED.values())}
+         last_extracted_at, round(total, 6) AS generation_mwh,
+         {', '.join(f'round({name}_mwh, 6) AS {name}_mwh' for name in GENERATION_SOURCES)},
+         {', '.join(f'{_share(name + "_mwh", "total")} AS {name}_pct' for name in GENERATION_SOURCES)},
+         {', '.join(f'round({name}, 6) AS {name}' for name in _NAMED.values())}
   FROM totals LEFT JOIN {_DIM} USING (zone))"""
 
 for _name in ("mix_daily", "mix_daily_from_wide", "mix_daily_from_bronze", "etl_tables",
@@ -344,10 +349,10 @@ energy AS (SELECT *, power_mw * {_HOURS} AS mwh FROM flows WHERE zone = '{focal}
 net AS (
   SELECT dt, zone, neighbor_zone, min(datetime) AS interval_start,
          max(datetime) AS interval_end, max(extracted_at) AS last_extracted_at,
-         round(sum(CASE WHEN flow_direction = 'import' THEN mwh ELSE 0 END), 4) AS import_mwh,
-         round(sum(CASE WHEN flow_direction = 'export' THEN mwh ELSE 0 END), 4) AS export_mwh,
+         round(sum(CASE WHEN flow_direction = 'import' THEN mwh ELSE 0 END), 6) AS import_mwh,
+         round(sum(CASE WHEN flow_direction = 'export' THEN mwh ELSE 0 END), 6) AS export_mwh,
          round(sum(CASE WHEN flow_direction = 'import' THEN mwh ELSE 0 END)
-             - sum(CASE WHEN flow_direction = 'export' THEN mwh ELSE 0 END), 4)
+             - sum(CASE WHEN flow_direction = 'export' THEN mwh ELSE 0 END), 6)
            AS net_import_mwh
   FROM energy GROUP BY dt, zone, neighbor_zone),
 named AS (
@@ -480,8 +485,7 @@ energy AS (
   SELECT dt, zone, sum(coalesce(mix_wind, 0) * {_HOURS}) AS wind,
          sum(coalesce(mix_hydro, 0) * {_HOURS}) AS hydro
   FROM mix GROUP BY dt, zone)
-SELECT dt, zone, zone_name, round(wind + hydro, 4) AS generation_mwh,
-       round(wind, 4) AS wind_mwh, round(hydro, 4) AS hydro_mwh,
-       CASE WHEN wind + hydro > 0 THEN round(round(wind / (wind + hydro) * 100, 6), 4) END
-         AS wind_pct
+SELECT dt, zone, zone_name, round(wind + hydro, 6) AS generation_mwh,
+       round(wind, 6) AS wind_mwh, round(hydro, 6) AS hydro_mwh,
+       {_share('wind', '(wind + hydro)')} AS wind_pct
 FROM energy LEFT JOIN {_DIM} USING (zone)"""

@@ -376,14 +376,14 @@ def wide_flows(spark, sf_dir):
 
 # ---- daily products ----
 
-_MIX_COLUMNS = [name for name in MIX_DAILY.names if name != "computed_at"]
-
 
 def _rounded(df: DataFrame) -> DataFrame:
+    """Without the run time, and sums to six decimals, as their last bits depend on the order."""
     return df.drop("computed_at").select(
         *[
-            F.round(F.col(name), 4).alias(name) if kind == "double" else F.col(name)
-            for name, kind in df.drop("computed_at").dtypes
+            F.round(F.col(name), 6).alias(name) if name.endswith("_mwh") else F.col(name)
+            for name in df.columns
+            if name != "computed_at"
         ]
     )
 

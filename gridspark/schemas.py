@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DateType,
+    DoubleType,
+    MapType,
+    StringType,
+    StructType,
+    TimestampType,
+)
+
+TEXT, DOUBLE, BOOL = StringType(), DoubleType(), BooleanType()
+DATE, TIMESTAMP = DateType(), TimestampType()
 
 # Generation sources, interval lengths and zones of the data model.
 GENERATION_SOURCES = (
@@ -58,80 +71,91 @@ MIX_MEASURES = tuple(f"mix_{name}" for name in GENERATION_SOURCES) + tuple(
 )
 
 
-def _ddl(text: str) -> StructType:
-    return StructType.fromDDL(text)
-
-
-def _doubles(names) -> str:
-    return ", ".join(f"`{name}` double" for name in names)
-
-
-ENVELOPE = _ddl("extracted_at string, source_url string, payload string")
-BRONZE = _ddl(
-    "extracted_at timestamp, source_url string, payload string, "
-    "year string, month string, day string"
+def _struct(*groups: tuple[DataType, str] | StructType) -> StructType:
+    """A struct from (type, "name name ...") groups and the fields of other structs, in order."""
+    fields = StructType()
+    for group in groups:
+        if isinstance(group, StructType):
+            for field in group:
+                fields = fields.add(field)
+        else:
+            for name in group[1].split():
+                fields = fields.add(name, group[0])
+    return fields
+
+
+ENVELOPE = _struct((TEXT, "extracted_at source_url payload"))
+BRONZE = _struct((TIMESTAMP, "extracted_at"), (TEXT, "source_url payload year month day"))
+
+_STORAGE = _struct((DOUBLE, "charge discharge"))
+_MIX = (
+    _struct((DOUBLE, " ".join(GENERATION_SOURCES)))
+    .add("hydro storage", _STORAGE)
+    .add("battery storage", _STORAGE)
+    .add("flows", _struct((DOUBLE, "imports exports")))
 )
-
-_STORAGE = "struct<charge: double, discharge: double>"
-_MIX = ", ".join(f"{name}: double" for name in GENERATION_SOURCES)
-
-MIX_PAYLOAD = _ddl(
-    "zone string, temporalGranularity string, unit string, data array<struct<"
-    "datetime: string, updatedAt: string, breakdownType: string, isEstimated: boolean, "
-    f"estimationMethod: string, mix: struct<{_MIX}, `hydro storage`: {_STORAGE}, "
-    f"`battery storage`: {_STORAGE}, flows: struct<imports: double, exports: double>>>>"
+_MIX_ITEM = _struct(
+    (TEXT, "datetime updatedAt breakdownType"), (BOOL, "isEstimated"), (TEXT, "estimationMethod")
+).add("mix", _MIX)
+_FLOWS_ITEM = _struct(
+    (TEXT, "datetime updatedAt"), (MapType(TEXT, DOUBLE), "import export")
 )
 
-FLOWS_PAYLOAD = _ddl(
-    "zone string, temporalGranularity string, unit string, data array<struct<"
-    "datetime: string, updatedAt: string, "
-    "import: map<string, double>, export: map<string, double>>>"
+MIX_PAYLOAD = _struct((TEXT, "zone temporalGranularity unit"), (ArrayType(_MIX_ITEM), "data"))
+FLOWS_PAYLOAD = _struct((TEXT, "zone temporalGranularity unit"), (ArrayType(_FLOWS_ITEM), "data"))
+
+DIM_DATE = _struct((DATE, "dt"), (TEXT, "year month day"))
+
+DIM_ZONE = StructType()
+for _name in ("zone", "zone_name", "country", "region"):
+    DIM_ZONE = DIM_ZONE.add(_name, TEXT, nullable=False)
+
+MIX_FACT = _struct(
+    (TEXT, "zone temporal_granularity unit"),
+    (TIMESTAMP, "datetime updated_at"),
+    (TEXT, "breakdown_type"),
+    (BOOL, "is_estimated"),
+    (TEXT, "estimation_method"),
+    (DOUBLE, " ".join(MIX_MEASURES)),
+    (TIMESTAMP, "extracted_at"),
+    (TEXT, "source_url"),
+    DIM_DATE,
 )
 
-_PARTS = "dt date, year string, month string, day string"
-
-MIX_FACT = _ddl(
-    "zone string, temporal_granularity string, unit string, datetime timestamp, "
-    "updated_at timestamp, breakdown_type string, is_estimated boolean, estimation_method string, "
-    f"{_doubles(MIX_MEASURES)}, extracted_at timestamp, source_url string, {_PARTS}"
+FLOW_FACT = _struct(
+    (TEXT, "zone neighbor_zone flow_direction"),
+    (DOUBLE, "power_mw"),
+    (TEXT, "unit temporal_granularity"),
+    (TIMESTAMP, "datetime updated_at extracted_at"),
+    (TEXT, "source_url"),
+    DIM_DATE,
 )
 
-FLOW_FACT = _ddl(
-    "zone string, neighbor_zone string, flow_direction string, power_mw double, unit string, "
-    "temporal_granularity string, datetime timestamp, updated_at timestamp, "
-    f"extracted_at timestamp, source_url string, {_PARTS}"
+MIX_DAILY = _struct(
+    (DATE, "dt reference_date"),
+    (TEXT, "zone zone_name country region grain unit_energy unit_share"),
+    (TIMESTAMP, "interval_start interval_end computed_at last_extracted_at"),
+    (DOUBLE, "generation_mwh"),
+    (DOUBLE, " ".join(f"{name}_mwh" for name in GENERATION_SOURCES)),
+    (DOUBLE, " ".join(f"{name}_pct" for name in GENERATION_SOURCES)),
+    (DOUBLE, "hydro_storage_charge_mwh hydro_storage_discharge_mwh"),
+    (DOUBLE, "battery_storage_charge_mwh battery_storage_discharge_mwh"),
+    (DOUBLE, "imports_mwh exports_mwh"),
 )
 
-DIM_ZONE = _ddl(
-    "zone string NOT NULL, zone_name string NOT NULL, country string NOT NULL, "
-    "region string NOT NULL"
-)
-DIM_DATE = _ddl(_PARTS)
-
-MIX_DAILY = _ddl(
-    "dt date, reference_date date, zone string, zone_name string, country string, region string, "
-    "grain string, unit_energy string, unit_share string, interval_start timestamp, "
-    "interval_end timestamp, computed_at timestamp, last_extracted_at timestamp, "
-    "generation_mwh double, "
-    + _doubles([f"{name}_mwh" for name in GENERATION_SOURCES])
-    + ", "
-    + _doubles([f"{name}_pct" for name in GENERATION_SOURCES])
-    + ", hydro_storage_charge_mwh double, hydro_storage_discharge_mwh double, "
-    "battery_storage_charge_mwh double, battery_storage_discharge_mwh double, "
-    "imports_mwh double, exports_mwh double"
-)
 
-_PLACE = "{0}_zone string, {0}_zone_name string, {0}_country string, {0}_region string"
-_FLOW_TAIL = (
-    "net_import_mwh double, interval_start timestamp, interval_end timestamp, "
-    "computed_at timestamp, last_extracted_at timestamp, grain string, unit_energy string"
-)
+def _focal(own: str, other: str, energy: str) -> StructType:
+    places = " ".join(
+        f"{role}_{part}" for role in (own, other) for part in ("zone", "zone_name", "country", "region")
+    )
+    return _struct(
+        (DATE, "dt reference_date"),
+        (TEXT, places),
+        (DOUBLE, f"{energy} net_import_mwh"),
+        (TIMESTAMP, "interval_start interval_end computed_at last_extracted_at"),
+        (TEXT, "grain unit_energy"),
+    )
 
-FOCAL_IMPORTS = _ddl(
-    f"dt date, reference_date date, {_PLACE.format('dest')}, {_PLACE.format('source')}, "
-    f"import_mwh double, export_mwh double, {_FLOW_TAIL}"
-)
-FOCAL_EXPORTS = _ddl(
-    f"dt date, reference_date date, {_PLACE.format('source')}, {_PLACE.format('dest')}, "
-    f"export_mwh double, import_mwh double, {_FLOW_TAIL}"
-)
+
+FOCAL_IMPORTS = _focal("dest", "source", "import_mwh export_mwh")
+FOCAL_EXPORTS = _focal("source", "dest", "export_mwh import_mwh")

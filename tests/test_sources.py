@@ -1,0 +1,234 @@
+import json
+from datetime import datetime, timezone
+
+import pytest
+from conftest import mix_payload
+from pyspark.sql import functions as F
+
+from gridspark import testbed
+from gridspark.functions import past_retention, request_url
+from gridspark.operators.checks import assert_unique, contract_violations
+from gridspark.sources.bronze import bronze_rows, read_bronze, snapshot_url
+from gridspark.sources.landing import (
+    expired_files,
+    landing_files,
+    landing_name,
+    read_landing,
+    write_landing,
+)
+from gridspark.spec import ColumnSpec, LandingSpec, LayerSpec, PipelineSpec, load_specs
+
+SPEC = {
+    "name": "feed",
+    "version": "1.0",
+    "source": {
+        "base_url": "https://grid.example.org/api",
+        "resources": [
+            {
+                "path": "/mix/latest",
+                "params": {"zone": {"type": "values", "values": ["DE", "FR"]}, "kind": "all"},
+            }
+        ],
+    },
+    "landing_zone": {"prefix": "mix_latest", "retention_days": 7},
+    "bronze": {"schema": "bronze", "table": "mix_latest", "write_disposition": "append"},
+    "keys": {"business_keys": ["zone", "datetime"]},
+    "schema": {
+        "columns": [
+            {"name": "extracted_at", "data_type": "timestamp", "nullable": False},
+            {"name": "payload", "data_type": "text", "description": "Raw."},
+        ]
+    },
+    "layers": {
+        "silver": {
+            "schema": "silver",
+            "table": "fact_electricity_mix",
+            "write_disposition": "merge",
+            "tables": [
+                {"name": "fact", "table": "fact_electricity_mix", "merge_keys": ["zone"]},
+                {"name": "dim_zone", "table": "dim_zone", "partition_by": []},
+            ],
+        },
+        "gold": {
+            "schema": "gold",
+            "table": "electricity_mix_daily_relative",
+            "path": "/lake/gold/mix",
+            "partition_by": ["dt"],
+        },
+    },
+}
+
+
+def test_spec_fields(tmp_path):
+    (tmp_path / "b.json").write_text(json.dumps(SPEC))
+    (tmp_path / "a.json").write_text(json.dumps({**SPEC, "name": "first"}))
+    specs = load_specs(tmp_path)
+    assert [spec.name for spec in specs] == ["first", "feed"]
+    spec = specs[1]
+    silver, gold = spec.silver, spec.gold
+    fact, zone = silver.outputs()
+    assert silver.partitions(fact) == ["year", "month", "day"] and silver.partitions(zone) == []
+    assert spec.merge_keys(silver, fact) == ["zone"]
+    assert spec.merge_keys(silver, zone) == ["zone", "datetime"]
+    [product] = gold.outputs()
+    assert spec.merge_keys(gold, product) is None
+    assert gold.qualified(product) == "gold.electricity_mix_daily_relative"
+    assert gold.location(product, "/out") == "/out/lake/gold/mix"
+    assert gold.location(product) == "/lake/gold/mix"
+    assert silver.location(zone, "/out") == "/out/silver/dim_zone"
+    assert spec.source.values("zone") == ["DE", "FR"]
+    assert spec.source.static_params() == {"kind": "all"}
+    with pytest.raises(KeyError):
+        spec.source.values("kind")
+    schema = spec.bronze_schema()
+    assert [f.nullable for f in schema] == [False, True]
+    assert schema["payload"].metadata == {"comment": "Raw."}
+
+
+def test_spec_defaults_and_errors(tmp_path):
+    spec = PipelineSpec.from_mapping({"name": "n", "bronze": {"table": "t"}})
+    assert spec.business_keys == ("zone", "datetime")
+    assert spec.landing == LandingSpec("t", 7)
+    with pytest.raises(ValueError, match="no gold layer"):
+        spec.layer("gold")
+    assert LayerSpec().outputs() == ()
+    with pytest.raises(ValueError, match="retention"):
+        LandingSpec("x", 0)
+    with pytest.raises(ValueError, match="column type"):
+        ColumnSpec("a", "blob").field()
+    with pytest.raises(ValueError, match="disposition"):
+        PipelineSpec.from_mapping({"name": "n", "bronze": {"table": "t", "write_disposition": "x"}})
+    with pytest.raises(FileNotFoundError):
+        load_specs(tmp_path)
+    with pytest.raises(FileNotFoundError):
+        load_specs(tmp_path / "none")
+
+
+def test_yaml_spec(tmp_path):
+    yaml = pytest.importorskip("yaml")
+    (tmp_path / "feed.yaml").write_text(yaml.safe_dump(SPEC))
+    assert load_specs(tmp_path)[0] == PipelineSpec.from_mapping(SPEC)
+    assert load_specs(tmp_path / "feed.yaml")[0].name == "feed"
+    assert load_specs(paths=[tmp_path / "feed.yaml"])[0].name == "feed"
+
+
+def one(spark, column):
+    return spark.range(1).select(column).head()[0]
+
+
+def test_request_url(spark):
+    url = request_url("https://x.org/v4/", "/mix/latest", {"zone": F.lit("D E"), "a": "1&2~*"})
+    assert one(spark, url) == "https://x.org/v4/mix/latest?zone=D+E&a=1%262~%2A"
+    assert one(spark, request_url("https://x.org", "m", {})) == "https://x.org/m"
+    spec = PipelineSpec.from_mapping(SPEC)
+    url = snapshot_url(spec.source, F.lit('{"zone":"FR"}'))
+    assert one(spark, url) == "https://grid.example.org/api/mix/latest?kind=all&zone=FR"
+
+
+@pytest.mark.parametrize(
+    "when", [datetime(2026, 9, 16, 12), datetime(2026, 9, 16, 12, tzinfo=timezone.utc)]
+)
+def test_bronze_rows(spark, when):
+    snapshots = spark.createDataFrame([("{}",)], "payload string")
+    rows = bronze_rows(snapshots, F.lit("u"), when)
+    assert rows.columns == ["extracted_at", "source_url", "payload", "year", "month", "day"]
+    [row] = rows.withColumn(
+        "extracted_at", F.date_format("extracted_at", "yyyy-MM-dd'T'HH:mm:ssxxx")
+    ).collect()
+    assert tuple(row) == ("2026-09-16T12:00:00+00:00", "u", "{}", "2026", "09", "16")
+    assert bronze_rows(snapshots, F.lit("u")).where("extracted_at is null").count() == 0
+
+
+def test_bronze_formats(spark, tmp_path):
+    snapshots = [mix_payload("DE"), mix_payload("FR")]
+    raw = tmp_path / "raw.jsonl"
+    raw.write_text("\n".join(json.dumps(s) for s in snapshots) + "\n\n")
+    enveloped = tmp_path / "bronze.jsonl"
+    enveloped.write_text(
+        "\n".join(
+            json.dumps(
+                {"extracted_at": "2026-09-16T12:00:00Z", "source_url": "u", "payload": json.dumps(s)}
+            )
+            for s in snapshots
+        )
+    )
+    want = {json.dumps(s) for s in snapshots}
+    for path in (raw, enveloped):
+        bronze = read_bronze(spark, path=str(path))
+        assert {r.payload for r in bronze.collect()} == want
+        assert bronze.where("extracted_at is null or source_url is null").count() == 0
+    parquet = str(tmp_path / "bronze.parquet")
+    rows = read_bronze(spark, path=str(enveloped), format="json")
+    rows.withColumns(
+        {"year": F.lit("2026"), "month": F.lit("09"), "day": F.lit("16")}
+    ).write.partitionBy("year", "month", "day").parquet(parquet)
+    back = read_bronze(spark, path=parquet)
+    assert {r.payload for r in back.collect()} == want
+    assert {r.month for r in back.collect()} == {"09"}
+    assert read_bronze(spark, path=parquet, since="2026-09-17").count() == 0
+    assert read_bronze(spark, path=parquet, since="2026-09-16").count() == 2
+    assert read_bronze(spark, path=str(enveloped), since="2026-09-17").count() == 0
+    with pytest.raises(ValueError, match="format"):
+        read_bronze(spark, path=parquet, format="orc")
+    with pytest.raises(ValueError, match="spec or a path"):
+        read_bronze(spark)
+
+
+def test_since_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "b.parquet")
+    rows = spark.createDataFrame(
+        [("x", "2026", "09", "01"), ("y", "2026", "09", "16")],
+        "payload string, year string, month string, day string",
+    )
+    rows.write.partitionBy("year", "month", "day").parquet(path)
+    plan = read_bronze(spark, path=path, since="2026-09-10")._jdf.queryExecution()
+    assert "PartitionFilters: [" in plan.executedPlan().toString()
+    assert "concat(year" in plan.executedPlan().toString().split("PartitionFilters: [")[1]
+
+
+def test_retention(spark):
+    now = F.lit(datetime(2026, 9, 16, 12, tzinfo=timezone.utc))
+    names = {
+        "mix_latest_20260901T120000Z.jsonl": True,
+        "mix_latest_20260901T120000Z.jsonl.gz": True,
+        "mix_latest_20260914T120000Z.jsonl": False,
+        "mix_latest_20260909T120000Z.jsonl": False,
+        "mix_latest_20260909T115959Z.jsonl": True,
+        "mix_latest.jsonl": False,
+        "mix_latest_20261301T120000Z.jsonl": False,
+    }
+    files = spark.createDataFrame([(n,) for n in names], "name string")
+    got = {r.name for r in files.where(past_retention("name", now, 7)).collect()}
+    assert got == {n for n, expired in names.items() if expired}
+    with pytest.raises(ValueError):
+        past_retention("name", now, 0)
+
+
+def test_landing_round_trip(spark, tmp_path):
+    root = str(tmp_path)
+    payloads = spark.createDataFrame([('{"zone":"DE"}',)], "payload string")
+    old = write_landing(payloads, root, "mix", datetime(2026, 9, 1, 12))
+    write_landing(payloads, root, "mix", datetime(2026, 9, 14, 12))
+    assert old.endswith("/mix/mix_20260901T120000Z.jsonl")
+    assert landing_name("mix", datetime(2026, 9, 1, 12)) == "mix_20260901T120000Z.jsonl"
+    now = datetime(2026, 9, 16, 12)
+    files = landing_files(spark, f"{root}/mix")
+    assert {r.name for r in expired_files(files, now, 7).collect()} == {old.rsplit("/", 1)[1]}
+    assert read_landing(spark, f"{root}/mix").count() == 2
+    [row] = read_landing(spark, f"{root}/mix", now=now, days=7).collect()
+    assert row.payload == '{"zone":"DE"}'
+
+
+def test_contract_violations(spark):
+    df = spark.createDataFrame([(1, None, None), (2, "a", None)], "a int, b string, c string")
+    columns = [ColumnSpec("a", nullable=False), ColumnSpec("b", nullable=False), ColumnSpec("c")]
+    got = {r.column_name: r.violations for r in contract_violations(df, columns).collect()}
+    assert got == {"a": 0, "b": 1}
+    with pytest.raises(ValueError, match="declared columns"):
+        contract_violations(df.drop("c"), columns)
+    with pytest.raises(ValueError, match="repeat"):
+        assert_unique(spark.createDataFrame([(None,), (None,)], "k int"), ["k"])
+
+
+def test_testbed_specs_declare_the_envelope():
+    assert testbed.mix_spec().bronze_schema().names[:3] == ["extracted_at", "source_url", "payload"]
