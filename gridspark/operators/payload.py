@@ -26,9 +26,14 @@ def parse_payload(bronze: DataFrame, schema: StructType) -> DataFrame:
 
 
 def payload_items(bronze: DataFrame, schema: StructType) -> DataFrame:
-    """One row per element of the payload's `data` array."""
+    """One row per element of the payload's `data` array.
+
+    Only an object can have one, so that other text (error pages) is not given to the parser, where
+    it costs an exception per row.
+    """
+    is_object = F.ltrim(F.col("payload").cast("string"), F.lit(" \t\r\n")).startswith("{")
     return (
-        parse_payload(bronze, schema)
+        parse_payload(bronze.where(is_object), schema)
         .select(
             "extracted_at",
             "source_url",

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import AbstractContextManager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridspark.session import session_conf
+
 # Above this many touched partitions their list is not sent to the scan as a predicate.
 PARTITION_LIST_LIMIT = 10_000
 
+_MIN_PARTITION_SIZE = "spark__sql__adaptive__coalescePartitions__minPartitionSize"
+
 
 def for_files(
     df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()
@@ -29,6 +34,29 @@ def for_files(
     return df.sortWithinPartitions(*order) if order else df
 
 
+def write_conf(
+    spark: SparkSession, partition_by: Sequence[str]
+) -> AbstractContextManager[None]:
+    """Session options of a partitioned write.
+
+    A little data spread over many partitions costs by the file. Left alone AQE would merge it into
+    one task, which then writes the files one after the other; with a small least size it keeps as
+    many tasks as there are cores. Large writes are not affected.
+    """
+    size = "16k" if partition_by else spark.conf.get(_MIN_PARTITION_SIZE.replace("__", "."))
+    return session_conf(spark, **{_MIN_PARTITION_SIZE: size})
+
+
+def touched_rows(existing: DataFrame, incoming: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of `existing` in the partitions that `incoming` has rows in."""
+    touched = touched_partitions(incoming, columns)
+    if touched is not None:
+        return existing.where(touched)
+    same = [F.col(f"e.`{c}`").eqNullSafe(F.col(f"i.`{c}`")) for c in columns]
+    parts = incoming.select(*columns).distinct().alias("i")
+    return existing.alias("e").join(parts, same, "left_semi")
+
+
 def partition_token(columns: Sequence[str]) -> Column:
     """One text value per combination of partition values, NULL included."""
     return F.to_json(F.array(*[F.col(f"`{name}`").cast("string") for name in columns]))

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from gridspark.operators.checks import assert_unique
 from gridspark.operators.upsert import upsert
-from gridspark.session import stage
-from gridspark.sinks.layout import for_files, partitions_follow_keys, touched_partitions
+from gridspark.session import staged
+from gridspark.sinks.layout import (
+    for_files,
+    partitions_follow_keys,
+    touched_rows,
+    write_conf,
+)
 from gridspark.sources.silver import read_parquet
 
 
@@ -29,7 +34,19 @@ def overwrite_parquet(
     writer = writer.option("partitionOverwriteMode", "dynamic" if only_touched else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with write_conf(df.sparkSession, partition_by):
+        writer.parquet(path)
+
+
+def _stored(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame | None:
+    """Stored rows with every column they have: `schema` is used only if it covers a file's."""
+    if schema is not None:
+        sample = read_parquet(spark, path, merge=False)
+        if sample is None:
+            return None
+        if not set(sample.columns) <= set(schema.names):
+            schema = None
+    return read_parquet(spark, path, schema)
 
 
 def upsert_parquet(
@@ -54,26 +71,20 @@ def upsert_parquet(
     """
     spark = incoming.sparkSession
     keys = list(keys)
-    existing = read_parquet(spark, path, schema)
-    if existing is None:
-        if not unique:
-            incoming = stage(incoming, "incoming")
-            assert_unique(incoming, keys)
+    existing = _stored(spark, path, schema)
+    if existing is None and unique:
         overwrite_parquet(incoming, path, partition_by, sort_by=keys)
         return
-    # Read below for its partitions, its keys and its rows: computed once.
-    incoming = stage(incoming, "incoming")
-    if not unique:
-        assert_unique(incoming, keys)
-    if partitions_follow_keys(partition_by, keys):
-        touched = touched_partitions(incoming, partition_by)
-        if touched is not None:
-            existing = existing.where(touched)
+    # Read below for its keys, its partitions and its rows: computed once.
+    with staged(incoming, "incoming") as incoming:
+        if not unique:
+            assert_unique(incoming, keys)
+        if existing is None:
+            overwrite_parquet(incoming, path, partition_by, sort_by=keys)
+        elif partitions_follow_keys(partition_by, keys):
+            touched = touched_rows(existing, incoming, partition_by)
+            merged = upsert(touched, incoming, keys, guard)
+            overwrite_parquet(merged, path, partition_by, sort_by=keys, only_touched=True)
         else:
-            parts = incoming.select(*partition_by).distinct()
-            existing = existing.join(parts, list(partition_by), "left_semi")
-        merged = upsert(existing, incoming, keys, guard)
-        overwrite_parquet(merged, path, partition_by, sort_by=keys, only_touched=True)
-        return
-    merged = stage(upsert(existing, incoming, keys, guard), "merged")
-    overwrite_parquet(merged, path, partition_by, sort_by=keys)
+            with staged(upsert(existing, incoming, keys, guard), "merged") as merged:
+                overwrite_parquet(merged, path, partition_by, sort_by=keys)

@@ -11,8 +11,13 @@ from gridspark.functions import keys_match
 from gridspark.operators.checks import assert_unique
 from gridspark.operators.latest import require_columns
 from gridspark.operators.upsert import upsert
-from gridspark.session import session_conf, stage
-from gridspark.sinks.layout import for_files, partitions_follow_keys, touched_partitions
+from gridspark.session import session_conf, staged
+from gridspark.sinks.layout import (
+    for_files,
+    partitions_follow_keys,
+    touched_rows,
+    write_conf,
+)
 from gridspark.sinks.parquet import overwrite_parquet
 from gridspark.spec import PipelineSpec
 
@@ -44,7 +49,8 @@ def create_table(
     writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    with write_conf(df.sparkSession, partition_by):
+        writer.saveAsTable(table)
 
 
 def table_from_parquet(
@@ -75,7 +81,10 @@ def table_from_parquet(
 def _insert_touched(df: DataFrame, table: str, partition_by, keys) -> None:
     columns = df.sparkSession.table(table).columns
     rows = for_files(df.select(*[F.col(f"`{c}`") for c in columns]), partition_by, keys)
-    with session_conf(df.sparkSession, spark__sql__sources__partitionOverwriteMode="dynamic"):
+    dynamic = session_conf(
+        df.sparkSession, spark__sql__sources__partitionOverwriteMode="dynamic"
+    )
+    with dynamic, write_conf(df.sparkSession, partition_by):
         rows.write.insertInto(table, overwrite=True)
 
 
@@ -107,36 +116,28 @@ def merge_table(
     spark = incoming.sparkSession
     keys = list(keys)
     require_columns(incoming, keys, "keys")
-    if not spark.catalog.tableExists(table):
-        if not unique:
-            incoming = stage(incoming, "incoming")
-            assert_unique(incoming, keys)
+    exists = spark.catalog.tableExists(table)
+    if not exists and unique:
         create_table(incoming, table, partition_by, sort_by=keys, format=format)
         return
-    if table_format(spark, table) in ROW_LEVEL_FORMATS:
+    if exists and table_format(spark, table) in ROW_LEVEL_FORMATS:
         _merge_rows(incoming, table, keys, guard)
         return
-    incoming = stage(incoming, "incoming")
-    if not unique:
-        assert_unique(incoming, keys)
-    _add_columns(incoming, table)
-    existing = spark.table(table)
-    partition_by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    if partitions_follow_keys(partition_by, keys):
-        touched = touched_partitions(incoming, partition_by)
-        if touched is not None:
-            existing = existing.where(touched)
-        else:
-            parts = incoming.select(*partition_by).distinct()
-            existing = existing.join(parts, list(partition_by), "left_semi")
-        _insert_touched(upsert(existing, incoming, keys, guard), table, partition_by, keys)
-        return
-    create_table(
-        stage(upsert(existing, incoming, keys, guard), "merged"),
-        table,
-        partition_by,
-        sort_by=keys,
-    )
+    with staged(incoming, "incoming") as incoming:
+        if not unique:
+            assert_unique(incoming, keys)
+        if not exists:
+            create_table(incoming, table, partition_by, sort_by=keys, format=format)
+            return
+        _add_columns(incoming, table)
+        existing = spark.table(table)
+        partition_by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+        if partitions_follow_keys(partition_by, keys):
+            touched = touched_rows(existing, incoming, partition_by)
+            _insert_touched(upsert(touched, incoming, keys, guard), table, partition_by, keys)
+            return
+        with staged(upsert(existing, incoming, keys, guard), "merged") as merged:
+            create_table(merged, table, partition_by, sort_by=keys)
 
 
 def _merge_rows(incoming: DataFrame, table: str, keys, guard) -> None:
@@ -195,7 +196,8 @@ def write_bronze(
         writer = writer.partitionBy(*bronze.partition_by)
         if bronze.cluster and buckets:
             writer = writer.bucketBy(buckets, *bronze.cluster).sortBy(*bronze.cluster)
-        writer.saveAsTable(table)
+        with write_conf(spark, bronze.partition_by):
+            writer.saveAsTable(table)
         if existed and mode == "append":
             return
     if bronze.table_comment:

@@ -33,15 +33,15 @@ STORED = {
 
 
 def read_parquet(
-    spark: SparkSession, path: str, schema: StructType | None = None
+    spark: SparkSession, path: str, schema: StructType | None = None, *, merge: bool = True
 ) -> DataFrame | None:
     """A Parquet directory, None if it does not exist; any other read error is raised.
 
-    With a schema nothing is inferred. Without, the files' schemas are merged and partition values
-    stay text (`09` is not 9).
+    With a schema nothing is inferred. Without, the schemas of all files are merged (of one file
+    only with `merge=False`) and partition values stay text (`09` is not 9).
     """
-    reader = spark.read
-    reader = reader.option("mergeSchema", "true") if schema is None else reader.schema(schema)
+    reader = spark.read.option("mergeSchema", str(merge).lower())
+    reader = reader if schema is None else reader.schema(schema)
     try:
         with session_conf(spark, spark__sql__sources__partitionColumnTypeInference__enabled="false"):
             return reader.parquet(path)

@@ -259,3 +259,27 @@ def test_bronze_dispositions_and_comments(spark, db):
         write_bronze(rows, spec("merge"))
     with pytest.raises(ValueError, match="declared columns"):
         write_bronze(rows.drop("at"), spec("append"))
+
+
+def test_columns_unknown_to_the_schema_survive(spark, path):
+    schema = frame(spark, []).schema
+    stored = frame(spark, FIRST + OTHER_DAY).withColumn("extra", F.lit("kept"))
+    overwrite_parquet(stored, path, PARTS)
+    incoming = frame(spark, [("FR", "2026-09-16T11:00:00", 4.0, "2026", "09", "16")])
+    upsert_parquet(incoming, path, KEYS, PARTS, schema=schema)
+    rows = {r.zone: r.extra for r in read_parquet(spark, path).collect()}
+    assert rows == {"AT": "kept", "XX": "kept", "FR": None}
+
+
+def test_staged_copies_go_after_success(spark, path, tmp_path):
+    import os
+
+    from gridspark.session import scratch_root
+
+    def copies():
+        return [n for n in os.listdir(scratch_root(spark)) if "-incoming-" in n or "-merged-" in n]
+
+    upsert_parquet(frame(spark, FIRST), path, ["zone"])
+    before = copies()
+    upsert_parquet(frame(spark, SECOND), path, ["zone"])
+    assert copies() == before
