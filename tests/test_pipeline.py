@@ -166,6 +166,17 @@ def test_table_by_table_needs_its_inputs(spark, tmp_path, paths):
     assert {r.dest_zone for r in read_parquet(spark, path).collect()} == {"DE", "IT"}
 
 
+@pytest.mark.parametrize("newest_wins, wind", [(False, 1.0), (True, 60.0)])
+def test_replay_of_older_snapshots(spark, tmp_path, newest_wins, wind):
+    root = str(tmp_path / "out")
+    options = {"bronze_format": "parquet", "output_root": root, "write_tables": False}
+    new = saved(mix_bronze(spark), tmp_path / "new")
+    old = saved(mix_bronze(spark, wind=1.0, updated="12:01"), tmp_path / "old")
+    run_silver(spark, MIX, bronze_path=new, **options)
+    run_silver(spark, MIX, bronze_path=old, newest_wins=newest_wins, **options)
+    assert [r.mix_wind for r in read_silver(spark, MIX, root=root)["fact"].collect()] == [wind]
+
+
 def test_gold_since_keeps_older_days(spark, tmp_path):
     root = {"output_root": str(tmp_path / "out"), "write_tables": False}
     first = saved(mix_bronze(spark, day=15).union(mix_bronze(spark, day=16)), tmp_path / "1")
@@ -244,3 +255,33 @@ def test_session_helpers(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_command_line(spark, tmp_path):
+    from gridspark.__main__ import main
+
+    raw = tmp_path / "mix.jsonl"
+    raw.write_text(json.dumps(mix_payload(mix={"wind": 60, "coal": 40})) + "\n")
+    spec = {
+        "name": "feed",
+        "bronze": {"table": "mix_latest"},
+        "layers": {
+            "silver": {
+                "schema": "silver",
+                "table": "fact_electricity_mix",
+                "write_disposition": "merge",
+            },
+            "gold": {
+                "schema": "gold",
+                "table": "electricity_mix_daily_relative",
+                "partition_by": ["dt"],
+            },
+        },
+    }
+    (tmp_path / "feed.json").write_text(json.dumps(spec))
+    common = ["--specs", str(tmp_path / "feed.json"), "--output-root", str(tmp_path / "out")]
+    common += ["--no-tables", "--bronze", f"feed={raw}"]
+    main(common)
+    main([*common, "--table", "electricity_mix_daily_relative"])
+    gold = read_parquet(spark, f"{tmp_path}/out/gold/electricity_mix_daily_relative", MIX_DAILY)
+    assert [r.wind_pct for r in gold.collect()] == [60.0]
