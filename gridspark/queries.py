@@ -660,25 +660,48 @@ def etl_by_table(spark, sf_dir):
     return _rounded(read_parquet(spark, path, FOCAL_IMPORTS))
 
 
-@query
-def etl_incremental(spark, sf_dir):
-    """Snapshots ingested up to a day, then the rest; gold recomputed from that day on."""
-    root = scratch_path(spark, "incremental")
-    mix = _specs()[0]
-    first, rest = scratch_path(spark, "first"), scratch_path(spark, "rest")
+@cache
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Mix snapshots ingested before 16 January, and from then on."""
+    paths = scratch_path(spark, "first"), scratch_path(spark, "rest")
     bronze = _mix_bronze(spark, sf_dir)
     early = F.concat("year", "month", "day") < "20240116"
-    bronze.where(early).write.parquet(first)
-    bronze.where(~early).write.parquet(rest)
+    bronze.where(early).write.parquet(paths[0])
+    bronze.where(~early).write.parquet(paths[1])
+    return paths
+
+
+@query
+def etl_incremental(spark, sf_dir):
+    """Silver in two steps of ingest, gold recomputed from the first day that the second touches."""
+    root, mix = scratch_path(spark, "incremental"), _specs()[0]
+    first, rest = _halves(spark, sf_dir)
     options = {"output_root": root, "write_tables": False}
-    run_silver(spark, mix, bronze_path=first, bronze_format="parquet", **options)
+    source = {"bronze_format": "parquet", "newest_wins": True, **options}
+    run_silver(spark, mix, bronze_path=first, **source)
     run_gold(spark, mix, **options)
-    run_silver(spark, mix, bronze_path=rest, bronze_format="parquet", **options)
+    run_silver(spark, mix, bronze_path=rest, **source)
     run_gold(spark, mix, since="2024-01-14", **options)
     path = mix.gold.location(mix.gold.outputs()[0], root)
     return _rounded(read_parquet(spark, path, MIX_DAILY))
 
 
+@query
+def merge_replaces(spark, sf_dir):
+    """The same two steps by plain merge: the second batch replaces whatever is stored."""
+    root, mix = scratch_path(spark, "replaced"), _specs()[0]
+    for path in _halves(spark, sf_dir):
+        run_silver(
+            spark,
+            mix,
+            bronze_path=path,
+            bronze_format="parquet",
+            output_root=root,
+            write_tables=False,
+        )
+    return read_silver(spark, mix, root=root, include={"fact"})["fact"]
+
+
 @cache
 def _streamed_bronze(spark: SparkSession, sf_dir: str) -> str:
     bronze = scratch_path(spark, "stream-bronze")
@@ -706,7 +729,7 @@ def streamed_silver(spark, sf_dir):
         stream_silver(
             spark, testbed.mix_spec(), bronze, silver, checkpoint, max_files=8
         ).awaitTermination()
-    return read_parquet(spark, silver, MIX_FACT).drop("extracted_at")
+    return read_parquet(spark, silver, MIX_FACT)
 
 
 @query
