@@ -95,16 +95,17 @@ def url_param(value: Column | str) -> Column:
 def request_url(base_url: str, path: str, params: Mapping[str, Column | str]) -> Column:
     """Request URL of a snapshot: base, path and encoded parameters in the order given.
 
-    A parameter is a Column, or text that is taken literally.
+    A parameter is a Column, or text that is taken literally; a NULL one is left out.
     """
     head = base_url.rstrip("/") + "/" + path.lstrip("/")
-    if not params:
-        return F.lit(head)
     pairs = []
     for name, value in params.items():
         value = value if isinstance(value, Column) else F.lit(value)
         pairs.append(F.concat(F.lit(f"{name}="), url_param(value)))
-    return F.concat(F.lit(head + "?"), F.concat_ws("&", *pairs))
+    if not pairs:
+        return F.lit(head)
+    query = F.concat_ws("&", *pairs)
+    return F.when(query == "", F.lit(head)).otherwise(F.concat(F.lit(head + "?"), query))
 
 
 def landing_stamp(name: Column | str) -> Column:

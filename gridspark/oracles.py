@@ -493,7 +493,7 @@ stamped AS (
 ORACLES["streamed_bronze"] = f"""
 WITH {_EV}, {_STAMPED}
 SELECT stamp AS extracted_at,
-       CASE WHEN kind <> 'page' THEN url ELSE '{BASE_URL}mix/latest?' END AS source_url,
+       CASE WHEN kind <> 'page' THEN url ELSE '{BASE_URL}mix/latest' END AS source_url,
        {_parts('stamp')}, count(*) AS row_count
 FROM stamped GROUP BY ALL"""
 

@@ -23,14 +23,12 @@ def for_files(
 
     The rebalance hint lets AQE split a partition that holds much of the data and merge small ones.
     Rows are sorted by partition and then by key, which is the order a partitioned write needs
-    anyway, and gives each file narrow key ranges for row-group skipping.
+    anyway, and gives each file narrow key ranges for row-group skipping. Without partition columns
+    rows stay in the tasks they are in.
     """
-    sort_by = [name for name in sort_by if name not in partition_by]
+    order = [*partition_by, *[name for name in sort_by if name not in partition_by]]
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    else:
-        df = df.hint("rebalance")
-    order = [*partition_by, *sort_by]
     return df.sortWithinPartitions(*order) if order else df
 
 

@@ -171,7 +171,8 @@ def write_bronze(
     """Write bronze rows by the spec's disposition: append, replace, or merge on `keys`.
 
     Declared column comments and the table comment are kept. `buckets` turns the spec's cluster
-    columns into a bucketed, sorted layout.
+    columns into a bucketed, sorted layout. The payloads are not shuffled: a batch was ingested at
+    one time and goes to one partition.
     """
     spark = df.sparkSession
     bronze = spec.bronze
@@ -192,12 +193,10 @@ def write_bronze(
     else:
         existed = spark.catalog.tableExists(table)
         mode = "append" if bronze.write_disposition == "append" else "overwrite"
-        writer = for_files(df, bronze.partition_by).write.format("parquet").mode(mode)
-        writer = writer.partitionBy(*bronze.partition_by)
+        writer = df.write.format("parquet").mode(mode).partitionBy(*bronze.partition_by)
         if bronze.cluster and buckets:
             writer = writer.bucketBy(buckets, *bronze.cluster).sortBy(*bronze.cluster)
-        with write_conf(spark, bronze.partition_by):
-            writer.saveAsTable(table)
+        writer.saveAsTable(table)
         if existed and mode == "append":
             return
     if bronze.table_comment:

@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from collections import Counter
@@ -56,13 +57,16 @@ def differences(spark, con, sf_dir: str, name: str) -> tuple[int, list[str]]:
 
 
 def session() -> SparkSession:
-    return (
+    """Local session; COMPARE_CONF="key=value key=value" adds options."""
+    builder = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    for pair in os.environ.get("COMPARE_CONF", "").split():
+        builder = builder.config(*pair.split("=", 1))
+    return builder.getOrCreate()
 
 
 if __name__ == "__main__":

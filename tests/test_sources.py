@@ -120,6 +120,7 @@ def test_request_url(spark):
     url = request_url("https://x.org/v4/", "/mix/latest", {"zone": F.lit("D E"), "a": "1&2~*"})
     assert one(spark, url) == "https://x.org/v4/mix/latest?zone=D+E&a=1%262~%2A"
     assert one(spark, request_url("https://x.org", "m", {})) == "https://x.org/m"
+    assert one(spark, request_url("https://x.org", "m", {"a": F.lit(None)})) == "https://x.org/m"
     spec = PipelineSpec.from_mapping(SPEC)
     url = snapshot_url(spec.source, F.lit('{"zone":"FR"}'))
     assert one(spark, url) == "https://grid.example.org/api/mix/latest?kind=all&zone=FR"
@@ -219,6 +220,21 @@ def test_landing_round_trip(spark, tmp_path):
     assert row.payload == '{"zone":"DE"}'
 
 
+def test_landed_single_files(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "mix_20260914T120000Z.jsonl").write_text('{"zone":"DE"}\n')
+    with gzip.open(tmp_path / "mix_20260915T120000Z.jsonl.gz", "wt") as handle:
+        handle.write('{"zone":"FR"}\n')
+    (tmp_path / "notes.txt").write_text("x\n")
+    rows = read_landing(spark, str(tmp_path)).withColumn("stamp", F.date_format("stamp", "dd"))
+    assert {(r.payload, r.stamp) for r in rows.collect()} == {
+        ('{"zone":"DE"}', "14"),
+        ('{"zone":"FR"}', "15"),
+        ("x", None),
+    }
+
+
 def test_contract_violations(spark):
     df = spark.createDataFrame([(1, None, None), (2, "a", None)], "a int, b string, c string")
     columns = [ColumnSpec("a", nullable=False), ColumnSpec("b", nullable=False), ColumnSpec("c")]
