@@ -119,11 +119,11 @@ _MIX = _mix("timed", "fetched + to_hours(6)")
 
 _KIND = "CASE kind WHEN 'page' THEN 'page' WHEN 'blank' THEN 'blank' ELSE 'json' END AS kind"
 
-ORACLES["bronze_table"] = f"""
+ORACLES["bronze_scan"] = f"""
 WITH {_EV}
 SELECT extracted_at, url AS source_url, {_parts('extracted_at')}, {_KIND} FROM delivery"""
 
-ORACLES["bronze_since"] = ORACLES["bronze_table"] + " WHERE extracted_at >= '2024-01-15'"
+ORACLES["bronze_since"] = ORACLES["bronze_scan"] + " WHERE extracted_at >= '2024-01-15'"
 
 ORACLES["bronze_from_landing"] = f"""
 WITH {_EV}
@@ -139,7 +139,7 @@ SELECT extracted_at, url AS source_url,
        CASE kind WHEN 'page' THEN NULL WHEN 'untimed' THEN 2 * n ELSE n END AS items
 FROM delivery WHERE kind <> 'blank'"""
 
-ORACLES["items"] = f"""
+ORACLES["payload_items"] = f"""
 WITH {_EV},
 version AS (
   SELECT *, CASE kind WHEN 'older' THEN ts - to_hours(2) ELSE ts END AS updated,
@@ -164,7 +164,7 @@ SELECT zone, datetime,
        CAST(event_id % 1000 AS DOUBLE) AS mix_hydro, CAST(NULL AS DOUBLE) AS mix_oil
 FROM timed, (VALUES (-1), (0), (6)) AS d(late)"""
 
-ORACLES["mix_facts"] = f"WITH {_MIX} SELECT {_MIX_SCHEMA}, dt, year, month, day FROM mix"
+ORACLES["mix_fact"] = f"WITH {_MIX} SELECT {_MIX_SCHEMA}, dt, year, month, day FROM mix"
 
 # ---- flows ----
 
@@ -218,7 +218,7 @@ SELECT zone, granularity, 1::BIGINT AS items,
                 '%Y-%m-%dT%H:%M:%S.%gZ') AS first_update
 FROM delivery WHERE kind NOT IN ('page', 'blank')"""
 
-ORACLES["bronze_raw"] = ORACLES["bronze_jsonl"]
+ORACLES["bronze_rewrap"] = ORACLES["bronze_jsonl"]
 
 ORACLES["flow_received"] = f"""
 WITH {_LINES}
@@ -228,7 +228,7 @@ SELECT zone, neighbor_zone, flow_direction, power * CASE WHEN late < 0 THEN 0.5
        fetched + to_hours(late) AS extracted_at
 FROM flow, (VALUES (-1), (0), (6)) AS d(late)"""
 
-ORACLES["flow_facts"] = f"WITH {_FLOWS} SELECT * FROM flows"
+ORACLES["flow_fact"] = f"WITH {_FLOWS} SELECT * FROM flows"
 
 # ---- keep latest, dates, URLs ----
 
@@ -239,7 +239,7 @@ SELECT o_orderkey, '{BASE_URL}flows/latest?priority='
        'https://grid.example.org/api/flows' AS bare_url
 FROM orders"""
 
-ORACLES["latest_lines"] = """
+ORACLES["keep_latest"] = """
 SELECT * FROM lineitem
 QUALIFY row_number() OVER (
   PARTITION BY l_orderkey, l_linenumber
@@ -248,19 +248,18 @@ QUALIFY row_number() OVER (
            l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) = 1"""
 
 ORACLES["latest_by_clock"] = """
-SELECT nullif(user_id % 50, 0) AS zone, date_trunc('second', ts) AS updated_at,
-       CASE WHEN event_id % 5 <> 0 THEN date_trunc('second', ts) END AS extracted_at,
-       event_id, value
-FROM events WHERE user_id % 50 <> 0
+SELECT event_type AS zone, user_id, date_trunc('second', ts) AS updated_at,
+       CASE WHEN value > 10 THEN date_trunc('second', ts) END AS extracted_at, event_id, value
+FROM events WHERE event_type <> 'error'
 QUALIFY row_number() OVER (
-  PARTITION BY zone ORDER BY updated_at DESC, extracted_at DESC NULLS LAST, event_id) = 1"""
+  PARTITION BY zone, user_id ORDER BY updated_at DESC, extracted_at DESC NULLS LAST, event_id) = 1"""
 
 ORACLES["latest_without_clock"] = """
 SELECT l_suppkey, l_partkey, l_quantity FROM lineitem
 QUALIFY row_number() OVER (
   PARTITION BY l_suppkey ORDER BY l_partkey NULLS FIRST, l_quantity NULLS FIRST) = 1"""
 
-ORACLES["order_date_parts"] = f"""
+ORACLES["date_parts"] = f"""
 SELECT o_orderkey, datetime, CAST(datetime AS DATE) AS dt, {_parts('datetime')}
 FROM (SELECT o_orderkey, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS datetime
       FROM orders)"""
@@ -278,12 +277,12 @@ dates AS (SELECT dt, year, month, day FROM mix UNION SELECT dt, year, month, day
 per_day AS (SELECT dt, count(*) AS facts FROM mix GROUP BY dt)
 SELECT dates.*, facts, 'dim_date,fact' AS products FROM dates LEFT JOIN per_day USING (dt)"""
 
-ORACLES["zones"] = f"""
+ORACLES["dim_zone"] = f"""
 WITH {_FLOWS}
 SELECT d.*, (SELECT nullif(count(*), 0) FROM flows WHERE flows.zone = d.zone) AS facts
 FROM {_DIM}"""
 
-ORACLES["dates"] = f"""
+ORACLES["dim_date"] = f"""
 WITH {_MIX}, {_FLOWS}
 SELECT dt, year, month, day FROM mix UNION SELECT dt, year, month, day FROM flows"""
 
@@ -403,7 +402,7 @@ _KEPT = "WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new)"
 
 ORACLES["upserted"] = f"""
 WITH {_ORDERS} SELECT * FROM old {_KEPT} UNION ALL SELECT * FROM new"""
-for _name in ("upsert_touched", "merged_table_unpartitioned"):
+for _name in ("upsert_parquet", "merge_table_unpartitioned"):
     ORACLES[_name] = ORACLES["upserted"]
 
 ORACLES["upsert_moved"] = f"""
@@ -416,7 +415,7 @@ WITH {_ORDERS}
 SELECT * REPLACE (nullif(o_custkey % 7, 0) AS o_custkey)
 FROM (SELECT * FROM old {_KEPT} UNION ALL SELECT * FROM new)"""
 
-ORACLES["upsert_evolved"] = f"""
+ORACLES["upsert_evolve"] = f"""
 WITH {_ORDERS}
 SELECT * REPLACE (CAST(NULL AS BIGINT) AS o_custkey), CAST(NULL AS VARCHAR) AS note
 FROM old {_KEPT}
@@ -435,33 +434,33 @@ WITH {_MIX_DAILY}
 SELECT dt, zone, CASE WHEN dt >= DATE '2024-01-20' THEN 'again' ELSE 'daily' END AS grain,
        generation_mwh FROM daily"""
 
-ORACLES["merged_table"] = f"""
+ORACLES["merge_table"] = f"""
 WITH {_ORDERS}
 SELECT * REPLACE (CAST(NULL AS BIGINT) AS o_custkey) FROM old {_KEPT}
 UNION ALL SELECT * FROM new"""
 
 ORACLES["table_ctas"] = f"WITH {_ORDERS} SELECT * FROM o"
 ORACLES["table_mirrored"] = ORACLES["table_ctas"]
-ORACLES["table_overwritten"] = f"WITH {_ORDERS} SELECT * FROM new"
+ORACLES["table_overwrite"] = f"WITH {_ORDERS} SELECT * FROM new"
 
-ORACLES["bronze_appended"] = f"""
+ORACLES["bronze_append"] = f"""
 WITH {_EV}
 SELECT url AS source_url, {_parts('extracted_at')}, 3 * count(*) AS row_count
 FROM delivery GROUP BY ALL"""
 
 ORACLES["landing_expired"] = """
-SELECT event_id, 'mix_' || strftime(ts, '%Y%m%dT%H%M%SZ') || CASE event_id % 4
-         WHEN 0 THEN '.jsonl.gz' WHEN 1 THEN '.JSONL' ELSE '.jsonl' END AS name
+SELECT event_id, 'mix_' || strftime(ts, '%Y%m%dT%H%M%SZ') || CASE event_type
+         WHEN 'click' THEN '.jsonl.gz' WHEN 'view' THEN '.JSONL' ELSE '.jsonl' END AS name
 FROM events
-WHERE event_id % 4 <> 2 AND date_trunc('second', ts) < TIMESTAMP '2024-01-13 00:00:00'"""
+WHERE event_type <> 'error' AND date_trunc('second', ts) < TIMESTAMP '2024-01-13 00:00:00'"""
 
 ORACLES["landing_kept"] = f"""
 WITH {_EV}
-SELECT TIMESTAMP '2024-03-01 12:00:00' + to_days(CAST(hour(extracted_at) % 4 AS INTEGER)) AS stamp,
+SELECT TIMESTAMP '2024-03-01 12:00:00' + to_days(CAST(hour(extracted_at) // 6 AS INTEGER)) AS stamp,
        count(*) AS row_count
-FROM delivery WHERE hour(extracted_at) % 4 >= 2 GROUP BY 1"""
+FROM delivery GROUP BY 1 HAVING stamp >= TIMESTAMP '2024-03-02 18:00:00'"""
 
-ORACLES["violations"] = f"""
+ORACLES["contract_violations"] = f"""
 WITH {_EV},
 counted AS (
   SELECT count(*) FILTER (WHERE kind = 'blank') AS payload,
@@ -487,10 +486,10 @@ SELECT * FROM mix"""
 _STAMPED = """
 stamped AS (
   SELECT *, TIMESTAMP '2024-03-01 12:00:00'
-            + to_days(CAST(hour(extracted_at) % 4 AS INTEGER)) AS stamp
+            + to_days(CAST(hour(extracted_at) // 6 AS INTEGER)) AS stamp
   FROM delivery WHERE kind <> 'blank')"""
 
-ORACLES["streamed_bronze"] = f"""
+ORACLES["stream_bronze"] = f"""
 WITH {_EV}, {_STAMPED}
 SELECT stamp AS extracted_at,
        CASE WHEN kind <> 'page' THEN url ELSE '{BASE_URL}mix/latest' END AS source_url,
@@ -500,13 +499,13 @@ FROM stamped GROUP BY ALL"""
 # In the stream the ingest time is the stamp of the drop, which is not in order of delivery.
 _DROP = (
     "TIMESTAMP '2024-03-01 12:00:00' "
-    "+ to_days(CAST(hour(fetched + to_hours(late)) % 4 AS INTEGER))"
+    "+ to_days(CAST(hour(fetched + to_hours(late)) // 6 AS INTEGER))"
 )
-ORACLES["streamed_silver"] = f"""
+ORACLES["stream_silver"] = f"""
 WITH {_mix('timed, (VALUES (0), (6)) AS d(late)', _DROP)}
 SELECT * FROM mix"""
 
-ORACLES["streamed_daily"] = f"""
+ORACLES["stream_daily"] = f"""
 WITH {_MIX},
 energy AS (
   SELECT dt, zone, sum(coalesce(mix_wind, 0) * {_HOURS}) AS wind,

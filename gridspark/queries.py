@@ -46,10 +46,12 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
+    """Register a query under its name; a leading `_` keeps it apart from the operator it runs."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _ntz(fn(use_utc(spark), sf_dir))
 
-    QUERIES[fn.__name__] = run
+    QUERIES[fn.__name__.removeprefix("_")] = run
     return fn
 
 
@@ -122,13 +124,13 @@ def _bronze_tables(spark: SparkSession, sf_dir: str) -> str:
 
 @cache
 def _landed(spark: SparkSession, sf_dir: str) -> str:
-    """Landing root: every version of the mix snapshots dropped under a stamp of its own."""
+    """Landing root: the mix snapshots in four drops, by the quarter of the day of ingest."""
     root = scratch_path(spark, "landing")
     bronze = _mix_bronze(spark, sf_dir)
-    hour = F.hour("extracted_at") % 4
+    quarter = F.floor(F.hour("extracted_at") / 6)
     for drop in range(4):
         write_landing(
-            bronze.where(hour == drop), root, "mix_latest", datetime(2024, 3, 1 + drop, 12)
+            bronze.where(quarter == drop), root, "mix_latest", datetime(2024, 3, 1 + drop, 12)
         )
     return root
 
@@ -151,7 +153,7 @@ def _described(bronze: DataFrame) -> DataFrame:
 
 
 @query
-def bronze_table(spark, sf_dir):
+def _bronze_scan(spark, sf_dir):
     spec = testbed.mix_spec(_bronze_tables(spark, sf_dir))
     return _described(read_bronze(spark, spec))
 
@@ -190,7 +192,7 @@ def bronze_jsonl(spark, sf_dir):
 
 
 @query
-def bronze_raw(spark, sf_dir):
+def _bronze_rewrap(spark, sf_dir):
     path = scratch_path(spark, "raw")
     _flow_bronze(spark, sf_dir).select("payload").write.text(path)
     return _payload_facts(read_bronze(spark, path=path, format="raw"))
@@ -257,7 +259,7 @@ def parsed_payloads(spark, sf_dir):
 
 
 @query
-def items(spark, sf_dir):
+def _payload_items(spark, sf_dir):
     rows = payload_items(_mix_bronze(spark, sf_dir), MIX_PAYLOAD)
     return rows.select(
         "extracted_at",
@@ -289,17 +291,17 @@ def flow_received(spark, sf_dir):
 
 
 @query
-def mix_facts(spark, sf_dir):
+def _mix_fact(spark, sf_dir):
     return mix_fact(_mix_bronze(spark, sf_dir))
 
 
 @query
-def flow_facts(spark, sf_dir):
+def _flow_fact(spark, sf_dir):
     return flow_fact(_flow_bronze(spark, sf_dir))
 
 
 @query
-def latest_lines(spark, sf_dir):
+def _keep_latest(spark, sf_dir):
     lines = testbed.read(spark, sf_dir, "lineitem")
     return keep_latest(lines, ["l_orderkey", "l_linenumber"], by=["l_shipdate"])
 
@@ -307,13 +309,14 @@ def latest_lines(spark, sf_dir):
 @query
 def latest_by_clock(spark, sf_dir):
     events = testbed.read(spark, sf_dir, "events").select(
-        F.nullif(F.col("user_id") % 50, F.lit(0)).alias("zone"),
+        F.nullif("event_type", F.lit("error")).alias("zone"),
+        "user_id",
         F.col("ts").cast("timestamp").alias("updated_at"),
-        F.when(F.col("event_id") % 5 != 0, F.col("ts").cast("timestamp")).alias("extracted_at"),
+        F.when(F.col("value") > 10, F.col("ts").cast("timestamp")).alias("extracted_at"),
         "event_id",
         "value",
     )
-    return keep_latest(events, ["zone"])
+    return keep_latest(events, ["zone", "user_id"])
 
 
 @query
@@ -323,7 +326,7 @@ def latest_without_clock(spark, sf_dir):
 
 
 @query
-def order_date_parts(spark, sf_dir):
+def _date_parts(spark, sf_dir):
     orders = testbed.read(spark, sf_dir, "orders")
     ts = F.col("o_orderdate").cast("timestamp") + testbed.hours(F.col("o_orderkey") % 24)
     return add_date_parts(orders.select("o_orderkey", ts.alias("datetime")))
@@ -341,14 +344,14 @@ def hours_by_granularity(spark, sf_dir):
 
 
 @query
-def zones(spark, sf_dir):
+def _dim_zone(spark, sf_dir):
     stored = _silver(spark, sf_dir, 1)
     uses = stored["fact"].groupBy("zone").agg(F.count("*").alias("facts"))
     return dim_zone(spark).join(uses, "zone", "left")
 
 
 @query
-def dates(spark, sf_dir):
+def _dim_date(spark, sf_dir):
     facts = [_silver(spark, sf_dir, feed)["fact"] for feed in (0, 1)]
     return dim_date(*facts)
 
@@ -457,7 +460,7 @@ def upserted(spark, sf_dir):
 
 
 @query
-def upsert_touched(spark, sf_dir):
+def _upsert_parquet(spark, sf_dir):
     path = scratch_path(spark, "upsert")
     old, new = _old_and_new(_orders(spark, sf_dir))
     keys, parts = ["o_orderkey", "datetime"], ["year", "month"]
@@ -489,7 +492,7 @@ def upsert_null_keys(spark, sf_dir):
 
 
 @query
-def upsert_evolved(spark, sf_dir):
+def _upsert_evolve(spark, sf_dir):
     path = scratch_path(spark, "upsert")
     old, new = _old_and_new(_orders(spark, sf_dir))
     keys, parts = ["o_orderkey", "datetime"], ["year", "month"]
@@ -525,7 +528,7 @@ def gold_days_replaced(spark, sf_dir):
 
 
 @query
-def merged_table(spark, sf_dir):
+def _merge_table(spark, sf_dir):
     table = f"silver{_databases(spark)}.orders"
     old, new = _old_and_new(_orders(spark, sf_dir))
     keys, parts = ["o_orderkey", "datetime"], ["year", "month"]
@@ -536,7 +539,7 @@ def merged_table(spark, sf_dir):
 
 
 @query
-def merged_table_unpartitioned(spark, sf_dir):
+def _merge_table_unpartitioned(spark, sf_dir):
     table = f"silver{_databases(spark)}.orders"
     old, new = _old_and_new(_orders(spark, sf_dir))
     merge_table(old, table, ["o_orderkey"])
@@ -556,7 +559,7 @@ def table_ctas(spark, sf_dir):
 
 
 @query
-def table_overwritten(spark, sf_dir):
+def _table_overwrite(spark, sf_dir):
     table = f"gold{_databases(spark)}.orders"
     old, new = _old_and_new(_orders(spark, sf_dir))
     create_table(old.drop("o_custkey"), table, ["year"])
@@ -573,7 +576,7 @@ def table_mirrored(spark, sf_dir):
 
 
 @query
-def bronze_appended(spark, sf_dir):
+def _bronze_append(spark, sf_dir):
     spec = testbed.mix_spec(_databases(spark))
     bronze = _mix_bronze(spark, sf_dir)
     for _ in range(3):
@@ -589,12 +592,11 @@ def bronze_appended(spark, sf_dir):
 def landing_expired(spark, sf_dir):
     events = testbed.read(spark, sf_dir, "events")
     stamp = F.date_format(F.col("ts").cast("timestamp"), "yyyyMMdd'T'HHmmss'Z'")
-    name = (
-        F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("mix_"), stamp, F.lit(".jsonl.gz")))
-        .when(F.col("event_id") % 4 == 1, F.concat(F.lit("mix_"), stamp, F.lit(".JSONL")))
-        .when(F.col("event_id") % 4 == 2, F.concat(F.lit("mix_"), stamp, F.lit(".csv")))
-        .otherwise(F.concat(F.lit("mix_"), stamp, F.lit(".jsonl")))
-    )
+    kind = F.col("event_type")
+    suffix = (
+        F.when(kind == "click", ".jsonl.gz").when(kind == "view", ".JSONL").when(kind == "error", ".csv")
+    ).otherwise(".jsonl")
+    name = F.concat(F.lit("mix_"), stamp, suffix)
     return expired_files(events.select("event_id", name.alias("name")), datetime(2024, 1, 20), 7)
 
 
@@ -612,7 +614,7 @@ def landing_kept(spark, sf_dir):
 
 
 @query
-def violations(spark, sf_dir):
+def _contract_violations(spark, sf_dir):
     bronze = _mix_bronze(spark, sf_dir).withColumns(
         {
             "payload": F.nullif("payload", F.lit("")),
@@ -714,7 +716,7 @@ def _streamed_bronze(spark: SparkSession, sf_dir: str) -> str:
 
 
 @query
-def streamed_bronze(spark, sf_dir):
+def _stream_bronze(spark, sf_dir):
     rows = spark.read.schema(BRONZE).parquet(_streamed_bronze(spark, sf_dir))
     return rows.groupBy("extracted_at", "source_url", "year", "month", "day").agg(
         F.count("*").alias("row_count")
@@ -722,7 +724,7 @@ def streamed_bronze(spark, sf_dir):
 
 
 @query
-def streamed_silver(spark, sf_dir):
+def _stream_silver(spark, sf_dir):
     silver, checkpoint = scratch_path(spark, "stream-silver"), scratch_path(spark, "checkpoint")
     bronze = _streamed_bronze(spark, sf_dir)
     for _ in range(2):
@@ -733,7 +735,7 @@ def streamed_silver(spark, sf_dir):
 
 
 @query
-def streamed_daily(spark, sf_dir):
+def _stream_daily(spark, sf_dir):
     """One stored fact per interval as a snapshot each, then a heartbeat that closes the last day."""
     source, gold = scratch_path(spark, "stream-source"), scratch_path(spark, "stream-gold")
     checkpoint = scratch_path(spark, "checkpoint")
