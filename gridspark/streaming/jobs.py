@@ -94,17 +94,22 @@ def stream_silver(
     )
 
 
-def daily_mix_stream(bronze: DataFrame, delay: str) -> DataFrame:
+def daily_mix_stream(bronze: DataFrame, delay: str, salts: int = 16) -> DataFrame:
     """Daily mix of a bronze stream; a day comes out once the watermark has passed its end.
 
     The first arrival of a (zone, interval) counts and later corrections do not; feeds with
     corrections go through `stream_silver`. Rows later than `delay` are dropped by the watermark.
+
+    Arrivals are thinned out per key and salt first, then per key: an interval that is delivered
+    over and over is spread over `salts` tasks instead of going to one.
     """
     rows = (
         mix_rows(bronze)
+        .withColumn("salt", F.pmod(F.xxhash64("extracted_at", "source_url"), F.lit(salts)))
         .withColumn("datetime", F.date_trunc("second", "datetime"))
         .withColumn("extracted_at", F.date_trunc("second", "extracted_at"))
         .withWatermark("datetime", delay)
+        .dropDuplicatesWithinWatermark([*MIX_KEYS, "salt"])
         .dropDuplicatesWithinWatermark(list(MIX_KEYS))
     )
     daily = energy_by_day(rows, F.window("datetime", "1 day").alias("day"))
