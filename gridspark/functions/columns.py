@@ -39,7 +39,7 @@ def utc(value: datetime | Column) -> Column:
 
 
 def date_parts(ts: Column | str) -> dict[str, Column]:
-    """`dt` and the zero-padded text parts of a timestamp, in the session zone (UTC in every job)."""
+    """`dt` and the zero-padded text parts of a timestamp, in the session zone (always UTC)."""
     ts = column(ts)
     return {
         "dt": F.to_date(ts),
@@ -115,7 +115,7 @@ def landing_stamp(name: Column | str) -> Column:
 
 
 def past_retention(name: Column | str, now: Column, days: int) -> Column:
-    """True if the stamp in the name lies more than `days` days before `now`; unstamped names stay."""
+    """True if the name is stamped more than `days` days before `now`; unstamped names stay."""
     if days < 1:
         raise ValueError("retention must be at least one day")
     limit = now - F.make_dt_interval(days=F.lit(days))

@@ -594,8 +594,11 @@ def landing_expired(spark, sf_dir):
     stamp = F.date_format(F.col("ts").cast("timestamp"), "yyyyMMdd'T'HHmmss'Z'")
     kind = F.col("event_type")
     suffix = (
-        F.when(kind == "click", ".jsonl.gz").when(kind == "view", ".JSONL").when(kind == "error", ".csv")
-    ).otherwise(".jsonl")
+        F.when(kind == "click", ".jsonl.gz")
+        .when(kind == "view", ".JSONL")
+        .when(kind == "error", ".csv")
+        .otherwise(".jsonl")
+    )
     name = F.concat(F.lit("mix_"), stamp, suffix)
     return expired_files(events.select("event_id", name.alias("name")), datetime(2024, 1, 20), 7)
 
@@ -607,9 +610,8 @@ def landing_kept(spark, sf_dir):
     listed = landing_files(spark, root).select("stamp").distinct()
     return (
         rows.groupBy("stamp")
-        .agg(F.count("*").alias("row_count"), F.sum(F.length("payload")).alias("chars"))
+        .agg(F.count("*").alias("row_count"))
         .join(listed, "stamp", "left_semi")
-        .drop("chars")
     )
 
 
@@ -736,7 +738,7 @@ def _stream_silver(spark, sf_dir):
 
 @query
 def _stream_daily(spark, sf_dir):
-    """One stored fact per interval as a snapshot each, then a heartbeat that closes the last day."""
+    """One snapshot per stored interval, then a heartbeat that closes the last day."""
     source, gold = scratch_path(spark, "stream-source"), scratch_path(spark, "stream-gold")
     checkpoint = scratch_path(spark, "checkpoint")
     fact = _silver(spark, sf_dir, 0)["fact"]
@@ -746,13 +748,14 @@ def _stream_daily(spark, sf_dir):
         F.struct(F.col("mix_wind").alias("wind"), F.col("mix_hydro").alias("hydro")).alias("mix"),
     )
     body = F.struct(
-        "zone", F.col("temporal_granularity").alias("temporalGranularity"), F.array(item).alias("data")
+        "zone",
+        F.col("temporal_granularity").alias("temporalGranularity"),
+        F.array(item).alias("data"),
     )
     envelope = ["extracted_at", "source_url", "payload", "year", "month", "day"]
     rows = fact.withColumn("payload", F.to_json(body))
     rows.select(*envelope).write.parquet(source)
-    run = lambda: stream_daily_mix(spark, source, gold, checkpoint).awaitTermination()
-    run()
+    stream_daily_mix(spark, source, gold, checkpoint).awaitTermination()
     beat = fact.agg(F.max("datetime").alias("last")).select(
         F.current_timestamp().alias("extracted_at"),
         F.lit("heartbeat").alias("source_url"),
@@ -767,7 +770,7 @@ def _stream_daily(spark, sf_dir):
         *[F.lit("0").alias(name) for name in ("year", "month", "day")],
     )
     beat.write.mode("append").parquet(source)
-    run()
+    stream_daily_mix(spark, source, gold, checkpoint).awaitTermination()
     return _rounded(read_parquet(spark, gold, MIX_DAILY)).select(
         "dt", "zone", "zone_name", "generation_mwh", "wind_mwh", "hydro_mwh", "wind_pct"
     )

@@ -26,15 +26,25 @@ def overwrite_parquet(
     *,
     sort_by: Sequence[str] = (),
     only_touched: bool = False,
+    ready: bool = False,
 ) -> None:
-    """Replace a directory, or with `only_touched` just the partitions that `df` has rows in."""
+    """Replace a directory, or with `only_touched` just the partitions that `df` has rows in.
+
+    Spark clears a directory before it computes what goes in. Rows that are to replace others are
+    therefore staged first, unless they are `ready`, that is only read and laid out anew.
+    """
     if only_touched and not partition_by:
         raise ValueError("only_touched needs partition columns")
+    spark = df.sparkSession
+    if not only_touched and not ready and read_parquet(spark, path, merge=False) is not None:
+        with staged(df, "overwrite") as rows:
+            overwrite_parquet(rows, path, partition_by, sort_by=sort_by, ready=True)
+        return
     writer = for_files(df, partition_by, sort_by).write.mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "dynamic" if only_touched else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with write_conf(df.sparkSession, partition_by):
+    with write_conf(spark, partition_by):
         writer.parquet(path)
 
 
@@ -87,4 +97,4 @@ def upsert_parquet(
             overwrite_parquet(merged, path, partition_by, sort_by=keys, only_touched=True)
         else:
             with staged(upsert(existing, incoming, keys, guard), "merged") as merged:
-                overwrite_parquet(merged, path, partition_by, sort_by=keys)
+                overwrite_parquet(merged, path, partition_by, sort_by=keys, ready=True)

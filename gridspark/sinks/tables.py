@@ -42,14 +42,23 @@ def create_table(
     *,
     sort_by: Sequence[str] = (),
     format: str = "parquet",
+    ready: bool = False,
 ) -> None:
-    """Create the table, or replace its rows and its schema."""
+    """Create the table, or replace its rows and its schema.
+
+    As with directories, rows that replace others are staged first unless they are `ready`.
+    """
+    spark = df.sparkSession
+    if not ready and spark.catalog.tableExists(table):
+        with staged(df, "overwrite") as rows:
+            create_table(rows, table, partition_by, sort_by=sort_by, format=format, ready=True)
+        return
     writer = for_files(df, partition_by, sort_by).write.format(format).mode("overwrite")
     # For formats that keep a schema of their own; Parquet tables are recreated by the mode.
     writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with write_conf(df.sparkSession, partition_by):
+    with write_conf(spark, partition_by):
         writer.saveAsTable(table)
 
 
@@ -78,9 +87,16 @@ def table_from_parquet(
         )
 
 
-def _insert_touched(df: DataFrame, table: str, partition_by, keys) -> None:
+def replace_partitions(
+    df: DataFrame,
+    table: str,
+    partition_by: Sequence[str],
+    *,
+    sort_by: Sequence[str] = (),
+) -> None:
+    """Replace the partitions of a table that `df` has rows in."""
     columns = df.sparkSession.table(table).columns
-    rows = for_files(df.select(*[F.col(f"`{c}`") for c in columns]), partition_by, keys)
+    rows = for_files(df.select(*[F.col(f"`{c}`") for c in columns]), partition_by, sort_by)
     dynamic = session_conf(
         df.sparkSession, spark__sql__sources__partitionOverwriteMode="dynamic"
     )
@@ -134,10 +150,11 @@ def merge_table(
         partition_by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
         if partitions_follow_keys(partition_by, keys):
             touched = touched_rows(existing, incoming, partition_by)
-            _insert_touched(upsert(touched, incoming, keys, guard), table, partition_by, keys)
+            merged = upsert(touched, incoming, keys, guard)
+            replace_partitions(merged, table, partition_by, sort_by=keys)
             return
         with staged(upsert(existing, incoming, keys, guard), "merged") as merged:
-            create_table(merged, table, partition_by, sort_by=keys)
+            create_table(merged, table, partition_by, sort_by=keys, ready=True)
 
 
 def _merge_rows(incoming: DataFrame, table: str, keys, guard) -> None:
@@ -162,7 +179,7 @@ def mirror_table(
     sort_by: Sequence[str] = (),
 ) -> None:
     """Export a whole table to a Parquet directory."""
-    overwrite_parquet(spark.table(table), path, partition_by, sort_by=sort_by)
+    overwrite_parquet(spark.table(table), path, partition_by, sort_by=sort_by, ready=True)
 
 
 def write_bronze(

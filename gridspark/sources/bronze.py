@@ -16,7 +16,7 @@ INGEST_PARTS = ("year", "month", "day")
 
 
 def ingested_since(bronze: DataFrame, since: str | None) -> DataFrame:
-    """Rows ingested on or after the day `since` (yyyy-MM-dd); prunes y/m/d partitions if there are any."""
+    """Rows ingested on or after the day `since` (yyyy-MM-dd); prunes y/m/d partitions."""
     if since is None:
         return bronze
     day = datetime.strptime(since, "%Y-%m-%d")

@@ -1,3 +1,4 @@
+import dataclasses
 import json
 from datetime import datetime
 
@@ -187,8 +188,29 @@ def test_gold_since_keeps_older_days(spark, tmp_path):
     run_gold(spark, MIX, since="2026-09-16", **root)
     gold = read_parquet(spark, f"{tmp_path}/out/gold/electricity_mix_daily_relative", MIX_DAILY)
     assert {str(r.dt): r.wind_pct for r in gold.collect()} == {"2026-09-15": 60, "2026-09-16": 0}
+    unpartitioned = dataclasses.replace(
+        MIX, gold=LayerSpec(schema="gold", table="electricity_mix_daily_relative")
+    )
     with pytest.raises(ValueError, match="since"):
-        run_gold(spark, MIX, silver=read_silver(spark, MIX, root=root["output_root"]), since="2026-09-16")
+        run_gold(spark, unpartitioned, since="2026-09-16", **root)
+
+
+def test_gold_since_in_tables(spark, tmp_path):
+    for layer in ("silver", "gold"):
+        spark.sql(f"CREATE DATABASE {layer}_s LOCATION '{tmp_path}/{layer}_s'")
+    mix = testbed.mix_spec("_s")
+
+    source = {"bronze_format": "parquet"}
+    first = saved(mix_bronze(spark, day=15).union(mix_bronze(spark, day=16)), tmp_path / "1")
+    run_silver(spark, mix, bronze_path=first, write_shared_dims=True, **source)
+    run_gold(spark, mix, since="2026-09-01")
+    spark.sql("INSERT OVERWRITE silver_s.dim_zone VALUES ('DE', 'Changed', 'x', 'y')")
+    second = saved(mix_bronze(spark, wind=0.0, day=16, updated="12:30"), tmp_path / "2")
+    run_silver(spark, mix, bronze_path=second, **source)
+    run_gold(spark, mix, since="2026-09-16")
+    table = spark.table("gold_s.electricity_mix_daily_relative")
+    got = {str(r.dt): (r.wind_pct, r.zone_name) for r in table.collect()}
+    assert got == {"2026-09-15": (60.0, "Germany"), "2026-09-16": (0.0, "Changed")}
 
 
 def test_stream_from_landing_to_silver(spark, tmp_path):

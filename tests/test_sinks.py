@@ -130,6 +130,21 @@ def test_failed_write_leaves_the_data(spark, path):
     assert winds(read_parquet(spark, path)) == {("AT", 1.0)}
 
 
+def test_failed_overwrite_leaves_the_data(spark, path, db):
+    overwrite_parquet(frame(spark, FIRST), path, PARTS)
+    create_table(frame(spark, FIRST), f"{db}.t", PARTS)
+    broken = frame(spark, SECOND).withColumn(
+        "mix_wind",
+        F.when(F.col("zone") == "FR", F.raise_error(F.lit("boom"))).cast("double"),
+    )
+    with pytest.raises(Exception, match="boom"):
+        overwrite_parquet(broken, path, PARTS)
+    with pytest.raises(Exception, match="boom"):
+        create_table(broken, f"{db}.t", PARTS)
+    assert winds(read_parquet(spark, path)) == {("AT", 1.0)}
+    assert winds(spark.table(f"{db}.t")) == {("AT", 1.0)}
+
+
 def test_read_errors_are_raised(spark, tmp_path):
     bad = tmp_path / "bad"
     bad.mkdir()
