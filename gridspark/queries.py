@@ -755,7 +755,8 @@ def _stream_daily(spark, sf_dir):
     envelope = ["extracted_at", "source_url", "payload", "year", "month", "day"]
     rows = fact.withColumn("payload", F.to_json(body))
     rows.select(*envelope).write.parquet(source)
-    stream_daily_mix(spark, source, gold, checkpoint).awaitTermination()
+    run = {"state_partitions": spark.sparkContext.defaultParallelism}
+    stream_daily_mix(spark, source, gold, checkpoint, **run).awaitTermination()
     beat = fact.agg(F.max("datetime").alias("last")).select(
         F.current_timestamp().alias("extracted_at"),
         F.lit("heartbeat").alias("source_url"),
@@ -770,7 +771,7 @@ def _stream_daily(spark, sf_dir):
         *[F.lit("0").alias(name) for name in ("year", "month", "day")],
     )
     beat.write.mode("append").parquet(source)
-    stream_daily_mix(spark, source, gold, checkpoint).awaitTermination()
+    stream_daily_mix(spark, source, gold, checkpoint, **run).awaitTermination()
     return _rounded(read_parquet(spark, gold, MIX_DAILY)).select(
         "dt", "zone", "zone_name", "generation_mwh", "wind_mwh", "hydro_mwh", "wind_pct"
     )

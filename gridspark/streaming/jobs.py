@@ -12,7 +12,7 @@ from gridspark.operators.latest import RECENCY
 from gridspark.plans.pipeline import fact_output
 from gridspark.plans.registry import FACTS
 from gridspark.schemas import BRONZE
-from gridspark.session import use_utc
+from gridspark.session import session_conf, use_utc
 from gridspark.sinks.parquet import upsert_parquet
 from gridspark.sources.bronze import INGEST_PARTS, bronze_rows, snapshot_url
 from gridspark.sources.landing import landed_lines
@@ -124,9 +124,14 @@ def stream_daily_mix(
     *,
     delay: str = "2 days",
     max_files: int | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Closed days of the daily mix, appended to a Parquet directory partitioned by `dt`."""
-    return (
+    """Closed days of the daily mix, appended to a Parquet directory partitioned by `dt`.
+
+    `state_partitions` is the number of state stores, by default the session's shuffle partitions;
+    it is fixed when a checkpoint is first used, and AQE does not adjust it.
+    """
+    writer = (
         daily_mix_stream(read_bronze_stream(spark, bronze, max_files), delay)
         .writeStream.format("parquet")
         .outputMode("append")
@@ -134,5 +139,7 @@ def stream_daily_mix(
         .option("path", gold)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    partitions = state_partitions or spark.conf.get("spark.sql.shuffle.partitions")
+    with session_conf(spark, spark__sql__shuffle__partitions=str(partitions)):
+        return writer.start()
