@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import byte_bpe, chat, html_text, syncmers, token_counts, wavelet
+from gridspark.llm import (
+    bag_minhash,
+    byte_bpe,
+    chat,
+    html_text,
+    kneser_ney,
+    qgram_filter,
+    syncmers,
+    token_counts,
+    wavelet,
+)
 from gridspark.llm.common import table
 from gridspark.session import scratch_path
 
@@ -83,3 +93,20 @@ SELECT conv_id,
            AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+
+@query
+def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_qgram_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qgram_filter.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the classifier keeps, with what it found."""
+    judged = kneser_ney.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.filter("keep").select("doc_id", "lang", "n_bytes", "perplexity", "threshold")
