@@ -14,6 +14,7 @@ from gridspark.llm import (
     chat,
     html_text,
     kneser_ney,
+    line_dedup,
     qgram_filter,
     syncmers,
     token_counts,
@@ -110,3 +111,12 @@ def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that the classifier keeps, with what it found."""
     judged = kneser_ney.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.filter("keep").select("doc_id", "lang", "n_bytes", "perplexity", "threshold")
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.deduplicated(documents).select("doc_id", "text", "n_lines", "n_removed")
+
+
+ORACLES["op6_line_dedup"] = line_dedup.SQL
