@@ -1,0 +1,63 @@
+"""Operator 3 against the article element of the given pages, and small pages."""
+
+import html
+import re
+
+import pytest
+
+from gridspark.llm import html_text, queries
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("", ""),
+        ("plain &amp; simple", "plain & simple"),
+        ("<p>a</p><p> b\n\t c</p>", "a\nb c"),
+        ("<p>cut off <b", "cut off"),
+        ("<p>x</p><script>if (a < b) {}</script><style>p{}</style><!-- <p>no</p> --><p>y&nbsp;z</p>", "x\ny z"),
+        ("<article><h1>T</h1><p>one<br>two<p>three</article><footer>f</footer>", "T\none two\nthree"),
+        ("<nav><a href=1>Home</a></nav><main><p>" + "w " * 60 + "</p><p>end</p></main>", "w " * 59 + "w\nend"),
+        ("<main><p>a</p><div class='ad box'>buy</div><form><p>mail</p></form><p>b</p></main>", "a\nb"),
+        ("<article><header><h1>T</h1></header><p>a</p><section id=comments><p>nice</p></section></article>", "T\na"),
+        ("<div class=sidebar><p>side</p></div><p>" + "long " * 30 + "</p>", ("long " * 30).strip()),
+        ("<article><ul><li>a<li>b</ul><table><tr><td>1<td>2</table></article>", "a\nb\n1\n2"),
+        ("<article>&lt;b&gt; &#233; &eacute; &amp;amp; &am</article>", "<b> é é &amp; &am"),
+    ],
+)
+def test_small_pages(page, want):
+    assert html_text.main_text(page) == want
+
+
+def test_lines_between_surges():
+    lengths = [0, 3, 0, 0, 0, 90, 5, 0, 40, 0, 0, 0, 7]
+    texts = [str(i) for i in range(len(lengths))]
+    assert html_text.between_surges(texts, lengths, 86) == ["5", "6", "8"]
+    assert html_text.between_surges(texts, lengths, 2) == ["1", "5", "6", "8", "12"]
+    assert html_text.between_surges(texts, lengths, 1000) == ["5", "6", "8"]
+    assert html_text.between_surges([], [], 86) == []
+
+
+def test_odd_rows(spark):
+    df = spark.createDataFrame(
+        [(1, None, "u"), (1, None, "u"), (None, "<p>" + "é " * 40_000, "v"), (2, "", None)],
+        "page_id long, html string, text string",
+    )
+    got = html_text.extract(df).collect()
+    assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in got) == sorted(
+        [(1, "", 0), (1, "", 0), (0, ("é " * 40_000).strip(), 79_999), (2, "", 0)]
+    )
+    assert html_text.extract(df.limit(0)).collect() == []
+
+
+def test_op3(spark):
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    got = queries.QUERIES["op3_html_text"](spark, SF).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        article = re.search(r"<article>(.*?)(?:</article>|$)", pages[r["page_id"]]["html"], re.S)[1]
+        blocks = (html.unescape(re.sub(r"<[^>]*>", "", b)) for b in re.split(r"</?(?:p|h1)>", article))
+        want = "\n".join(b for b in (re.sub(r"\s+", " ", x).strip() for x in blocks) if b)
+        assert (r["url"], r["text"], r["n_chars"]) == (pages[r["page_id"]]["url"], want, len(want))
