@@ -254,8 +254,8 @@ def near_duplicates(
     """One row per row of `df`: `key` and `class_id`, the smallest key of its class.
 
     Texts are tied if the weighted Jaccard similarity of their shingles is `least` or more, and
-    copies of a text always are; a class is all that ties connect. Null texts count as empty, and all
-    empty texts form a class. Keys are integers; rows with the same key are one document of several
+    copies of a text always are; a class is all that ties connect. Null texts count as empty; a text
+    without words is tied to its copies only. Keys are integers; rows with the same key are one document of several
     texts and end in one class, a null key is kept with a null class. Only the two columns are read.
     """
     rows = df.select(F.col(key).cast("long").alias("id"), text_or_empty(text).alias("text"))
@@ -267,7 +267,7 @@ def near_duplicates(
     own = seen.join(stands.select("digest", F.col("of").alias("id")), ["digest", "id"])
     own = own.dropDuplicates(["digest"]).select("id", "n", "bands", "bits")
 
-    spread = own.select("id", F.explode("bands").alias("bucket"))
+    spread = own.filter("n > 0").select("id", F.explode("bands").alias("bucket"))
     sizes = spread.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("members"))
     buckets = written(
         spread.join(sizes.filter("members > 1").drop("members"), "bucket").select("bucket", "first", "id"), "buckets"
