@@ -88,8 +88,10 @@ def repeated(rows: DataFrame, min_words: int) -> DataFrame:
     # Fingerprints that occur in more than one place.
     marks = F.array_distinct(F.transform("windows", lambda w: F.struct(w["mark"].alias("mark"), w["mark_at"].alias("at"))))
     marks = found.select(F.explode(marks).alias("m")).groupBy("m.mark").agg(F.count("*").alias("n"))
+    # Written: between two plain tables Spark splits the join's large partitions.
+    marks = written(marks.filter("n > 1").select("mark"), "marks")
     every = found.select("id", "version", F.explode("windows").alias("w")).select("id", "version", "w.*").drop("mark_at")
-    every = every.join(marks.filter("n > 1").select("mark"), "mark", "left_semi").drop("mark")
+    every = every.join(marks, "mark", "left_semi").drop("mark")
     every = written(every, "matches")
 
     place = F.struct("id", "version", "begin", "end")
