@@ -8,9 +8,11 @@ they have in common, and no work goes into copies that are not there. Each point
 the signature's slots, where the earliest one stays: two slots are equal with the probability of the
 weighted Jaccard similarity.
 
-Slots are banded. Texts of a bucket are compared with the first of it; the exact overlap of the two
-multisets decides. Links tie texts into classes. Buckets that then still hold several classes are
-compared pair by pair between classes, so a group of n copies costs n comparisons, not n².
+Slots are banded. Texts of a bucket are compared with its centre, the text that meets most others in
+all its buckets (of many copies, the one they were made from, if it is there). Pairs that a longer
+signature cannot rule out are decided by the exact overlap of the two multisets. Links tie texts into
+classes. Buckets that then still hold several classes are compared pair by pair between classes, so a
+group of n copies costs n comparisons, not n², unless most of them are too far from each other.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from gridspark.llm.components import components
 SHINGLE, LEAST = 5, 0.8
 BANDS, ROWS = 32, 6
 SLOTS = BANDS * ROWS
+#: Slots of the longer signature of texts that meet others, two bits of each.
+LONG_SLOTS = 1536
 #: Characters of the texts that are hashed together.
 GROUP_CHARS = 1 << 20
 
@@ -167,10 +171,11 @@ def bands(rows: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return mixed.view(np.int64)
 
 
-def low_bits(rows: np.ndarray) -> np.ndarray:
-    """One hashed bit of each slot, 64 to an integer."""
-    bits = (_mix(rows.view(_WORD)) & _WORD(1)).astype(np.uint8)
-    return np.packbits(bits, axis=1, bitorder="little").view("<i8")
+def short_slots(rows: np.ndarray) -> np.ndarray:
+    """Two hashed bits of each slot, 32 slots to an integer."""
+    two = (_mix(rows.view(_WORD)) & _WORD(3)).reshape(len(rows), -1, 32)
+    shifted = two << (np.arange(32, dtype=_WORD) * _WORD(2))
+    return np.bitwise_or.reduce(shifted, axis=2).view(np.int64)
 
 
 def _groups(frame: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -185,7 +190,7 @@ def _groups(frame: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def signed(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """`id`, `digest` of the text, `n` shingles, `bands` and `bits` for rows of `id`, `text`."""
+    """`id`, `digest` of the text, `n` shingles and `bands` for rows of `id`, `text`."""
     for_workers(docs.sparkSession)
 
     def run(frames):
@@ -199,20 +204,20 @@ def signed(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                 n = np.bincount(doc, minlength=len(texts))
                 flat = bands(rows).reshape(-1)
                 some = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, BANDS, np.int32), flat)
-                bits = low_bits(rows).reshape(-1)
-                each = pa.ListArray.from_arrays(np.arange(0, len(bits) + 1, SLOTS // 64, np.int32), bits)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(n, pa.int64()), some, each],
-                    names=["id", "digest", "n", "bands", "bits"],
+                    [part.column(0), part.column(1), pa.array(n, pa.int64()), some],
+                    names=["id", "digest", "n", "bands"],
                 )
 
     given = docs.select("id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"), "text")
-    return given.mapInArrow(run, "id long, digest binary, n long, bands array<long>, bits array<long>")
+    return given.mapInArrow(run, "id long, digest binary, n long, bands array<long>")
 
 
-def multisets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """`id`, `elements` (occurrences of shingles, see `occurrences`) for rows of `id`, `text`."""
+def refined(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """`id`, `n` shingles, `slots` (the longer signature, short) and `elements` (occurrences of
+    shingles, see `occurrences`) for rows of `id`, `text`."""
     for_workers(docs.sparkSession)
+    step = LONG_SLOTS // 32
 
     def run(frames):
         import pyarrow.compute  # noqa: F401
@@ -220,23 +225,37 @@ def multisets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         for frame in frames:
             for part in _groups(frame):
                 texts = part.column(1).to_pylist()
-                found, of = occurrences(*shingles(texts, size))
-                ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(texts)))])
+                hashes, doc = shingles(texts, size)
+                found, of = occurrences(hashes, doc)
+                number = np.bincount(of, minlength=len(texts))
+                ends = np.concatenate([[0], np.cumsum(number)])
                 lists = pa.ListArray.from_arrays(ends.astype(np.int32), found.view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["id", "elements"])
+                flat = short_slots(signatures(hashes, doc, len(texts), LONG_SLOTS)).reshape(-1)
+                slots = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, step, np.int32), flat)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(number, pa.int64()), slots, lists],
+                    names=["id", "n", "slots", "elements"],
+                )
 
-    return docs.select("id", "text").mapInArrow(run, "id long, elements array<long>")
+    return docs.select("id", "text").mapInArrow(run, "id long, n long, slots array<long>, elements array<long>")
 
 
 def _unlike(a: str, b: str) -> str:
-    """SQL for the number of low bits in which two texts differ."""
-    return " + ".join(f"bit_count({a}.bits[{i}] ^ {b}.bits[{i}])" for i in range(SLOTS // 64))
+    """SQL for the number of slots in which two longer signatures differ."""
+    def one(i: int) -> str:
+        other = f"({a}.slots[{i}] ^ {b}.slots[{i}])"
+        return f"bit_count(({other} | shiftrightunsigned({other}, 1)) & 6148914691236517205)"
+
+    return " + ".join(one(i) for i in range(LONG_SLOTS // 32))
 
 
 def _most_unlike(least: float) -> int:
-    """Differing bits that a pair at the threshold exceeds with a chance below one in 10⁸."""
-    p = (1 - least) / 2
-    return int(SLOTS * p + 6.5 * (SLOTS * p * (1 - p)) ** 0.5) + 1
+    """Differing slots that a pair at the threshold exceeds with a chance of one in ten million.
+
+    Two bits are alike by chance one time in four.
+    """
+    p = (1 - least) * 0.75
+    return int(LONG_SLOTS * p + 5.2 * (LONG_SLOTS * p * (1 - p)) ** 0.5) + 1
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -262,41 +281,42 @@ def near_duplicates(
     keyed = rows.filter("id IS NOT NULL")
     seen = written(signed(keyed, size), "signatures")
     # Copies: one document stands for all with the same text.
-    stands = seen.groupBy("digest").agg(F.min("id").alias("of"))
+    stands = written(seen.groupBy("digest").agg(F.min("id").alias("of")), "stands")
     copies = written(seen.select("id", "digest").join(stands, "digest").select("id", "of"), "copies")
     own = seen.join(stands.select("digest", F.col("of").alias("id")), ["digest", "id"])
-    own = own.dropDuplicates(["digest"]).select("id", "n", "bands", "bits")
-
-    spread = own.filter("n > 0").select("id", F.explode("bands").alias("bucket"))
-    sizes = spread.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("members"))
-    buckets = written(
-        spread.join(sizes.filter("members > 1").drop("members"), "bucket").select("bucket", "first", "id"), "buckets"
-    )
-    light = written(own.join(buckets.select("id").distinct(), "id", "left_semi").drop("bands"), "candidates")
-    pairs = (
-        buckets.filter("first < id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    own = own.filter("n > 0").dropDuplicates(["digest"]).select("id", F.explode("bands").alias("bucket"))
+    sizes = own.groupBy("bucket").agg(F.count("*").alias("members"))
+    rows_of = written(own.join(sizes.filter("members > 1"), "bucket"), "buckets")
+    meets = rows_of.groupBy("id").agg(F.sum("members").alias("met"))
+    centres = rows_of.join(meets, "id").groupBy("bucket").agg(
+        F.max(F.struct("met", (-F.col("id")).alias("low"))).alias("best")
     )
+    centres = centres.select("bucket", (-F.col("best.low")).alias("first"))
+    buckets = written(rows_of.select("bucket", "id").join(centres, "bucket"), "centres")
+
+    ids_met = buckets.select("id").distinct()
+    known_of = written(refined(keyed.join(ids_met, "id", "left_semi"), size).dropDuplicates(["id"]), "refined")
+    light, sets = known_of.select("id", "n", "slots"), known_of.select("id", "elements")
     near_enough = (
         f"least(x.n, y.n) >= {least} * greatest(x.n, y.n) AND {_unlike('x', 'y')} <= {_most_unlike(least)}"
     )
-    stars = pairs.join(light.alias("x"), F.col("a") == F.col("x.id")).join(light.alias("y"), F.col("b") == F.col("y.id"))
-    stars = stars.filter(near_enough).select("a", "b")
-    sets = written(
-        multisets(keyed.join(light.select("id"), "id", "left_semi"), size).dropDuplicates(["id"]), "multisets"
-    )
+    pairs = buckets.filter("first <> id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    stars = pairs.join(light.alias("x"), F.col("a") == F.col("x.id"))
+    stars = stars.join(light.alias("y"), (F.col("b") == F.col("y.id")) & F.expr(near_enough)).select("a", "b")
     checked = written(_verified(stars, sets), "checked")
     ties = checked.filter(F.col("near") >= least).select("a", "b")
     known = components(ties)
 
-    # What the first of a bucket has not tied together: pairs of different classes. Distance is a
-    # metric, so two texts whose distances to the first differ by more than 1 - least are no pair.
+    # What the centre of a bucket has not tied together: pairs of different classes. Distance is a
+    # metric, so two texts whose distances to the centre differ by more than 1 - least are no pair.
     placed = buckets.join(known.withColumnRenamed("node", "id"), "id", "left")
     placed = placed.select("bucket", "first", "id", F.coalesce("root", "id").alias("root"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
     mixed = mixed.filter("low < high AND members > 2").select("bucket")
     rest = placed.join(mixed, "bucket", "left_semi").filter("first <> id")
     rest = rest.join(checked.select(F.col("a").alias("first"), F.col("b").alias("id"), "near"), ["first", "id"], "left")
-    rest = rest.join(light, "id").select("bucket", "id", "root", "n", "bits", "near")
+    # Written: its large partitions can be split in the join with itself.
+    rest = written(rest.join(light, "id").select("bucket", "id", "root", "n", "slots", "near"), "rest")
     crossed = rest.alias("x").join(
         rest.alias("y"),
         F.expr(
