@@ -134,28 +134,68 @@ def _distinct(texts: Iterator[bytes], order: int) -> tuple[np.ndarray, np.ndarra
     return codes, counts
 
 
-def counted(packs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame:
-    """`run`, `count` over the trusted texts of the packs; `trusted` has `block`, `key`, `held_out`."""
+def _shard(codes: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of each run; a run's neighbours in the order of codes go to different ones."""
+    return ((codes * np.int64(0x9E3779B97F4A7C15 - (1 << 64))) >> np.int64(33)) % shards
+
+
+def counted(packs: DataFrame, trusted: DataFrame, shards: int, order: int = ORDER) -> DataFrame:
+    """`run`, `count` over the trusted texts of the packs; `trusted` has `block`, `key`, `held_out`.
+
+    Blocks send what they counted to the shards of their runs, where it is added up. The last step
+    takes whole shards, so that every use of the table reads one and the same shuffle.
+    """
 
     def block(packs: pa.Table, labels: pa.Table) -> pa.Table:
         held = labels.column("held_out").to_pylist()
         chosen = {k for k, h in zip(labels.column("key").to_pylist(), held, strict=True) if not h}
         codes, counts = _distinct((t for k, _, t in documents(packs) if k in chosen), order)
-        return pa.table({"run": pa.array(codes, pa.int64()), "count": pa.array(counts, pa.int64())})
+        return pa.table({"shard": _shard(codes, shards), "run": codes, "count": counts})
+
+    def added(part: pa.Table) -> pa.Table:
+        codes, inverse = np.unique(part.column("run").to_numpy(), return_inverse=True)
+        counts = np.bincount(inverse, part.column("count").to_numpy(), len(codes)).astype(np.int64)
+        return pa.table({"run": codes, "count": counts})
 
     both = packs.groupBy("block").cogroup(trusted.groupBy("block"))
-    return both.applyInArrow(block, "run long, count long").groupBy("run").agg(F.sum("count").alias("count"))
+    sent = both.applyInArrow(block, "shard long, run long, count long")
+    return sent.groupBy("shard").applyInArrow(added, "run long, count long")
 
 
-def asked(packs: DataFrame, order: int = ORDER) -> DataFrame:
-    """`block`, `run`: the distinct runs of each block."""
+def asked(packs: DataFrame, shards: int, order: int = ORDER) -> DataFrame:
+    """`shard`, `block`, `run`: the distinct runs of each block."""
 
     def block(packs: pa.Table) -> pa.Table:
         codes, _ = _distinct((t for *_, t in documents(packs)), order)
-        number = packs.column("block")[0].as_py()
-        return pa.table({"block": pa.array(np.full(len(codes), number), pa.int64()), "run": pa.array(codes, pa.int64())})
+        number = np.full(len(codes), packs.column("block")[0].as_py(), np.int64)
+        return pa.table({"shard": _shard(codes, shards), "block": number, "run": codes})
+
+    return packs.groupBy("block").applyInArrow(block, "shard long, block long, run long")
+
+
+def wanted(questions: DataFrame) -> DataFrame:
+    """`shard`, `run`: each run that some block asks for."""
 
-    return packs.groupBy("block").applyInArrow(block, "block long, run long")
+    def distinct(part: pa.Table) -> pa.Table:
+        codes = np.unique(part.column("run").to_numpy())
+        number = np.full(len(codes), part.column("shard")[0].as_py(), np.int64)
+        return pa.table({"shard": number, "run": codes})
+
+    return questions.groupBy("shard").applyInArrow(distinct, "shard long, run long")
+
+
+def answered(questions: DataFrame, p: DataFrame) -> DataFrame:
+    """`block`, `run`, `p` for each question, shard by shard."""
+
+    def shard(questions: pa.Table, found: pa.Table) -> pa.Table:
+        codes = found.column("run").to_numpy()
+        order = np.argsort(codes)
+        runs = questions.column("run").to_numpy()
+        p = found.column("p").to_numpy()[order[np.searchsorted(codes[order], runs)]] if len(runs) else []
+        return pa.table({"block": questions.column("block"), "run": runs, "p": pa.array(p, pa.float64())})
+
+    both = questions.groupBy("shard").cogroup(p.groupBy("shard"))
+    return both.applyInArrow(shard, "block long, run long, p double")
 
 
 def _discounts(table: DataFrame) -> DataFrame:
@@ -174,41 +214,38 @@ def _discounts(table: DataFrame) -> DataFrame:
     )
 
 
-def probabilities(counts: DataFrame, wanted: DataFrame, order: int = ORDER) -> DataFrame:
-    """`run`, `p`: probability of the last byte of each wanted run after the bytes before it.
+def probabilities(counts: DataFrame, runs: DataFrame, order: int = ORDER) -> DataFrame:
+    """`runs` with `p`, the probability of the last byte of each `run` after the bytes before it.
 
     `counts` (`run`, `count`) is the table of the highest order; lower orders count in how many ways
-    a run is continued to the left. Bytes are the vocabulary: below order 1 all are alike.
+    a run is continued to the left. Bytes are the vocabulary: below order 1 all are alike. Each order
+    is joined by run and by context, its last bytes but one.
     """
-    tables = {order: counts}
-    for k in range(order - 1, 0, -1):
-        cut = F.col("run").bitwiseAND((1 << 8 * k) - 1)
-        tables[k] = tables[k + 1].groupBy(cut.alias("run")).agg(F.count("*").alias("count"))
-    needed = {order: wanted.select("run").distinct()}
-    for k in range(order - 1, 0, -1):
-        needed[k] = needed[k + 1].select(F.col("run").bitwiseAND((1 << 8 * k) - 1).alias("run")).distinct()
-    lower = None
-    for k in range(1, order + 1):
-        table = tables[k].select("run", "count", F.shiftright("run", 8).alias("context"))
+    table, p = counts, None
+    out, kept = runs, runs.columns
+    for k in range(order, 0, -1):
+        tail = F.col("run").bitwiseAND((1 << 8 * k) - 1)
         # A single row of three numbers goes to every shard.
-        table = table.join(F.broadcast(_discounts(tables[k])))
-        cut = F.expr("CASE WHEN count = 1 THEN d1 WHEN count = 2 THEN d2 ELSE d3 END")
-        table = table.withColumn("cut", F.least(cut, "count"))
-        contexts = table.groupBy("context").agg(F.sum("count").alias("total"), F.sum("cut").alias("mass"))
-        asks = needed[k].withColumn("context", F.shiftright("run", 8))
-        asks = asks.join(table.select("run", (F.col("count") - F.col("cut")).alias("above")), "run", "left")
-        asks = asks.join(contexts, "context", "left")
-        if lower is None:
-            below = F.lit(1 / 256)
-        else:
-            asks = asks.withColumn("tail", F.col("run").bitwiseAND((1 << 8 * (k - 1)) - 1))
-            asks = asks.join(lower.select(F.col("run").alias("tail"), F.col("p").alias("below")), "tail")
-            below = F.col("below")
-        p = F.when(F.col("total").isNull(), below).otherwise(
-            F.coalesce(F.col("above"), F.lit(0.0)) / F.col("total") + F.col("mass") / F.col("total") * below
+        with_cuts = table.select("run", "count").join(F.broadcast(_discounts(table)))
+        cut = F.expr("least(count, CASE WHEN count = 1 THEN d1 WHEN count = 2 THEN d2 ELSE d3 END)")
+        with_cuts = with_cuts.withColumn("cut", cut)
+        above = with_cuts.select(F.col("run").alias(f"run{k}"), (F.col("count") - F.col("cut")).alias(f"above{k}"))
+        contexts = with_cuts.groupBy(F.shiftright("run", 8).alias(f"context{k}")).agg(
+            F.sum("count").alias(f"total{k}"), F.sum("cut").alias(f"mass{k}")
         )
-        lower = asks.select("run", p.alias("p"))
-    return lower
+        out = out.withColumn(f"run{k}", tail).withColumn(f"context{k}", F.shiftright(tail, 8))
+        out = out.join(above, f"run{k}", "left").join(contexts, f"context{k}", "left").drop(f"run{k}", f"context{k}")
+        shorter = F.col("run").bitwiseAND((1 << 8 * (k - 1)) - 1)
+        table = table.groupBy(shorter.alias("run")).agg(F.count("*").alias("count"))
+    p = F.lit(1 / 256)
+    for k in range(1, order + 1):
+        total = F.col(f"total{k}")
+        own = F.coalesce(F.col(f"above{k}"), F.lit(0.0)) / total + F.col(f"mass{k}") / total * p
+        p = F.when(total.isNull(), p).otherwise(own)
+        if k < order:
+            out = out.withColumn(f"p{k}", p)
+            p = F.col(f"p{k}")
+    return out.select(*kept, p.alias("p"))
 
 
 def scored(packs: DataFrame, answers: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame:
@@ -266,9 +303,10 @@ def perplexities(
         (F.pmod(F.xxhash64(number, F.lit("held out")), F.lit(HELD_OUT)) == 0).alias("held_out"),
     ).filter("key IS NOT NULL").distinct()
     packs = packed(df, key, text, lang, blocks)
-    questions = asked(packs, order).repartition("run")
-    p = probabilities(counted(packs, trusted, order), questions, order)
-    answers = questions.join(p, "run").select("block", "run", "p")
+    shards = max(blocks, 16)
+    questions = asked(packs, shards, order)
+    p = probabilities(counted(packs, trusted, shards, order), wanted(questions), order)
+    answers = answered(questions, p)
     # Written: the thresholds and the decisions both read it.
     sums = written(scored(packs, answers, trusted, order), "perplexity")
     flags = trusted.groupBy("key").agg(F.max("held_out").alias("held_out"))
