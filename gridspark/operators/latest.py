@@ -69,3 +69,24 @@ def keep_latest(
     if clocks:
         rows = rows.withColumns(clocks)
     return latest_by(rows, keys, list(by))
+
+
+def ranks_before(
+    df: DataFrame, left: str, right: str, keys: Sequence[str], by: Sequence[str]
+) -> Column:
+    """Whether the row of alias `left` comes before that of `right` in `recency_order`.
+
+    Both have the columns of `df`. Structs compare field by field with NULL as the least value, which
+    is where the order puts it on either side.
+    """
+
+    def part(side: str, names: Sequence[str]) -> Column:
+        return F.struct(*[F.col(f"{side}.`{name}`") for name in names])
+
+    used = {*keys, *by}
+    rest = [
+        f.name for f in df.schema
+        if f.name not in used and not isinstance(f.dataType, (MapType, VariantType))
+    ]
+    newer, as_new = part(left, by) > part(right, by), part(left, by) == part(right, by)
+    return newer | (as_new & (part(left, rest) < part(right, rest))) if rest else newer

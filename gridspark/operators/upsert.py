@@ -20,8 +20,9 @@ def upsert(
     """Rows of `existing` whose key `incoming` does not bring, plus all of `incoming`.
 
     Keys compare null-safely; a column that one side lacks is NULL there. `incoming` holds a key
-    once. With `guard` columns a key keeps its newest row by them, whichever side that is on, so
-    that batches may arrive in any order and more than once.
+    once. With `guard` columns a key keeps its newest row by them, whichever side that is on; of
+    equally new rows the one whose other columns are smaller stays, again whichever side it is on. So
+    batches may arrive in any order and more than once.
     """
     keys = list(keys)
     require_columns(existing, keys, "keys")

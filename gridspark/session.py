@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -49,18 +50,24 @@ def session_conf(spark: SparkSession, **pairs: str) -> Iterator[None]:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder all executors see: `spark.checkpoint.dir`; a temporary folder in local mode only."""
+    """Folder all executors see: `spark.checkpoint.dir`.
+
+    In local mode, where that may be unset, a folder of the application in the warehouse, which goes
+    when the driver ends.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_scratch(spark.sparkContext.applicationId)
+    return _local_scratch(spark.conf.get("spark.sql.warehouse.dir"), spark.conf.get("spark.app.id"))
 
 
 @cache
-def _local_scratch(application: str) -> str:
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+def _local_scratch(warehouse: str, application: str) -> str:
+    folder = f"{warehouse.removeprefix('file:').rstrip('/')}/_scratch-{application}"
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -68,26 +75,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/gridspark-{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` to the scratch folder and read it back.
-
-    Cuts the lineage: work above it does not repeat what is below, also after an executor is lost,
-    and the optimiser sees real sizes.
-    """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 @contextmanager
 def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
-    """`stage` for the statements inside the block; the copy goes when they succeed.
+    """`df` written to the scratch folder and read back, for the statements inside the block.
 
-    If they fail it stays, since it may hold the only whole copy of what was being replaced.
+    Cuts the lineage: work above it does not repeat what is below, also after an executor is lost,
+    and the optimiser sees real sizes. The copy goes when the block ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    yield spark.read.schema(df.schema).parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

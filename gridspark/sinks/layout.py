@@ -1,20 +1,13 @@
-"""How rows are laid out in files before a write."""
+"""How rows are laid out in files, and which partitions a batch touches."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import AbstractContextManager
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.session import session_conf
-
-# Above this many touched partitions their list is not sent to the scan as a predicate.
-PARTITION_LIST_LIMIT = 10_000
-
-_MIN_PARTITION_SIZE = "spark__sql__adaptive__coalescePartitions__minPartitionSize"
-
 
 def for_files(
     df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()
@@ -32,44 +25,49 @@ def for_files(
     return df.sortWithinPartitions(*order) if order else df
 
 
-def write_conf(
-    spark: SparkSession, partition_by: Sequence[str]
-) -> AbstractContextManager[None]:
-    """Session options of a partitioned write.
+def not_before(columns: Sequence[str], values: Sequence, *, strict: bool = False) -> Column:
+    """The columns, read as one value from left to right, are at least `values`.
 
-    A little data spread over many partitions costs by the file. Left alone AQE would merge it into
-    one task, which then writes the files one after the other; with a small least size it keeps as
-    many tasks as there are cores. Large writes are not affected.
+    Plain comparisons of single columns, which a file index and a metastore can prune by.
     """
-    size = "16k" if partition_by else spark.conf.get(_MIN_PARTITION_SIZE.replace("__", "."))
-    return session_conf(spark, **{_MIN_PARTITION_SIZE: size})
+    first, value = F.col(f"`{columns[0]}`"), values[0]
+    if len(columns) == 1:
+        return first > value if strict else first >= value
+    return (first > value) | ((first == value) & not_before(columns[1:], values[1:], strict=strict))
 
 
-def touched_rows(existing: DataFrame, incoming: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows of `existing` in the partitions that `incoming` has rows in."""
-    touched = touched_partitions(incoming, columns)
-    if touched is not None:
-        return existing.where(touched)
-    same = [F.col(f"e.`{c}`").eqNullSafe(F.col(f"i.`{c}`")) for c in columns]
-    parts = incoming.select(*columns).distinct().alias("i")
-    return existing.alias("e").join(parts, same, "left_semi")
+def not_after(columns: Sequence[str], values: Sequence) -> Column:
+    return ~not_before(columns, values, strict=True)
 
 
-def partition_token(columns: Sequence[str]) -> Column:
-    """One text value per combination of partition values, NULL included."""
-    return F.to_json(F.array(*[F.col(f"`{name}`").cast("string") for name in columns]))
-
-
-def touched_partitions(df: DataFrame, columns: Sequence[str]) -> Column | None:
-    """Predicate for the partitions that `df` has rows in, None if there are too many to list.
+def touched_rows(existing: DataFrame, incoming: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of `existing` in the partitions that `incoming` has rows in.
 
-    The values are no more than the directories the driver lists for the scan in any case.
+    The scan is cut to the range of those partitions by comparisons of the partition columns; a semi
+    join with the partitions themselves, which Spark also uses to prune the scan, does the rest. One
+    row goes to the driver: the ends of the range.
     """
-    token = partition_token(columns)
-    rows = df.select(token.alias("token")).distinct().limit(PARTITION_LIST_LIMIT + 1).collect()
-    if len(rows) > PARTITION_LIST_LIMIT:
-        return None
-    return token.isin([row.token for row in rows])
+    kinds = dict(existing.dtypes)
+    parts = incoming.select(
+        *[F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in columns]
+    ).distinct()
+    place = F.struct(*[F.col(f"`{c}`") for c in columns])
+    unknown = reduce(Column.__or__, [F.col(f"`{c}`").isNull() for c in columns])
+    ends = parts.agg(
+        F.min(F.when(~unknown, place)).alias("low"),
+        F.max(F.when(~unknown, place)).alias("high"),
+        F.coalesce(F.bool_or(unknown), F.lit(False)).alias("nulls"),
+    ).first()
+    if ends.low is None and not ends.nulls:
+        return existing.limit(0)
+    near = F.lit(False) if ends.low is None else not_before(columns, ends.low) & not_after(columns, ends.high)
+    if ends.nulls:
+        near = near | unknown
+    rows = existing.where(near)
+    if not ends.nulls:
+        return rows.join(parts, list(columns), "left_semi").select(*existing.columns)
+    same = [F.col(f"e.`{c}`").eqNullSafe(F.col(f"i.`{c}`")) for c in columns]
+    return rows.alias("e").join(parts.alias("i"), same, "left_semi")
 
 
 def partitions_follow_keys(partition_by: Sequence[str], keys: Sequence[str]) -> bool:

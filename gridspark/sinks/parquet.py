@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from gridspark.operators.checks import assert_unique
 from gridspark.operators.upsert import upsert
 from gridspark.session import staged
-from gridspark.sinks.layout import (
-    for_files,
-    partitions_follow_keys,
-    touched_rows,
-    write_conf,
-)
+from gridspark.sinks.layout import for_files, partitions_follow_keys, touched_rows
+from gridspark.sinks.swap import replacing
 from gridspark.sources.silver import read_parquet
 
 
@@ -26,37 +23,28 @@ def overwrite_parquet(
     *,
     sort_by: Sequence[str] = (),
     only_touched: bool = False,
-    ready: bool = False,
+    gone: Callable[[str], bool] = lambda unit: False,
 ) -> None:
-    """Replace a directory, or with `only_touched` just the partitions that `df` has rows in.
+    """Replace a directory, or with `only_touched` just the partitions that `df` has rows in, and
+    those that `gone` names (by `a=1/b=2`) although it has none.
 
-    Spark clears a directory before it computes what goes in. Rows that are to replace others are
-    therefore staged first, unless they are `ready`, that is only read and laid out anew.
+    The new files are written once, next to the old ones, and take their place when they are whole.
+    `df` may read the directory itself.
     """
     if only_touched and not partition_by:
         raise ValueError("only_touched needs partition columns")
-    spark = df.sparkSession
-    if not only_touched and not ready and read_parquet(spark, path, merge=False) is not None:
-        with staged(df, "overwrite") as rows:
-            overwrite_parquet(rows, path, partition_by, sort_by=sort_by, ready=True)
-        return
-    writer = for_files(df, partition_by, sort_by).write.mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "dynamic" if only_touched else "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    with write_conf(spark, partition_by):
-        writer.parquet(path)
+    with replacing(df.sparkSession, path, len(partition_by) if only_touched else 0, gone) as folder:
+        writer = for_files(df, partition_by, sort_by).write
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(folder)
 
 
-def _stored(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame | None:
-    """Stored rows with every column they have: `schema` is used only if it covers a file's."""
-    if schema is not None:
-        sample = read_parquet(spark, path, merge=False)
-        if sample is None:
-            return None
-        if not set(sample.columns) <= set(schema.names):
-            schema = None
-    return read_parquet(spark, path, schema)
+def append_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    writer = for_files(df, partition_by).write.mode("append")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
 
 
 def upsert_parquet(
@@ -68,33 +56,32 @@ def upsert_parquet(
     guard: Sequence[str] | None = None,
     schema: StructType | None = None,
     unique: bool = False,
+    ready: bool = False,
 ) -> None:
     """Upsert into a Parquet directory.
 
     Where a key can lie in one partition only, just the partitions that `incoming` touches are read
-    and rewritten; a dynamic overwrite moves the new files in after the last task, so reading and
-    replacing the same partition is safe. Otherwise the whole result is staged first and the
-    directory replaced from the staged copy, never from itself.
+    and rewritten, otherwise the whole directory is. Every column that is stored stays, whichever
+    files have it; columns that only `schema` declares are NULL.
 
-    `unique=True` skips the check that `incoming` holds each key once; `schema` is that of the
-    stored rows, if known, and spares the look at every file's footer.
+    `unique=True` skips the check that `incoming` holds each key once. `ready` says that `incoming`
+    is only read, not computed, so that no copy of it is needed.
     """
     spark = incoming.sparkSession
     keys = list(keys)
-    existing = _stored(spark, path, schema)
+    existing = read_parquet(spark, path, schema)
     if existing is None and unique:
         overwrite_parquet(incoming, path, partition_by, sort_by=keys)
         return
     # Read below for its keys, its partitions and its rows: computed once.
-    with staged(incoming, "incoming") as incoming:
+    with nullcontext(incoming) if ready else staged(incoming, "incoming") as incoming:
         if not unique:
             assert_unique(incoming, keys)
         if existing is None:
             overwrite_parquet(incoming, path, partition_by, sort_by=keys)
-        elif partitions_follow_keys(partition_by, keys):
-            touched = touched_rows(existing, incoming, partition_by)
-            merged = upsert(touched, incoming, keys, guard)
-            overwrite_parquet(merged, path, partition_by, sort_by=keys, only_touched=True)
-        else:
-            with staged(upsert(existing, incoming, keys, guard), "merged") as merged:
-                overwrite_parquet(merged, path, partition_by, sort_by=keys, ready=True)
+            return
+        only_touched = partitions_follow_keys(partition_by, keys)
+        if only_touched:
+            existing = touched_rows(existing, incoming, partition_by)
+        merged = upsert(existing, incoming, keys, guard)
+        overwrite_parquet(merged, path, partition_by, sort_by=keys, only_touched=only_touched)

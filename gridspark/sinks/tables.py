@@ -2,37 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.functions import keys_match
 from gridspark.operators.checks import assert_unique
-from gridspark.operators.latest import require_columns
+from gridspark.operators.latest import ranks_before, require_columns
 from gridspark.operators.upsert import upsert
-from gridspark.session import session_conf, staged
-from gridspark.sinks.layout import (
-    for_files,
-    partitions_follow_keys,
-    touched_rows,
-    write_conf,
-)
+from gridspark.session import staged
+from gridspark.sinks.layout import for_files, partitions_follow_keys, touched_rows
 from gridspark.sinks.parquet import overwrite_parquet
+from gridspark.sinks.swap import replacing
+from gridspark.sources.silver import read_parquet
 from gridspark.spec import PipelineSpec
 
-# Table formats with row-level writes of their own; DataFrame.mergeInto goes to them.
+# Table formats with row-level writes of their own; DataFrame.mergeInto goes to them, and they
+# replace a table's rows in one step by themselves.
 ROW_LEVEL_FORMATS = {"delta", "iceberg"}
 
+# Ends of the names of a table that is being built and of one that is being replaced.
+BUILDING, REPLACED = "__building_", "__replaced"
+
 
 def quoted(name: str) -> str:
     return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
 
 
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").collect()
+    return {row[0]: row[1] for row in rows}
+
+
 def table_format(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").where("col_name = 'Provider'")
-    found = rows.select("data_type").head()
-    return found[0].lower() if found else "parquet"
+    return _described(spark, table).get("Provider", "parquet").lower()
 
 
 def create_table(
@@ -42,24 +48,59 @@ def create_table(
     *,
     sort_by: Sequence[str] = (),
     format: str = "parquet",
-    ready: bool = False,
+    buckets: tuple[int, Sequence[str]] | None = None,
+    laid_out: bool = False,
 ) -> None:
     """Create the table, or replace its rows and its schema.
 
-    As with directories, rows that replace others are staged first unless they are `ready`.
+    The new table is built under a name of its own, once, and then takes the old one's name; the old
+    table goes last. `df` may read the table itself.
     """
     spark = df.sparkSession
-    if not ready and spark.catalog.tableExists(table):
-        with staged(df, "overwrite") as rows:
-            create_table(rows, table, partition_by, sort_by=sort_by, format=format, ready=True)
-        return
-    writer = for_files(df, partition_by, sort_by).write.format(format).mode("overwrite")
-    # For formats that keep a schema of their own; Parquet tables are recreated by the mode.
-    writer = writer.option("overwriteSchema", "true")
+    recover_table(spark, table)
+    exists = spark.catalog.tableExists(table)
+    in_place = not exists or format in ROW_LEVEL_FORMATS
+    target = table if in_place else table + BUILDING + uuid.uuid4().hex[:8]
+    rows = df if laid_out else for_files(df, partition_by, sort_by)
+    writer = rows.write.format(format).mode("overwrite").option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with write_conf(spark, partition_by):
-        writer.saveAsTable(table)
+    if buckets:
+        count, names = buckets
+        writer = writer.bucketBy(count, *names).sortBy(*names)
+    try:
+        writer.saveAsTable(target)
+    except BaseException:
+        if target != table:
+            spark.sql(f"DROP TABLE IF EXISTS {quoted(target)}")
+        raise
+    if target != table:
+        # A catalog that lists partitions may still list them where they were before the rename;
+        # dropping the table would then delete what has taken that place.
+        spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted(table + REPLACED)}")
+        _sync_partitions(spark, table + REPLACED)
+        spark.sql(f"ALTER TABLE {quoted(target)} RENAME TO {quoted(table)}")
+        _sync_partitions(spark, table)
+        spark.sql(f"DROP TABLE {quoted(table + REPLACED)}")
+
+
+def recover_table(spark: SparkSession, table: str) -> None:
+    """Undo a replacement that was cut short between its two renames, drop what one left behind."""
+    if spark.catalog.tableExists(table + REPLACED):
+        if spark.catalog.tableExists(table):
+            _sync_partitions(spark, table)
+            _sync_partitions(spark, table + REPLACED)
+            spark.sql(f"DROP TABLE {quoted(table + REPLACED)}")
+        else:
+            spark.sql(f"ALTER TABLE {quoted(table + REPLACED)} RENAME TO {quoted(table)}")
+            _sync_partitions(spark, table)
+
+
+def _sync_partitions(spark: SparkSession, table: str) -> None:
+    """Tell a catalog that keeps a list of partitions which there are now."""
+    if _described(spark, table).get("Partition Provider", "").lower() == "catalog":
+        spark.sql(f"MSCK REPAIR TABLE {quoted(table)} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
 
 
 def table_from_parquet(
@@ -71,20 +112,13 @@ def table_from_parquet(
     replace: bool = False,
     format: str = "parquet",
 ) -> None:
-    """CREATE TABLE ... AS SELECT from a Parquet directory."""
-    partitioned = ""
-    if partition_by:
-        partitioned = f"PARTITIONED BY ({', '.join(quoted(name) for name in partition_by)}) "
-    escaped = path.replace("`", "``")
-    with session_conf(
-        spark, spark__sql__sources__partitionColumnTypeInference__enabled="false"
-    ):
-        if replace:
-            spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
-        spark.sql(
-            f"CREATE TABLE {quoted(table)} USING {format} {partitioned}"
-            f"AS SELECT * FROM parquet.`{escaped}`"
-        )
+    """CREATE TABLE ... AS SELECT from a Parquet directory; partition values stay text."""
+    if not replace and spark.catalog.tableExists(table):
+        raise ValueError(f"table {table} exists already")
+    rows = read_parquet(spark, path)
+    if rows is None:
+        raise FileNotFoundError(path)
+    create_table(rows, table, partition_by, format=format)
 
 
 def replace_partitions(
@@ -93,15 +127,20 @@ def replace_partitions(
     partition_by: Sequence[str],
     *,
     sort_by: Sequence[str] = (),
+    gone: Callable[[str], bool] = lambda unit: False,
 ) -> None:
-    """Replace the partitions of a table that `df` has rows in."""
-    columns = df.sparkSession.table(table).columns
+    """Replace the partitions of a Parquet table that `df` has rows in, and those that `gone` names.
+
+    As with directories, files are written apart and moved in when they are whole. No session option
+    is involved, so other jobs of the session do not matter.
+    """
+    spark = df.sparkSession
+    location = _described(spark, table)["Location"]
+    columns = spark.table(table).columns
     rows = for_files(df.select(*[F.col(f"`{c}`") for c in columns]), partition_by, sort_by)
-    dynamic = session_conf(
-        df.sparkSession, spark__sql__sources__partitionOverwriteMode="dynamic"
-    )
-    with dynamic, write_conf(df.sparkSession, partition_by):
-        rows.write.insertInto(table, overwrite=True)
+    with replacing(spark, location, len(partition_by), gone) as folder:
+        rows.write.partitionBy(*partition_by).parquet(folder)
+    _sync_partitions(spark, table)
 
 
 def _add_columns(df: DataFrame, table: str) -> None:
@@ -123,6 +162,7 @@ def merge_table(
     guard: Sequence[str] | None = None,
     unique: bool = False,
     format: str = "parquet",
+    ready: bool = False,
 ) -> None:
     """Upsert into a table: matched keys are replaced, others inserted, nothing is deleted.
 
@@ -132,6 +172,7 @@ def merge_table(
     spark = incoming.sparkSession
     keys = list(keys)
     require_columns(incoming, keys, "keys")
+    recover_table(spark, table)
     exists = spark.catalog.tableExists(table)
     if not exists and unique:
         create_table(incoming, table, partition_by, sort_by=keys, format=format)
@@ -139,7 +180,7 @@ def merge_table(
     if exists and table_format(spark, table) in ROW_LEVEL_FORMATS:
         _merge_rows(incoming, table, keys, guard)
         return
-    with staged(incoming, "incoming") as incoming:
+    with nullcontext(incoming) if ready else staged(incoming, "incoming") as incoming:
         if not unique:
             assert_unique(incoming, keys)
         if not exists:
@@ -152,19 +193,16 @@ def merge_table(
             touched = touched_rows(existing, incoming, partition_by)
             merged = upsert(touched, incoming, keys, guard)
             replace_partitions(merged, table, partition_by, sort_by=keys)
-            return
-        with staged(upsert(existing, incoming, keys, guard), "merged") as merged:
-            create_table(merged, table, partition_by, sort_by=keys, ready=True)
+        else:
+            create_table(upsert(existing, incoming, keys, guard), table, partition_by, sort_by=keys)
 
 
 def _merge_rows(incoming: DataFrame, table: str, keys, guard) -> None:
-    merge = incoming.alias("s").mergeInto(table, keys_match(list(keys), table.split(".")[-1], "s"))
+    """MERGE with the tie rule of `upsert`: of equally new rows the one that ranks first stays."""
+    name = table.split(".")[-1]
+    merge = incoming.alias("s").mergeInto(table, keys_match(list(keys), name, "s"))
     if guard:
-        name = table.split(".")[-1]
-        newer = F.struct(*[F.col(f"s.`{c}`") for c in guard]) >= F.struct(
-            *[F.col(f"{name}.`{c}`") for c in guard]
-        )
-        merge = merge.whenMatched(newer).updateAll()
+        merge = merge.whenMatched(ranks_before(incoming, "s", name, keys, guard)).updateAll()
     else:
         merge = merge.whenMatched().updateAll()
     merge.whenNotMatched().insertAll().withSchemaEvolution().merge()
@@ -177,19 +215,35 @@ def mirror_table(
     partition_by: Sequence[str] = (),
     *,
     sort_by: Sequence[str] = (),
+    only: Callable[[DataFrame], DataFrame] | None = None,
+    gone: Callable[[str], bool] = lambda unit: False,
 ) -> None:
-    """Export a whole table to a Parquet directory."""
-    overwrite_parquet(spark.table(table), path, partition_by, sort_by=sort_by, ready=True)
+    """Export a table to a Parquet directory.
+
+    With `only` just the partitions that it leaves rows of are exported again, and those that `gone`
+    names removed; a directory that is not there yet gets the whole table.
+    """
+    rows = spark.table(table)
+    if only is not None and partition_by and read_parquet(spark, path) is not None:
+        overwrite_parquet(only(rows), path, partition_by, sort_by=sort_by, only_touched=True, gone=gone)
+    else:
+        overwrite_parquet(rows, path, partition_by, sort_by=sort_by)
 
 
 def write_bronze(
-    df: DataFrame, spec: PipelineSpec, *, keys: Sequence[str] = (), buckets: int | None = None
+    df: DataFrame,
+    spec: PipelineSpec,
+    *,
+    keys: Sequence[str] = (),
+    buckets: int | None = None,
+    backfill: bool = False,
 ) -> None:
     """Write bronze rows by the spec's disposition: append, replace, or merge on `keys`.
 
-    Declared column comments and the table comment are kept. `buckets` turns the spec's cluster
-    columns into a bucketed, sorted layout. The payloads are not shuffled: a batch was ingested at
-    one time and goes to one partition.
+    Declared column comments and the table comment are kept. Rows are sorted by the spec's cluster
+    columns inside each partition, so that files can be skipped by them; `buckets` makes the table
+    bucketed by them as well. The payloads are not shuffled, since a batch was ingested at one time
+    and goes to one partition; a `backfill` spans many and is dealt out by partition first.
     """
     spark = df.sparkSession
     bronze = spec.bronze
@@ -203,19 +257,25 @@ def write_bronze(
                 for f in declared
             ]
         )
+    parts = list(bronze.partition_by)
+    if backfill:
+        rows = for_files(df, parts, bronze.cluster)
+    else:
+        rows = df.sortWithinPartitions(*parts, *bronze.cluster) if bronze.cluster else df
+    bucketing = (buckets, bronze.cluster) if bronze.cluster and buckets else None
+    existed = spark.catalog.tableExists(table)
     if bronze.write_disposition == "merge":
         if not keys:
             raise ValueError("merging bronze needs keys")
-        merge_table(df, table, keys, bronze.partition_by)
-    else:
-        existed = spark.catalog.tableExists(table)
-        mode = "append" if bronze.write_disposition == "append" else "overwrite"
-        writer = df.write.format("parquet").mode(mode).partitionBy(*bronze.partition_by)
-        if bronze.cluster and buckets:
+        merge_table(df, table, keys, parts)
+    elif bronze.write_disposition == "append" and existed:
+        writer = rows.write.format("parquet").mode("append").partitionBy(*parts)
+        if bucketing:
             writer = writer.bucketBy(buckets, *bronze.cluster).sortBy(*bronze.cluster)
         writer.saveAsTable(table)
-        if existed and mode == "append":
-            return
+        return
+    else:
+        create_table(rows, table, parts, buckets=bucketing, laid_out=True)
     if bronze.table_comment:
         text = bronze.table_comment.replace("'", "\\'")
         spark.sql(f"COMMENT ON TABLE {quoted(table)} IS '{text}'")

@@ -6,7 +6,7 @@ from collections.abc import Collection
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gridspark.operators.dimensions import DIM_DATE, DIM_ZONE
 from gridspark.schemas import (
@@ -18,7 +18,8 @@ from gridspark.schemas import (
     MIX_DAILY,
     MIX_FACT,
 )
-from gridspark.session import session_conf, use_utc
+from gridspark.session import use_utc
+from gridspark.sinks.swap import Files
 from gridspark.spec import PipelineSpec
 
 STORED = {
@@ -33,22 +34,28 @@ STORED = {
 
 
 def read_parquet(
-    spark: SparkSession, path: str, schema: StructType | None = None, *, merge: bool = True
+    spark: SparkSession, path: str, schema: StructType | None = None
 ) -> DataFrame | None:
     """A Parquet directory, None if it does not exist; any other read error is raised.
 
-    With a schema nothing is inferred. Without, the schemas of all files are merged (of one file
-    only with `merge=False`) and partition values stay text (`09` is not 9).
+    The columns are those of `schema`, then every other one that some file has. Partition values
+    stay text unless `schema` gives them a type (`09` is not 9).
     """
-    reader = spark.read.option("mergeSchema", str(merge).lower())
-    reader = reader if schema is None else reader.schema(schema)
     try:
-        with session_conf(spark, spark__sql__sources__partitionColumnTypeInference__enabled="false"):
-            return reader.parquet(path)
+        stored = spark.read.option("mergeSchema", "true").parquet(path).schema
     except AnalysisException as exc:
         if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
+    parts = set(Files(spark, path).partition_columns())
+    declared = [] if schema is None else schema.fields
+    known = {field.name.lower() for field in declared}
+    more = [
+        StructField(f.name, StringType()) if f.name in parts else f
+        for f in stored
+        if f.name.lower() not in known
+    ]
+    return spark.read.schema(StructType([*declared, *more])).parquet(path)
 
 
 def read_silver(
