@@ -16,7 +16,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--bronze", action="append", default=[], metavar="FEED=PATH", help="files instead of a table"
     )
-    parser.add_argument("--bronze-format", choices=["parquet", "json", "raw"])
+    parser.add_argument("--bronze-format", choices=["parquet", "json", "raw", "lines"])
     parser.add_argument("--since", help="only snapshots ingested from this day on (yyyy-MM-dd)")
     parser.add_argument("--output-root", help="folder for Parquet output")
     parser.add_argument("--no-tables", action="store_true", help="write Parquet only")

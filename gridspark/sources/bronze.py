@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridspark.functions import instant, request_url, utc
 from gridspark.schemas import BRONZE, ENVELOPE
 from gridspark.session import use_utc
+from gridspark.sinks.layout import not_before
 from gridspark.spec import PipelineSpec, SourceSpec
 
 INGEST_PARTS = ("year", "month", "day")
@@ -21,8 +22,10 @@ def ingested_since(bronze: DataFrame, since: str | None) -> DataFrame:
         return bronze
     day = datetime.strptime(since, "%Y-%m-%d")
     if set(INGEST_PARTS) <= set(bronze.columns):
-        return bronze.where(F.concat(*INGEST_PARTS) >= day.strftime("%Y%m%d"))
-    return bronze.where(instant("extracted_at") >= utc(day))
+        return bronze.where(not_before(INGEST_PARTS, day.strftime("%Y %m %d").split()))
+    at = F.col("extracted_at")
+    is_text = dict(bronze.dtypes)["extracted_at"] == "string"
+    return bronze.where((instant(at) if is_text else at) >= utc(day))
 
 
 def read_bronze(
@@ -35,9 +38,10 @@ def read_bronze(
 ) -> DataFrame:
     """Bronze rows from the spec's table, or from `path`.
 
-    Formats of a path: `parquet`, `json` (one envelope per line) and `raw` (one API object per
-    line). Without one, a path that ends in `.parquet` is Parquet and any other is probed for
-    envelopes by its first non-empty line.
+    Formats of a path: `parquet`, and lines of text, where `json` has one envelope per line, `raw`
+    one API object (or whatever the poll brought) per line, and `lines` either: each line that is an
+    object with a `payload` is an envelope, every other is wrapped. Without a format, a path
+    that ends in `.parquet` is Parquet and any other is `lines`.
     """
     use_utc(spark)
     if path is None:
@@ -45,13 +49,15 @@ def read_bronze(
             raise ValueError("read_bronze needs a spec or a path")
         return ingested_since(spark.table(spec.bronze.qualified), since)
     if format is None:
-        format = "parquet" if path.rstrip("/").endswith(".parquet") else _text_format(spark, path)
+        format = "parquet" if path.rstrip("/").endswith(".parquet") else "lines"
     if format == "parquet":
         frame = spark.read.schema(_stored_envelope(spark, path)).parquet(path)
     elif format == "json":
         frame = spark.read.schema(ENVELOPE).json(path)
     elif format == "raw":
         frame = read_raw(spark, path)
+    elif format == "lines":
+        frame = opened(read_raw(spark, path))
     else:
         raise ValueError(f"unknown bronze format {format!r}")
     return ingested_since(frame, since)
@@ -71,12 +77,20 @@ def _stored_envelope(spark: SparkSession, path: str):
     return type(BRONZE)(fields)
 
 
-def _text_format(spark: SparkSession, path: str) -> str:
-    first = spark.read.text(path).where(F.length(F.trim("value")) > 0).head()
-    if first is None:
-        return "json"
-    keys = spark.range(1).select(F.json_object_keys(F.lit(first.value))).head()[0] or []
-    return "json" if "payload" in keys else "raw"
+def opened(lines: DataFrame) -> DataFrame:
+    """Raw rows with the envelopes among them opened, row by row.
+
+    An object with a key `payload` is an envelope: its fields take the place of the row's.
+    """
+    keys = F.json_object_keys(F.when(F.col("payload").startswith("{"), F.col("payload")))
+    is_envelope = F.coalesce(F.array_contains(keys, "payload"), F.lit(False))
+    read = lines.withColumn("envelope", F.when(is_envelope, F.from_json("payload", ENVELOPE)))
+
+    def field(name: str) -> Column:
+        own = F.col(name).cast("string")
+        return F.when(F.col("envelope").isNotNull(), F.col(f"envelope.{name}")).otherwise(own).alias(name)
+
+    return read.select(*[field(name) for name in ENVELOPE.names])
 
 
 def read_raw(spark: SparkSession, path: str, extracted_at: Column | None = None) -> DataFrame:
