@@ -1,15 +1,20 @@
-"""Incremental jobs. Each call works off what has arrived and stops; call again for more."""
+"""Incremental jobs. Each call works off what has arrived and stops; call again for more.
+
+Bronze and silver are the spec's catalog tables unless a path is given, so that stream and batch jobs
+read each other's tables. A bronze table is filled either by the stream or by batches: the stream
+keeps a log of its own files in the table's folder, and readers go by that log.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridspark.operators.daily import add_shares, energy_by_day, label_mix
 from gridspark.operators.facts import MIX_KEYS, mix_rows
-from gridspark.operators.latest import RECENCY
-from gridspark.plans.pipeline import fact_output
+from gridspark.operators.latest import CLOCKS, RECENCY
+from gridspark.plans.pipeline import fact_output, write_output
 from gridspark.plans.registry import FACTS
 from gridspark.schemas import BRONZE
 from gridspark.session import session_conf, use_utc
@@ -30,12 +35,15 @@ def stream_bronze(
     spark: SparkSession,
     spec: PipelineSpec,
     landing: str,
-    bronze: str,
+    bronze: str | None,
     checkpoint: str,
     *,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """New landing files to bronze, each file once; ingest time is the stamp of its drop."""
+    """New landing files to bronze, each file once; ingest time is the stamp of its drop.
+
+    `bronze` is a path, or None for the spec's table.
+    """
     lines = _files(spark, max_files).option("recursiveFileLookup", "true").text(landing)
     snapshots = landed_lines(lines).where(F.length(F.trim("payload")) > 0)
     rows = bronze_rows(
@@ -43,32 +51,42 @@ def stream_bronze(
         snapshot_url(spec.source, F.col("payload")),
         F.coalesce("stamp", F.current_timestamp()),
     )
-    return (
+    writer = (
         rows.writeStream.format("parquet")
         .partitionBy(*INGEST_PARTS)
-        .option("path", bronze)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    if bronze is None:
+        return writer.toTable(spec.bronze.qualified)
+    return writer.option("path", bronze).start()
 
 
 def read_bronze_stream(
-    spark: SparkSession, bronze: str, max_files: int | None = None
+    spark: SparkSession,
+    bronze: str | None,
+    max_files: int | None = None,
+    *,
+    spec: PipelineSpec | None = None,
 ) -> DataFrame:
-    return _files(spark, max_files).schema(BRONZE).parquet(bronze)
+    reader = _files(spark, max_files)
+    if bronze is None:
+        if spec is None:
+            raise ValueError("a bronze stream needs a path or a spec")
+        return reader.table(spec.bronze.qualified)
+    return reader.schema(BRONZE).parquet(bronze)
 
 
 def stream_silver(
     spark: SparkSession,
     spec: PipelineSpec,
-    bronze: str,
-    silver: str,
+    bronze: str | None,
+    silver: str | None,
     checkpoint: str,
     *,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """New bronze rows to the silver fact.
+    """New bronze rows to the silver fact; a path, or None for the spec's table, on either side.
 
     Each batch is reduced to its newest rows and upserted only where it is newer than what is
     stored. The outcome does not depend on how the input is cut into batches, on their order, or on
@@ -76,17 +94,21 @@ def stream_silver(
     """
     layer = spec.layer("silver")
     output = fact_output(spec)
-    build, schema = FACTS[output.table], STORED.get(output.table)
+    build = FACTS[output.table]
     keys = list(output.merge_keys or spec.business_keys)
-    parts = layer.partitions(output)
 
     def merge(batch: DataFrame, _: int) -> None:
-        upsert_parquet(
-            build(batch, keys), silver, keys, parts, guard=RECENCY, schema=schema, unique=True
-        )
+        rows = build(batch, keys)
+        if silver is None:
+            write_output(rows, layer, output, merge_keys=keys, guard=RECENCY, unique=True)
+        else:
+            upsert_parquet(
+                rows, silver, keys, layer.partitions(output),
+                guard=RECENCY, schema=STORED.get(output.table), unique=True,
+            )
 
     return (
-        read_bronze_stream(spark, bronze, max_files)
+        read_bronze_stream(spark, bronze, max_files, spec=spec)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -94,45 +116,58 @@ def stream_silver(
     )
 
 
-def daily_mix_stream(bronze: DataFrame, delay: str, salts: int = 16) -> DataFrame:
-    """Daily mix of a bronze stream; a day comes out once the watermark has passed its end.
+def _newest(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The first row per key in the order of `keep_latest`, as an aggregate that can stream.
+
+    Ranks as one struct whose least value wins: the clocks turned round, with a missing one last,
+    then the other columns. Map tasks hand on one row per key, and so does the state.
+    """
+    others = [name for name in rows.columns if name not in (*keys, *RECENCY)]
+
+    def turned(name: str) -> Column:
+        return F.coalesce(-F.unix_micros(name), F.lit(2**63 - 1)).alias(f"_{name}")
+
+    rank = F.struct(*[turned(name) for name in RECENCY], *others, *RECENCY)
+    best = rows.groupBy(*keys).agg(F.min(rank).alias("best"))
+    kept = [name for name in rows.columns if name not in keys]
+    return best.select(*keys, *[F.col(f"best.{name}").alias(name) for name in kept])
 
-    The first arrival of a (zone, interval) counts and later corrections do not; feeds with
-    corrections go through `stream_silver`. Rows later than `delay` are dropped by the watermark.
 
-    Arrivals are thinned out per key and salt first, then per key: an interval that is delivered
-    over and over is spread over `salts` tasks instead of going to one.
+def daily_mix_stream(bronze: DataFrame, delay: str) -> DataFrame:
+    """Daily mix of a bronze stream; a day comes out once the watermark has passed its end.
+
+    Of all versions of a (zone, interval) that arrive in time the newest counts, by the rules of the
+    batch job; rows later than `delay` are dropped by the watermark. One row per open interval is
+    kept as state.
     """
-    rows = (
-        mix_rows(bronze)
-        .withColumn("salt", F.pmod(F.xxhash64("extracted_at", "source_url"), F.lit(salts)))
-        .withColumn("datetime", F.date_trunc("second", "datetime"))
-        .withColumn("extracted_at", F.date_trunc("second", "extracted_at"))
-        .withWatermark("datetime", delay)
-        .dropDuplicatesWithinWatermark([*MIX_KEYS, "salt"])
-        .dropDuplicatesWithinWatermark(list(MIX_KEYS))
-    )
-    daily = energy_by_day(rows, F.window("datetime", "1 day").alias("day"))
+    rows = mix_rows(bronze)
+    for name in CLOCKS:
+        rows = rows.withColumn(name, F.date_trunc("second", name))
+    newest = _newest(rows.withWatermark("datetime", delay), MIX_KEYS)
+    daily = energy_by_day(newest, F.window("datetime", "1 day").alias("day"))
     return label_mix(add_shares(daily).withColumn("dt", F.to_date("day.start")))
 
 
 def stream_daily_mix(
     spark: SparkSession,
-    bronze: str,
+    bronze: str | None,
     gold: str,
     checkpoint: str,
     *,
+    spec: PipelineSpec | None = None,
     delay: str = "2 days",
     max_files: int | None = None,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Closed days of the daily mix, appended to a Parquet directory partitioned by `dt`.
 
+    `bronze` is a path, or None for the table of `spec`.
+
     `state_partitions` is the number of state stores, by default the session's shuffle partitions;
     it is fixed when a checkpoint is first used, and AQE does not adjust it.
     """
     writer = (
-        daily_mix_stream(read_bronze_stream(spark, bronze, max_files), delay)
+        daily_mix_stream(read_bronze_stream(spark, bronze, max_files, spec=spec), delay)
         .writeStream.format("parquet")
         .outputMode("append")
         .partitionBy("dt")
