@@ -6,8 +6,30 @@ deliveries of a version the late repeat is the newest, so the facts follow from
 
 from __future__ import annotations
 
-from gridspark.schemas import GENERATION_SOURCES, ZONES
-from gridspark.testbed import BASE_URL, EVENT_SOURCES, GRANULARITIES, ITEMS_PER_SNAPSHOT
+# Fixed values, written out here so that a wrong one in the package shows.
+GENERATION_SOURCES = (
+    "nuclear", "geothermal", "biomass", "coal", "wind", "solar", "hydro", "gas", "oil", "unknown"
+)
+ZONES = (
+    ("AT", "Austria", "Austria", "Europe"),
+    ("BE", "Belgium", "Belgium", "Europe"),
+    ("DE", "Germany", "Germany", "Europe"),
+    ("ES", "Spain", "Spain", "Europe"),
+    ("FR", "France", "France", "Europe"),
+    ("GB", "Great Britain", "United Kingdom", "Europe"),
+    ("IT", "Italy", "Italy", "Europe"),
+    ("NL", "Netherlands", "Netherlands", "Europe"),
+    ("PL", "Poland", "Poland", "Europe"),
+    ("SE", "Sweden", "Sweden", "Europe"),
+)
+GRANULARITIES = (
+    "hourly", "5_minutes", "15_minutes", "daily", "monthly", "quarterly", "yearly", "weekly", None
+)
+EVENT_SOURCES = {
+    "click": "wind", "view": "solar", "purchase": "nuclear", "signup": "gas", "error": "coal"
+}
+BASE_URL = "https://grid.example.org/api/"
+ITEMS_PER_SNAPSHOT = 256
 
 ORACLES: dict[str, str] = {}
 
@@ -125,11 +147,14 @@ SELECT extracted_at, url AS source_url, {_parts('extracted_at')}, {_KIND} FROM d
 
 ORACLES["bronze_since"] = ORACLES["bronze_scan"] + " WHERE extracted_at >= '2024-01-15'"
 
+# An error page or an empty body names no zone.
 ORACLES["bronze_from_landing"] = f"""
 WITH {_EV}
-SELECT TIMESTAMP '2026-09-16 12:00:00' AS extracted_at, url AS source_url, '2026' AS year,
-       '09' AS month, '16' AS day, zone
-FROM delivery WHERE kind NOT IN ('page', 'blank')"""
+SELECT TIMESTAMP '2026-09-16 12:00:00' AS extracted_at,
+       CASE WHEN kind IN ('page', 'blank') THEN '{BASE_URL}mix/latest' ELSE url END AS source_url,
+       '2026' AS year, '09' AS month, '16' AS day,
+       CASE WHEN kind NOT IN ('page', 'blank') THEN zone END AS zone
+FROM delivery"""
 
 ORACLES["parsed_payloads"] = f"""
 WITH {_EV}
@@ -153,15 +178,18 @@ SELECT fetched + to_hours(late) AS extracted_at, zone, granularity AS temporal_g
          AS updated_text
 FROM version"""
 
+_RECEIVED = ", ".join(
+    f"{_POWER.get(name, 'CAST(NULL AS DOUBLE)')} AS {name}".replace(
+        "round(value * 100)", "round(value * 100) * CASE WHEN late < 0 THEN 0.5 ELSE 1 END"
+    )
+    for name in _MEASURES
+)
 ORACLES["mix_received"] = f"""
 WITH {_EV}
 SELECT zone, datetime,
        date_trunc('millisecond', CASE WHEN late < 0 THEN ts - to_hours(2) ELSE ts END)
          AS updated_at,
-       fetched + to_hours(late) AS extracted_at,
-       CASE WHEN event_type = 'click'
-            THEN floor(round(value * 100) * CASE WHEN late < 0 THEN 0.5 ELSE 1 END) END AS mix_wind,
-       CAST(event_id % 1000 AS DOUBLE) AS mix_hydro, CAST(NULL AS DOUBLE) AS mix_oil
+       fetched + to_hours(late) AS extracted_at, {_RECEIVED}
 FROM timed, (VALUES (-1), (0), (6)) AS d(late)"""
 
 ORACLES["mix_fact"] = f"WITH {_MIX} SELECT {_MIX_SCHEMA}, dt, year, month, day FROM mix"
@@ -179,27 +207,31 @@ placed AS (
          o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS datetime,
          o_orderdate + to_hours(24) + to_seconds(o_orderkey % 86400) AS updated,
          o_orderdate + to_hours(CAST(o_custkey % 24 + 48 AS INTEGER)) AS fetched
-  FROM orders JOIN customer ON o_custkey = c_custkey
-  WHERE o_orderkey IN (SELECT l_orderkey FROM line)),
+  FROM orders JOIN customer ON o_custkey = c_custkey),
 flow AS (
   SELECT zone, {_nation('neighbor')} AS neighbor_zone,
          CASE WHEN odd THEN 'import' ELSE 'export' END AS flow_direction,
          CASE WHEN power % 13 <> 0 THEN power END AS power, granularity, datetime, updated, fetched
   FROM line JOIN placed ON l_orderkey = o_orderkey WHERE neighbor <> nation)"""
 
-_FLOWS = f"""{_LINES},
+
+def _flows(source: str, extracted: str) -> str:
+    """CTE `flows`: the newest of the rows in `source`."""
+    return f"""{_LINES},
 flows AS (
   SELECT *, CAST(datetime AS DATE) AS dt, {_parts('datetime')} FROM (
     SELECT zone, neighbor_zone, flow_direction, power AS power_mw, 'MW' AS unit,
            granularity AS temporal_granularity, datetime, updated AS updated_at,
-           fetched + to_hours(6) AS extracted_at,
-           '{BASE_URL}flows/latest?zone=' || zone AS source_url
-    FROM flow)
+           {extracted} AS extracted_at, '{BASE_URL}flows/latest?zone=' || zone AS source_url
+    FROM {source})
   QUALIFY row_number() OVER (
     PARTITION BY zone, datetime, neighbor_zone, flow_direction
     ORDER BY updated_at DESC NULLS LAST, extracted_at DESC NULLS LAST,
              power_mw ASC NULLS FIRST, temporal_granularity ASC NULLS FIRST) = 1)"""
 
+
+_FLOWS = _flows("flow", "fetched + to_hours(6)")
+
 _FLOW_DELIVERY = """
 delivery AS (
   SELECT *, fetched + to_hours(late) AS extracted_at
@@ -212,13 +244,26 @@ SELECT extracted_at, '{BASE_URL}flows/latest?zone=' || zone AS source_url,
        {_parts('extracted_at')}, {_KIND} FROM delivery"""
 
 ORACLES["bronze_jsonl"] = f"""
-WITH {_LINES}, {_FLOW_DELIVERY}
-SELECT zone, granularity, 1::BIGINT AS items,
-       strftime(CASE kind WHEN 'older' THEN updated - to_hours(24) ELSE updated END,
-                '%Y-%m-%dT%H:%M:%S.%gZ') AS first_update
-FROM delivery WHERE kind NOT IN ('page', 'blank')"""
-
-ORACLES["bronze_rewrap"] = ORACLES["bronze_jsonl"]
+WITH {_LINES}, {_FLOW_DELIVERY},
+read AS (
+  SELECT {_KIND}, zone, granularity, 1::BIGINT AS items,
+         strftime(CASE delivery.kind WHEN 'older' THEN updated - to_hours(24) ELSE updated END,
+                  '%Y-%m-%dT%H:%M:%S.%gZ') AS first_update
+  FROM delivery)
+SELECT kind, CASE kind WHEN 'json' THEN zone END AS zone,
+       CASE kind WHEN 'json' THEN granularity END AS granularity,
+       CASE kind WHEN 'json' THEN items END AS items,
+       CASE kind WHEN 'json' THEN first_update END AS first_update
+FROM read"""
+
+ORACLES["bronze_rewrap"] = ORACLES["bronze_jsonl"] + " WHERE kind <> 'blank'"
+
+ORACLES["bronze_mixed"] = f"""
+WITH {_LINES}, {_FLOW_DELIVERY},
+read AS (
+  SELECT {_KIND}, zone, strftime(extracted_at, '%m') < '07' AS enveloped FROM delivery)
+SELECT kind, CASE kind WHEN 'json' THEN zone END AS zone, enveloped
+FROM read WHERE enveloped OR kind <> 'blank'"""
 
 ORACLES["flow_received"] = f"""
 WITH {_LINES}
@@ -346,8 +391,7 @@ daily AS (
          {', '.join(f'round({name}, 6) AS {name}' for name in _NAMED.values())}
   FROM totals LEFT JOIN {_DIM} USING (zone))"""
 
-for _name in ("mix_daily", "mix_daily_from_wide", "mix_daily_from_bronze", "etl_tables",
-              "etl_incremental"):
+for _name in ("mix_daily", "mix_daily_from_wide", "mix_daily_from_bronze", "stream_daily"):
     ORACLES[_name] = f"WITH {_MIX_DAILY} SELECT * FROM daily"
 
 
@@ -386,7 +430,17 @@ FROM named WHERE {direction}_mwh > 0"""
 
 ORACLES["focal_imports"] = _focal("import", "dest", "source")
 ORACLES["focal_exports"] = _focal("export", "source", "dest")
-ORACLES["etl_by_table"] = ORACLES["focal_imports"]
+ORACLES["gold_days_emptied"] = ORACLES["focal_imports"] + " AND dt < DATE '2000-01-01'"
+ORACLES["gold_days_emptied_in_tables"] = ORACLES["gold_days_emptied"]
+
+for _job in ("etl_tables", "etl_by_table", "etl_incremental"):
+    ORACLES[_job] = ORACLES["mix_daily"]
+    ORACLES[f"{_job}_mix_fact"] = ORACLES["mix_fact"]
+    ORACLES[f"{_job}_flow_fact"] = ORACLES["flow_fact"]
+    ORACLES[f"{_job}_dim_zone"] = f"SELECT * FROM {_DIM}"
+    ORACLES[f"{_job}_dim_date"] = ORACLES["dim_date"]
+    ORACLES[f"{_job}_imports"] = ORACLES["focal_imports"]
+    ORACLES[f"{_job}_exports"] = ORACLES["focal_exports"]
 
 # ---- writes ----
 
@@ -429,10 +483,25 @@ SELECT * FROM both_sides
 QUALIFY row_number() OVER (
   PARTITION BY o_orderkey ORDER BY version DESC, o_custkey, o_orderstatus, o_totalprice) = 1"""
 
+ORACLES["upsert_guard_ties"] = f"""
+WITH {_ORDERS},
+both_sides AS (SELECT * FROM old UNION ALL SELECT * FROM new)
+SELECT *, 1 AS version FROM both_sides, range(4) AS r(run)
+QUALIFY row_number() OVER (
+  PARTITION BY run, o_orderkey ORDER BY o_custkey, o_orderstatus, o_totalprice) = 1"""
+
+# Of the day that got a note, rows that were sent again later have lost it.
+ORACLES["upsert_evolve_partly"] = f"""
+WITH {_MIX}
+SELECT {_MIX_SCHEMA}, dt, year, month, day,
+       CASE WHEN dt = DATE '2024-01-14' AND extracted_at < TIMESTAMP '2024-01-16'
+            THEN 'kept' END AS note
+FROM mix"""
+
 ORACLES["gold_days_replaced"] = f"""
 WITH {_MIX_DAILY}
-SELECT dt, zone, CASE WHEN dt >= DATE '2024-01-20' THEN 'again' ELSE 'daily' END AS grain,
-       generation_mwh FROM daily"""
+SELECT * REPLACE (CASE WHEN dt >= DATE '2024-01-20' THEN 'again' ELSE 'daily' END AS grain)
+FROM daily"""
 
 ORACLES["merge_table"] = f"""
 WITH {_ORDERS}
@@ -504,14 +573,8 @@ _DROP = (
 ORACLES["stream_silver"] = f"""
 WITH {_mix('timed, (VALUES (0), (6)) AS d(late)', _DROP)}
 SELECT * FROM mix"""
+ORACLES["stream_tables"] = ORACLES["stream_silver"]
 
-ORACLES["stream_daily"] = f"""
-WITH {_MIX},
-energy AS (
-  SELECT dt, zone, sum(coalesce(mix_wind, 0) * {_HOURS}) AS wind,
-         sum(coalesce(mix_hydro, 0) * {_HOURS}) AS hydro
-  FROM mix GROUP BY dt, zone)
-SELECT dt, zone, zone_name, round(wind + hydro, 6) AS generation_mwh,
-       round(wind, 6) AS wind_mwh, round(hydro, 6) AS hydro_mwh,
-       {_share('wind', '(wind + hydro)')} AS wind_pct
-FROM energy LEFT JOIN {_DIM} USING (zone)"""
+ORACLES["stream_flows"] = f"""
+WITH {_flows('flow, (VALUES (0), (6)) AS d(late)', _DROP)}
+SELECT * FROM flows"""

@@ -194,7 +194,7 @@ def flow_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flow snapshots: one per order, odd lines imports and even lines exports per supplier nation.
 
     A sum that is a multiple of 13 stands for an unknown power. Lines of the zone's own nation are
-    left out, which leaves some maps out as well.
+    left out, which leaves some maps out as well, and so do orders without lines.
     """
     suppliers = read(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("neighbor")
@@ -226,7 +226,7 @@ def flow_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # Collected per order: at most one entry per nation and direction, summed before.
     snapshots = (
-        orders.join(lines, orders.o_orderkey == lines.l_orderkey)
+        orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
         .groupBy("o_orderkey", "o_custkey", "date", "nation")
         .agg(flows(F.col("odd")).alias("import"), flows(~F.col("odd")).alias("export"))
         .withColumns(

@@ -1,3 +1,4 @@
+import os
 import random
 from datetime import datetime
 
@@ -5,18 +6,23 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridspark.functions import keys_match
+from gridspark.operators.latest import ranks_before
 from gridspark.operators.upsert import upsert
-from gridspark.sinks import layout
+from gridspark.plans.pipeline import write_output
+from gridspark.sinks import tables
+from gridspark.sinks.layout import touched_rows
 from gridspark.sinks.parquet import overwrite_parquet, upsert_parquet
 from gridspark.sinks.tables import (
     create_table,
     merge_table,
     mirror_table,
+    replace_partitions,
     table_from_parquet,
     write_bronze,
 )
+from gridspark.sinks.swap import Files, recover
 from gridspark.sources.silver import read_parquet
-from gridspark.spec import BronzeSpec, ColumnSpec, PipelineSpec
+from gridspark.spec import BronzeSpec, ColumnSpec, LayerSpec, PipelineSpec
 
 KEYS = ["zone", "datetime"]
 PARTS = ["year", "month", "day"]
@@ -72,16 +78,6 @@ def test_untouched_partitions_keep_their_files(spark, path):
     assert {f for f in after["16"] if "day=16" in f} != {f for f in before["16"] if "day=16" in f}
 
 
-def test_upsert_beyond_the_partition_list(spark, path, monkeypatch):
-    monkeypatch.setattr(layout, "PARTITION_LIST_LIMIT", 1)
-    days = [(f"Z{d}", f"2026-09-{d:02d}", 1.0, "2026", "09", f"{d:02d}") for d in range(1, 6)]
-    upsert_parquet(frame(spark, days), path, KEYS, PARTS)
-    changed = [(*row[:2], 2.0, *row[3:]) for row in days[:3]]
-    upsert_parquet(frame(spark, changed), path, KEYS, PARTS)
-    want = {("Z1", 2.0), ("Z2", 2.0), ("Z3", 2.0), ("Z4", 1.0), ("Z5", 1.0)}
-    assert winds(read_parquet(spark, path)) == want
-
-
 def test_upsert_adds_columns(spark, path):
     upsert_parquet(frame(spark, FIRST + OTHER_DAY), path, KEYS, PARTS)
     upsert_parquet(frame(spark, SECOND).withColumn("note", F.lit("n")), path, KEYS, PARTS)
@@ -287,8 +283,6 @@ def test_columns_unknown_to_the_schema_survive(spark, path):
 
 
 def test_staged_copies_go_after_success(spark, path, tmp_path):
-    import os
-
     from gridspark.session import scratch_root
 
     def copies():
@@ -298,3 +292,131 @@ def test_staged_copies_go_after_success(spark, path, tmp_path):
     before = copies()
     upsert_parquet(frame(spark, SECOND), path, ["zone"])
     assert copies() == before
+
+
+def boom(spark, rows=SECOND):
+    """Rows that fail while they are computed, after some of them are."""
+    wind = F.when(F.col("zone") == "FR", F.raise_error(F.lit("boom"))).otherwise(1.0)
+    return frame(spark, rows).withColumn("mix_wind", wind.cast("double"))
+
+
+def test_failed_partition_write_leaves_every_row(spark, path, db):
+    table = f"{db}.facts"
+    upsert_parquet(frame(spark, FIRST + OTHER_DAY), path, KEYS, PARTS)
+    merge_table(frame(spark, FIRST + OTHER_DAY), table, KEYS, PARTS)
+    before = {("AT", 1.0), ("XX", 7.0)}
+    for write in (
+        lambda: overwrite_parquet(boom(spark), path, PARTS, only_touched=True),
+        lambda: replace_partitions(boom(spark), table, PARTS),
+        lambda: create_table(boom(spark), table, PARTS),
+        lambda: overwrite_parquet(boom(spark), path),
+    ):
+        with pytest.raises(Exception, match="boom"):
+            write()
+        assert winds(read_parquet(spark, path)) == before
+        assert winds(spark.table(table)) == before
+    assert not [n for n in os.listdir(path) if n.startswith("_writing")]
+
+
+@pytest.mark.parametrize("depth", [0, 3])
+@pytest.mark.parametrize("lost_at", [1, 2, 3, 4])
+def test_driver_lost_between_renames(spark, path, monkeypatch, depth, lost_at):
+    overwrite_parquet(frame(spark, FIRST + OTHER_DAY), path, PARTS)
+    moves = []
+    move = Files.move
+
+    def counted(self, source, target):
+        moves.append(source)
+        if len(moves) == lost_at:
+            raise KeyboardInterrupt
+        move(self, source, target)
+
+    monkeypatch.setattr(Files, "move", counted)
+    with pytest.raises(KeyboardInterrupt):
+        overwrite_parquet(frame(spark, SECOND), path, PARTS, only_touched=depth > 0)
+    monkeypatch.undo()
+    recover(spark, path)
+    kept = {("XX", 7.0)} if depth else set()
+    old, new = {("AT", 1.0), ("XX", 7.0)}, {("AT", 9.0), ("FR", 4.0)} | kept
+    # Before the first rename nothing has happened; from then on the new rows are whole.
+    assert winds(read_parquet(spark, path)) == (old if lost_at == 1 else new)
+    assert [n for n in os.listdir(path) if n.startswith(("_ready", "_moving", "_replaced"))] == []
+
+
+def test_table_lost_between_renames(spark, db, monkeypatch):
+    create_table(frame(spark, FIRST + OTHER_DAY), f"{db}.t", PARTS)
+    spark.sql(f"ALTER TABLE {db}.t RENAME TO {db}.t{tables.REPLACED}")
+    merge_table(frame(spark, SECOND), f"{db}.t", KEYS, PARTS)
+    assert winds(spark.table(f"{db}.t")) == {("AT", 9.0), ("FR", 4.0), ("XX", 7.0)}
+
+
+def test_partitions_that_become_empty_go(spark, path, db):
+    days = [("a", "2026-09-01"), ("b", "2026-09-02"), ("c", "2026-09-03")]
+    rows = frame(spark, days, "v string, dt string")
+    overwrite_parquet(rows, path, ["dt"])
+    create_table(rows, f"{db}.p", ["dt"])
+    new = frame(spark, [("d", "2026-09-02")], "v string, dt string")
+    gone = lambda unit: unit >= "dt=2026-09-02"
+    overwrite_parquet(new, path, ["dt"], only_touched=True, gone=gone)
+    replace_partitions(new, f"{db}.p", ["dt"], gone=gone)
+    overwrite_parquet(new.limit(0), path, ["dt"], only_touched=True, gone=lambda unit: unit == "dt=2026-09-09")
+    for df in (read_parquet(spark, path), spark.table(f"{db}.p")):
+        assert {r.v for r in df.collect()} == {"a", "d"}
+
+
+def test_rows_can_replace_what_they_are_read_from(spark, path, db):
+    overwrite_parquet(frame(spark, FIRST + OTHER_DAY), path, PARTS)
+    overwrite_parquet(read_parquet(spark, path).where("zone = 'AT'"), path, PARTS)
+    assert winds(read_parquet(spark, path)) == {("AT", 1.0)}
+    create_table(frame(spark, FIRST + OTHER_DAY), f"{db}.own", PARTS)
+    create_table(spark.table(f"{db}.own").where("zone = 'XX'"), f"{db}.own", PARTS)
+    assert winds(spark.table(f"{db}.own")) == {("XX", 7.0)}
+
+
+def test_column_that_some_partitions_have_survives(spark, path):
+    schema = frame(spark, []).schema
+    upsert_parquet(frame(spark, OTHER_DAY), path, KEYS, PARTS, schema=schema)
+    upsert_parquet(frame(spark, FIRST).withColumn("note", F.lit("keep")), path, KEYS, PARTS, schema=schema)
+    upsert_parquet(frame(spark, SECOND[1:]), path, KEYS, PARTS, schema=schema)
+    stored = read_parquet(spark, path, schema)
+    assert {r.zone: r.note for r in stored.collect()} == {"XX": None, "AT": "keep", "FR": None}
+
+
+def test_touched_partitions_are_pruned_by_plain_comparisons(spark, path):
+    upsert_parquet(frame(spark, FIRST + OTHER_DAY), path, KEYS, PARTS)
+    rows = touched_rows(read_parquet(spark, path), frame(spark, SECOND), PARTS)
+    assert winds(rows) == {("AT", 1.0)}
+    filters = rows._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1]
+    assert "(year#" in filters and "to_json" not in filters and "concat" not in filters
+    assert touched_rows(read_parquet(spark, path), frame(spark, []), PARTS).count() == 0
+
+
+def test_merge_condition_has_the_tie_rule_of_upsert(spark):
+    rng = random.Random(4)
+    rows = [
+        (k, rng.choice([None, 1, 2]), rng.choice([None, 1, 2]), rng.choice([None, "a", "b"]))
+        for k in range(40) for _ in range(2)
+    ]
+    schema = "k int, version int, other int, v string"
+    old, new = frame(spark, rows[::2], schema), frame(spark, rows[1::2], schema)
+    wins = ranks_before(new, "s", "t", ["k"], ["version"])
+    joined = old.alias("t").join(new.alias("s"), "k").select("k", wins.alias("wins"), "s.*", "t.*")
+    merged = {r[0]: tuple(r[2:6]) if r[1] else tuple(r[6:10]) for r in joined.collect()}
+    for order in ((old, new), (new, old)):
+        assert {r.k: tuple(r) for r in upsert(*order, ["k"], ["version"]).collect()} == merged
+
+
+def test_layers_append_or_say_no(spark, tmp_path, db):
+    def spec(disposition):
+        return LayerSpec.from_mapping(
+            {"schema": db, "table": "log", "partition_by": ["year"], "write_disposition": disposition}
+        )
+
+    layer, root = spec("append"), str(tmp_path / "files")
+    for tables in (True, False):
+        for _ in range(2):
+            write_output(frame(spark, FIRST), layer, layer.outputs()[0], root=root, write_tables=tables)
+    assert spark.table(f"{db}.log").count() == 2
+    assert read_parquet(spark, layer.location(layer.outputs()[0], root)).count() == 2
+    with pytest.raises(ValueError, match="disposition"):
+        spec("apend")
