@@ -315,13 +315,17 @@ def near_duplicates(
     mixed = mixed.filter("low < high AND members > 2").select("bucket")
     rest = placed.join(mixed, "bucket", "left_semi").filter("first <> id")
     rest = rest.join(checked.select(F.col("a").alias("first"), F.col("b").alias("id"), "near"), ["first", "id"], "left")
+    # Texts that share several buckets are compared in the first of them only.
+    shared = rest.groupBy("id").agg(F.collect_set("bucket").alias("buckets"))
+    rest = rest.join(light, "id").join(shared, "id")
     # Written: its large partitions can be split in the join with itself.
-    rest = written(rest.join(light, "id").select("bucket", "id", "root", "n", "slots", "near"), "rest")
+    rest = written(rest.select("bucket", "id", "root", "n", "slots", "near", "buckets"), "rest")
     crossed = rest.alias("x").join(
         rest.alias("y"),
         F.expr(
             "x.bucket = y.bucket AND x.id < y.id AND x.root <> y.root AND "
-            f"abs(coalesce(x.near - y.near, 0)) <= {1 - least + 1e-9} AND {near_enough}"
+            f"abs(coalesce(x.near - y.near, 0)) <= {1 - least + 1e-9} AND {near_enough} "
+            "AND x.bucket = array_min(array_intersect(x.buckets, y.buckets))"
         ),
     )
     crossed = crossed.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
