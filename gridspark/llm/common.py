@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,3 +70,15 @@ def range_of(key: Column, bounds: list) -> Column:
     below = F.size(F.filter(coarse, lambda b: b < key)) * step
     rest = F.slice(every, below + 1, step)
     return (below + F.size(F.filter(rest, lambda b: b < key))).cast("int")
+
+
+def groups(frame: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about `size` bytes of its last column each, one row at least."""
+    sizes = pc.binary_length(frame.column(frame.num_columns - 1)).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < frame.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield frame.slice(at, to - at)
+        at = to

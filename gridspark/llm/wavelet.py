@@ -8,29 +8,25 @@ counted or found without unpacking the rest.
 
 from __future__ import annotations
 
-import os
-import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import for_workers, range_bounds, range_of, text_or_empty
-from gridspark.llm.token_counts import tokenizer
+from gridspark.llm.common import for_workers, groups, range_bounds, range_of, text_or_empty
+from gridspark.llm.word_ids import word_ids
 
 MAGIC = b"WMX1"
 BLOCK = 512
 #: Documents of a shard, and tokens after which a shard's file gets a further matrix.
 DOCS_PER_SHARD = 2048
 MATRIX_TOKENS = 1 << 18
-#: Words whose ids a worker remembers; when there are more it begins anew.
-MEMO_WORDS = 600_000
+#: Bytes of the texts whose words are looked up together.
+GROUP_BYTES = 8 << 20
 
 
 class WaveletMatrix:
@@ -46,11 +42,11 @@ class WaveletMatrix:
         rest = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         zeros, planes = [], []
         for level in range(bits):
-            ones = (rest & rest.dtype.type(1 << (bits - 1 - level))).astype(bool)
+            ones = (rest & rest.dtype.type(1 << (bits - 1 - level))) != 0
             planes.append(np.packbits(ones, bitorder="little"))
-            low = rest[~ones]
+            low = np.compress(~ones, rest)
             zeros.append(len(low))
-            rest = np.concatenate([low, rest[ones]])
+            rest = np.concatenate([low, np.compress(ones, rest)])
         return cls(len(ids), zeros, planes)
 
     def ids(self) -> np.ndarray:
@@ -60,8 +56,9 @@ class WaveletMatrix:
         for level in reversed(range(bits)):
             ones = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             whole = np.empty_like(rest)
-            whole[~ones] = rest[: self.zeros[level]]
-            whole[ones] = rest[self.zeros[level] :] | (1 << (bits - 1 - level))
+            one = rest.dtype.type(1 << (bits - 1 - level))
+            whole[np.flatnonzero(~ones)] = rest[: self.zeros[level]]
+            whole[np.flatnonzero(ones)] = rest[self.zeros[level] :] | one
             rest = whole
         return rest.astype("<u4")
 
@@ -170,119 +167,6 @@ class WaveletMatrix:
         return made
 
 
-class WordIds(dict):
-    """Word -> its number in a table of ids; a word it does not know goes to the library.
-
-    Splitting into words cuts before white space that follows something else, where every pre-token
-    ends, so the ids of a text are those of its words in order. Texts with other white space than
-    single spaces and line ends, or with an added token, go to the library as they are.
-    """
-
-    LETTERS = r"A-Za-zÀ-ÖØ-öø-ſ"
-    PLAIN = re.compile(rf"(\n?)([{LETTERS}]+)([.,;:!?%&*$#()|\-]*)")
-
-    def __init__(self, path: str):
-        super().__init__()
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.library = tokenizer(path)
-        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.plain = self._is_plain()
-        self.byte_chars = str.maketrans(_byte_chars())
-        self.forget()
-
-    def _is_plain(self) -> bool:
-        """Whether words may be split as GPT-2's pattern does, which `PLAIN` is a part of."""
-        import json
-
-        spec = json.loads(self.library.to_str())
-        pre = spec.get("pre_tokenizer") or {}
-        return (
-            spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
-            and pre.get("use_regex") is True and not pre.get("add_prefix_space")
-        )
-
-    def forget(self) -> None:
-        self.clear()
-        self.flat, self.begins, self.lengths = array("I"), array("q"), array("q")
-        self.firsts: dict[str, list[int]] = {}
-        self.marks: dict[str, list[int]] = {}
-
-    def _known(self, pre_token: str) -> list[int]:
-        chars = pre_token.encode().decode("latin-1").translate(self.byte_chars)
-        return [t.id for t in self.library.model.tokenize(chars)]
-
-    def whole(self, text: str) -> list[int]:
-        return self.library.encode(text, add_special_tokens=False).ids
-
-    def __missing__(self, word: str) -> int:
-        plain = self.PLAIN.fullmatch(word)
-        if plain:
-            line, letters, marks = plain.groups()
-            if marks:
-                bare = self[line + letters]
-                begin = self.begins[bare]
-                if marks not in self.marks:
-                    self.marks[marks] = self._known(marks)
-                ids = self.flat[begin : begin + self.lengths[bare]].tolist() + self.marks[marks]
-            else:
-                ids = self._known(line) + self._known(letters) if line else self._known(" " + letters)
-        else:
-            ids = self.whole(word if word.startswith("\n") else " " + word)
-        number = self[word] = len(self.begins)
-        self.begins.append(len(self.flat))
-        self.lengths.append(len(ids))
-        self.flat.extend(ids)
-        return number
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text."""
-        if len(self) > MEMO_WORDS:
-            self.forget()
-        out: list[np.ndarray | None] = [None] * len(texts)
-        numbers, which, heads = [], [], []
-        for i, text in enumerate(texts):
-            words = text.replace("\n", " \n").split(" ")
-            head = words[0]
-            # As many as between white space of any kind: then there is none but single spaces
-            # and line ends.
-            even = len(words) - (not head) == len(text.split())
-            if not (self.plain and even) or any(a in text for a in self.added):
-                out[i] = np.array(self.whole(text), "<u4")
-                continue
-            if head not in self.firsts:
-                self.firsts[head] = self.whole(head) if head else []
-            heads.append(self.firsts[head])
-            numbers.append(np.fromiter(map(self.__getitem__, words[1:]), np.int64, len(words) - 1))
-            which.append(i)
-        flat = np.array(self.flat, dtype="<u4") if not len(self.flat) else np.frombuffer(self.flat, np.uint32)
-        begins, lengths = np.frombuffer(self.begins, np.int64), np.frombuffer(self.lengths, np.int64)
-        for i, head, number in zip(which, heads, numbers, strict=True):
-            if not len(number):
-                out[i] = np.array(head, "<u4")
-                continue
-            size = lengths[number]
-            ends = np.cumsum(size)
-            at = np.repeat(begins[number] - ends + size, size) + np.arange(ends[-1])
-            out[i] = np.concatenate([np.array(head, "<u4"), flat[at]])
-        del flat, begins, lengths
-        return out
-
-
-def _byte_chars() -> dict[int, int]:
-    """The character that stands for each byte in a byte-level vocabulary.
-
-    Fixed rule of such vocabularies: printable Latin-1 stands for itself, the rest follow from 256.
-    """
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in own]
-    return {b: b for b in own} | {b: 256 + i for i, b in enumerate(rest)}
-
-
-@cache
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
-
-
 def write_shards(
     df: DataFrame,
     path: str,
@@ -324,9 +208,8 @@ def write_shards(
             ("lengths", pa.list_(pa.int64())), ("matrix", pa.binary()),
         ])
         for frame in frames:
-            for low in range(0, frame.num_rows, 64):
-                piece = frame.slice(low, 64)
-                found = words.encode(piece.column(2).to_pylist())
+            for piece in groups(frame, GROUP_BYTES):
+                found = words.encode(piece.column(2))
                 for at, k, own in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), found, strict=True):
                     if keys and (at != shard or held >= matrix_tokens):
                         yield packed()
