@@ -16,32 +16,18 @@ such boundary, it is doubled, in the end to the whole rest of the text.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
-
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import for_workers, text_or_empty
+from gridspark.llm.common import for_workers, groups, text_or_empty
+from gridspark.llm.word_ids import tokenizer, word_ids
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
-#: Texts handed to the library at a time.
-GROUP_CHARS = 262_144
-
-
-@cache
-def tokenizer(path: str):
-    """A tokenizers file as it is, but for truncation and padding, and offsets that keep spaces."""
-    from tokenizers import Tokenizer
-    from tokenizers.processors import ByteLevel
-
-    loaded = Tokenizer.from_file(path)
-    loaded.no_truncation()
-    loaded.no_padding()
-    if loaded.post_processor is None:
-        loaded.post_processor = ByteLevel(trim_offsets=False)
-    return loaded
+#: Bytes of the texts that are encoded together.
+GROUP_BYTES = 4 << 20
 
 
 def margin(loaded) -> int:
@@ -105,19 +91,22 @@ class _Rest:
         self.offsets = [(a - shift, b - shift) for a, b in encoded.offsets[skip:]]
 
 
-def counter(path: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> Callable[[list[str]], list[int]]:
-    """Token counts of a list of texts, by the library that the file is for."""
+def counter(path: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> Callable[[pa.Array], list[int]]:
+    """Token counts of an array of texts, by the library that the file is for."""
     if path.endswith(".model"):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]
-    loaded = tokenizer(path)
+        return lambda texts: [len(x) for x in model.encode(texts.to_pylist(), num_threads=1)]
+    loaded, words = tokenizer(path), word_ids(path)
 
-    def counts(texts: list[str]) -> list[int]:
-        short = [t for t in texts if len(t) <= chunk]
-        each = iter(loaded.encode_batch_fast(short, add_special_tokens=False))
-        return [len(next(each)) if len(t) <= chunk else spliced(t, loaded, chunk, overlap) for t in texts]
+    def counts(texts: pa.Array) -> list[int]:
+        short = pc.less_equal(pc.utf8_length(texts), chunk)
+        each = iter(words.encode(texts.filter(short)))
+        return [
+            len(next(each)) if is_short else spliced(text.as_py(), loaded, chunk, overlap)
+            for text, is_short in zip(texts, short.to_pylist(), strict=True)
+        ]
 
     return counts
 
@@ -141,30 +130,16 @@ def count_tokens(
     kind = df.schema[key].dataType.simpleString()
 
     def run(frames):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         counts = counter(path, chunk, overlap)
         for frame in frames:
-            texts = frame.column(1).to_pylist()
-            found: list[int] = []
-            group: list[str] = []
-            held = 0
-            for t in texts:
-                group.append(t)
-                held += len(t)
-                if held >= GROUP_CHARS:
-                    found += counts(group)
-                    group, held = [], 0
-            if group:
-                found += counts(group)
-            yield pa.RecordBatch.from_arrays(
-                [frame.column(0), frame.column(2), pa.array(found, pa.int64())],
-                names=[key, "n_bytes", "n_tokens"],
-            )
+            for part in groups(frame, GROUP_BYTES):
+                found = pa.array(counts(part.column(2)), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), found], names=[key, "n_bytes", "n_tokens"]
+                )
 
     whole = text_or_empty(text)
-    picked = df.select(F.col(key), whole.alias("text"), F.octet_length(whole).cast("long").alias("n_bytes"))
+    picked = df.select(F.col(key), F.octet_length(whole).cast("long").alias("n_bytes"), whole.alias("text"))
     counted = picked.mapInArrow(run, f"`{key}` {kind}, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
 

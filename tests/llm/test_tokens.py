@@ -5,11 +5,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from gridspark.llm import byte_bpe, queries, token_counts, wavelet
+from gridspark.llm import byte_bpe, queries, token_counts, wavelet, word_ids
 
 RANKS = public_tokenizers.path(queries.MULTI_RANKS)
 BPE = public_tokenizers.path(queries.BPE_50K)
@@ -104,7 +105,7 @@ def test_op1(spark):
 
 @pytest.mark.parametrize("chunk, overlap", [(40, 13), (64, 20), (150, 5)])
 def test_spliced_chunks_count_like_the_whole(library, chunk, overlap):
-    loaded = token_counts.tokenizer(BPE)
+    loaded = word_ids.tokenizer(BPE)
     for text in [*texts(250, 300, 3), "a" * 700, " " * 700, "漢" * 700, "<|endoftext|>" * 30]:
         whole = len(library.encode(text, add_special_tokens=False).ids)
         assert token_counts.spliced(text, loaded, chunk, overlap) == whole
@@ -138,12 +139,15 @@ def test_op4(spark, library):
 
 
 def test_words_give_the_library_s_ids(library):
-    words = wavelet.WordIds(BPE)
-    for group in (texts(300, 40, 4), texts(300, 6, 5), ["", " ", "\n", "a ", " a", "a\n", "\nThe, the.\nx!"]):
-        for text, ids in zip(group, words.encode(group), strict=True):
+    words = word_ids.WordIds(BPE)
+    for group in (texts(300, 40, 4), texts(300, 6, 5), ["", " ", "\n", "a ", " a", "a\n", "\nThe, the.\nx!", ", a", "É,é.x", "a's,b", "\x01,", "a\x02b"]):
+        for text, ids in zip(group, words.encode(pa.array(group)), strict=True):
             assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
-    words.forget()
-    assert words.encode(["again"])[0].tolist() == library.encode("again", add_special_tokens=False).ids
+    for text in ("once more, with care", "again; once", "once again, The."):  # after forgetting the rest
+        ids = words.encode(pa.array(["x", text]).slice(1))[0].tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids
+        words._trim(np.arange(0, len(words.words), 2))
+    assert words.encode(pa.array([], pa.string())) == []
 
 
 @pytest.mark.parametrize("n, most", [(0, 1), (1, 1), (7, 2), (513, 300), (5000, 50_257), (3000, 70_000)])
