@@ -51,13 +51,13 @@ def date_parts(ts: Column | str) -> dict[str, Column]:
 
 def interval_hours(granularity: Column | str = "temporal_granularity") -> Column:
     """Length of one interval in hours; an unknown or missing granularity counts as one hour."""
-    table = F.create_map(*[F.lit(x) for pair in GRANULARITY_HOURS.items() for x in pair])
-    return F.coalesce(table[column(granularity)], F.lit(1.0))
+    pairs = [F.lit(value) for item in GRANULARITY_HOURS.items() for value in item]
+    return F.call_function("decode", column(granularity), *pairs, F.lit(1.0))
 
 
 def share_pct(part: Column, whole: Column) -> Column:
     """`part` in percent of `whole`, six decimals, NULL unless `whole` is positive."""
-    return F.when(whole > 0, F.round(part / whole * 100.0, 6))
+    return F.round(F.try_divide(part, F.when(whole > 0, whole)) * 100.0, 6)
 
 
 def total(columns: list[Column]) -> Column:

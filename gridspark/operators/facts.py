@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions import any_null, date_parts, instant
@@ -29,10 +31,10 @@ def add_date_parts(df: DataFrame, ts: str = "datetime") -> DataFrame:
 
 def mix_rows(bronze: DataFrame) -> DataFrame:
     """Every (zone, interval) ever received, typed and flat, repeats included."""
-    mix = F.col("item.mix")
-    measures = [mix[name].alias(f"mix_{name}") for name in GENERATION_SOURCES]
-    measures += [
-        mix[group][field].alias(f"mix_{name}") for group, field, name in NESTED_MEASURES
+    paths = {name: (name,) for name in GENERATION_SOURCES}
+    paths |= {name: (group, field) for group, field, name in NESTED_MEASURES}
+    measures = [
+        reduce(Column.getField, path, F.col("mix")).alias(f"mix_{name}") for name, path in paths.items()
     ]
     return (
         payload_items(bronze, MIX_PAYLOAD)
@@ -40,11 +42,11 @@ def mix_rows(bronze: DataFrame) -> DataFrame:
             "zone",
             "temporal_granularity",
             "unit",
-            instant("item.datetime").alias("datetime"),
-            instant("item.updatedAt").alias("updated_at"),
-            F.col("item.breakdownType").alias("breakdown_type"),
-            F.col("item.isEstimated").alias("is_estimated"),
-            F.col("item.estimationMethod").alias("estimation_method"),
+            instant("datetime").alias("datetime"),
+            instant("updatedAt").alias("updated_at"),
+            F.col("breakdownType").alias("breakdown_type"),
+            F.col("isEstimated").alias("is_estimated"),
+            F.col("estimationMethod").alias("estimation_method"),
             *measures,
             "extracted_at",
             "source_url",
@@ -72,10 +74,8 @@ def flow_rows(bronze: DataFrame) -> DataFrame:
         payload_items(bronze, FLOWS_PAYLOAD)
         .withColumns(
             {
-                "datetime": instant("item.datetime"),
-                "updated_at": instant("item.updatedAt"),
-                "import": F.col("item.import"),
-                "export": F.col("item.export"),
+                "datetime": instant("datetime"),
+                "updated_at": instant("updatedAt"),
             }
         )
         .where(~any_null(["zone", "datetime"]))

@@ -17,7 +17,7 @@ from gridspark.operators.checks import contract_violations
 from gridspark.operators.dimensions import dim_date, dim_zone, join_neighbor, join_zone, widen
 from gridspark.operators.facts import add_date_parts, flow_fact, flow_rows, mix_fact, mix_rows
 from gridspark.operators.latest import keep_latest
-from gridspark.operators.payload import parse_payload, payload_items
+from gridspark.operators.payload import opened_payloads, payload_items
 from gridspark.operators.upsert import upsert
 from gridspark.plans.pipeline import run_etl, run_gold, run_silver, run_table
 from gridspark.schemas import (
@@ -277,13 +277,13 @@ def silver_products(spark, sf_dir):
 
 @query
 def parsed_payloads(spark, sf_dir):
-    parsed = parse_payload(_mix_bronze(spark, sf_dir), MIX_PAYLOAD)
+    parsed = opened_payloads(_mix_bronze(spark, sf_dir), MIX_PAYLOAD)
     return parsed.select(
         "extracted_at",
         "source_url",
-        F.col("parsed.zone").alias("zone"),
-        F.col("parsed.unit").alias("unit"),
-        F.size("parsed.data").cast("long").alias("items"),
+        "zone",
+        "unit",
+        F.size("data").cast("long").alias("items"),
     ).withColumn("items", F.when(F.col("zone").isNotNull(), F.col("items")))
 
 
@@ -294,8 +294,8 @@ def _payload_items(spark, sf_dir):
         "extracted_at",
         "zone",
         "temporal_granularity",
-        F.col("item.datetime").alias("datetime_text"),
-        F.col("item.updatedAt").alias("updated_text"),
+        F.col("datetime").alias("datetime_text"),
+        F.col("updatedAt").alias("updated_text"),
     )
 
 

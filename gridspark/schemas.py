@@ -10,6 +10,7 @@ from pyspark.sql.types import (
     DoubleType,
     MapType,
     StringType,
+    StructField,
     StructType,
     TimestampType,
 )
@@ -71,91 +72,231 @@ MIX_MEASURES = tuple(f"mix_{name}" for name in GENERATION_SOURCES) + tuple(
 )
 
 
-def _struct(*groups: tuple[DataType, str] | StructType) -> StructType:
-    """A struct from (type, "name name ...") groups and the fields of other structs, in order."""
-    fields = StructType()
-    for group in groups:
-        if isinstance(group, StructType):
-            for field in group:
-                fields = fields.add(field)
-        else:
-            for name in group[1].split():
-                fields = fields.add(name, group[0])
-    return fields
+def _struct(*fields: tuple[str, DataType]) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in fields])
 
 
-ENVELOPE = _struct((TEXT, "extracted_at source_url payload"))
-BRONZE = _struct((TIMESTAMP, "extracted_at"), (TEXT, "source_url payload year month day"))
+# Fields of bronze, of the two payloads and of the stored products, in order.
+ENVELOPE = _struct(
+    ("extracted_at", TEXT),
+    ("source_url", TEXT),
+    ("payload", TEXT),
+)
+
+BRONZE = _struct(
+    ("extracted_at", TIMESTAMP),
+    ("source_url", TEXT),
+    ("payload", TEXT),
+    ("year", TEXT),
+    ("month", TEXT),
+    ("day", TEXT),
+)
+
+_STORAGE = _struct(
+    ("charge", DOUBLE),
+    ("discharge", DOUBLE),
+)
 
-_STORAGE = _struct((DOUBLE, "charge discharge"))
-_MIX = (
-    _struct((DOUBLE, " ".join(GENERATION_SOURCES)))
-    .add("hydro storage", _STORAGE)
-    .add("battery storage", _STORAGE)
-    .add("flows", _struct((DOUBLE, "imports exports")))
+_EXCHANGE = _struct(
+    ("imports", DOUBLE),
+    ("exports", DOUBLE),
 )
+
+_MIX = _struct(
+    ("nuclear", DOUBLE),
+    ("geothermal", DOUBLE),
+    ("biomass", DOUBLE),
+    ("coal", DOUBLE),
+    ("wind", DOUBLE),
+    ("solar", DOUBLE),
+    ("hydro", DOUBLE),
+    ("gas", DOUBLE),
+    ("oil", DOUBLE),
+    ("unknown", DOUBLE),
+    ("hydro storage", _STORAGE),
+    ("battery storage", _STORAGE),
+    ("flows", _EXCHANGE),
+)
+
 _MIX_ITEM = _struct(
-    (TEXT, "datetime updatedAt breakdownType"), (BOOL, "isEstimated"), (TEXT, "estimationMethod")
-).add("mix", _MIX)
+    ("datetime", TEXT),
+    ("updatedAt", TEXT),
+    ("breakdownType", TEXT),
+    ("isEstimated", BOOL),
+    ("estimationMethod", TEXT),
+    ("mix", _MIX),
+)
+
 _FLOWS_ITEM = _struct(
-    (TEXT, "datetime updatedAt"), (MapType(TEXT, DOUBLE), "import export")
+    ("datetime", TEXT),
+    ("updatedAt", TEXT),
+    ("import", MapType(TEXT, DOUBLE)),
+    ("export", MapType(TEXT, DOUBLE)),
 )
 
-MIX_PAYLOAD = _struct((TEXT, "zone temporalGranularity unit"), (ArrayType(_MIX_ITEM), "data"))
-FLOWS_PAYLOAD = _struct((TEXT, "zone temporalGranularity unit"), (ArrayType(_FLOWS_ITEM), "data"))
+MIX_PAYLOAD = _struct(
+    ("zone", TEXT),
+    ("temporalGranularity", TEXT),
+    ("unit", TEXT),
+    ("data", ArrayType(_MIX_ITEM)),
+)
 
-DIM_DATE = _struct((DATE, "dt"), (TEXT, "year month day"))
+FLOWS_PAYLOAD = _struct(
+    ("zone", TEXT),
+    ("temporalGranularity", TEXT),
+    ("unit", TEXT),
+    ("data", ArrayType(_FLOWS_ITEM)),
+)
 
-DIM_ZONE = StructType()
-for _name in ("zone", "zone_name", "country", "region"):
-    DIM_ZONE = DIM_ZONE.add(_name, TEXT, nullable=False)
+DIM_DATE = _struct(
+    ("dt", DATE),
+    ("year", TEXT),
+    ("month", TEXT),
+    ("day", TEXT),
+)
+
+DIM_ZONE = StructType(
+    [
+        StructField("zone", TEXT, nullable=False),
+        StructField("zone_name", TEXT, nullable=False),
+        StructField("country", TEXT, nullable=False),
+        StructField("region", TEXT, nullable=False),
+    ]
+)
 
 MIX_FACT = _struct(
-    (TEXT, "zone temporal_granularity unit"),
-    (TIMESTAMP, "datetime updated_at"),
-    (TEXT, "breakdown_type"),
-    (BOOL, "is_estimated"),
-    (TEXT, "estimation_method"),
-    (DOUBLE, " ".join(MIX_MEASURES)),
-    (TIMESTAMP, "extracted_at"),
-    (TEXT, "source_url"),
-    DIM_DATE,
+    ("zone", TEXT),
+    ("temporal_granularity", TEXT),
+    ("unit", TEXT),
+    ("datetime", TIMESTAMP),
+    ("updated_at", TIMESTAMP),
+    ("breakdown_type", TEXT),
+    ("is_estimated", BOOL),
+    ("estimation_method", TEXT),
+    ("mix_nuclear", DOUBLE),
+    ("mix_geothermal", DOUBLE),
+    ("mix_biomass", DOUBLE),
+    ("mix_coal", DOUBLE),
+    ("mix_wind", DOUBLE),
+    ("mix_solar", DOUBLE),
+    ("mix_hydro", DOUBLE),
+    ("mix_gas", DOUBLE),
+    ("mix_oil", DOUBLE),
+    ("mix_unknown", DOUBLE),
+    ("mix_hydro_storage_charge", DOUBLE),
+    ("mix_hydro_storage_discharge", DOUBLE),
+    ("mix_battery_storage_charge", DOUBLE),
+    ("mix_battery_storage_discharge", DOUBLE),
+    ("mix_flows_imports", DOUBLE),
+    ("mix_flows_exports", DOUBLE),
+    ("extracted_at", TIMESTAMP),
+    ("source_url", TEXT),
+    ("dt", DATE),
+    ("year", TEXT),
+    ("month", TEXT),
+    ("day", TEXT),
 )
 
 FLOW_FACT = _struct(
-    (TEXT, "zone neighbor_zone flow_direction"),
-    (DOUBLE, "power_mw"),
-    (TEXT, "unit temporal_granularity"),
-    (TIMESTAMP, "datetime updated_at extracted_at"),
-    (TEXT, "source_url"),
-    DIM_DATE,
+    ("zone", TEXT),
+    ("neighbor_zone", TEXT),
+    ("flow_direction", TEXT),
+    ("power_mw", DOUBLE),
+    ("unit", TEXT),
+    ("temporal_granularity", TEXT),
+    ("datetime", TIMESTAMP),
+    ("updated_at", TIMESTAMP),
+    ("extracted_at", TIMESTAMP),
+    ("source_url", TEXT),
+    ("dt", DATE),
+    ("year", TEXT),
+    ("month", TEXT),
+    ("day", TEXT),
 )
 
 MIX_DAILY = _struct(
-    (DATE, "dt reference_date"),
-    (TEXT, "zone zone_name country region grain unit_energy unit_share"),
-    (TIMESTAMP, "interval_start interval_end computed_at last_extracted_at"),
-    (DOUBLE, "generation_mwh"),
-    (DOUBLE, " ".join(f"{name}_mwh" for name in GENERATION_SOURCES)),
-    (DOUBLE, " ".join(f"{name}_pct" for name in GENERATION_SOURCES)),
-    (DOUBLE, "hydro_storage_charge_mwh hydro_storage_discharge_mwh"),
-    (DOUBLE, "battery_storage_charge_mwh battery_storage_discharge_mwh"),
-    (DOUBLE, "imports_mwh exports_mwh"),
-)
-
-
-def _focal(own: str, other: str, energy: str) -> StructType:
-    places = " ".join(
-        f"{role}_{part}" for role in (own, other) for part in ("zone", "zone_name", "country", "region")
-    )
-    return _struct(
-        (DATE, "dt reference_date"),
-        (TEXT, places),
-        (DOUBLE, f"{energy} net_import_mwh"),
-        (TIMESTAMP, "interval_start interval_end computed_at last_extracted_at"),
-        (TEXT, "grain unit_energy"),
-    )
-
-
-FOCAL_IMPORTS = _focal("dest", "source", "import_mwh export_mwh")
-FOCAL_EXPORTS = _focal("source", "dest", "export_mwh import_mwh")
+    ("dt", DATE),
+    ("reference_date", DATE),
+    ("zone", TEXT),
+    ("zone_name", TEXT),
+    ("country", TEXT),
+    ("region", TEXT),
+    ("grain", TEXT),
+    ("unit_energy", TEXT),
+    ("unit_share", TEXT),
+    ("interval_start", TIMESTAMP),
+    ("interval_end", TIMESTAMP),
+    ("computed_at", TIMESTAMP),
+    ("last_extracted_at", TIMESTAMP),
+    ("generation_mwh", DOUBLE),
+    ("nuclear_mwh", DOUBLE),
+    ("geothermal_mwh", DOUBLE),
+    ("biomass_mwh", DOUBLE),
+    ("coal_mwh", DOUBLE),
+    ("wind_mwh", DOUBLE),
+    ("solar_mwh", DOUBLE),
+    ("hydro_mwh", DOUBLE),
+    ("gas_mwh", DOUBLE),
+    ("oil_mwh", DOUBLE),
+    ("unknown_mwh", DOUBLE),
+    ("nuclear_pct", DOUBLE),
+    ("geothermal_pct", DOUBLE),
+    ("biomass_pct", DOUBLE),
+    ("coal_pct", DOUBLE),
+    ("wind_pct", DOUBLE),
+    ("solar_pct", DOUBLE),
+    ("hydro_pct", DOUBLE),
+    ("gas_pct", DOUBLE),
+    ("oil_pct", DOUBLE),
+    ("unknown_pct", DOUBLE),
+    ("hydro_storage_charge_mwh", DOUBLE),
+    ("hydro_storage_discharge_mwh", DOUBLE),
+    ("battery_storage_charge_mwh", DOUBLE),
+    ("battery_storage_discharge_mwh", DOUBLE),
+    ("imports_mwh", DOUBLE),
+    ("exports_mwh", DOUBLE),
+)
+
+FOCAL_IMPORTS = _struct(
+    ("dt", DATE),
+    ("reference_date", DATE),
+    ("dest_zone", TEXT),
+    ("dest_zone_name", TEXT),
+    ("dest_country", TEXT),
+    ("dest_region", TEXT),
+    ("source_zone", TEXT),
+    ("source_zone_name", TEXT),
+    ("source_country", TEXT),
+    ("source_region", TEXT),
+    ("import_mwh", DOUBLE),
+    ("export_mwh", DOUBLE),
+    ("net_import_mwh", DOUBLE),
+    ("interval_start", TIMESTAMP),
+    ("interval_end", TIMESTAMP),
+    ("computed_at", TIMESTAMP),
+    ("last_extracted_at", TIMESTAMP),
+    ("grain", TEXT),
+    ("unit_energy", TEXT),
+)
+
+FOCAL_EXPORTS = _struct(
+    ("dt", DATE),
+    ("reference_date", DATE),
+    ("source_zone", TEXT),
+    ("source_zone_name", TEXT),
+    ("source_country", TEXT),
+    ("source_region", TEXT),
+    ("dest_zone", TEXT),
+    ("dest_zone_name", TEXT),
+    ("dest_country", TEXT),
+    ("dest_region", TEXT),
+    ("export_mwh", DOUBLE),
+    ("import_mwh", DOUBLE),
+    ("net_import_mwh", DOUBLE),
+    ("interval_start", TIMESTAMP),
+    ("interval_end", TIMESTAMP),
+    ("computed_at", TIMESTAMP),
+    ("last_extracted_at", TIMESTAMP),
+    ("grain", TEXT),
+    ("unit_energy", TEXT),
+)
