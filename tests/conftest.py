@@ -39,14 +39,14 @@ def bronze_of(spark, *rows):
 
 
 def mix_payload(zone="DE", granularity="hourly", **item):
-    item = {"datetime": "2026-09-16T12:00:00Z", "updatedAt": "2026-09-16T12:05:00Z", **item}
+    item = {"datetime": "2026-04-16T12:00:00Z", "updatedAt": "2026-04-16T12:05:00Z", **item}
     return {"zone": zone, "temporalGranularity": granularity, "unit": "MW", "data": [item]}
 
 
 def flow_payload(imports, exports, zone="FR", **item):
     item = {
-        "datetime": "2026-09-16T12:00:00Z",
-        "updatedAt": "2026-09-16T12:05:00Z",
+        "datetime": "2026-04-16T12:00:00Z",
+        "updatedAt": "2026-04-16T12:05:00Z",
         "import": imports,
         "export": exports,
         **item,

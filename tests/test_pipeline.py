@@ -25,7 +25,7 @@ from gridspark.spec import LayerSpec, OutputSpec, PipelineSpec, BronzeSpec
 from gridspark.streaming.jobs import stream_bronze, stream_daily_mix, stream_silver
 
 MIX, FLOWS = testbed.mix_spec(), testbed.flow_spec()
-AT = "2026-09-16T13:00:00Z"
+AT = "2026-04-16T13:00:00Z"
 
 
 def mix_bronze(spark, wind=60.0, day=16, at=AT, updated="12:05"):
@@ -34,8 +34,8 @@ def mix_bronze(spark, wind=60.0, day=16, at=AT, updated="12:05"):
         (
             at,
             mix_payload(
-                datetime=f"2026-09-{day:02d}T12:00:00Z",
-                updatedAt=f"2026-09-{day:02d}T{updated}:00Z",
+                datetime=f"2026-04-{day:02d}T12:00:00Z",
+                updatedAt=f"2026-04-{day:02d}T{updated}:00Z",
                 mix={"wind": wind, "coal": 40.0},
             ),
         ),
@@ -136,12 +136,12 @@ def test_etl_through_tables(spark, tmp_path):
     assert spark.table("silver_t.dim_date").count() == 1
     assert spark.table("gold_t.electricity_flows_fr_exports_daily").count() == 2
     land(mix_bronze(spark, wind=160.0, day=17), mix)
-    run_table(spark, "fact_electricity_mix", specs=[flows, mix], since="2026-09-16")
+    run_table(spark, "fact_electricity_mix", specs=[flows, mix], since="2026-04-16")
     run_table(spark, "dim_date", specs=[flows, mix])
     run_table(spark, "electricity_mix_daily_relative", specs=[flows, mix])
     assert spark.table("silver_t.dim_date").count() == 2
     shares = {str(r.dt): r.wind_pct for r in spark.table("gold_t.electricity_mix_daily_relative").collect()}
-    assert shares == {"2026-09-16": 60.0, "2026-09-17": 80.0}
+    assert shares == {"2026-04-16": 60.0, "2026-04-17": 80.0}
     mirrored = read_silver(spark, mix, root=root)
     assert mirrored["fact"].count() == 1 and mirrored["dim_zone"].count() == 10
 
@@ -185,14 +185,14 @@ def test_gold_since_keeps_older_days(spark, tmp_path):
     run_gold(spark, MIX, **root)
     second = saved(mix_bronze(spark, wind=0.0, day=16, updated="12:30"), tmp_path / "2")
     run_silver(spark, MIX, bronze_path=second, bronze_format="parquet", **root)
-    run_gold(spark, MIX, since="2026-09-16", **root)
+    run_gold(spark, MIX, since="2026-04-16", **root)
     gold = read_parquet(spark, f"{tmp_path}/out/gold/electricity_mix_daily_relative", MIX_DAILY)
-    assert {str(r.dt): r.wind_pct for r in gold.collect()} == {"2026-09-15": 60, "2026-09-16": 0}
+    assert {str(r.dt): r.wind_pct for r in gold.collect()} == {"2026-04-15": 60, "2026-04-16": 0}
     unpartitioned = dataclasses.replace(
         MIX, gold=LayerSpec(schema="gold", table="electricity_mix_daily_relative")
     )
     with pytest.raises(ValueError, match="since"):
-        run_gold(spark, unpartitioned, since="2026-09-16", **root)
+        run_gold(spark, unpartitioned, since="2026-04-16", **root)
 
 
 def test_gold_since_in_tables(spark, tmp_path):
@@ -203,14 +203,14 @@ def test_gold_since_in_tables(spark, tmp_path):
     source = {"bronze_format": "parquet"}
     first = saved(mix_bronze(spark, day=15).union(mix_bronze(spark, day=16)), tmp_path / "1")
     run_silver(spark, mix, bronze_path=first, write_shared_dims=True, **source)
-    run_gold(spark, mix, since="2026-09-01")
+    run_gold(spark, mix, since="2026-04-01")
     spark.sql("INSERT OVERWRITE silver_s.dim_zone VALUES ('DE', 'Changed', 'x', 'y')")
     second = saved(mix_bronze(spark, wind=0.0, day=16, updated="12:30"), tmp_path / "2")
     run_silver(spark, mix, bronze_path=second, **source)
-    run_gold(spark, mix, since="2026-09-16")
+    run_gold(spark, mix, since="2026-04-16")
     table = spark.table("gold_s.electricity_mix_daily_relative")
     got = {str(r.dt): (r.wind_pct, r.zone_name) for r in table.collect()}
-    assert got == {"2026-09-15": (60.0, "Germany"), "2026-09-16": (0.0, "Changed")}
+    assert got == {"2026-04-15": (60.0, "Germany"), "2026-04-16": (0.0, "Changed")}
 
 
 def test_stream_from_landing_to_silver(spark, tmp_path):
@@ -219,10 +219,10 @@ def test_stream_from_landing_to_silver(spark, tmp_path):
 
     def drop(day, hour, *payloads):
         rows = spark.createDataFrame([(json.dumps(p),) for p in payloads], "payload string")
-        write_landing(rows, landing, "mix_latest", datetime(2026, 9, day, hour))
+        write_landing(rows, landing, "mix_latest", datetime(2026, 4, day, hour))
 
     def version(wind, minute):
-        return mix_payload(updatedAt=f"2026-09-16T12:{minute:02d}:00Z", mix={"wind": wind})
+        return mix_payload(updatedAt=f"2026-04-16T12:{minute:02d}:00Z", mix={"wind": wind})
 
     def run():
         stream_bronze(spark, MIX, landing, bronze, checks[0]).awaitTermination()
@@ -251,22 +251,22 @@ def test_stream_daily_mix_emits_closed_days(spark, tmp_path):
     def land(*rows):
         df = bronze_of(spark, *rows).selectExpr(
             "timestamp(extracted_at) extracted_at", "source_url", "payload",
-            "'2026' year", "'09' month", "'16' day",
+            "'2026' year", "'04' month", "'16' day",
         )
         df.write.mode("append").parquet(source)
         stream_daily_mix(spark, source, gold, check, delay="1 day").awaitTermination()
 
     def item(day, hour, wind, zone="DE"):
-        when = f"2026-09-{day:02d}T{hour:02d}:00:00Z"
+        when = f"2026-04-{day:02d}T{hour:02d}:00:00Z"
         return (AT, mix_payload(zone, datetime=when, mix={"wind": wind, "coal": 10.0}))
 
     land(item(16, 1, 10.0), item(16, 1, 10.0), item(16, 2, 20.0), item(17, 1, 1.0))
     land(item(18, 12, 1.0))
     got = {(str(r.dt), r.wind_mwh, r.zone_name) for r in read_parquet(spark, gold, MIX_DAILY).collect()}
-    assert got == {("2026-09-16", 30.0, "Germany")}
+    assert got == {("2026-04-16", 30.0, "Germany")}
     land(item(30, 12, 1.0))
     days = {str(r.dt) for r in read_parquet(spark, gold, MIX_DAILY).collect()}
-    assert days == {"2026-09-16", "2026-09-17", "2026-09-18"}
+    assert days == {"2026-04-16", "2026-04-17", "2026-04-18"}
 
 
 def test_session_helpers(spark):

@@ -127,7 +127,7 @@ def test_request_url(spark):
 
 
 @pytest.mark.parametrize(
-    "when", [datetime(2026, 9, 16, 12), datetime(2026, 9, 16, 12, tzinfo=timezone.utc)]
+    "when", [datetime(2026, 4, 16, 12), datetime(2026, 4, 16, 12, tzinfo=timezone.utc)]
 )
 def test_bronze_rows(spark, when):
     snapshots = spark.createDataFrame([("{}",)], "payload string")
@@ -136,7 +136,7 @@ def test_bronze_rows(spark, when):
     [row] = rows.withColumn(
         "extracted_at", F.date_format("extracted_at", "yyyy-MM-dd'T'HH:mm:ssxxx")
     ).collect()
-    assert tuple(row) == ("2026-09-16T12:00:00+00:00", "u", "{}", "2026", "09", "16")
+    assert tuple(row) == ("2026-04-16T12:00:00+00:00", "u", "{}", "2026", "04", "16")
     assert bronze_rows(snapshots, F.lit("u")).where("extracted_at is null").count() == 0
 
 
@@ -148,7 +148,7 @@ def test_bronze_formats(spark, tmp_path):
     enveloped.write_text(
         "\n".join(
             json.dumps(
-                {"extracted_at": "2026-09-16T12:00:00Z", "source_url": "u", "payload": json.dumps(s)}
+                {"extracted_at": "2026-04-16T12:00:00Z", "source_url": "u", "payload": json.dumps(s)}
             )
             for s in snapshots
         )
@@ -161,14 +161,14 @@ def test_bronze_formats(spark, tmp_path):
     parquet = str(tmp_path / "bronze.parquet")
     rows = read_bronze(spark, path=str(enveloped), format="json")
     rows.withColumns(
-        {"year": F.lit("2026"), "month": F.lit("09"), "day": F.lit("16")}
+        {"year": F.lit("2026"), "month": F.lit("04"), "day": F.lit("16")}
     ).write.partitionBy("year", "month", "day").parquet(parquet)
     back = read_bronze(spark, path=parquet)
     assert {r.payload for r in back.collect()} == want
-    assert {r.month for r in back.collect()} == {"09"}
-    assert read_bronze(spark, path=parquet, since="2026-09-17").count() == 0
-    assert read_bronze(spark, path=parquet, since="2026-09-16").count() == 2
-    assert read_bronze(spark, path=str(enveloped), since="2026-09-17").count() == 0
+    assert {r.month for r in back.collect()} == {"04"}
+    assert read_bronze(spark, path=parquet, since="2026-04-17").count() == 0
+    assert read_bronze(spark, path=parquet, since="2026-04-16").count() == 2
+    assert read_bronze(spark, path=str(enveloped), since="2026-04-17").count() == 0
     with pytest.raises(ValueError, match="format"):
         read_bronze(spark, path=parquet, format="orc")
     with pytest.raises(ValueError, match="spec or a path"):
@@ -178,11 +178,11 @@ def test_bronze_formats(spark, tmp_path):
 def test_since_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "b.parquet")
     rows = spark.createDataFrame(
-        [("x", "2026", "09", "01"), ("y", "2026", "09", "16")],
+        [("x", "2026", "04", "01"), ("y", "2026", "04", "16")],
         "payload string, year string, month string, day string",
     )
     rows.write.partitionBy("year", "month", "day").parquet(path)
-    plan = read_bronze(spark, path=path, since="2026-09-10")._jdf.queryExecution()
+    plan = read_bronze(spark, path=path, since="2026-04-10")._jdf.queryExecution()
     assert "PartitionFilters: [" in plan.executedPlan().toString()
     filters = plan.executedPlan().toString().split("PartitionFilters: [")[1].split("PushedFilters")[0]
     assert "(year#" in filters and "(month#" in filters
@@ -190,13 +190,13 @@ def test_since_prunes_partitions(spark, tmp_path):
 
 
 def test_retention(spark):
-    now = F.lit(datetime(2026, 9, 16, 12, tzinfo=timezone.utc))
+    now = F.lit(datetime(2026, 4, 16, 12, tzinfo=timezone.utc))
     names = {
-        "mix_latest_20260901T120000Z.jsonl": True,
-        "mix_latest_20260901T120000Z.jsonl.gz": True,
-        "mix_latest_20260914T120000Z.jsonl": False,
-        "mix_latest_20260909T120000Z.jsonl": False,
-        "mix_latest_20260909T115959Z.jsonl": True,
+        "mix_latest_20260401T120000Z.jsonl": True,
+        "mix_latest_20260401T120000Z.jsonl.gz": True,
+        "mix_latest_20260414T120000Z.jsonl": False,
+        "mix_latest_20260409T120000Z.jsonl": False,
+        "mix_latest_20260409T115959Z.jsonl": True,
         "mix_latest.jsonl": False,
         "mix_latest_20261301T120000Z.jsonl": False,
     }
@@ -210,11 +210,11 @@ def test_retention(spark):
 def test_landing_round_trip(spark, tmp_path):
     root = str(tmp_path)
     payloads = spark.createDataFrame([('{"zone":"DE"}',)], "payload string")
-    old = write_landing(payloads, root, "mix", datetime(2026, 9, 1, 12))
-    write_landing(payloads, root, "mix", datetime(2026, 9, 14, 12))
-    assert old.endswith("/mix/mix_20260901T120000Z.jsonl")
-    assert landing_name("mix", datetime(2026, 9, 1, 12)) == "mix_20260901T120000Z.jsonl"
-    now = datetime(2026, 9, 16, 12)
+    old = write_landing(payloads, root, "mix", datetime(2026, 4, 1, 12))
+    write_landing(payloads, root, "mix", datetime(2026, 4, 14, 12))
+    assert old.endswith("/mix/mix_20260401T120000Z.jsonl")
+    assert landing_name("mix", datetime(2026, 4, 1, 12)) == "mix_20260401T120000Z.jsonl"
+    now = datetime(2026, 4, 16, 12)
     files = landing_files(spark, f"{root}/mix")
     assert {r.name for r in expired_files(files, now, 7).collect()} == {old.rsplit("/", 1)[1]}
     assert read_landing(spark, f"{root}/mix").count() == 2
@@ -225,8 +225,8 @@ def test_landing_round_trip(spark, tmp_path):
 def test_landed_single_files(spark, tmp_path):
     import gzip
 
-    (tmp_path / "mix_20260914T120000Z.jsonl").write_text('{"zone":"DE"}\n')
-    with gzip.open(tmp_path / "mix_20260915T120000Z.jsonl.gz", "wt") as handle:
+    (tmp_path / "mix_20260414T120000Z.jsonl").write_text('{"zone":"DE"}\n')
+    with gzip.open(tmp_path / "mix_20260415T120000Z.jsonl.gz", "wt") as handle:
         handle.write('{"zone":"FR"}\n')
     (tmp_path / "notes.txt").write_text("x\n")
     rows = read_landing(spark, str(tmp_path)).withColumn("stamp", F.date_format("stamp", "dd"))
