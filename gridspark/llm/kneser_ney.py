@@ -5,8 +5,9 @@ sharded by run of bytes and joined; there is no copy of the model in one place.
 in blocks. A block asks for the probability of each distinct run it holds, once, and sums them up
 over its texts, so what is shuffled grows with the distinct runs of a block, not with its bytes.
 
-A text is kept if its perplexity is at most the threshold of its language: a quantile of the
-perplexity of trusted texts that were held out of the counts, with some slack.
+A text is kept if its perplexity, less an allowance for short texts, is at most the threshold of its
+language: a quantile of the same figure of trusted texts that were held out of the counts, with some
+slack.
 """
 
 from __future__ import annotations
@@ -25,11 +26,14 @@ ORDER = 4
 DOCS_PER_BLOCK = 4096
 #: Share of trusted texts that set the thresholds, one in so many.
 HELD_OUT = 5
-QUANTILE, SLACK = 0.99, 1.25
+#: The slack is the smallest of 1, 1.03, 1.05 and 1.1 with which thresholds from one half of the
+#: held-out trusted texts keep 99 % of the other half (sf0.1, mean of 60 random halves).
+QUANTILE, SLACK = 0.99, 1.03
 #: The mean of few bytes varies more: n bytes may lie this many nats / sqrt(n) above the threshold.
 SHORT = 2.0
-#: A language with fewer held-out texts takes the threshold of all languages together.
-LEAST_HELD_OUT = 20
+#: A language with fewer held-out texts takes the threshold of all languages together: the 99 %
+#: quantile of fewer is their maximum.
+LEAST_HELD_OUT = 100
 #: Bytes that a task gathers before it packs them, and runs it looks at together.
 PACK_BYTES = 8 << 20
 RUNS = 1 << 20
@@ -316,10 +320,19 @@ def perplexities(
     )
 
 
+def _allowance() -> Column:
+    """What the perplexity of a text of `n_bytes` may be a multiple of its threshold by."""
+    return F.exp(SHORT / F.sqrt(F.greatest("n_bytes", F.lit(1))))
+
+
 def thresholds(found: DataFrame, lang: str = "lang", quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
-    """`lang`, `threshold` for the languages with enough held-out texts, and one row for all (null)."""
+    """`lang`, `threshold` for the languages with enough held-out texts, and one row for all (null).
+
+    They are for texts so long that they need no allowance; it is taken off the held-out ones, too.
+    """
     known = found.filter("held_out AND perplexity IS NOT NULL")
-    cut = (F.percentile_approx("perplexity", quantile, 10_000) * slack).alias("threshold")
+    long = F.log(F.col("perplexity") / _allowance())
+    cut = (F.exp(F.percentile_approx(long, quantile, 10_000)) * slack).alias("threshold")
     each = known.groupBy(lang).agg(cut, F.count("*").alias("n")).filter(F.col("n") >= LEAST_HELD_OUT)
     every = known.agg(cut).select(F.lit(None).cast("string").alias(lang), "threshold")
     return each.select(lang, "threshold").unionByName(every)
@@ -341,6 +354,6 @@ def classified(
     every = limits.filter(F.col(lang).isNull()).select(F.col("threshold").alias("of_all"))
     # A row per language, and one row: bounded by the number of languages.
     judged = found.join(F.broadcast(own), lang, "left").join(F.broadcast(every))
-    limit = F.coalesce("threshold", "of_all") * F.exp(SHORT / F.sqrt(F.greatest("n_bytes", F.lit(1))))
+    limit = F.coalesce("threshold", "of_all") * _allowance()
     keep = F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= limit, F.lit(True))
     return judged.select(key, lang, "n_bytes", "perplexity", limit.alias("threshold"), "held_out", keep.alias("keep"))

@@ -115,3 +115,24 @@ def test_op2_on_labelled_documents(spark):
     bad = [r["doc_id"] for r in labels if r["quality"] == 0]
     assert sum(d in kept for d in good) >= 0.98 * len(good)
     assert sum(d in kept for d in bad) <= 0.15 * len(bad)
+
+
+def test_short_held_out_texts_do_not_set_the_threshold(spark):
+    rows = [("de", 2000, 5.0, True)] * 196 + [("de", 7, 10.0, True)] * 4 + [("fr", 2000, 5.0, True)] * 50
+    found = spark.createDataFrame(rows, "lang string, n_bytes long, perplexity double, held_out boolean")
+    got = {r["lang"]: r["threshold"] for r in kneser_ney.thresholds(found).collect()}
+    # Fifty texts are too few for their 99 % quantile.
+    assert set(got) == {"de", None}
+    # A long text is kept at 5.0; one of a single repeated word had 6.2.
+    at = {n: got["de"] * math.exp(kneser_ney.SHORT / math.sqrt(n)) for n in (2000, 5781)}
+    assert at[2000] >= 5.0 and at[5781] < 6.2
+
+
+def test_op2_keeps_little_junk(spark):
+    larger = "/root/testdata/sf0.1"
+    kept = {r["doc_id"] for r in queries.QUERIES["op2_kneser_ney"](spark, larger).collect()}
+    labels = spark.read.parquet(f"{larger}/labels.parquet").collect()
+    good = [r["doc_id"] for r in labels if r["quality"] == 1 and not r["toxic"]]
+    bad = [r["doc_id"] for r in labels if r["quality"] == 0]
+    assert sum(d in kept for d in good) >= 0.99 * len(good)
+    assert sum(d in kept for d in bad) <= 0.05 * len(bad)
