@@ -2,7 +2,9 @@
 
 Markup is stripped to lines, one for each block of text, with the length of the text that counts:
 none for menus, page headers and footers, sidebars, notices, adverts, forms and comments, none for
-link text, and none outside the article where the page marks one. Lengths are summed over sliding
+link text, and none outside the article where the page marks one. Words of a class, id or role mark
+what is around an article only as a guess: an article inside counts if no other has text, and a page
+without any article whose other lines are empty gives the long ones of these. Lengths are summed over sliding
 windows of lines. Text begins where the sums surge and ends where they dive to nothing; lines between
 the two that count are kept, however short.
 """
@@ -25,13 +27,15 @@ WINDOW = 3
 SURGE = 86
 
 # Element names of HTML, by what they do to the text.
-RAW = "script style template textarea title noscript xmp iframe noembed noframes svg math object"
+RAW = "script style template textarea title noscript xmp iframe noembed noframes svg"
 SKIPPED = "nav aside form button select dialog menu footer header head"
 ARTICLE = "article main"
 INLINE = (
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter nobr "
     "output picture progress q rp rt ruby s samp small source span strike strong sub sup time tt u var "
-    "wbr input link meta"
+    "wbr input link meta object "
+    "math semantics annotation mrow mi mn mo ms mtext mspace mstyle mpadded mphantom msub msup msubsup "
+    "mfrac msqrt mroot mover munder munderover mmultiscripts mprescripts merror mtable mtr mtd menclose"
 )
 VOID = "area base br col embed hr img input link meta param source track wbr"
 # Words of class names, ids and roles that mark what is not the article.
@@ -51,32 +55,43 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S,
 )
-_NAMED = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
-_WORD = re.compile(r"[A-Za-z]+")
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACE = re.compile(r"\s+")
 
 
-def _is_marked(attributes: str, inside_article: bool) -> bool:
-    for name, a, b, c in _NAMED.findall(attributes):
-        if name.lower() == "hidden":
-            return True
-        words = _WORD.findall((a or b or c).lower())
-        # Inside an article a header's words name its own headline.
-        if any(w in _MARKED and not (inside_article and w in ("header", "masthead")) for w in words):
-            return True
-    return False
+#: Why the text of an element does not count: words that mark it, or what it is.
+GUESSED, CERTAIN = 1, 2
+
+
+def _marked(attributes: str, inside_article: bool) -> int:
+    """`CERTAIN` for a hidden element, `GUESSED` for one with a marking class, id or role, else 0."""
+    found = 0
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        name = name.lower()
+        if name == "hidden":
+            return CERTAIN
+        if name in ("class", "id", "role"):
+            words = (a or b or c).lower().split()
+            # Inside an article a header's words name its own headline.
+            if any(w in _MARKED and not (inside_article and w in ("header", "masthead")) for w in words):
+                found = GUESSED
+    return found
 
 
 def lines(page: str) -> tuple[list[str], list[int], bool]:
     """Blocks of text in page order, the length of each that counts, and whether an article is marked.
 
+    Of articles those in marked surroundings count if the others are empty. Where no article has text
+    and all other text is marked, the lengths are those of the marked text, if it has a surge.
     Unclosed elements end with their parent; a page cut off in its middle gives the lines so far.
     """
     texts: list[str] = []
     lengths: list[int] = []
-    inside: list[bool] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, skipped, in the article, in a link
-    skip = article = link = seen = False
+    skipped: list[int] = []
+    inside: list[int] = []
+    # Name, why skipped, in an article (1, in marked surroundings 2), in a link.
+    stack: list[tuple[str, int, int, bool]] = []
+    skip, article, link = 0, 0, False
     words: list[str] = []
     linked = 0
 
@@ -86,7 +101,8 @@ def lines(page: str) -> tuple[list[str], list[int], bool]:
             text = _SPACE.sub(" ", html.unescape("".join(words))).strip()
             if text:
                 texts.append(text)
-                lengths.append(0 if skip else max(0, len(text) - linked) or (1 if article else 0))
+                lengths.append(max(0, len(text) - linked) or (1 if article else 0))
+                skipped.append(skip)
                 inside.append(article)
             words.clear()
         linked = 0
@@ -94,7 +110,7 @@ def lines(page: str) -> tuple[list[str], list[int], bool]:
     def pop_to(depth: int) -> None:
         nonlocal skip, article, link
         del stack[depth:]
-        _, skip, article, link = stack[-1] if stack else ("", False, False, False)
+        _, skip, article, link = stack[-1] if stack else ("", 0, 0, False)
 
     at, end = 0, len(page)
     while at < end:
@@ -144,18 +160,38 @@ def lines(page: str) -> tuple[list[str], list[int], bool]:
             words.append(" ")
         if name in _VOID or tag[3].endswith("/"):
             continue
-        begins = name in _ARTICLE
-        out = not (name in ("html", "body")) and (
-            (name in _SKIPPED and not (name == "header" and article))
-            or (name not in _ARTICLE and _is_marked(tag[3], article))
-        )
-        skip, article, link = skip or out, article or (begins and not skip and not out), link or name == "a"
-        seen = seen or article
+        if name in _ARTICLE:
+            # Inside an article, what is marked stays out: comments are often articles, too.
+            if not article and skip < CERTAIN:
+                article, skip = 1 + skip, 0
+        elif name in _SKIPPED and not (name == "header" and article):
+            skip = CERTAIN
+        elif name not in ("html", "body"):
+            skip = max(skip, _marked(tag[3], article > 0))
+        link = link or name == "a"
         stack.append((name, skip, article, link))
     close_block()
-    if seen:
-        lengths = [n if i else 0 for n, i in zip(lengths, inside, strict=True)]
-    return texts, lengths, seen
+
+    def of(why: int, kinds: tuple[int, ...]) -> list[int]:
+        return [n if s <= why and i in kinds else 0 for n, s, i in zip(lengths, skipped, inside, strict=True)]
+
+    for kind in (1, 2):
+        own = of(0, (kind,))
+        if any(own):
+            return texts, own, True
+    clear, guessed = of(0, (0,)), of(GUESSED, (0, 1, 2))
+    if not any(clear) and max(_sums(guessed, WINDOW), default=0) > SURGE:
+        return texts, guessed, False
+    return texts, clear, False
+
+
+def _sums(lengths: list[int], window: int) -> list[int]:
+    """Sum of each line's window: itself and the lines around it."""
+    half = window // 2
+    total = [0]
+    for n in lengths:
+        total.append(total[-1] + n)
+    return [total[min(i + half + 1, len(lengths))] - total[max(i - half, 0)] for i in range(len(lengths))]
 
 
 def between_surges(texts: list[str], lengths: list[int], surge: int, window: int = WINDOW) -> list[str]:
@@ -165,11 +201,7 @@ def between_surges(texts: list[str], lengths: list[int], surge: int, window: int
     are dives and part the page into regions. A region with a sum above `surge` is text; if there is
     none, the one with the highest sum is.
     """
-    half = window // 2
-    total = [0]
-    for n in lengths:
-        total.append(total[-1] + n)
-    sums = [total[min(i + half + 1, len(lengths))] - total[max(i - half, 0)] for i in range(len(lengths))]
+    sums = _sums(lengths, window)
     regions: list[tuple[int, list[str]]] = []
     highest, kept = 0, []
     for i, n in enumerate([*sums, 0]):

@@ -61,3 +61,31 @@ def test_op3(spark):
         blocks = (html.unescape(re.sub(r"<[^>]*>", "", b)) for b in re.split(r"</?(?:p|h1)>", article))
         want = "\n".join(b for b in (re.sub(r"\s+", " ", x).strip() for x in blocks) if b)
         assert (r["url"], r["text"], r["n_chars"]) == (pages[r["page_id"]]["url"], want, len(want))
+
+
+LONG = "long words of an article " * 8
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        # Names that only contain a marking word.
+        ("<div style='overflow:hidden'><article><p>a</p></article></div>", "a"),
+        ('<article aria-hidden="false"><div style="overflow:hidden" data-id="search" data-role=menu><p>a</p></div></article>', "a"),
+        ('<div class="page has-sidebar"><article><p>a</p></article></div>', "a"),
+        ('<div class="header-fixed"><p>' + LONG + "</p></div>", LONG.strip()),
+        ("<article><div class='social-history'><p>a</p></div><p id=search-methods>b</p></article>", "a\nb"),
+        # An article in marked surroundings, and one beside it.
+        ('<div class="page sidebar"><article><p>a</p><p hidden>x</p></article></div>', "a"),
+        ("<div id=search><main><h1>t</h1><div class=ad>buy</div><p>a</p></main></div>", "t\na"),
+        ("<article><p>a</p></article><div class=comments><article><p>nice</p></article></div>", "a"),
+        ("<article><p>a</p><div class=comments><article><p>nice</p></article></div></article>", "a"),
+        ("<div hidden><article><p>a</p></article></div><p>b</p>", "b"),
+        # No article, all of it marked; a notice alone is none.
+        ("<div class=widget><p>" + LONG + "</p></div><nav>n</nav>", LONG.strip()),
+        ("<div class=cookie>yes</div>", ""),
+        ("<article><p>if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then</p><object>o</object></article>", "if x=2 then\no"),
+    ],
+)
+def test_single_words_do_not_lose_an_article(page, want):
+    assert html_text.main_text(page) == want
