@@ -5,8 +5,8 @@ tokens in a row, its s-mers the s tokens in a row inside it. A k-mer is a closed
 smallest hash of its s-mers is that of its first or its last one. Whether it is follows from the
 k-mer alone, not from what stands around it, so equal passages give equal anchors wherever they are.
 
-The fingerprint is the sketch of the smallest distinct anchor hashes. Everything is built-in
-functions.
+The fingerprint is the set of all distinct anchor hashes, so it grows with the text. `matches` gives
+the places of the anchors that two texts have in common. Everything is built-in functions.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gridspark.llm.common import range_bounds, range_of, text_or_empty
 
-K, S, SIZE = 5, 2, 64
+K, S = 5, 2
 #: Rows of a range of documents whose successors are found in one task.
 DOCS_PER_RANGE = 1024
 
@@ -77,25 +77,61 @@ def with_anchors(df: DataFrame, text: str, to: str, k: int = K, s: int = S) -> D
     return out.withColumn(to, found).drop(words, inner)
 
 
-def sketch(anchors: Column, size: int = SIZE) -> Column:
-    """The `size` smallest distinct hashes, ascending."""
-    hashes = F.transform(anchors, lambda a: a["hash"])
-    return F.slice(F.array_sort(F.array_distinct(hashes)), 1, size)
+def hashes(anchors: Column) -> Column:
+    """The distinct hashes, ascending."""
+    return F.sort_array(F.array_distinct(F.transform(anchors, lambda a: a["hash"])))
 
 
-def as_text(hashes: Column) -> Column:
+def as_text(found: Column) -> Column:
     """16 hex digits for each hash."""
-    return F.array_join(F.transform(hashes, lambda h: F.lpad(F.hex(h), 16, "0")), "")
+    return F.array_join(F.transform(found, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
-def likeness(a: Column, b: Column, size: int = SIZE) -> Column:
-    """Estimated share of anchors that two texts have in common, from their sketches: of the `size`
-    smallest of both, those that are in both. Two empty sketches are alike, an empty and another not."""
+def likeness(a: Column, b: Column, size: int | None = None) -> Column:
+    """Share of the distinct hashes of two texts that both have; with `size`, among the `size` smallest
+    of both. Two empty sets are alike, an empty and another not."""
+    if size is None:
+        both, every = F.size(F.array_intersect(a, b)), F.size(a) + F.size(b)
+        return F.when(every == 0, F.lit(1.0)).otherwise(both / (every - both))
     smallest = F.slice(F.array_sort(F.array_union(a, b)), 1, size)
     both = F.size(F.array_intersect(F.array_intersect(a, b), smallest))
     return F.when(F.size(smallest) == 0, F.lit(1.0)).otherwise(both / F.size(smallest))
 
 
+def matches(df: DataFrame, one: str, two: str, k: int = K, s: int = S) -> DataFrame:
+    """The anchors that the texts `one` and `two` of a row have in common: a row for each hash, with
+    the other columns of `df`, `hash`, and its `positions` in `one` and `other_positions` in `two`,
+    ascending.
+
+    Each position of the one list matches each of the other; they are not paired, so a passage that
+    both repeat costs no square. Texts without a common anchor give no rows; rows of `df` that are
+    alike each give their own.
+    """
+    kept = [c for c in df.columns if c not in (one, two)]
+    rows = df.select(
+        F.monotonically_increasing_id().alias("__row"), F.struct(F.lit(0), *[F.col(f"`{c}`") for c in kept]).alias("__kept"),
+        F.col(f"`{one}`").alias("__one"), F.col(f"`{two}`").alias("__two"),
+    )
+    for side in ("__one", "__two"):
+        rows = with_anchors(rows, side, f"{side}_anchors", k, s)
+
+    def tagged(anchors: str, own: bool) -> Column:
+        return F.transform(
+            anchors, lambda a: F.struct(F.lit(own).alias("own"), a["position"].alias("position"), a["hash"].alias("hash"))
+        )
+
+    every = F.explode(F.concat(tagged("__one_anchors", True), tagged("__two_anchors", False)))
+    found = rows.select("__row", "__kept", every.alias("a")).groupBy("__row", F.col("a.hash").alias("__hash"))
+    places = [
+        F.sort_array(F.collect_list(F.when(side, F.col("a.position")))).alias(name)
+        for side, name in ((F.col("a.own"), "positions"), (~F.col("a.own"), "other_positions"))
+    ]
+    both = found.agg(F.first("__kept").alias("__kept"), *places)
+    both = both.filter((F.size("positions") > 0) & (F.size("other_positions") > 0))
+    own = [F.col("__kept").getField(c).alias(c) for c in kept]
+    return both.select(*own, F.col("__hash").alias("hash"), "positions", "other_positions")
+
+
 def with_next(df: DataFrame, key: str, text: str, derive, per_range: int = DOCS_PER_RANGE) -> DataFrame:
     """`key`, `text`, what `derive` adds to a row of these two, and in `next` a struct of all but the
     key for the row with the next key; after the last row comes the first.
@@ -140,25 +176,25 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), n - half), F.substring(following, F.lit(1), half))
 
 
-def fingerprints(df: DataFrame, key: str, text: str = "text", k: int = K, s: int = S, size: int = SIZE) -> DataFrame:
+def fingerprints(df: DataFrame, key: str, text: str = "text", k: int = K, s: int = S) -> DataFrame:
     """One row per row of `df`: `key`, the fingerprints of its text and of its edited text, and how
     like its own is to the edited text's and to the next document's.
 
     Null texts count as empty. Repeated rows stay. Only the two named columns are read.
     """
 
-    def sketched(rows: DataFrame, name: str, to: str) -> DataFrame:
-        return with_anchors(rows, name, to, k, s).withColumn(to, sketch(F.col(to), size))
+    def hashed(rows: DataFrame, name: str, to: str) -> DataFrame:
+        return with_anchors(rows, name, to, k, s).withColumn(to, hashes(F.col(to)))
 
-    rows = with_next(df, key, text, lambda r, name: sketched(r, name, "own"))
+    rows = with_next(df, key, text, lambda r, name: hashed(r, name, "own"))
     rows = rows.withColumn("edited_text", edited(F.col(text), F.col("next.text")))
-    rows = sketched(rows, "edited_text", "edited")
+    rows = hashed(rows, "edited_text", "edited")
     return rows.select(
         key,
         F.char_length(text).cast("long").alias("n_chars"),
         F.sha2("edited_text", 256).alias("edited_sha256"),
         as_text(F.col("own")).alias("fingerprint"),
         as_text(F.col("edited")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("edited"), size).alias("near_edited"),
-        likeness(F.col("own"), F.col("next.own"), size).alias("near_next"),
+        likeness(F.col("own"), F.col("edited")).alias("near_edited"),
+        likeness(F.col("own"), F.col("next.own")).alias("near_next"),
     )

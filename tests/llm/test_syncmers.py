@@ -85,3 +85,30 @@ def test_op9(spark):
         assert 0 <= own["near_next"] <= 1 and 0 <= own["near_edited"] <= 1
     assert len(set(by_text.values())) == len(by_text)
     assert sum(a for a, _ in near) / len(near) > 0.3 > 0.1 > sum(b for _, b in near) / len(near)
+
+
+def test_fingerprints_hold_every_anchor(spark):
+    words = [f"w{i * i * 31 % 10007}" for i in range(4000)]
+    passage = words[2000:2050]
+    df = docs(spark, (1, " ".join(words)), (2, " ".join(passage)))
+    got = {r["doc_id"]: r for r in syncmers.fingerprints(df, "doc_id").collect()}
+    sets = {}
+    for i, text in ((1, words), (2, passage)):
+        print_ = got[i]["fingerprint"]
+        sets[i] = {print_[at : at + 16] for at in range(0, len(print_), 16)}
+        assert sets[i] == {f"{h & (1 << 64) - 1:016X}" for _, h in anchors(spark, " ".join(text))}
+    assert len(sets[1]) > 1000 and len(sets[2]) > 10 and sets[2] <= sets[1]
+    assert got[1]["near_next"] == got[2]["near_next"] == len(sets[2]) / len(sets[1])
+
+
+def test_matches(spark):
+    passage = " ".join(f"w{i * 7 % 61}" for i in range(50))
+    one, two = "a b c " + passage, passage + " x y z " + passage
+    rows = [(1, one, two), (1, one, two), (2, one, "other"), (3, None, None)]
+    df = spark.createDataFrame(rows, "id long, one string, two string")
+    got = syncmers.matches(df, "one", "two").collect()
+    of_one, of_two = anchors(spark, one), anchors(spark, two)
+    want = []
+    for h in {h for _, h in of_one} & {h for _, h in of_two}:
+        want.append((1, h, [p for p, x in of_one if x == h], [p for p, x in of_two if x == h]))
+    assert len(want) > 10 and sorted(tuple(r) for r in got) == sorted(want * 2)
