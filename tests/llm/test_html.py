@@ -89,3 +89,9 @@ LONG = "long words of an article " * 8
 )
 def test_single_words_do_not_lose_an_article(page, want):
     assert html_text.main_text(page) == want
+
+
+def test_given_pages_without_article_tags(spark):
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        bare = re.sub(r"</?article\b[^>]*>", "", r["html"])
+        assert not html_text.lines(bare)[2] and html_text.main_text(bare) == html_text.main_text(r["html"])
