@@ -280,22 +280,29 @@ def near_duplicates(
     rows = df.select(F.col(key).cast("long").alias("id"), text_or_empty(text).alias("text"))
     keyed = rows.filter("id IS NOT NULL")
     seen = written(signed(keyed, size), "signatures")
-    # Copies: one document stands for all with the same text.
-    stands = written(seen.groupBy("digest").agg(F.min("id").alias("of")), "stands")
+    # Copies: one document stands for all with the same text. Texts have numbers of their own, fixed by
+    # being written, as a document may stand for several texts.
+    stands = seen.groupBy("digest").agg(F.min("id").alias("of"))
+    stands = written(stands.withColumn("node", F.monotonically_increasing_id()), "stands")
     copies = written(seen.select("id", "digest").join(stands, "digest").select("id", "of"), "copies")
-    own = seen.join(stands.select("digest", F.col("of").alias("id")), ["digest", "id"])
-    own = own.filter("n > 0").dropDuplicates(["digest"]).select("id", F.explode("bands").alias("bucket"))
+    own = seen.withColumnRenamed("id", "of").join(stands, ["digest", "of"])
+    own = own.filter("n > 0").dropDuplicates(["digest"]).select(
+        F.col("node").alias("id"), "of", F.xxhash64("digest").alias("hash"), F.explode("bands").alias("bucket")
+    )
     sizes = own.groupBy("bucket").agg(F.count("*").alias("members"))
     rows_of = written(own.join(sizes.filter("members > 1"), "bucket"), "buckets")
     meets = rows_of.groupBy("id").agg(F.sum("members").alias("met"))
     centres = rows_of.join(meets, "id").groupBy("bucket").agg(
-        F.max(F.struct("met", (-F.col("id")).alias("low"))).alias("best")
+        F.max(F.struct("met", (-F.col("of")).alias("low"), "hash", "id")).alias("best")
     )
-    centres = centres.select("bucket", (-F.col("best.low")).alias("first"))
+    centres = centres.select("bucket", F.col("best.id").alias("first"))
     buckets = written(rows_of.select("bucket", "id").join(centres, "bucket"), "centres")
 
     ids_met = buckets.select("id").distinct()
-    known_of = written(refined(keyed.join(ids_met, "id", "left_semi"), size).dropDuplicates(["id"]), "refined")
+    met = stands.join(ids_met.withColumnRenamed("id", "node"), "node")
+    texts = keyed.select(F.col("id").alias("of"), F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"), "text")
+    texts = texts.join(met, ["digest", "of"]).select(F.col("node").alias("id"), "text")
+    known_of = written(refined(texts, size).dropDuplicates(["id"]), "refined")
     light, sets = known_of.select("id", "n", "slots"), known_of.select("id", "elements")
     near_enough = (
         f"least(x.n, y.n) >= {least} * greatest(x.n, y.n) AND {_unlike('x', 'y')} <= {_most_unlike(least)}"
@@ -331,7 +338,12 @@ def near_duplicates(
     crossed = crossed.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     further = _verified(crossed, sets).filter(F.col("near") >= least).select("a", "b")
     same_key = copies.filter("id <> of").select(F.col("id").alias("a"), F.col("of").alias("b"))
-    classes = components(ties.union(further).union(same_key)).select(F.col("node").alias("id"), "root")
+    # From texts to the documents that stand for them.
+    tied = ties.union(further)
+    for side in ("a", "b"):
+        tied = tied.join(stands.select(F.col("node").alias(side), F.col("of").alias(f"{side}_of")), side)
+    tied = tied.select(F.col("a_of").alias("a"), F.col("b_of").alias("b"))
+    classes = components(tied.union(same_key)).select(F.col("node").alias("id"), "root")
     ids = rows.select("id")
     out = ids.join(classes, "id", "left")
     return out.select(F.col("id").alias(key), F.coalesce("root", "id").alias("class_id"))

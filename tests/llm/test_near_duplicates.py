@@ -129,3 +129,11 @@ def test_op10(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = {r["doc_id"]: r["class_id"] for r in queries.QUERIES["op10_bag_minhash"](spark, SF).collect()}
     assert got == all_pairs(rows) and len(set(got.values())) < len(rows)
+
+
+def test_a_key_of_several_texts_has_the_near_copies_of_each(spark):
+    one, two = (" ".join(f"{x}{i}" for i in range(200)) for x in "ab")
+    rows = [(1, one), (1, two), (2, one + " end"), (3, two + " end"), (4, "something else altogether")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in bag_minhash.near_duplicates(df).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4}
