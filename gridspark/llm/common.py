@@ -34,6 +34,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forgotten(spark: SparkSession, path: str | None) -> None:
+    """Delete a written copy that nothing reads any more."""
+    if path is not None:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def for_workers(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it.
 

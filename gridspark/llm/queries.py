@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -18,6 +19,7 @@ from gridspark.llm import (
     qgram_filter,
     syncmers,
     token_counts,
+    vector_codes,
     wavelet,
 )
 from gridspark.llm.common import table
@@ -120,3 +122,17 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op6_line_dedup"] = line_dedup.SQL
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+    rows = vector_codes.label_errors(found.rows)
+    digest = hashlib.sha256(vector_codes.decimal_text(found.codebooks).encode()).hexdigest()
+    return rows.select(
+        F.col("key").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(digest).alias("codebooks_sha256"),
+    )
+
+
+ORACLES["op12_vector_codes"] = vector_codes.sql()
