@@ -16,6 +16,7 @@ from gridspark.llm import (
     html_text,
     kneser_ney,
     line_dedup,
+    ngram_join,
     qgram_filter,
     syncmers,
     token_counts,
@@ -136,3 +137,8 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_vector_codes"] = vector_codes.sql()
+
+
+@query
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents"))
