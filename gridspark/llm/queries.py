@@ -13,6 +13,7 @@ from gridspark.llm import (
     bag_minhash,
     byte_bpe,
     chat,
+    conversation_repair,
     html_text,
     kneser_ney,
     line_dedup,
@@ -142,3 +143,20 @@ ORACLES["op12_vector_codes"] = vector_codes.sql()
 @query
 def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversation_repair.repaired(conversation_repair.damaged(given))
+    sums = found.conversations.withColumnRenamed("conv", "c")
+    hashes = conversation_repair.digests(found.turns).withColumnRenamed("conv", "h")
+    out = given.select("conv_id").distinct()
+    out = out.join(sums, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    out = out.join(hashes, F.col("conv_id").eqNullSafe(F.col("h")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return out.select(
+        "conv_id", *[F.coalesce(name, F.lit(0)).cast("long").alias(name) for name in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
