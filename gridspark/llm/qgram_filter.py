@@ -6,11 +6,16 @@ in the text less place in the item). Shared q-grams are counted in bands of 2(k
 overlap by half, so one of them holds the whole occurrence; bands that reach the bound are aligned,
 inside the band, and kept if the edits are within the budget.
 
-Items are taken in blocks of bounded size; each block is held against all texts.
+The bound must leave one q-gram at the least, so short items take shorter ones: q is at most m / (k + 1).
+
+Items are taken in blocks of bounded size; each block is held against all texts, in a pass of its own
+whose result is written before the next one.
 """
 
 from __future__ import annotations
 
+import re
+from bisect import bisect
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -20,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridspark.llm.common import for_workers
+from gridspark.llm.common import for_workers, written
 
 Q, EDITS = 8, 0.1
 #: Characters of the items of a block, and of the texts that are searched together.
@@ -32,8 +37,9 @@ HIT = "array<struct<item_id:bigint,edits:int,begin:int,end:int>>"
 
 
 class Block(NamedTuple):
-    """Items with the table of their q-grams."""
+    """Items that are found by q-grams of one length, with the table of these."""
 
+    q: int
     ids: list[int]
     items: list[np.ndarray]
     budgets: np.ndarray  # k of each item
@@ -43,6 +49,10 @@ class Block(NamedTuple):
     begins: np.ndarray  # of each q-gram's occurrences
     owners: np.ndarray  # item of each occurrence
     places: np.ndarray  # place in the item of each occurrence
+
+
+class Items(NamedTuple):
+    blocks: list[Block]
     short: list[tuple[int, str]]  # items of fewer than q characters, searched as they are
 
 
@@ -69,25 +79,37 @@ def gram_hashes(chars: np.ndarray, q: int = Q) -> np.ndarray:
     return out * np.uint32(0xC2B2AE35)
 
 
-def block_of(items: list[tuple[int, str | None]], q: int = Q, rate: float = EDITS) -> Block:
-    """Items that are null or have no characters take no part."""
+def budget_of(size: int, rate: float = EDITS) -> int:
+    """Edits that an occurrence of an item of `size` characters may have."""
+    return int(size * rate + 1e-9)
+
+
+def items_of(items: list[tuple[int, str | None]], q: int = Q, rate: float = EDITS) -> Items:
+    """Items by the length of the q-grams that find them. Null and blank ones take no part."""
     texts = [(i, folded(t)) for i, t in items if t is not None and t.strip()]
-    long = [(i, codes(t)) for i, t in texts if len(t) >= q]
-    short = [(i, t) for i, t in texts if len(t) < q]
+    by_q: dict[int, list[tuple[int, str]]] = {}
+    for i, t in texts:
+        if len(t) >= q:
+            by_q.setdefault(max(1, min(q, len(t) // (budget_of(len(t), rate) + 1))), []).append((i, t))
+    return Items([_block(own, size, rate) for size, own in sorted(by_q.items())], [(i, t) for i, t in texts if len(t) < q])
+
+
+def _block(texts: list[tuple[int, str]], q: int, rate: float) -> Block:
+    long = [(i, codes(t)) for i, t in texts]
     sizes = np.array([len(c) for _, c in long], np.int64)
-    # As many edits as the rate allows and as leave at least one shared q-gram.
-    budgets = np.minimum((sizes * rate).astype(np.int64), np.maximum((sizes - q) // q, 0))
+    budgets = np.array([budget_of(len(c), rate) for _, c in long], np.int64)
     hashes = [gram_hashes(c, q) for _, c in long]
-    every = np.concatenate(hashes) if hashes else np.empty(0, np.uint32)
+    every = np.concatenate(hashes)
     owners = np.repeat(np.arange(len(long)), [len(h) for h in hashes])
-    places = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.empty(0, np.int64)
+    places = np.concatenate([np.arange(len(h)) for h in hashes])
     order = np.argsort(every, kind="stable")
     grams, begins = np.unique(every[order], return_index=True)
     flags = np.zeros(1 << TABLE_BITS, bool)
     flags[grams >> np.uint32(32 - TABLE_BITS)] = True
+    bounds = np.maximum(sizes - q + 1 - budgets * q, 1)
     return Block(
-        [i for i, _ in long], [c for _, c in long], budgets, sizes - q + 1 - budgets * q, flags,
-        grams, np.append(begins, len(every)), owners[order], places[order], short,
+        q, [i for i, _ in long], [c for _, c in long], budgets, bounds, flags,
+        grams, np.append(begins, len(every)), owners[order], places[order],
     )
 
 
@@ -174,10 +196,12 @@ def promising(candidates: list[tuple[np.ndarray, np.ndarray, int, int]]) -> np.n
     return out
 
 
-def search(texts: list[str], block: Block, q: int = Q) -> list[dict[int, tuple[int, int, int]]]:
-    """For each folded text, the block's items (by number) that occur in it, with edits, begin, end."""
-    found: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
-    if block.items:
+def search(texts: list[str], block: Block) -> list[dict[int, list[tuple[int, int, int]]]]:
+    """For each folded text, the block's items (by number) that occur in it, and the edits, begin and
+    end of occurrences that do not overlap, such that every other one overlaps one of them."""
+    found: list[dict[int, list[tuple[int, int, int]]]] = [{} for _ in texts]
+    if texts:
+        q = block.q
         chars = codes("\n".join(texts))
         ends = np.cumsum([len(t) + 1 for t in texts])
         begins = ends - [len(t) + 1 for t in texts]
@@ -212,51 +236,90 @@ def search(texts: list[str], block: Block, q: int = Q) -> list[dict[int, tuple[i
                 at_doc = int(begins[d])
                 places.append((d, i, low - at_doc, high - at_doc))
                 candidates.append((block.items[i], chars[at_doc : int(ends[d]) - 1], low - at_doc, step - 1))
+        bands_of: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for c in np.flatnonzero(promising(candidates)).tolist():
-            (d, i, low, high), (item, text, _, budget) = places[c], candidates[c]
-            hit = occurrence(item, text, low, high, budget)
-            if hit and (i not in found[d] or hit < found[d][i]):
-                found[d][i] = hit
+            d, i, low, high = places[c]
+            bands_of.setdefault((d, i), []).append((low, high))
+        for (d, i), own in bands_of.items():
+            text = chars[int(begins[d]) : int(ends[d]) - 1]
+            hits = _occurrences(block.items[i], text, own, int(block.budgets[i]))
+            if hits:
+                found[d][i] = hits
     return found
 
 
-def _places(text: str, begin: int, end: int) -> tuple[int, int]:
-    """Code points of `text` of the words that a span of its folded form touches."""
-    import re
-
-    at, first, last = 0, None, 0
-    for word in re.finditer(r"\S+", text):
-        size = len(word[0].lower())
-        if at + size > begin and at < end:
-            first = word.start() if first is None else first
-            last = word.end()
-        at += size + 1
-    return (first or 0), last
+def _occurrences(item: np.ndarray, text: np.ndarray, bands: list[tuple[int, int]], budget: int) -> list[tuple[int, int, int]]:
+    """The best occurrences of the bands; where one is better than what overlaps it, the band of the
+    other is searched again in what is left of the text."""
+    kept: list[tuple[int, int, int]] = []
+    while bands:
+        hits = {band: hit for band in bands if (hit := occurrence(item, text, *band, budget))}
+        hits = {b: h for b, h in hits.items() if all(h[2] <= k[1] or k[2] <= h[1] for k in kept)}
+        chosen = _disjoint(set(hits.values()))
+        bands = [band for band, hit in hits.items() if hit not in chosen]
+        kept += chosen
+        if bands:
+            text = text.copy()
+            for _, begin, end in chosen:
+                text[begin:end] = 0xFFFFFFFE
+    return sorted(kept, key=lambda hit: hit[1])
+
+
+def _disjoint(hits: set[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of overlapping hits the one with fewest edits, then the first; in the order of the text."""
+    kept: list[tuple[int, int, int]] = []
+    begins: list[int] = []
+    for hit in sorted(hits):
+        at = bisect(begins, hit[1])
+        if (at == 0 or kept[at - 1][2] <= hit[1]) and (at == len(kept) or hit[2] <= begins[at]):
+            kept.insert(at, hit)
+            begins.insert(at, hit[1])
+    return kept
+
+
+def _places(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Code points of `text` of the words that spans of its folded form touch."""
+    if not spans:
+        return []
+    words = [(m.start(), m.end(), len(m[0].lower())) for m in re.finditer(r"\S+", text)]
+    ends = np.cumsum([size + 1 for *_, size in words])  # in the folded form, with the space behind
+    out = []
+    for begin, end in spans:
+        first = int(np.searchsorted(ends, begin + 1, "right"))
+        last = int(np.searchsorted(ends, end, "left"))
+        out.append((words[min(first, len(words) - 1)][0], words[min(last, len(words) - 1)][1]))
+    return out
 
 
-def hits_of(texts: list[str | None], block: Block, q: int = Q) -> list[list[dict]]:
+def hits_of(texts: list[str | None], items: Items) -> list[list[dict]]:
     """For each text its occurrences of items: item_id, edits, begin and end in its code points."""
     forms = [folded(t or "") for t in texts]
+    found: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
+    for block in items.blocks:
+        for own, hits in zip(found, search(forms, block), strict=True):
+            own += [(block.ids[i], *hit) for i, several in sorted(hits.items()) for hit in several]
+    for form, own in zip(forms, found, strict=True):
+        spaced = f" {form} "
+        for item_id, short in items.short:
+            begin = spaced.find(f" {short} ")
+            while begin >= 0:
+                own.append((item_id, 0, begin, begin + len(short)))
+                begin = spaced.find(f" {short} ", begin + len(short))
     out: list[list[dict]] = []
-    for text, form, own in zip(texts, forms, search(forms, block, q), strict=True):
-        rows = []
-        for i, (edits, begin, end) in sorted(own.items()):
-            first, last = _places(text or "", begin, end)
-            rows.append({"item_id": block.ids[i], "edits": edits, "begin": first, "end": last})
-        for item_id, short in block.short:
-            begin = f" {form} ".find(f" {short} ")
-            if begin >= 0:
-                first, last = _places(text or "", begin, begin + len(short))
-                rows.append({"item_id": item_id, "edits": 0, "begin": first, "end": last})
-        out.append(rows)
+    for text, own in zip(texts, found, strict=True):
+        spans = _places(text or "", [(begin, end) for *_, begin, end in own])
+        out.append([
+            {"item_id": item_id, "edits": edits, "begin": first, "end": last}
+            for (item_id, edits, _, _), (first, last) in zip(own, spans, strict=True)
+        ])
     return out
 
 
 def blocks(items: DataFrame, key: str = "item_id", text: str = "text", size: int = BLOCK_CHARS) -> Iterator[list]:
-    """The items in blocks of about `size` characters; only one is on the driver at a time."""
+    """The distinct items in blocks of about `size` characters; only one is on the driver at a time."""
     rows = items.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).filter(
         F.length(F.trim("text")) > 0
-    )
+    ).distinct()
     total = rows.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
     parts = -(-total // size)
     for part in range(parts):
@@ -268,18 +331,20 @@ def with_hits(
     df: DataFrame, items: DataFrame, text: str = "text", to: str = "hits", q: int = Q, rate: float = EDITS
 ) -> DataFrame:
     """`df` with the benchmark items that each text holds in `to`: array of (item_id, edits, begin,
-    end), the best occurrence of each item, begin and end in code points of the text.
+    end), all occurrences that do not overlap, begin and end in code points of the text.
 
     An item occurs if it can be aligned with a part of the text with at most `rate` edits a character
-    (case and white space do not count). Items of fewer than q characters must occur as whole words.
-    Null and empty texts and items have no hits. All columns and rows of `df` stay; a column called
-    like `to` is replaced.
+    (case and white space do not count). Items of fewer than `q` characters must occur as whole words.
+    Null and empty texts and items have no hits; repeated items count once. All columns and rows of
+    `df` stay; a column called like `to` is replaced.
     """
     for_workers(df.sparkSession)
     hit_type = T.StructType.fromDDL(f"hits {HIT}")["hits"].dataType
-    out = df.drop(to).withColumn(to, F.array().cast(hit_type))
+    out, passes = df.drop(to).withColumn(to, F.array().cast(hit_type)), 0
     for rows in blocks(items):
-        out = _pass(out, rows, text, to, q, rate)
+        # Written between blocks: a plan holds the items of one.
+        out = _pass(written(out, "hits") if passes else out, rows, text, to, q, rate)
+        passes += 1
     return out
 
 
@@ -290,7 +355,7 @@ def _pass(df: DataFrame, rows: list, text: str, to: str, q: int, rate: float) ->
     shape = to_arrow_schema(schema)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = block_of(rows, q, rate)
+        items = items_of(rows, q, rate)
         at, old = shape.get_field_index(text), shape.get_field_index(to)
         for frame in frames:
             texts = frame.column(at).to_pylist()
@@ -301,7 +366,7 @@ def _pass(df: DataFrame, rows: list, text: str, to: str, q: int, rate: float) ->
                 while high < len(texts) and (high == low or held + len(texts[high] or "") <= GROUP_CHARS):
                     held += len(texts[high] or "")
                     high += 1
-                hits = [a + b for a, b in zip(earlier[low:high], hits_of(texts[low:high], block, q), strict=True)]
+                hits = [a + b for a, b in zip(earlier[low:high], hits_of(texts[low:high], items), strict=True)]
                 columns = list(frame.slice(low, high - low).columns)
                 columns[old] = pa.array(hits, shape.field(old).type)
                 yield pa.RecordBatch.from_arrays(columns, names=shape.names)
@@ -311,7 +376,7 @@ def _pass(df: DataFrame, rows: list, text: str, to: str, q: int, rate: float) ->
 
 
 def contaminated(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each document and item it holds: `key`, `item_id`, `edits`, `begin`, `end`."""
+    """One row for each document and occurrence of an item in it: `key`, `item_id`, `edits`, `begin`, `end`."""
     hits = with_hits(df.select(key, text), items, text).select(key, F.explode("hits").alias("hit"))
     return hits.select(key, "hit.*")
 

@@ -25,7 +25,7 @@ def test_planted_with_edits():
     words = [f"w{i}o{i * i % 11}" for i in range(80)] + ["the", "of", "and"] * 10
     passage = lambda n: " ".join(rng.choice(words) for _ in range(n))
     items = [(i, passage(rng.randint(4, 40))) for i in range(25)]
-    block = qgram_filter.block_of(items)
+    prepared = qgram_filter.items_of(items)
     texts = []
     for _ in range(80):
         chars = list(rng.choice(items)[1])
@@ -33,28 +33,76 @@ def test_planted_with_edits():
             at = rng.randrange(len(chars))
             rng.choice([lambda: chars.insert(at, "x"), lambda: chars.__setitem__(at, "y"), lambda: len(chars) > 1 and chars.pop(at)])()
         texts.append(rng.choice(["", passage(30) + "\n"]) + "".join(chars).upper() + rng.choice(["", " " + passage(20)]))
-    hits = qgram_filter.hits_of(texts, block)
+    hits = qgram_filter.hits_of(texts, prepared)
     for text, found in zip(texts, hits, strict=True):
         want = {}
         for i, item in items:
             n = edits(item, qgram_filter.folded(text))
-            budget = block.budgets[block.ids.index(i)]
-            if n <= budget:
+            if n <= len(item) // 10:
                 want[i] = n
-        assert {h["item_id"]: h["edits"] for h in found} == want
+        best = {}
+        for h in found:
+            best[h["item_id"]] = min(h["edits"], best.get(h["item_id"], 99))
+        assert best == want
         for h in found:
             own = qgram_filter.folded(text[h["begin"] : h["end"]])
             assert edits(dict(items)[h["item_id"]], own) == h["edits"]
 
 
+@pytest.mark.parametrize("size", [*range(8, 44), 50, 57, 64, 70, 79, 80, 81, 90, 99, 100, 101, 110, 119, 120])
+def test_every_length_at_the_full_budget(size):
+    rng = random.Random(size)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    item = "".join(rng.choice(letters) for _ in range(size))
+    budget = size // 10
+    prepared = qgram_filter.items_of([(1, item)])
+    for n in range(budget + 2):
+        for _ in range(6):
+            texts, spread = [], sorted(rng.sample(range(size), min(n, size)))
+            for kind in ("put", "set", "pop"):
+                chars = list(item)
+                for at in reversed(spread):
+                    if kind == "put":
+                        chars.insert(at, "9")
+                    elif kind == "set":
+                        chars[at] = "9"
+                    else:
+                        chars.pop(at)
+                texts.append("".join(rng.choice(letters) for _ in range(rng.choice([0, 50]))) + "".join(chars) + "zz")
+            for text, found in zip(texts, qgram_filter.hits_of(texts, prepared), strict=True):
+                fewest = edits(item, text)
+                assert [h["edits"] for h in found] == ([fewest] if fewest <= budget else [])
+
+
+def test_all_occurrences():
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(400)]
+    short, long = " ".join(words[:3]), " ".join(words[10:40])
+    prepared = qgram_filter.items_of([(1, short), (2, long), (3, "ab c")])
+    gap = lambda: " ".join(rng.choice(words[50:]) for _ in range(rng.randint(3, 30)))
+    text, want = "", []
+    for item_id, item in [(1, short), (2, long), (1, short), (3, "ab c"), (2, long), (2, long), (1, short), (3, "ab c")]:
+        text += gap() + " "
+        want.append((item_id, 0, len(text), len(text) + len(item)))
+        text += item + " "
+    changed = long[:40] + "x" + long[42:100] + long[101:]
+    text += gap() + " "
+    want.append((2, edits(long, changed), len(text), len(text) + len(changed)))
+    text += changed
+    (found,) = qgram_filter.hits_of([text], prepared)
+    assert sorted(tuple(h.values()) for h in found) == sorted(want)
+
+
 def test_odd_items_and_texts():
-    block = qgram_filter.block_of([(1, "cat"), (2, None), (3, "  "), (4, "exactly twelve"), (4, "exactly twelve"), (5, "ä" * 30)])
+    block = qgram_filter.items_of([(1, "cat"), (2, None), (3, "  "), (4, "exactly twelve"), (4, "exactly twelve"), (5, "ä" * 30)])
     rows = [None, "", "x", "The  CAT\nsat", "concat", "EXACTLY\ttwelve", "ä" * 5000, "exactly twelve cat"]
     hits = [sorted((h["item_id"], h["edits"], h["begin"], h["end"]) for h in x) for x in qgram_filter.hits_of(rows, block)]
     assert hits[:3] == [[], [], []]
     assert hits[3] == [(1, 0, 5, 8)] and hits[4] == []
     assert hits[5] == [(4, 0, 0, 14)] * 2
-    assert hits[6] == [(5, 0, 0, 5000)]
+    # One word without a space: each of the occurrences side by side touches all of it.
+    assert {h[0] for h in hits[6]} == {5} and {h[2:] for h in hits[6]} == {(0, 5000)}
+    assert 5000 // 57 <= len(hits[6]) <= 5000 // 27
     assert [h[0] for h in hits[7]] == [1, 4, 4]
 
 
@@ -81,6 +129,7 @@ def test_rows_and_clashing_columns(frames):
 
 def test_many_blocks_find_the_same(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    items = items.union(items)
     whole = sorted(map(tuple, qgram_filter.contaminated(docs, items).collect()))
     monkeypatch.setattr(qgram_filter.blocks, "__defaults__", ("item_id", "text", 2000))
     assert len(list(qgram_filter.blocks(items))) > 3
