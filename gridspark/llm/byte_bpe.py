@@ -2,7 +2,8 @@
 
 The rank file and the split pattern are parameters. Merges never cross a match of the pattern, so a
 long text is cut where a match ends for certain, and the pieces are encoded one after the other;
-ids are the same as for the text as a whole.
+ids are the same as for the text as a whole. Long runs of white space, which the library's search by
+pattern has no stack for, are cut out by the pattern's own rule.
 """
 
 from __future__ import annotations
@@ -30,6 +31,13 @@ BATCH_BYTES = 4 << 20
 #: between an ASCII letter and an ASCII digit.
 SAFE = re.compile(r"(?<=\S)(?=[ \t\r\n])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
 
+#: Runs of white space from this length on are not given to the search by pattern.
+RUN_CHARS = 50_000
+# Fixed value: what \s matches in the library's patterns (the Unicode property White_Space).
+WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Fixed value: the end of patterns that treat white space as one match up to the last character.
+LAST_SPACE_APART = r"|\s+(?!\S)|\s+"
+
 
 @cache
 def encoding(rank_file: str, pattern: str) -> tiktoken.Encoding:
@@ -50,12 +58,30 @@ def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
-def encode(text: str, enc: tiktoken.Encoding, size: int = PIECE_CHARS) -> np.ndarray:
-    """Ids of `text` as little-endian unsigned 32-bit integers; no special tokens."""
-    if len(text) <= size:
-        return np.array(enc.encode_ordinary(text), dtype="<u4")
-    parts = [np.array(enc.encode_ordinary(piece), dtype="<u4") for piece in pieces(text, size)]
-    return np.concatenate(parts)
+@cache
+def _long_runs(pattern: str, run: int) -> re.Pattern | None:
+    """Finds long runs of white space, if the pattern's rule for them is known: all of a run is one
+    match, but for its last character where something else follows."""
+    rest = pattern.removesuffix(LAST_SPACE_APART)
+    if rest == pattern or r"\s" in rest.replace(r"[^\s", "") or r"\n" in rest or r"\r" in rest:
+        return None
+    return re.compile(f"[{WHITE_SPACE}]{{{run},}}")
+
+
+def encode(text: str, enc: tiktoken.Encoding, size: int = PIECE_CHARS, run: int = RUN_CHARS) -> np.ndarray:
+    """Ids of `text` as little-endian unsigned 32-bit integers; no special tokens.
+
+    Texts of any length, white space of any length in them if the pattern ends in `LAST_SPACE_APART`.
+    """
+    runs = _long_runs(enc._pat_str, run) if len(text) >= run else None
+    parts, at = [], 0
+    for found in runs.finditer(text) if runs else ():
+        stop = found.end() - (found.end() < len(text))
+        parts += [enc.encode_ordinary(piece) for piece in pieces(text[at : found.start()], size)]
+        parts.append(enc._encode_single_piece(text[found.start() : stop].encode()))
+        at = stop
+    parts += [enc.encode_ordinary(piece) for piece in pieces(text[at:], size)]
+    return np.concatenate([np.array(part, dtype="<u4") for part in parts])
 
 
 def decode(ids: np.ndarray, enc: tiktoken.Encoding) -> bytes:

@@ -41,6 +41,7 @@ def rows_of(spark, *rows):
 
 
 ODD = [(1, None), (2, ""), (3, "Ünï <|endoftext|> x"), (3, "Ünï <|endoftext|> x"), (None, "a b"), (4, "ab 12" * 20_000)]
+LONG = [(5, " " * 2_000_000), (6, "x" + "\n" * 2_000_000 + "y"), (7, "a" * 2_000_000)]
 
 
 def test_long_texts_are_cut_where_nothing_changes():
@@ -51,6 +52,29 @@ def test_long_texts_are_cut_where_nothing_changes():
             assert byte_bpe.encode(text, enc, size).tolist() == enc.encode_ordinary(text)
 
 
+def test_long_white_space():
+    enc = byte_bpe.encoding(RANKS, PATTERN)
+    rng = random.Random(8)
+    spaces = [" ", "\n", "\t", " ", "\x0b", "\x1c", "\xa0", "\u3000", "\u2028", "\x85", "\u200b"]
+    for _ in range(500):
+        parts = ["".join(rng.choice(spaces[:3] if rng.random() < 0.5 else spaces) for _ in range(rng.randint(0, 30))) for _ in range(4)]
+        text = "".join(x + rng.choice(["", "a", "1", ".", "'s", "é", "w x"]) for x in parts)
+        assert byte_bpe.encode(text, enc, 20, 5).tolist() == enc.encode_ordinary(text)
+    # As long as it gets: the ids follow from those of short runs by the same rule.
+    for space, behind in (" ", "x"), ("\n", "x"), (" ", ""), ("\r\n", " x"):
+        text = "a" + space * (2_000_000 // len(space)) + behind
+        ids = byte_bpe.encode(text, enc)
+        assert byte_bpe.decode(ids, enc) == text.encode()
+        short = "a" + space * (20_000 // len(space)) + behind
+        few = enc.encode_ordinary(short)
+        assert ids[:1000].tolist() == few[:1000] and ids[-1000:].tolist() == few[-1000:]
+        assert len(ids) == len(few) + len(set(ids[5:10])) * (len(text) - len(short)) // len(space)
+    other = byte_bpe.encoding(RANKS, r"\s*[\r\n]+|\S+" + byte_bpe.LAST_SPACE_APART)
+    assert byte_bpe._long_runs(other._pat_str, 5) is None
+    text = "a \n  \n  b" * 50
+    assert byte_bpe.encode(text, other, 20, 5).tolist() == other.encode_ordinary(text)
+
+
 def test_rank_file_is_read_like_the_library_reads_it():
     import base64
 
@@ -75,6 +99,11 @@ def test_round_trip_of_odd_rows(spark):
         assert ids.tolist() == enc.encode_ordinary(bytes(row["decoded"]).decode()) and row["n_tokens"] == len(ids)
 
 
+def test_round_trip_of_long_rows(spark):
+    got = byte_bpe.round_trip(rows_of(spark, *LONG), RANKS, PATTERN, "doc_id").collect()
+    assert {r["doc_id"]: bytes(r["decoded"]) for r in got} == {k: t.encode() for k, t in LONG}
+
+
 def test_decode_what_was_encoded_and_cut(spark):
     coded = byte_bpe.encode_texts(rows_of(spark, (1, "漢字"), (2, None)), RANKS, PATTERN, "doc_id")
     decoded = {r[0]: bytes(r[1]) for r in byte_bpe.decode_ids(coded, RANKS, PATTERN, "doc_id").collect()}
