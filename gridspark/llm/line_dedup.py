@@ -62,10 +62,13 @@ def windows(lines: Column, min_words: int) -> Column:
     left = F.transform(places, ahead)
     right = F.transform(F.transform(places, lambda i: F.struct(i.alias("i"), behind(i)["n"].alias("n"))),
                         lambda x: F.struct((x["i"] + 2 - x["n"]).alias("first"), x["n"].alias("n")))
-    both = F.array_distinct(F.filter(F.concat(left, right), lambda w: w["n"] > 0))
+    # One number for a window's begin and length: distinct numbers are found by hashing, distinct
+    # structs by comparing each with all.
+    packed = lambda w: w["first"].cast("long") * (min_words + 1) + w["n"]
+    both = F.array_distinct(F.transform(F.filter(F.concat(left, right), lambda w: w["n"] > 0), packed))
 
     def made(w: Column) -> Column:
-        own = F.slice(lines, w["first"], w["n"])
+        own = F.slice(lines, F.floor(w / (min_words + 1)).cast("int"), (w % (min_words + 1)).cast("int"))
         least = F.array_min(F.transform(own, lambda u: F.struct(u["hash"], u["at"])))
         return F.struct(
             F.element_at(own, 1)["at"].alias("begin"), F.element_at(own, -1)["at"].alias("end"),
@@ -85,18 +88,19 @@ def repeated(rows: DataFrame, min_words: int) -> DataFrame:
     lined = rows.select("id", "version", units(F.col("text")).alias("lines"))
     found = written(lined.select("id", "version", windows(F.col("lines"), min_words).alias("windows")), "windows")
 
-    # Fingerprints that occur in more than one place.
-    marks = F.array_distinct(F.transform("windows", lambda w: F.struct(w["mark"].alias("mark"), w["mark_at"].alias("at"))))
-    marks = found.select(F.explode(marks).alias("m")).groupBy("m.mark").agg(F.count("*").alias("n"))
+    # Fingerprints that occur in more than one place; windows side by side mostly share one.
+    new = F.filter("windows", lambda w, i: (i == 0) | (w["mark_at"] != F.get("windows", i - 1)["mark_at"]))
+    places = F.transform(new, lambda w: F.struct(w["mark"].alias("mark"), F.xxhash64("id", "version", w["mark_at"]).alias("at")))
+    marks = found.select(F.explode(places).alias("m")).groupBy("m.mark").agg(F.min("m.at").alias("a"), F.max("m.at").alias("z"))
     # Written: between two plain tables Spark splits the join's large partitions.
-    marks = written(marks.filter("n > 1").select("mark"), "marks")
+    marks = written(marks.filter("a < z").select("mark"), "marks")
     every = found.select("id", "version", F.explode("windows").alias("w")).select("id", "version", "w.*").drop("mark_at")
     every = every.join(marks, "mark", "left_semi").drop("mark")
     every = written(every, "matches")
 
     place = F.struct("id", "version", "begin", "end")
     firsts = every.groupBy("key", "more").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    later = every.join(firsts.drop("n"), ["key", "more"]).filter(
+    later = every.join(written(firsts.drop("n"), "firsts"), ["key", "more"]).filter(
         "NOT (id <=> first.id AND version = first.version AND begin = first.begin)"
     )
     # In the same text, what overlaps the first occurrence is part of it.

@@ -95,3 +95,11 @@ def test_op6_and_its_sql(spark):
     result = duck(SF).execute(queries.ORACLES["op6_line_dedup"])
     names = [c[0] for c in result.description]
     assert bag(df.columns, [tuple(r) for r in df.collect()]) == bag(names, result.fetchall())
+
+
+def test_very_long_file(spark):
+    """Time in proportion to the lines: 200,000 of them, then the same once more after other text."""
+    lines = [f"line number {i} has some words of its own" for i in range(200_000)]
+    rows = [(1, "\n".join(lines)), (2, "before\n" + "\n".join(lines[50_000:150_000]) + "\nbehind"), (3, "\n".join(lines[:3] * 30_000))]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(docs(spark, rows)).collect()}
+    assert got == {1: rows[0][1], 2: "before\nbehind", 3: ""}
