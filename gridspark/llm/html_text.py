@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -51,12 +52,107 @@ _RAW, _SKIPPED, _ARTICLE = (frozenset(x.split()) for x in (RAW, SKIPPED, ARTICLE
 _INLINE, _VOID, _MARKED = (frozenset(x.split()) for x in (INLINE, VOID, MARKED))
 _CLOSES_P = re.compile(r"^(p|div|ul|ol|dl|li|h[1-6]|table|section|article|main|blockquote|pre|form|hr|nav|aside|header|footer)$")
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
+_OPEN = re.compile(r"(/?)([A-Za-z][^\s/>]{0,63})")
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACE = re.compile(r"\s+")
+_CUT_TAG = re.compile("<[A-Za-z/!?]")
+_LIMIT = re.compile("[>\"']")
+
+
+class Tags:
+    """The tags of a page, in time proportional to its length whatever stands in it.
+
+    Where quotes and ends of tags are is looked up once, and where a tag that reaches one of them
+    ends is remembered, so that no part of the page is gone through again for each `<`.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self._limits = [m.start() for m in _LIMIT.finditer(page)]
+        self._of = {c: [i for i in self._limits if page[i] == c] for c in "\"'>"}
+        self._ends: dict[int, int] = {}
+
+    def close(self, at: int) -> int:
+        """Place behind the next `>`, -1 if there is none."""
+        return self._next(">", at) + 1 or -1
+
+    def _next(self, char: str, at: int) -> int:
+        places = self._of[char]
+        i = bisect_left(places, at)
+        return places[i] if i < len(places) else -1
+
+    def _tag_end(self, at: int) -> int:
+        """Place behind the first `>` from here on outside of quotes; -1 if a quote stays open."""
+        passed, end = [], -1
+        i = bisect_left(self._limits, at)
+        while i < len(self._limits):
+            limit = self._limits[i]
+            if limit in self._ends:
+                end = self._ends[limit]
+                break
+            passed.append(limit)
+            char = self.page[limit]
+            if char == ">":
+                end = limit + 1
+                break
+            closed = self._next(char, limit + 1)
+            if closed < 0:
+                break
+            i = bisect_left(self._limits, closed + 1)
+        self._ends.update(dict.fromkeys(passed, end))
+        return end
+
+    def after(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """Begin and end of the next tag from `at` on, whether it is an end tag, its name (empty for
+        comments and declarations) and its attributes."""
+        page = self.page
+        while (begin := page.find("<", at)) >= 0:
+            at = begin + 1
+            if page.startswith("!--", at):
+                stop = page.find("-->", at + 3)
+                return begin, len(page) if stop < 0 else stop + 3, False, "", ""
+            if page.startswith(("!", "?"), at):
+                stop = self.close(at)
+                if stop >= 0:
+                    return begin, stop, False, "", ""
+            elif name := _OPEN.match(page, at):
+                stop = self._tag_end(name.end())
+                if stop >= 0:
+                    return begin, stop, bool(name[1]), name[2].lower(), page[name.end() : stop - 1]
+        return None
+
+
+class Stack:
+    """Open elements: name, why skipped, in an article (1, in marked surroundings 2), in a link.
+    Knows where each name and the innermost block is, without a search."""
+
+    def __init__(self):
+        self.open: list[tuple[str, int, int, bool]] = []
+        self._places: dict[str, list[int]] = {}
+        self._blocks: list[int] = []
+
+    def push(self, name: str, skip: int, article: int, link: bool) -> None:
+        self._places.setdefault(name, []).append(len(self.open))
+        if name not in _INLINE:
+            self._blocks.append(len(self.open))
+        self.open.append((name, skip, article, link))
+
+    def place(self, name: str) -> int:
+        """Place of the innermost element of a name, -1 if there is none."""
+        return (self._places.get(name) or [-1])[-1]
+
+    def block(self) -> int:
+        """Place of the innermost block, -1 if there is none."""
+        return self._blocks[-1] if self._blocks else -1
+
+    def cut(self, depth: int) -> tuple[int, int, bool]:
+        """Close all elements from a place on; what holds then."""
+        while len(self.open) > depth:
+            name = self.open.pop()[0]
+            self._places[name].pop()
+            if name not in _INLINE:
+                self._blocks.pop()
+        return self.open[-1][1:] if self.open else (0, 0, False)
 
 
 #: Why the text of an element does not count: words that mark it, or what it is.
@@ -89,8 +185,7 @@ def lines(page: str) -> tuple[list[str], list[int], bool]:
     lengths: list[int] = []
     skipped: list[int] = []
     inside: list[int] = []
-    # Name, why skipped, in an article (1, in marked surroundings 2), in a link.
-    stack: list[tuple[str, int, int, bool]] = []
+    stack = Stack()
     skip, article, link = 0, 0, False
     words: list[str] = []
     linked = 0
@@ -107,58 +202,50 @@ def lines(page: str) -> tuple[list[str], list[int], bool]:
             words.clear()
         linked = 0
 
-    def pop_to(depth: int) -> None:
-        nonlocal skip, article, link
-        del stack[depth:]
-        _, skip, article, link = stack[-1] if stack else ("", 0, 0, False)
-
+    tags = Tags(page)
     at, end = 0, len(page)
     while at < end:
-        tag = _TAG.search(page, at)
+        tag = tags.after(at)
         if tag is None:
             rest = page[at:]
-            if not re.search(r"<[A-Za-z/!?][^>]*$", rest):
-                words.append(rest)
-            else:
-                words.append(rest[: rest.rindex("<")])
+            # A tag that the end of the page cuts off is no text.
+            words.append(rest[: rest.rindex("<")] if _CUT_TAG.search(rest, rest.rfind(">") + 1) else rest)
             break
-        if tag.start() > at:
-            chunk = page[at : tag.start()]
+        begin, stop, ends, name, attributes = tag
+        if begin > at:
+            chunk = page[at:begin]
             words.append(chunk)
             if link:
                 linked += len(chunk.strip())
-        at = tag.end()
-        name = tag[2]
-        if name is None:
+        at = stop
+        if not name:
             continue
-        name = name.lower()
-        if tag[1]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+        if ends:
+            depth = stack.place(name)
             if name not in _INLINE:
                 close_block()
             elif name == "br":
                 words.append(" ")
-            if depth is not None:
-                # An inline end tag does not close the blocks around it.
-                if name not in _INLINE or all(x[0] in _INLINE for x in stack[depth:]):
-                    pop_to(depth)
+            # An inline end tag does not close the blocks around it.
+            if depth >= 0 and (name not in _INLINE or stack.block() < depth):
+                skip, article, link = stack.cut(depth)
             continue
         if name in _RAW:
             if name not in _INLINE:
                 close_block()
-            stop = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            if not tag[3].endswith("/"):
-                at = stop.end() if stop else end
+            if not attributes.endswith("/"):
+                closing = re.compile(rf"</{name}\b", re.I).search(page, at)
+                stop = tags.close(closing.end()) if closing else -1
+                at = stop if stop >= 0 else end
             continue
         if name not in _INLINE:
             close_block()
-            if _CLOSES_P.match(name):
-                depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] not in _INLINE), None)
-                if depth is not None and stack[depth][0] == "p":
-                    pop_to(depth)
+            block = stack.block()
+            if block >= 0 and stack.open[block][0] == "p" and _CLOSES_P.match(name):
+                skip, article, link = stack.cut(block)
         elif name == "br":
             words.append(" ")
-        if name in _VOID or tag[3].endswith("/"):
+        if name in _VOID or attributes.endswith("/"):
             continue
         if name in _ARTICLE:
             # Inside an article, what is marked stays out: comments are often articles, too.
@@ -167,9 +254,9 @@ def lines(page: str) -> tuple[list[str], list[int], bool]:
         elif name in _SKIPPED and not (name == "header" and article):
             skip = CERTAIN
         elif name not in ("html", "body"):
-            skip = max(skip, _marked(tag[3], article > 0))
+            skip = max(skip, _marked(attributes, article > 0))
         link = link or name == "a"
-        stack.append((name, skip, article, link))
+        stack.push(name, skip, article, link)
     close_block()
 
     def of(why: int, kinds: tuple[int, ...]) -> list[int]:

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 
@@ -95,3 +96,27 @@ def test_given_pages_without_article_tags(spark):
     for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
         bare = re.sub(r"</?article\b[^>]*>", "", r["html"])
         assert not html_text.lines(bare)[2] and html_text.main_text(bare) == html_text.main_text(r["html"])
+
+
+@pytest.mark.parametrize(
+    "part, more",
+    [
+        ("a<b ", ""), ("<a ", ""), ('<a "', ""), ("<div>", "</p>"), ("<b><div>", "</b>"), ("<b>", "<p>"), ("<!", ""), ("<?x ", ""),
+        ("<script/>", ""), ("<script>", "</script "), ("<a x='\"' ", "'"), ("<!-- ", ""), ("<aaaa", ""), ("</a ", "<b>"), ("<p class=", "x"),
+        ("&", "&amp"), (" ", "\n"), ("<i a='", '"'), ("<p>x", "</div>"),
+    ],
+)
+def test_time_in_proportion_to_the_page(part, more):
+    """A megabyte of what makes searches start again from each place."""
+    page = part * (500_000 // len(part)) + (more * (500_000 // len(more)) if more else "")
+    begun = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - begun < 10
+
+
+def test_unescaped_signs_stay_text():
+    words = "if a<b and c < d then <e "
+    text = html_text.main_text("<article><p>" + words * 3 + "</p><p>end</p></article>")
+    assert text.endswith("end") and text.startswith("if a")
+    assert html_text.main_text("<p>a <b title='x > y'>bold</b> c</p>") == "a bold c"
+    assert html_text.main_text("<p>5 < 6 and 7 <8</p>") == "5 < 6 and 7 <8"
