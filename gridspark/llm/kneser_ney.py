@@ -6,8 +6,8 @@ in blocks. A block asks for the probability of each distinct run it holds, once,
 over its texts, so what is shuffled grows with the distinct runs of a block, not with its bytes.
 
 A text is kept if its perplexity, less an allowance for short texts, is at most the threshold of its
-language: a quantile of the same figure of trusted texts that were held out of the counts, with some
-slack.
+language: a quantile of the same figure of trusted texts of that language that were held out of the
+counts, steadied by those of all languages, with some slack.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,9 @@ from pyspark.sql import functions as F
 from gridspark.llm.common import for_workers, written
 
 ORDER = 4
+#: Documents and bytes of a block, about; a block has more only where one document has.
 DOCS_PER_BLOCK = 4096
+BYTES_PER_BLOCK = 64 << 20
 #: Share of trusted texts that set the thresholds, one in so many.
 HELD_OUT = 5
 #: The slack is the smallest of 1, 1.03, 1.05 and 1.1 with which thresholds from one half of the
@@ -31,9 +34,11 @@ HELD_OUT = 5
 QUANTILE, SLACK = 0.99, 1.03
 #: The mean of few bytes varies more: n bytes may lie this many nats / sqrt(n) above the threshold.
 SHORT = 2.0
-#: A language with fewer held-out texts takes the threshold of all languages together: the 99 %
-#: quantile of fewer is their maximum.
-LEAST_HELD_OUT = 100
+#: What is known from all languages together counts as so many held-out texts of each: what a
+#: language with few of them has as its 99 % quantile is their maximum.
+HELD_OUT_OF_ALL = 400
+# Fixed value: the seed of Spark's xxhash64.
+SPARK_SEED = 42
 #: Bytes that a task gathers before it packs them, and runs it looks at together.
 PACK_BYTES = 8 << 20
 RUNS = 1 << 20
@@ -41,8 +46,23 @@ RUNS = 1 << 20
 _PACKED = "block long, sizes array<long>, keys array<long>, langs array<string>, payload binary"
 
 
-def packed(df: DataFrame, key: str, text: str, lang: str, blocks: int) -> DataFrame:
-    """Texts in compressed packs, each of one block; repeated and null keys and null texts stay."""
+def spread_keys(df: DataFrame, key: str, docs: int = DOCS_PER_BLOCK) -> DataFrame:
+    """`key`, `parts` for keys that more rows have than a block takes: into how many they are dealt."""
+    often = df.groupBy(F.col(key).cast("long").alias("key")).agg(F.count("*").alias("n"))
+    parts = F.ceil(F.col("n") / docs).cast("long")
+    return written(often.where((F.col("n") > docs) & F.col("key").isNotNull()).select("key", parts.alias("parts")), "often")
+
+
+def block_of(key: Column, part: Column, blocks: int) -> Column:
+    """Block of a document from its key and, of a key that many rows have, the part."""
+    return F.pmod(F.xxhash64(key, part), F.lit(blocks))
+
+
+def packed(df: DataFrame, key: str, text: str, lang: str, blocks: int, often: DataFrame) -> DataFrame:
+    """Texts in compressed packs, each of one block; repeated and null keys and null texts stay.
+
+    Rows without a key, and those of keys that are in `often`, are dealt out by their texts.
+    """
     for_workers(df.sparkSession)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,11 +98,13 @@ def packed(df: DataFrame, key: str, text: str, lang: str, blocks: int) -> DataFr
             yield flushed()
 
     rows = df.select(
-        F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(blocks)).alias("block"),
         F.col(key).cast("long").alias("key"),
         F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"),
-    )
+    ).join(often, "key", "left")
+    own = F.xxhash64("text")
+    part = F.when(F.col("key").isNull(), own).otherwise(F.pmod(own, F.coalesce("parts", F.lit(1))))
+    rows = rows.select(block_of(F.col("key"), part, blocks).alias("block"), "key", "lang", "text")
     return rows.mapInArrow(run, _PACKED).repartition(blocks, "block")
 
 
@@ -252,15 +274,16 @@ def probabilities(counts: DataFrame, runs: DataFrame, order: int = ORDER) -> Dat
     return out.select(*kept, p.alias("p"))
 
 
-def scored(packs: DataFrame, answers: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame:
-    """`key`, `lang`, `n_bytes`, `log_p` per text; `answers` has `block`, `run`, `p`."""
+def scored(packs: DataFrame, answers: DataFrame, order: int = ORDER) -> DataFrame:
+    """`key`, `version` (Spark's xxhash64 of the text), `lang`, `n_bytes`, `log_p` per text; `answers` has
+    `block`, `run`, `p`."""
 
     def block(packs: pa.Table, answers: pa.Table) -> pa.Table:
         codes = answers.column("run").to_numpy()
         logs = np.log(answers.column("p").to_numpy())
         by_code = np.argsort(codes)
         codes, logs = codes[by_code], logs[by_code]
-        keys, langs, sizes, sums = [], [], [], []
+        keys, versions, langs, sizes, sums = [], [], [], [], []
         group, held = [], 0
 
         def summed():
@@ -273,6 +296,7 @@ def scored(packs: DataFrame, answers: DataFrame, trusted: DataFrame, order: int
 
         for key, lang, text in documents(packs):
             keys.append(key)
+            versions.append(xxhash.xxh64_intdigest(text, SPARK_SEED))
             langs.append(lang)
             group.append(text)
             held += len(text)
@@ -282,40 +306,46 @@ def scored(packs: DataFrame, answers: DataFrame, trusted: DataFrame, order: int
         if group:
             summed()
         return pa.table({
-            "key": pa.array(keys, pa.int64()), "lang": pa.array(langs, pa.string()),
+            "key": pa.array(keys, pa.int64()), "version": pa.array(np.array(versions, np.uint64).view(np.int64)),
+            "lang": pa.array(langs, pa.string()),
             "n_bytes": pa.array(sizes, pa.int64()), "log_p": pa.array(sums, pa.float64()),
         })
 
     both = packs.groupBy("block").cogroup(answers.groupBy("block"))
-    return both.applyInArrow(block, "key long, lang string, n_bytes long, log_p double")
+    return both.applyInArrow(block, "key long, version long, lang string, n_bytes long, log_p double")
 
 
 def perplexities(
     df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER
 ) -> DataFrame:
-    """One row per row of `df`: `key`, `lang`, `n_bytes`, `perplexity` (null for an empty text) and
+    """One row per row of `df`: `key`, `version` (xxhash64 of its text), `lang`, `n_bytes`, `perplexity` (null for an empty text) and
     `held_out` (true for trusted texts outside the counts, false for those inside, else null).
 
     Trusted are the documents that `labels` (`key`, `quality`, `toxic`) calls good and not toxic. Null
     texts count as empty, a null language as the language ''. Without trusted texts every byte is
     equally likely. Only the named columns are read.
     """
-    blocks = max(1, -(-df.count() // DOCS_PER_BLOCK))
+    size = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0)).alias("bytes")).first()
+    blocks = max(1, -(-size["n"] // DOCS_PER_BLOCK), -(-size["bytes"] // BYTES_PER_BLOCK))
+    often = spread_keys(df, key)
     number = F.col(key).cast("long")
-    trusted = labels.filter("quality = 1 AND coalesce(toxic, 0) = 0").select(
-        F.pmod(F.xxhash64(number), F.lit(blocks)).alias("block"), number.alias("key"),
-        (F.pmod(F.xxhash64(number, F.lit("held out")), F.lit(HELD_OUT)) == 0).alias("held_out"),
-    ).filter("key IS NOT NULL").distinct()
-    packs = packed(df, key, text, lang, blocks)
+    trusted = labels.filter("quality = 1 AND coalesce(toxic, 0) = 0 AND " + f"`{key}` IS NOT NULL").select(
+        number.alias("key"), (F.pmod(F.xxhash64(number, F.lit("held out")), F.lit(HELD_OUT)) == 0).alias("held_out"),
+    ).distinct()
+    # The label of a key that is dealt out goes to each of its blocks.
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))
+    labelled = trusted.join(often, "key", "left").select("key", "held_out", parts.alias("part"))
+    labelled = labelled.select(block_of(F.col("key"), F.col("part"), blocks).alias("block"), "key", "held_out").distinct()
+    packs = packed(df, key, text, lang, blocks, often)
     shards = max(blocks, 16)
     questions = asked(packs, shards, order)
-    p = probabilities(counted(packs, trusted, shards, order), wanted(questions), order)
+    p = probabilities(counted(packs, labelled, shards, order), wanted(questions), order)
     answers = answered(questions, p)
     # Written: the thresholds and the decisions both read it.
-    sums = written(scored(packs, answers, trusted, order), "perplexity")
+    sums = written(scored(packs, answers, order), "perplexity")
     flags = trusted.groupBy("key").agg(F.max("held_out").alias("held_out"))
     return sums.join(flags, "key", "left").select(
-        F.col("key").alias(key), F.col("lang").alias(lang), "n_bytes",
+        F.col("key").alias(key), "version", F.col("lang").alias(lang), "n_bytes",
         F.when(F.col("n_bytes") > 0, F.exp(-F.col("log_p") / F.col("n_bytes"))).alias("perplexity"), "held_out",
     )
 
@@ -326,16 +356,25 @@ def _allowance() -> Column:
 
 
 def thresholds(found: DataFrame, lang: str = "lang", quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
-    """`lang`, `threshold` for the languages with enough held-out texts, and one row for all (null).
+    """`lang`, `threshold` for the languages with held-out texts, and one row for all (null).
 
-    They are for texts so long that they need no allowance; it is taken off the held-out ones, too.
+    They are for texts so long that they need no allowance; it is taken off the held-out ones, too. A
+    language's quantile is drawn, the more the fewer held-out texts it has, towards its median plus the
+    quantile of what texts of all languages lie above the median of their own.
     """
     known = found.filter("held_out AND perplexity IS NOT NULL")
-    long = F.log(F.col("perplexity") / _allowance())
-    cut = (F.exp(F.percentile_approx(long, quantile, 10_000)) * slack).alias("threshold")
-    each = known.groupBy(lang).agg(cut, F.count("*").alias("n")).filter(F.col("n") >= LEAST_HELD_OUT)
-    every = known.agg(cut).select(F.lit(None).cast("string").alias(lang), "threshold")
-    return each.select(lang, "threshold").unionByName(every)
+    known = known.select(F.coalesce(lang, F.lit("")).alias(lang), F.log(F.col("perplexity") / _allowance()).alias("x"))
+    each = written(known.groupBy(lang).agg(
+        F.percentile_approx("x", 0.5, 10_000).alias("middle"), F.percentile_approx("x", quantile, 10_000).alias("own"),
+        F.count("*").alias("n"),
+    ), "languages")
+    above = known.join(each, lang).agg(F.percentile_approx(F.col("x") - F.col("middle"), quantile, 10_000).alias("above"))
+    of_all = F.col("middle") + F.col("above")
+    drawn = (F.col("n") * F.col("own") + HELD_OUT_OF_ALL * of_all) / (F.col("n") + HELD_OUT_OF_ALL)
+    # A single row goes to every task.
+    each = each.join(F.broadcast(above)).select(lang, (F.exp(drawn) * slack).alias("threshold"))
+    every = known.agg((F.exp(F.percentile_approx("x", quantile, 10_000)) * slack).alias("threshold"))
+    return each.unionByName(every.select(F.lit(None).cast("string").alias(lang), "threshold"))
 
 
 def classified(
@@ -352,8 +391,8 @@ def classified(
     limits = thresholds(found, lang, quantile, slack)
     own = limits.filter(F.col(lang).isNotNull())
     every = limits.filter(F.col(lang).isNull()).select(F.col("threshold").alias("of_all"))
-    # A row per language, and one row: bounded by the number of languages.
-    judged = found.join(F.broadcast(own), lang, "left").join(F.broadcast(every))
+    # One row goes to every task; the thresholds do if Spark finds them small.
+    judged = found.join(written(own, "thresholds"), lang, "left").join(F.broadcast(every))
     limit = F.coalesce("threshold", "of_all") * _allowance()
     keep = F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= limit, F.lit(True))
-    return judged.select(key, lang, "n_bytes", "perplexity", limit.alias("threshold"), "held_out", keep.alias("keep"))
+    return judged.select(key, "version", lang, "n_bytes", "perplexity", limit.alias("threshold"), "held_out", keep.alias("keep"))

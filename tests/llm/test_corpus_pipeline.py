@@ -88,9 +88,26 @@ def test_odd_rows_go_through_every_stage(spark):
         assert now.count() <= rows.count()
 
 
+def test_decisions_are_by_id_and_text(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    junk = "@@##$$%%&&" * 300
+    first = docs.filter("length(text) > 500").orderBy("doc_id").first()
+    more = spark.createDataFrame(
+        [(first["doc_id"], junk, first["lang"], "s", 3000), (None, junk, "en", "s", 3000), (None, first["text"], first["lang"], "s", 1)], docs.schema
+    )
+    kept = corpus_pipeline.quality(spark, docs.unionByName(more), SF).collect()
+    assert not any(r["text"] == junk for r in kept)
+    assert sum(r["text"] == first["text"] and r["doc_id"] in (None, first["doc_id"]) for r in kept) == 2
+    rows = [(1, "a b c d e f", "en", "s", 11), (1, "a b c d e f", "de", "s", 11), (1, "other words of the same id", "en", "s", 26)]
+    rows += [(2, "a b c d e f", "en", "s", 11), (3, "alone here", "en", "s", 10), (None, "x", "en", "s", 1), (None, "x", "en", "s", 1)]
+    left = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, docs.schema), SF).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == [
+        (0, "x"), (0, "x"), (1, "a b c d e f"), (1, "other words of the same id"), (3, "alone here")]
+
+
 def test_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {re.match(r"op(\d+)_", n)[1] for n in names if re.match(r"op\d+_", n)} == {str(i) for i in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in names if re.match(r"op\d+_", n)} == {str(i) for i in range(1, 14)}
     assert "pipeline" in names and "pipeline" not in entry.oracle_sql()

@@ -70,6 +70,7 @@ def odd(spark):
     docs += [(53, "the cat sat", "xx", "x", 1), (None, "no key", "en", "x", 1), (54, "the mat", "en", "x", 1), (54, "the mat", "en", "x", 1)]
     labels = [(i, 1, 0) for i in range(40)] + [(52, 0, 0), (53, 1, 1), (None, 1, 0), (0, 1, None)]
     docs, labels = given(spark, docs, labels)
+    docs = docs.selectExpr("*", "xxhash64(coalesce(text, '')) AS version")
     return docs.collect(), kneser_ney.classified(docs, labels).collect()
 
 
@@ -79,7 +80,7 @@ def test_perplexity_is_the_model_s(odd):
     counted = [texts[r["doc_id"]] for r in got if r["held_out"] is False]
     assert 20 < len(counted) < 40
     model = Direct(counted, kneser_ney.ORDER)
-    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r["doc_id"]) for r in docs)
+    assert sorted((str(r["doc_id"]), r["version"]) for r in got) == sorted((str(r["doc_id"]), r["version"]) for r in docs)
     for r in got:
         text = texts[r["doc_id"]]
         assert r["n_bytes"] == len(text)
@@ -121,13 +122,46 @@ def test_short_held_out_texts_do_not_set_the_threshold(spark):
     rows = [("de", 2000, 5.0, True)] * 196 + [("de", 7, 10.0, True)] * 4 + [("fr", 2000, 5.0, True)] * 50
     found = spark.createDataFrame(rows, "lang string, n_bytes long, perplexity double, held_out boolean")
     got = {r["lang"]: r["threshold"] for r in kneser_ney.thresholds(found).collect()}
-    # Fifty texts are too few for their 99 % quantile.
-    assert set(got) == {"de", None}
+    assert set(got) == {"de", "fr", None}
     # A long text is kept at 5.0; one of a single repeated word had 6.2.
     at = {n: got["de"] * math.exp(kneser_ney.SHORT / math.sqrt(n)) for n in (2000, 5781)}
     assert at[2000] >= 5.0 and at[5781] < 6.2
 
 
+def test_thresholds_move_from_all_to_their_own(spark):
+    def texts(lang, middle, top, n):
+        return [(lang, 10**9, math.exp(top if i >= n * 0.98 else middle), True) for i in range(n)]
+
+    rows = texts("en", 1.0, 1.1, 6000) + texts("de", 2.0, 2.3, 6000) + texts("fr", 1.5, 1.5, 4) + [("pl", 10**9, 3.0, False)] * 9
+    found = spark.createDataFrame(rows, "lang string, n_bytes long, perplexity double, held_out boolean")
+    got = {r["lang"]: math.log(r["threshold"] / kneser_ney.SLACK) for r in kneser_ney.thresholds(found).collect()}
+    assert set(got) == {"en", "de", "fr", None}
+    # Of all texts, 99 % lie at most 0.1 or 0.3 above the median of their language.
+    assert 1.099 < got["en"] < 1.12 and 2.27 < got["de"] <= 2.3 and got["fr"] == pytest.approx(1.5 + 0.3 * 400 / 404, abs=0.21)
+    assert got["fr"] > 1.59 and 1.9 < got[None] <= 2.3
+
+
+def test_hot_and_null_keys_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "DOCS_PER_BLOCK", 8)
+    monkeypatch.setattr(kneser_ney.spread_keys, "__defaults__", (8,))
+    docs = [(7, f"text {i} of the one key that most have", "en", "x", 1) for i in range(60)]
+    docs += [(None, f"no key {i}", "en", "x", 1) for i in range(60)] + [(i + 100, f"own {i} text", "en", "x", 1) for i in range(40)]
+    given_docs, labels = given(spark, docs, [(7, 1, 0), *[(i + 100, 1, 0) for i in range(40)], (None, 1, 0)])
+    often = kneser_ney.spread_keys(given_docs, "doc_id")
+    assert [tuple(r) for r in often.collect()] == [(7, 8)]
+    sizes = kneser_ney.packed(given_docs, "doc_id", "text", "lang", 20, often).selectExpr("block", "size(sizes) AS n")
+    most = max(r["n"] for r in sizes.groupBy("block").sum("n").withColumnRenamed("sum(n)", "n").collect())
+    assert most < 40
+    got = kneser_ney.perplexities(given_docs, labels).collect()
+    assert len(got) == 160
+    held = {r["doc_id"] for r in got if r["held_out"]}
+    counted = [(r[1] or "").encode() for r in docs if r[0] is not None and r[0] not in held]
+    model = Direct(counted, kneser_ney.ORDER)
+    want = sorted((str(k), model.perplexity(t.encode())) for k, t, *_ in docs)
+    for (key, p), (other, q) in zip(sorted((str(r["doc_id"]), r["perplexity"]) for r in got), want, strict=True):
+        assert key == other and p == pytest.approx(q, rel=1e-9)
+
+
 def test_op2_keeps_little_junk(spark):
     larger = "/root/testdata/sf0.1"
     kept = {r["doc_id"] for r in queries.QUERIES["op2_kneser_ney"](spark, larger).collect()}
