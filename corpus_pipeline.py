@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.llm import bag_minhash, byte_bpe, kneser_ney, line_dedup, qgram_filter
-from gridspark.llm.common import table, written
+from gridspark.llm.common import table, text_or_empty, written
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -20,9 +20,10 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps; the model is trained on the trusted ones of `docs`."""
     judged = kneser_ney.classified(docs, table(spark, sf_dir, "labels"))
-    rejected = judged.filter(~F.col("keep")).select("doc_id").distinct()
-    # A row without an id cannot be told apart from others and stays.
-    return docs.join(rejected, "doc_id", "left_anti")
+    rejected = judged.filter(~F.col("keep")).select(F.col("doc_id").alias("id"), "version").distinct()
+    # By id and text: a row does not go for another text of the same id.
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(text_or_empty()) == F.col("version"))
+    return docs.join(rejected, same, "left_anti")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,9 +34,15 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: the one with the smallest id."""
+    """One document of each class of near-duplicates: the one with the smallest id, and one row of it
+    for each of its texts."""
     copies = bag_minhash.near_duplicates(docs).filter("class_id <> doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti")
+    left = docs.join(copies, "doc_id", "left_anti")
+    several = docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL")
+    several = written(several.select("doc_id"), "repeated-ids")
+    # Only rows of ids that occur again are brought together; without any, Spark joins with nothing.
+    again = left.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(several, "doc_id", "left_anti").unionByName(again)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
