@@ -456,7 +456,7 @@ _KEPT = "WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new)"
 
 ORACLES["upserted"] = f"""
 WITH {_ORDERS} SELECT * FROM old {_KEPT} UNION ALL SELECT * FROM new"""
-for _name in ("upsert_parquet", "merge_table_unpartitioned"):
+for _name in ("upsert_parquet", "upsert_files", "merge_files", "merge_table_unpartitioned"):
     ORACLES[_name] = ORACLES["upserted"]
 
 ORACLES["upsert_moved"] = f"""
@@ -475,6 +475,16 @@ SELECT * REPLACE (CAST(NULL AS BIGINT) AS o_custkey), CAST(NULL AS VARCHAR) AS n
 FROM old {_KEPT}
 UNION ALL SELECT *, 'new' FROM new"""
 
+ORACLES["evolve_widened"] = f"""
+WITH {_ORDERS}
+SELECT o_orderkey, datetime, year, month, o_custkey AS number, floor(o_totalprice) AS price,
+       o_custkey AS customer, CAST(NULL AS VARCHAR) AS note
+FROM old {_KEPT}
+UNION ALL
+SELECT o_orderkey, datetime, year, month, o_custkey, o_totalprice, o_custkey + 5000000000, 'new' FROM new"""
+ORACLES["evolve_rewritten"] = f"""
+SELECT w.*, CAST(r.run AS INTEGER) AS run FROM ({ORACLES["evolve_widened"]}) w, range(2) AS r(run)"""
+
 ORACLES["upsert_guarded"] = f"""
 WITH {_ORDERS},
 both_sides AS (
@@ -503,6 +513,12 @@ WITH {_MIX_DAILY}
 SELECT * REPLACE (CASE WHEN dt >= DATE '2024-01-20' THEN 'again' ELSE 'daily' END AS grain)
 FROM daily"""
 
+ORACLES["gold_days_evolved"] = f"""
+WITH {_MIX_DAILY}
+SELECT * REPLACE (CASE WHEN dt < DATE '2024-01-20' THEN unit_share END AS unit_share),
+       CASE WHEN dt >= DATE '2024-01-20' THEN 'again' END AS note
+FROM daily"""
+
 ORACLES["merge_table"] = f"""
 WITH {_ORDERS}
 SELECT * REPLACE (CAST(NULL AS BIGINT) AS o_custkey) FROM old {_KEPT}

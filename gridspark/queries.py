@@ -30,11 +30,12 @@ from gridspark.schemas import (
     MIX_PAYLOAD,
 )
 from gridspark.session import scratch_path, use_utc
-from gridspark.sinks.parquet import overwrite_parquet, upsert_parquet
+from gridspark.sinks.parquet import overwrite_parquet, upsert_files, upsert_parquet
 from gridspark.sinks.tables import (
     create_table,
     merge_table,
     mirror_table,
+    replace_partitions,
     table_from_parquet,
     write_bronze,
 )
@@ -498,6 +499,64 @@ def _upsert_parquet(spark, sf_dir):
     return read_parquet(spark, path)
 
 
+@query
+def _upsert_files(spark, sf_dir):
+    """The same file by file: the rows lie in files by key, and only those with a new row are replaced."""
+    path = scratch_path(spark, "upsert")
+    old, new = _old_and_new(_orders(spark, sf_dir))
+    old.repartitionByRange(16, "o_orderkey").write.partitionBy("year", "month").parquet(path)
+    for _ in range(2):
+        upsert_files(new, path, ["o_orderkey", "datetime"], ["year", "month"])
+    return read_parquet(spark, path)
+
+
+@query
+def merge_files(spark, sf_dir):
+    table = f"silver{_databases(spark)}.orders"
+    old, new = _old_and_new(_orders(spark, sf_dir))
+    merge_table(old, table, ["o_orderkey"])
+    merge_table(new, table, ["o_orderkey"], by_file=True)
+    return spark.table(table)
+
+
+def _in_two_types(spark: SparkSession, sf_dir: str, price: str) -> tuple[DataFrame, DataFrame]:
+    """Old rows with narrower types and fewer fields than new ones."""
+    old, new = _old_and_new(_orders(spark, sf_dir))
+    narrow = F.struct(F.col("o_custkey").cast("int").alias("customer")).alias("detail")
+    wide = F.struct((F.col("o_custkey") + F.lit(5_000_000_000)).alias("customer"), F.lit("new").alias("note")).alias("detail")
+    kept = ["o_orderkey", "datetime", "year", "month"]
+    old = old.select(*kept, narrow, F.col("o_custkey").cast("int").alias("number"), F.floor("o_totalprice").cast(price).alias("price"))
+    return old, new.select(*kept, wide, F.col("o_custkey").alias("number"), F.col("o_totalprice").alias("price"))
+
+
+def _opened(df: DataFrame) -> DataFrame:
+    return df.select("o_orderkey", "datetime", "year", "month", "number", "price", "detail.customer", "detail.note")
+
+
+@query
+def evolve_widened(spark, sf_dir):
+    """Columns become wider by an upsert; the files of other partitions stay as they are."""
+    path = scratch_path(spark, "widened")
+    old, new = _in_two_types(spark, sf_dir, "int")
+    keys, parts = ["o_orderkey", "datetime"], ["year", "month"]
+    upsert_parquet(old, path, keys, parts)
+    upsert_parquet(new, path, keys, parts)
+    return _opened(read_parquet(spark, path))
+
+
+@query
+def evolve_rewritten(spark, sf_dir):
+    """A wider type that files cannot be read as: directory and table are rewritten once."""
+    path, table = scratch_path(spark, "rewritten"), f"silver{_databases(spark)}.orders"
+    old, new = _in_two_types(spark, sf_dir, "bigint")
+    keys, parts = ["o_orderkey", "datetime"], ["year", "month"]
+    for side in (old, new):
+        upsert_parquet(side, path, keys, parts)
+        merge_table(side, table, keys, parts)
+    both = [_opened(df).withColumn("run", F.lit(i)) for i, df in enumerate([read_parquet(spark, path), spark.table(table)])]
+    return both[0].unionByName(both[1])
+
+
 @query
 def upsert_moved(spark, sf_dir):
     path = scratch_path(spark, "upsert")
@@ -583,6 +642,17 @@ def gold_days_replaced(spark, sf_dir):
     return _rounded(read_parquet(spark, path, MIX_DAILY))
 
 
+@query
+def gold_days_evolved(spark, sf_dir):
+    """Days of a table replaced by rows with a new column and without an old one."""
+    table = f"gold{_databases(spark)}.mix"
+    product = daily.mix_daily(_silver(spark, sf_dir, 0)["fact"])
+    create_table(product, table, ["dt"])
+    late = product.where("dt >= date'2024-01-20'").drop("unit_share").withColumn("note", F.lit("again"))
+    replace_partitions(late, table, ["dt"])
+    return _rounded(spark.table(table))
+
+
 @cache
 def _emptied(spark: SparkSession, sf_dir: str, suffix: str) -> str:
     """Both flow products, then a correction: from 2000 on the focal zone imported nothing."""

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 
 def for_files(
@@ -70,6 +71,25 @@ def touched_rows(existing: DataFrame, incoming: DataFrame, columns: Sequence[str
     return rows.alias("e").join(parts.alias("i"), same, "left_semi")
 
 
+def between_ends(incoming: DataFrame, keys: Sequence[str]) -> Column:
+    """Comparisons that hold for every row whose key `incoming` has, one range for each column.
+
+    Row groups whose statistics lie outside are not read. One row goes to the driver.
+    """
+    plain = [f.name for f in incoming.schema if f.name in keys and isinstance(f.dataType, AtomicType)]
+    if not plain:
+        return F.lit(True)
+    ends = incoming.agg(
+        *[f(f"`{name}`").alias(f"{label}_{i}") for i, name in enumerate(plain) for f, label in ((F.min, "low"), (F.max, "high"))],
+        *[F.bool_or(F.col(f"`{name}`").isNull()).alias(f"null_{i}") for i, name in enumerate(plain)],
+    ).first()
+    ranges = [F.lit(True)]
+    for i, name in enumerate(plain):
+        if not ends[f"null_{i}"] and ends[f"low_{i}"] is not None:
+            ranges.append(F.col(f"`{name}`").between(F.lit(ends[f"low_{i}"]), F.lit(ends[f"high_{i}"])))
+    return reduce(Column.__and__, ranges)
+
+
 def partitions_follow_keys(partition_by: Sequence[str], keys: Sequence[str]) -> bool:
     """True if a key can only ever lie in one partition.
 

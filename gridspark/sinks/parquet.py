@@ -6,13 +6,18 @@ from collections.abc import Callable, Sequence
 from contextlib import nullcontext
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gridspark.functions import keys_match
 from gridspark.operators.checks import assert_unique
 from gridspark.operators.upsert import upsert
 from gridspark.session import staged
-from gridspark.sinks.layout import for_files, partitions_follow_keys, touched_rows
-from gridspark.sinks.swap import replacing
+from gridspark.sinks.evolution import SCHEMA_FILE, evolved, fitted, keep_schema, kept_schema, plain, read_as, widened
+from gridspark.sinks.files import Files
+from gridspark.sinks.layout import between_ends, for_files, partitions_follow_keys, touched_rows
+from gridspark.sinks.lease import Lease
+from gridspark.sinks.swap import replacing, replacing_files, writing
 from gridspark.sources.silver import read_parquet
 
 
@@ -24,27 +29,67 @@ def overwrite_parquet(
     sort_by: Sequence[str] = (),
     only_touched: bool = False,
     gone: Callable[[str], bool] = lambda unit: False,
+    lease: Lease | None = None,
 ) -> None:
     """Replace a directory, or with `only_touched` just the partitions that `df` has rows in, and
     those that `gone` names (by `a=1/b=2`) although it has none.
 
     The new files are written once, next to the old ones, and take their place when they are whole.
-    `df` may read the directory itself.
+    `df` may read the directory itself. With `only_touched` the other partitions stay readable next to
+    it, whatever columns it has. A second writer is refused; `lease` is that of the caller, if it has it.
     """
     if only_touched and not partition_by:
         raise ValueError("only_touched needs partition columns")
-    with replacing(df.sparkSession, path, len(partition_by) if only_touched else 0, gone) as folder:
-        writer = for_files(df, partition_by, sort_by).write
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(folder)
+    spark = df.sparkSession
+    with nullcontext(lease) if lease else writing(spark, path) as lease:
+        files = Files(spark, path)
+        if only_touched:
+            df = ready_for(df, path, partition_by, lease)
+        kept = None if only_touched else kept_schema(files)
+        with replacing(spark, path, len(partition_by) if only_touched else 0, gone, lease) as folder:
+            writer = for_files(df, partition_by, sort_by).write
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.parquet(folder)
+        if kept is not None:
+            # All files are new and agree; until here the wider columns of the old ones were kept.
+            files.delete(SCHEMA_FILE)
+
+
+def ready_for(df: DataFrame, path: str, partition_by: Sequence[str], lease: Lease) -> DataFrame:
+    """`df` with the columns that rows of the directory have from now on (`evolution.py`).
+
+    Columns that `df` lacks stay away. The directory keeps its columns if files disagree on a type,
+    and is rewritten before if readers cannot do without.
+    """
+    spark, files = df.sparkSession, Files(df.sparkSession, path)
+    existing = read_parquet(spark, path)
+    if existing is None:
+        return df
+    stored = plain(existing.schema)
+    now = evolved(stored, plain(df.schema))
+    changed = widened(stored, now)
+    if set(changed) & set(partition_by):
+        raise TypeError(f"{path}: partition columns keep their types: {sorted(set(changed) & set(partition_by))}")
+    kinds = {field.name: field.dataType for field in now}
+    if not all(read_as(f.dataType, kinds[f.name]) for f in stored):
+        parts = files.partition_columns()
+        old = fitted(existing, type(now)([f for f in now if f.name in set(existing.columns)]))
+        overwrite_parquet(old, path, parts, lease=lease)
+    elif changed or (files.exists(SCHEMA_FILE) and len(now) > len(stored)):
+        # Before the files: the wider columns hold for the old ones as well.
+        keep_schema(files, now)
+    own = {name.lower() for name in df.columns}
+    return fitted(df, type(now)([f for f in now if f.name.lower() in own]))
 
 
 def append_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    writer = for_files(df, partition_by).write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with writing(df.sparkSession, path) as lease:
+        rows = ready_for(df, path, partition_by, lease)
+        writer = for_files(rows, partition_by).write.mode("append")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
 
 
 def upsert_parquet(
@@ -69,19 +114,68 @@ def upsert_parquet(
     """
     spark = incoming.sparkSession
     keys = list(keys)
-    existing = read_parquet(spark, path, schema)
-    if existing is None and unique:
-        overwrite_parquet(incoming, path, partition_by, sort_by=keys)
-        return
-    # Read below for its keys, its partitions and its rows: computed once.
-    with nullcontext(incoming) if ready else staged(incoming, "incoming") as incoming:
+    with writing(spark, path) as lease:
+        existing = read_parquet(spark, path, schema)
+        if existing is None and unique:
+            overwrite_parquet(incoming, path, partition_by, sort_by=keys, lease=lease)
+            return
+        # Read below for its keys, its partitions and its rows: computed once.
+        with nullcontext(incoming) if ready else staged(incoming, "incoming") as incoming:
+            if not unique:
+                assert_unique(incoming, keys)
+            if existing is None:
+                overwrite_parquet(incoming, path, partition_by, sort_by=keys, lease=lease)
+                return
+            incoming = ready_for(incoming, path, partition_by, lease)
+            existing = read_parquet(spark, path, schema)
+            only_touched = partitions_follow_keys(partition_by, keys)
+            if only_touched:
+                existing = touched_rows(existing, incoming, partition_by)
+            merged = upsert(existing, incoming, keys, guard)
+            overwrite_parquet(merged, path, partition_by, sort_by=keys, only_touched=only_touched, lease=lease)
+
+
+def upsert_files(
+    incoming: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str] = (),
+    *,
+    guard: Sequence[str] | None = None,
+    schema: StructType | None = None,
+    unique: bool = False,
+) -> int:
+    """The same outcome as `upsert_parquet`, but only files that hold a key of `incoming` are rewritten;
+    new rows go to files of their own. Returns how many files were replaced.
+
+    Files are found by a semi join of the stored keys with the incoming ones; the scan of the keys is
+    cut before to the partitions and the range of keys that come. The names of these files, not their
+    rows, go through the driver.
+    """
+    spark = incoming.sparkSession
+    keys = list(keys)
+    with writing(spark, path) as lease, staged(incoming, "incoming") as incoming:
         if not unique:
             assert_unique(incoming, keys)
-        if existing is None:
-            overwrite_parquet(incoming, path, partition_by, sort_by=keys)
-            return
-        only_touched = partitions_follow_keys(partition_by, keys)
-        if only_touched:
-            existing = touched_rows(existing, incoming, partition_by)
-        merged = upsert(existing, incoming, keys, guard)
-        overwrite_parquet(merged, path, partition_by, sort_by=keys, only_touched=only_touched)
+        if read_parquet(spark, path, schema) is None:
+            overwrite_parquet(incoming, path, partition_by, sort_by=keys, lease=lease)
+            return 0
+        incoming = ready_for(incoming, path, partition_by, lease)
+        existing = read_parquet(spark, path, schema)
+        stored = existing.select("*", F.col("_metadata.file_path").alias("__file"))
+        if partitions_follow_keys(partition_by, keys):
+            stored = touched_rows(stored, incoming, partition_by)
+        stored = stored.where(between_ends(incoming, keys))
+        hit = stored.alias("t").join(
+            incoming.select(*[F.col(f"`{key}`") for key in keys]).alias("s"), keys_match(keys, "t", "s"), "left_semi"
+        )
+        found = [row["__file"] for row in hit.select("__file").distinct().collect()]
+        rows = existing.where(F.col("_metadata.file_path").isin(found)) if found else existing.limit(0)
+        merged = upsert(rows, incoming, keys, guard)
+        files = Files(spark, path)
+        with replacing_files(spark, path, [files.inside(uri) for uri in found], lease) as folder:
+            writer = for_files(merged, partition_by, keys).write
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.parquet(folder)
+        return len(found)

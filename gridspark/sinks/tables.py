@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
-from contextlib import nullcontext
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +14,10 @@ from gridspark.operators.checks import assert_unique
 from gridspark.operators.latest import ranks_before, require_columns
 from gridspark.operators.upsert import upsert
 from gridspark.session import staged
+from gridspark.sinks.evolution import add_table_columns, evolved, fitted, plain, widened
 from gridspark.sinks.layout import for_files, partitions_follow_keys, touched_rows
-from gridspark.sinks.parquet import overwrite_parquet
+from gridspark.sinks.lease import Lease, leased
+from gridspark.sinks.parquet import overwrite_parquet, upsert_files
 from gridspark.sinks.swap import replacing
 from gridspark.sources.silver import read_parquet
 from gridspark.spec import PipelineSpec
@@ -41,6 +43,26 @@ def table_format(spark: SparkSession, table: str) -> str:
     return _described(spark, table).get("Provider", "parquet").lower()
 
 
+def table_parts(spark: SparkSession, table: str) -> list[str]:
+    """Partition columns of a table, as the catalog has them."""
+    return [c.name for c in spark.catalog.listColumns(quoted(table)) if c.isPartition]
+
+
+@contextmanager
+def writing_table(spark: SparkSession, table: str) -> Iterator[Lease]:
+    """The lease of a table, whether it exists or not, after what an earlier writer left is put in order.
+
+    The file lies in the folder of the database. Writers of files in the table's folder take that
+    folder's lease besides.
+    """
+    database, _, name = table.rpartition(".")
+    database = database or spark.catalog.currentDatabase()
+    location = spark.catalog.getDatabase(database).locationUri
+    with leased(spark, f"{location.rstrip('/')}/table-{name}") as lease:
+        recover_table(spark, table)
+        yield lease
+
+
 def create_table(
     df: DataFrame,
     table: str,
@@ -50,14 +72,21 @@ def create_table(
     format: str = "parquet",
     buckets: tuple[int, Sequence[str]] | None = None,
     laid_out: bool = False,
+    lease: Lease | None = None,
 ) -> None:
     """Create the table, or replace its rows and its schema.
 
     The new table is built under a name of its own, once, and then takes the old one's name; the old
-    table goes last. `df` may read the table itself.
+    table goes last. `df` may read the table itself. A second writer is refused; `lease` is that of the
+    caller, if it has the table's.
     """
     spark = df.sparkSession
-    recover_table(spark, table)
+    if lease is None:
+        with writing_table(spark, table) as lease:
+            create_table(
+                df, table, partition_by, sort_by=sort_by, format=format, buckets=buckets, laid_out=laid_out, lease=lease
+            )
+        return
     exists = spark.catalog.tableExists(table)
     in_place = not exists or format in ROW_LEVEL_FORMATS
     target = table if in_place else table + BUILDING + uuid.uuid4().hex[:8]
@@ -75,6 +104,7 @@ def create_table(
             spark.sql(f"DROP TABLE IF EXISTS {quoted(target)}")
         raise
     if target != table:
+        lease.check()
         # A catalog that lists partitions may still list them where they were before the rename;
         # dropping the table would then delete what has taken that place.
         spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted(table + REPLACED)}")
@@ -124,33 +154,54 @@ def table_from_parquet(
 def replace_partitions(
     df: DataFrame,
     table: str,
-    partition_by: Sequence[str],
+    partition_by: Sequence[str] | None = None,
     *,
     sort_by: Sequence[str] = (),
     gone: Callable[[str], bool] = lambda unit: False,
+    lease: Lease | None = None,
 ) -> None:
     """Replace the partitions of a Parquet table that `df` has rows in, and those that `gone` names.
 
-    As with directories, files are written apart and moved in when they are whole. No session option
-    is involved, so other jobs of the session do not matter.
+    The partition columns are the table's; a caller that names others is refused, since readers would
+    not find its files. Columns that the table lacks are added to it, those that `df` lacks are NULL,
+    and types widen (`evolution.py`). As with directories, files are written apart and moved in when
+    they are whole. No session option is involved, so other jobs of the session do not matter.
     """
     spark = df.sparkSession
-    location = _described(spark, table)["Location"]
-    columns = spark.table(table).columns
-    rows = for_files(df.select(*[F.col(f"`{c}`") for c in columns]), partition_by, sort_by)
-    with replacing(spark, location, len(partition_by), gone) as folder:
-        rows.write.partitionBy(*partition_by).parquet(folder)
+    if lease is None:
+        with writing_table(spark, table) as lease:
+            replace_partitions(df, table, partition_by, sort_by=sort_by, gone=gone, lease=lease)
+        return
+    parts = table_parts(spark, table)
+    if partition_by is not None and list(partition_by) != parts:
+        raise ValueError(f"table {table} is partitioned by {parts}, not by {list(partition_by)}")
+    if not parts:
+        raise ValueError(f"table {table} has no partitions to replace")
+    rows = evolve_table(df, table, lease)
+    with replacing(spark, _described(spark, table)["Location"], len(parts), gone) as folder:
+        for_files(rows, parts, sort_by).write.partitionBy(*parts).parquet(folder)
     _sync_partitions(spark, table)
 
 
-def _add_columns(df: DataFrame, table: str) -> None:
-    """Schema evolution: columns the table lacks are added to it, old rows read NULL there."""
+def evolve_table(df: DataFrame, table: str, lease: Lease) -> DataFrame:
+    """`df` with the columns that the table has from now on.
+
+    New columns are added in the catalog, old rows read NULL there. A plain Parquet table cannot change
+    a column's type in place; it is rewritten once, as wide as needed.
+    """
     spark = df.sparkSession
-    known = {name.lower() for name in spark.table(table).columns}
-    new = [f for f in df.schema if f.name.lower() not in known]
-    if new:
-        added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {quoted(table)} ADD COLUMNS ({added})")
+    stored = plain(spark.table(table).schema)
+    now = evolved(stored, plain(df.schema))
+    parts = table_parts(spark, table)
+    changed = widened(stored, now)
+    if set(changed) & set(parts):
+        raise TypeError(f"{table}: partition columns keep their types: {sorted(set(changed) & set(parts))}")
+    if changed:
+        old = fitted(spark.table(table), type(now)([*[f for f in now if f.name not in parts], *[f for f in now if f.name in parts]]))
+        create_table(old, table, parts, format=table_format(spark, table), lease=lease)
+    else:
+        add_table_columns(spark, table, list(now)[len(stored) :])
+    return fitted(df, type(now)([{f.name: f for f in now}[name] for name in spark.table(table).columns]))
 
 
 def merge_table(
@@ -163,38 +214,44 @@ def merge_table(
     unique: bool = False,
     format: str = "parquet",
     ready: bool = False,
+    by_file: bool = False,
 ) -> None:
     """Upsert into a table: matched keys are replaced, others inserted, nothing is deleted.
 
-    A missing table is created. Formats with row-level writes get a MERGE; for a plain Parquet table
-    the touched partitions are rewritten, as for a directory.
+    A missing table is created. Formats with row-level writes get a MERGE. Of a plain Parquet table the
+    touched partitions are rewritten, as for a directory, or with `by_file` only the files that hold a
+    key of `incoming`: for few rows in large partitions, or tables without any.
     """
     spark = incoming.sparkSession
     keys = list(keys)
     require_columns(incoming, keys, "keys")
-    recover_table(spark, table)
-    exists = spark.catalog.tableExists(table)
-    if not exists and unique:
-        create_table(incoming, table, partition_by, sort_by=keys, format=format)
-        return
-    if exists and table_format(spark, table) in ROW_LEVEL_FORMATS:
-        _merge_rows(incoming, table, keys, guard)
-        return
-    with nullcontext(incoming) if ready else staged(incoming, "incoming") as incoming:
-        if not unique:
-            assert_unique(incoming, keys)
-        if not exists:
-            create_table(incoming, table, partition_by, sort_by=keys, format=format)
+    with writing_table(spark, table) as lease:
+        exists = spark.catalog.tableExists(table)
+        if not exists and unique:
+            create_table(incoming, table, partition_by, sort_by=keys, format=format, lease=lease)
             return
-        _add_columns(incoming, table)
-        existing = spark.table(table)
-        partition_by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-        if partitions_follow_keys(partition_by, keys):
-            touched = touched_rows(existing, incoming, partition_by)
-            merged = upsert(touched, incoming, keys, guard)
-            replace_partitions(merged, table, partition_by, sort_by=keys)
-        else:
-            create_table(upsert(existing, incoming, keys, guard), table, partition_by, sort_by=keys)
+        if exists and table_format(spark, table) in ROW_LEVEL_FORMATS:
+            _merge_rows(incoming, table, keys, guard)
+            return
+        with nullcontext(incoming) if ready else staged(incoming, "incoming") as incoming:
+            if not unique:
+                assert_unique(incoming, keys)
+            if not exists:
+                create_table(incoming, table, partition_by, sort_by=keys, format=format, lease=lease)
+                return
+            incoming = evolve_table(incoming, table, lease)
+            parts = table_parts(spark, table)
+            if by_file:
+                upsert_files(
+                    incoming, _described(spark, table)["Location"], keys, parts,
+                    guard=guard, schema=spark.table(table).schema, unique=True,
+                )
+                _sync_partitions(spark, table)
+            elif partitions_follow_keys(parts, keys):
+                touched = touched_rows(spark.table(table), incoming, parts)
+                replace_partitions(upsert(touched, incoming, keys, guard), table, sort_by=keys, lease=lease)
+            else:
+                create_table(upsert(spark.table(table), incoming, keys, guard), table, parts, sort_by=keys, lease=lease)
 
 
 def _merge_rows(incoming: DataFrame, table: str, keys, guard) -> None:
@@ -277,5 +334,5 @@ def write_bronze(
     else:
         create_table(rows, table, parts, buckets=bucketing, laid_out=True)
     if bronze.table_comment:
-        text = bronze.table_comment.replace("'", "\\'")
+        text = bronze.table_comment.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"COMMENT ON TABLE {quoted(table)} IS '{text}'")

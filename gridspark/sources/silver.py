@@ -19,7 +19,8 @@ from gridspark.schemas import (
     MIX_FACT,
 )
 from gridspark.session import use_utc
-from gridspark.sinks.swap import Files
+from gridspark.sinks.evolution import kept_schema
+from gridspark.sinks.files import Files
 from gridspark.spec import PipelineSpec
 
 STORED = {
@@ -38,17 +39,21 @@ def read_parquet(
 ) -> DataFrame | None:
     """A Parquet directory, None if it does not exist; any other read error is raised.
 
-    The columns are those of `schema`, then every other one that some file has. Partition values
-    stay text unless `schema` gives them a type (`09` is not 9).
+    The columns are those of `schema`, then every other one that some file has, or that the directory
+    keeps a list of. Partition values stay text unless `schema` gives them a type (`09` is not 9).
     """
+    files = Files(spark, path)
+    kept = kept_schema(files)
     try:
-        stored = spark.read.option("mergeSchema", "true").parquet(path).schema
+        stored = kept if kept is not None else spark.read.option("mergeSchema", "true").parquet(path).schema
     except AnalysisException as exc:
         if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
-    parts = set(Files(spark, path).partition_columns())
-    declared = [] if schema is None else schema.fields
+    parts = set(files.partition_columns())
+    kinds = {} if kept is None else {f.name: f.dataType for f in kept}
+    # A declared column that rows were wider than.
+    declared = [] if schema is None else [StructField(f.name, kinds.get(f.name, f.dataType), f.nullable, f.metadata) for f in schema]
     known = {field.name.lower() for field in declared}
     more = [
         StructField(f.name, StringType()) if f.name in parts else f

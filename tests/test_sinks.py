@@ -1,5 +1,6 @@
 import os
 import random
+import time
 from datetime import datetime
 
 import pytest
@@ -9,9 +10,13 @@ from gridspark.functions import keys_match
 from gridspark.operators.latest import ranks_before
 from gridspark.operators.upsert import upsert
 from gridspark.plans.pipeline import write_output
+from gridspark.sinks import lease as lease_module
 from gridspark.sinks import tables
+from gridspark.sinks.files import Files
 from gridspark.sinks.layout import touched_rows
-from gridspark.sinks.parquet import overwrite_parquet, upsert_parquet
+from gridspark.sinks.lease import Busy, leased
+from gridspark.sinks.parquet import overwrite_parquet, upsert_files, upsert_parquet
+from gridspark.sinks.swap import recover, replacing
 from gridspark.sinks.tables import (
     create_table,
     merge_table,
@@ -19,8 +24,8 @@ from gridspark.sinks.tables import (
     replace_partitions,
     table_from_parquet,
     write_bronze,
+    writing_table,
 )
-from gridspark.sinks.swap import Files, recover
 from gridspark.sources.silver import read_parquet
 from gridspark.spec import BronzeSpec, ColumnSpec, LayerSpec, PipelineSpec
 
@@ -422,3 +427,159 @@ def test_layers_append_or_say_no(spark, tmp_path, db):
     assert read_parquet(spark, layer.location(layer.outputs()[0], root)).count() == 2
     with pytest.raises(ValueError, match="disposition"):
         spec("apend")
+
+
+# ---- evolution, leases, single files ----
+
+
+def test_replaced_days_keep_new_columns_and_fill_missing_ones(spark, db):
+    table = f"{db}.gold"
+    create_table(spark.sql("SELECT 1 AS a, 2.5D AS b, 'd1' AS dt UNION ALL SELECT 2, 3.5D, 'd2'"), table, ["dt"])
+    replace_partitions(spark.sql("SELECT 7 AS a, 'new' AS note, 'd2' AS dt"), table, ["dt"])
+    got = {tuple(r) for r in spark.table(table).select("a", "b", "note", "dt").collect()}
+    assert got == {(1, 2.5, None, "d1"), (7, None, "new", "d2")}
+
+
+def test_replaced_days_of_another_layout_are_refused(spark, db):
+    table = f"{db}.gold"
+    create_table(spark.sql("SELECT 1 AS a, 'z' AS zz, 'd1' AS dt"), table, ["zz"])
+    with pytest.raises(ValueError, match="partitioned by"):
+        replace_partitions(spark.sql("SELECT 2 AS a, 'z' AS zz, 'd1' AS dt"), table, ["dt"])
+    create_table(spark.sql("SELECT 1 AS a"), f"{db}.flat")
+    with pytest.raises(ValueError, match="no partitions"):
+        replace_partitions(spark.sql("SELECT 2 AS a"), f"{db}.flat", [])
+    assert [tuple(r) for r in spark.table(table).collect()] == [(1, "d1", "z")]
+
+
+OLD = "SELECT id, CAST(id AS INT) AS n, CAST(id AS FLOAT) AS f, named_struct('x', CAST(id AS SMALLINT)) AS s, CAST(id % 3 AS STRING) AS p FROM range(30)"
+WIDE = "SELECT id, id + 5000000000 AS n, id / 3 AS f, named_struct('x', id + 5000000000, 'y', 'new') AS s, CAST(id % 3 AS STRING) AS p FROM range(27, 33)"
+TYPES = {"n": "bigint", "f": "double", "s": "struct<x:bigint,y:string>"}
+
+
+def wide_rows(df):
+    return {(r.id, r.n, r.f, r.s.x, r.s.y) for r in df.collect()}
+
+
+WANT_WIDE = {(i, i, float(i), i, None) for i in range(27)} | {
+    (i, i + 5 * 10**9, i / 3, i + 5 * 10**9, "new") for i in range(27, 33)
+}
+
+
+@pytest.mark.parametrize("parts", [["p"], []])
+@pytest.mark.parametrize("by_file", [False, True])
+def test_types_widen_in_directories(spark, path, parts, by_file):
+    keys = ["id", "p"]
+    write = upsert_files if by_file else upsert_parquet
+    upsert_parquet(spark.sql(OLD), path, keys, parts)
+    others = spark.sql(OLD.replace("range(30)", "range(60, 66)")).coalesce(1)
+    others.write.mode("append").partitionBy(*parts).parquet(path)
+    stored = set(read_parquet(spark, path).inputFiles())
+    write(spark.sql(WIDE), path, keys, parts)
+    after = read_parquet(spark, path)
+    assert wide_rows(after) == WANT_WIDE | {(i, i, float(i), i, None) for i in range(60, 66)}
+    assert {k: dict(after.dtypes)[k] for k in TYPES} == TYPES
+    if by_file:
+        assert stored & set(after.inputFiles())
+    # Narrow rows again: types stay, and so do columns they lack.
+    write(spark.sql(OLD).where("id = 3").drop("s"), path, keys, parts)
+    write(spark.sql("SELECT 40L AS id, 4 AS n, '1' AS p, 'more' AS note"), path, keys, parts)
+    now = read_parquet(spark, path)
+    assert {k: dict(now.dtypes)[k] for k in TYPES} == TYPES and now.count() == 40
+    assert now.where("id = 3 AND s IS NULL AND n = 3").count() == now.where("note = 'more' AND n = 4").count() == 1
+    overwrite_parquet(spark.sql(OLD), path, parts)
+    assert dict(read_parquet(spark, path).dtypes)["n"] == "int"
+
+
+@pytest.mark.parametrize("by_file", [False, True])
+def test_types_widen_in_tables(spark, db, by_file):
+    merge_table(spark.sql(OLD), f"{db}.t", ["id", "p"], ["p"])
+    merge_table(spark.sql(WIDE), f"{db}.t", ["id", "p"], by_file=by_file)
+    assert wide_rows(spark.table(f"{db}.t")) == WANT_WIDE
+    assert {k: dict(spark.table(f"{db}.t").dtypes)[k] for k in TYPES} == TYPES
+
+
+def test_a_type_that_readers_do_not_widen_rewrites_the_store_once(spark, path):
+    upsert_parquet(spark.sql("SELECT id, id AS n, CAST(id % 2 AS STRING) AS p FROM range(6)"), path, ["id", "p"], ["p"])
+    upsert_parquet(spark.sql("SELECT 1L AS id, 0.5D AS n, '1' AS p"), path, ["id", "p"], ["p"])
+    stored = read_parquet(spark, path)
+    assert dict(stored.dtypes)["n"] == "double" and not Files(spark, path).exists("_schema.json")
+    assert {(r.id, r.n) for r in stored.collect()} == {(0, 0.0), (1, 0.5), (2, 2.0), (3, 3.0), (4, 4.0), (5, 5.0)}
+    with pytest.raises(TypeError, match="column 'n'"):
+        upsert_parquet(spark.sql("SELECT 1L AS id, 'text' AS n, '1' AS p"), path, ["id", "p"], ["p"])
+    assert read_parquet(spark, path).count() == 6
+
+
+def test_upsert_files_leaves_other_files(spark, path):
+    rows = "SELECT id, id * 10 AS v, CAST(id DIV 500 AS STRING) AS p FROM range({}, {})"
+    for low in range(0, 1000, 100):
+        spark.sql(rows.format(low, low + 100)).coalesce(1).write.mode("append").partitionBy("p").parquet(path)
+
+    def files():
+        return {f: os.stat(f).st_mtime_ns for f in (x.removeprefix("file://") for x in read_parquet(spark, path).inputFiles())}
+
+    before = files()
+    new = spark.sql("SELECT id, -id AS v, CAST(id DIV 500 AS STRING) AS p FROM VALUES (5L), (450L), (2000L) AS t(id)")
+    assert upsert_files(new, path, ["id", "p"], ["p"]) == 2
+    after = files()
+    assert len(before) == 10 and sum(after.get(f) == t for f, t in before.items()) == 8
+    got = {r.id: r.v for r in read_parquet(spark, path).collect()}
+    assert got == {**{i: i * 10 for i in range(1000)}, 5: -5, 450: -450, 2000: -2000}
+    # Without partitions, null keys, guard; keys that nobody has leave all files.
+    flat = path + "-flat"
+    schema = "k int, v int, at int"
+    upsert_files(frame(spark, [(None, 1, 5), (1, 1, 5), (2, 1, 5)], schema), flat, ["k"])
+    upsert_files(frame(spark, [(None, 2, 4), (1, 2, 6), (3, 2, 1)], schema), flat, ["k"], guard=["at"])
+    assert {(r.k, r.v) for r in read_parquet(spark, flat).collect()} == {(None, 1), (1, 2), (2, 1), (3, 2)}
+    assert upsert_files(frame(spark, [(9, 9, 9)], schema), flat, ["k"]) == 0
+
+
+def test_cut_short_replacement_of_files_is_finished(spark, path):
+    overwrite_parquet(spark.range(5).coalesce(1), path)
+    (old,) = Files(spark, path).walk()
+    spark.range(10, 13).coalesce(1).write.parquet(f"{path}/_ready-files")
+    Files(spark, path).write("_ready-files/_gone.json", f'["{old}"]')
+    recover(spark, path)
+    assert {r.id for r in read_parquet(spark, path).collect()} == {10, 11, 12}
+    assert all(not n.startswith(("_ready", "_moving", "_replaced")) for n in Files(spark, path).names())
+
+
+def test_second_writer_is_refused(spark, path, db):
+    overwrite_parquet(spark.range(3), path)
+    with replacing(spark, path) as folder:
+        spark.range(7).write.parquet(folder)
+        for write in (overwrite_parquet, lambda df, p: upsert_parquet(df, p, ["id"]), lambda df, p: upsert_files(df, p, ["id"])):
+            with pytest.raises(Busy):
+                write(spark.range(1), path)
+    assert read_parquet(spark, path).count() == 7
+    assert not [n for n in os.listdir(os.path.dirname(path)) if "lease" in n]
+    with writing_table(spark, f"{db}.t"), pytest.raises(Busy):
+        create_table(spark.range(2), f"{db}.t")
+    create_table(spark.range(2), f"{db}.t")
+    with writing_table(spark, f"{db}.t"), pytest.raises(Busy):
+        merge_table(spark.range(2), f"{db}.t", ["id"])
+
+
+def test_stale_lease_is_taken_over(spark, path, monkeypatch):
+    overwrite_parquet(spark.range(3), path)
+    parent, name = os.path.split(path)
+    lease = f"{parent}/_lease-{name}"
+    with open(lease, "w") as out:
+        out.write("gone")
+    with pytest.raises(Busy):
+        overwrite_parquet(spark.range(4), path)
+    os.utime(lease, (1, 1))
+    os.makedirs(f"{path}/_writing-gone")
+    overwrite_parquet(spark.range(4), path)
+    assert read_parquet(spark, path).count() == 4 and not os.path.exists(f"{path}/_writing-gone")
+    # A writer that lost its lease meanwhile puts nothing in place.
+    with pytest.raises(Busy, match="lost"), replacing(spark, path) as folder:
+        spark.range(9).write.parquet(folder)
+        Files(spark, parent).write(f"_lease-{name}", "other")
+    assert read_parquet(spark, path).count() == 4
+    Files(spark, parent).delete(f"_lease-{name}")
+    monkeypatch.setattr(lease_module, "SECONDS", 0.3)
+    with leased(spark, path):
+        time.sleep(1.0)
+        with pytest.raises(Busy):
+            with leased(spark, path):
+                pass
