@@ -46,11 +46,20 @@ RUNS = 1 << 20
 _PACKED = "block long, sizes array<long>, keys array<long>, langs array<string>, payload binary"
 
 
-def spread_keys(df: DataFrame, key: str, docs: int = DOCS_PER_BLOCK) -> DataFrame:
-    """`key`, `parts` for keys that more rows have than a block takes: into how many they are dealt."""
+def spread_keys(df: DataFrame, key: str, docs: int = DOCS_PER_BLOCK) -> DataFrame | None:
+    """`key`, `parts` for keys that more rows have than a block takes: into how many they are dealt.
+    None if there are no such keys."""
     often = df.groupBy(F.col(key).cast("long").alias("key")).agg(F.count("*").alias("n"))
     parts = F.ceil(F.col("n") / docs).cast("long")
-    return written(often.where((F.col("n") > docs) & F.col("key").isNotNull()).select("key", parts.alias("parts")), "often")
+    often = written(often.where((F.col("n") > docs) & F.col("key").isNotNull()).select("key", parts.alias("parts")), "often")
+    return None if often.isEmpty() else often
+
+
+def _parts_of(rows: DataFrame, often: DataFrame | None) -> DataFrame:
+    """`rows` with `parts`, into how many those of a `key` are dealt."""
+    if often is None:
+        return rows.withColumn("parts", F.lit(1).cast("long"))
+    return rows.join(often, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
 
 
 def block_of(key: Column, part: Column, blocks: int) -> Column:
@@ -58,7 +67,7 @@ def block_of(key: Column, part: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(key, part), F.lit(blocks))
 
 
-def packed(df: DataFrame, key: str, text: str, lang: str, blocks: int, often: DataFrame) -> DataFrame:
+def packed(df: DataFrame, key: str, text: str, lang: str, blocks: int, often: DataFrame | None) -> DataFrame:
     """Texts in compressed packs, each of one block; repeated and null keys and null texts stay.
 
     Rows without a key, and those of keys that are in `often`, are dealt out by their texts.
@@ -101,10 +110,10 @@ def packed(df: DataFrame, key: str, text: str, lang: str, blocks: int, often: Da
         F.col(key).cast("long").alias("key"),
         F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"),
-    ).join(often, "key", "left")
+    )
     own = F.xxhash64("text")
-    part = F.when(F.col("key").isNull(), own).otherwise(F.pmod(own, F.coalesce("parts", F.lit(1))))
-    rows = rows.select(block_of(F.col("key"), part, blocks).alias("block"), "key", "lang", "text")
+    part = F.when(F.col("key").isNull(), own).otherwise(F.pmod(own, "parts"))
+    rows = _parts_of(rows, often).select(block_of(F.col("key"), part, blocks).alias("block"), "key", "lang", "text")
     return rows.mapInArrow(run, _PACKED).repartition(blocks, "block")
 
 
@@ -333,8 +342,8 @@ def perplexities(
         number.alias("key"), (F.pmod(F.xxhash64(number, F.lit("held out")), F.lit(HELD_OUT)) == 0).alias("held_out"),
     ).distinct()
     # The label of a key that is dealt out goes to each of its blocks.
-    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))
-    labelled = trusted.join(often, "key", "left").select("key", "held_out", parts.alias("part"))
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    labelled = _parts_of(trusted, often).select("key", "held_out", parts.alias("part"))
     labelled = labelled.select(block_of(F.col("key"), F.col("part"), blocks).alias("block"), "key", "held_out").distinct()
     packs = packed(df, key, text, lang, blocks, often)
     shards = max(blocks, 16)
@@ -364,10 +373,10 @@ def thresholds(found: DataFrame, lang: str = "lang", quantile: float = QUANTILE,
     """
     known = found.filter("held_out AND perplexity IS NOT NULL")
     known = known.select(F.coalesce(lang, F.lit("")).alias(lang), F.log(F.col("perplexity") / _allowance()).alias("x"))
-    each = written(known.groupBy(lang).agg(
+    each = known.groupBy(lang).agg(
         F.percentile_approx("x", 0.5, 10_000).alias("middle"), F.percentile_approx("x", quantile, 10_000).alias("own"),
         F.count("*").alias("n"),
-    ), "languages")
+    )
     above = known.join(each, lang).agg(F.percentile_approx(F.col("x") - F.col("middle"), quantile, 10_000).alias("above"))
     of_all = F.col("middle") + F.col("above")
     drawn = (F.col("n") * F.col("own") + HELD_OUT_OF_ALL * of_all) / (F.col("n") + HELD_OUT_OF_ALL)
@@ -388,11 +397,11 @@ def classified(
     perplexity is kept. Empty texts are not.
     """
     found = perplexities(df, labels, key, text, lang)
-    limits = thresholds(found, lang, quantile, slack)
+    limits = written(thresholds(found, lang, quantile, slack), "thresholds")
     own = limits.filter(F.col(lang).isNotNull())
     every = limits.filter(F.col(lang).isNull()).select(F.col("threshold").alias("of_all"))
     # One row goes to every task; the thresholds do if Spark finds them small.
-    judged = found.join(written(own, "thresholds"), lang, "left").join(F.broadcast(every))
+    judged = found.join(own, lang, "left").join(F.broadcast(every))
     limit = F.coalesce("threshold", "of_all") * _allowance()
     keep = F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= limit, F.lit(True))
     return judged.select(key, "version", lang, "n_bytes", "perplexity", limit.alias("threshold"), "held_out", keep.alias("keep"))
