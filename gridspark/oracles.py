@@ -164,6 +164,15 @@ SELECT extracted_at, url AS source_url,
        CASE kind WHEN 'page' THEN NULL WHEN 'untimed' THEN 2 * n ELSE n END AS items
 FROM delivery WHERE kind <> 'blank'"""
 
+ORACLES["payload_rejected"] = f"""
+WITH {_EV}
+SELECT extracted_at, url AS source_url,
+       CASE WHEN kind = 'blank' THEN 'blank' WHEN kind = 'page' THEN 'no object'
+            ELSE CASE hour(extracted_at) % 5 WHEN 1 THEN 'malformed' WHEN 2 THEN 'no zone'
+                      WHEN 3 THEN 'no data' ELSE 'accepted' END END AS reason,
+       count(*) AS row_count
+FROM delivery GROUP BY ALL"""
+
 ORACLES["payload_items"] = f"""
 WITH {_EV},
 version AS (
@@ -561,6 +570,10 @@ _VERSIONS = f"""
                    CASE WHEN late < 0 THEN floor(round(value * 100) * 0.5) / 100
                         ELSE value END AS value)
  FROM timed, (VALUES (-1), (0), (6)) AS d(late))"""
+ORACLES["contract_observed"] = f"""
+WITH {_EV}
+SELECT v.*, (SELECT count(*) FROM delivery) AS stored FROM ({ORACLES["contract_violations"]}) v"""
+
 ORACLES["merge_replaces"] = f"""
 WITH {_mix(_VERSIONS, 'fetched + to_hours(late)',
            "CAST(fetched + to_hours(late) >= TIMESTAMP '2024-01-16' AS INTEGER)")}
@@ -594,3 +607,5 @@ ORACLES["stream_tables"] = ORACLES["stream_silver"]
 ORACLES["stream_flows"] = f"""
 WITH {_flows('flow, (VALUES (0), (6)) AS d(late)', _DROP)}
 SELECT * FROM flows"""
+
+ORACLES["stream_daily_deduped"] = ORACLES["mix_daily"]

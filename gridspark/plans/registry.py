@@ -6,9 +6,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from gridspark.operators.daily import focal_exports, focal_imports, mix_daily, net_flow_daily
 from gridspark.operators.facts import flow_fact, mix_fact
+from gridspark.schemas import FLOWS_PAYLOAD, MIX_PAYLOAD
 
 
 @dataclass(frozen=True)
@@ -30,6 +32,12 @@ FACTS: dict[str, Callable[..., DataFrame]] = {
     "fact_electricity_flows": flow_fact,
 }
 
+#: What a fact's payloads hold.
+PAYLOADS: dict[str, StructType] = {
+    "fact_electricity_mix": MIX_PAYLOAD,
+    "fact_electricity_flows": FLOWS_PAYLOAD,
+}
+
 PRODUCTS: dict[str, Product] = {
     "electricity_mix_daily_relative": Product(mix_daily),
     "electricity_flows_fr_imports_daily": Product(net_flow_daily, focal_imports),

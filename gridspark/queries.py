@@ -13,21 +13,23 @@ from pyspark.sql import functions as F
 from gridspark import testbed
 from gridspark.functions import date_parts, interval_hours, request_url
 from gridspark.operators import daily
-from gridspark.operators.checks import contract_violations
+from gridspark.operators.checks import ContractViolation, contract_violations
 from gridspark.operators.dimensions import dim_date, dim_zone, join_neighbor, join_zone, widen
 from gridspark.operators.facts import add_date_parts, flow_fact, flow_rows, mix_fact, mix_rows
 from gridspark.operators.latest import keep_latest
-from gridspark.operators.payload import opened_payloads, payload_items
+from gridspark.operators.payload import judged_payloads, opened_payloads, payload_items
 from gridspark.operators.upsert import upsert
 from gridspark.plans.pipeline import run_etl, run_gold, run_silver, run_table
 from gridspark.schemas import (
     BRONZE,
     FOCAL_IMPORTS,
     FOCAL_ZONE,
+    GENERATION_SOURCES,
     MIX_DAILY,
     MIX_FACT,
     MIX_MEASURES,
     MIX_PAYLOAD,
+    NESTED_MEASURES,
 )
 from gridspark.session import scratch_path, use_utc
 from gridspark.sinks.parquet import overwrite_parquet, upsert_files, upsert_parquet
@@ -299,6 +301,33 @@ def _payload_items(spark, sf_dir):
     )
 
 
+@query
+def payload_rejected(spark, sf_dir):
+    """Dead letters of a silver run over damaged snapshots, which comes twice, and what was accepted."""
+    hour, text = F.hour("extracted_at") % 5, F.col("payload")
+    payload = (
+        F.when(hour == 1, F.substr(text, F.lit(1), F.length(text) - 9))
+        .when(hour == 2, F.regexp_replace(text, '"zone":"[^"]*",', ""))
+        .when(hour == 3, F.replace(text, F.lit('"data":'), F.lit('"rows":')))
+        .otherwise(text)
+    )
+    source, root = scratch_path(spark, "damaged"), scratch_path(spark, "rejected")
+    bronze = _mix_bronze(spark, sf_dir).withColumn("payload", payload)
+    bronze.write.parquet(source)
+    mix = testbed.mix_spec()
+    for _ in range(2):
+        run_silver(
+            spark, mix, bronze_path=source, bronze_format="parquet", output_root=root, write_tables=False,
+            dead_letters=f"{root}/dead",
+        )
+    dead = read_parquet(spark, f"{root}/dead/{mix.name}")
+    taken = judged_payloads(read_bronze(spark, path=source, format="parquet"), MIX_PAYLOAD).where("reason IS NULL")
+    rows = dead.select("extracted_at", "source_url", "reason", "copies").unionByName(
+        taken.select("extracted_at", "source_url", F.lit("accepted").alias("reason"), F.lit(1).cast("long").alias("copies"))
+    )
+    return rows.groupBy("extracted_at", "source_url", "reason").agg(F.sum("copies").alias("row_count"))
+
+
 @query
 def mix_received(spark, sf_dir):
     return mix_rows(_mix_bronze(spark, sf_dir)).select(
@@ -801,6 +830,27 @@ def _contract_violations(spark, sf_dir):
     return contract_violations(bronze, testbed.ENVELOPE_COLUMNS)
 
 
+@query
+def contract_observed(spark, sf_dir):
+    """The same counts, taken by an append that they stop, and what is stored after it."""
+    spec = testbed.mix_spec(_databases(spark))
+    bronze = _mix_bronze(spark, sf_dir)
+    write_bronze(bronze, spec)
+    broken = bronze.withColumns(
+        {
+            "payload": F.nullif("payload", F.lit("")),
+            "source_url": F.when(F.col("payload").startswith("{"), F.col("source_url")),
+        }
+    )
+    try:
+        write_bronze(broken, spec)
+        counts = {}
+    except ContractViolation as found:
+        counts = found.counts
+    stored = read_bronze(spark, spec).agg(F.count("*").alias("stored"))
+    return spark.createDataFrame(list(counts.items()), "column_name string, violations long").join(stored)
+
+
 # ---- jobs ----
 
 
@@ -991,6 +1041,23 @@ def stream_flows(spark, sf_dir):
     return spark.table(_streamed_tables(spark, sf_dir, 1))
 
 
+def _heartbeat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot of a later time, which moves the watermark past the last day."""
+    return _silver(spark, sf_dir, 0)["fact"].agg(F.max("datetime").alias("last")).select(
+        F.current_timestamp().alias("extracted_at"),
+        F.lit("heartbeat").alias("source_url"),
+        F.to_json(
+            F.struct(
+                F.lit("heartbeat").alias("zone"),
+                F.array(
+                    F.struct(testbed.iso(F.col("last") + testbed.hours(24 * 9)).alias("datetime"))
+                ).alias("data"),
+            )
+        ).alias("payload"),
+        *[F.lit("0").alias(name) for name in ("year", "month", "day")],
+    )
+
+
 @query
 def _stream_daily(spark, sf_dir):
     """All deliveries in two drops, the second with corrections that come weeks too late, then a
@@ -1006,19 +1073,43 @@ def _stream_daily(spark, sf_dir):
     late = old.withColumn("payload", changed)
     rest.unionByName(late).write.mode("append").parquet(source)
     stream_daily_mix(spark, source, gold, checkpoint, **run).awaitTermination()
-    beat = _silver(spark, sf_dir, 0)["fact"].agg(F.max("datetime").alias("last")).select(
-        F.current_timestamp().alias("extracted_at"),
-        F.lit("heartbeat").alias("source_url"),
-        F.to_json(
-            F.struct(
-                F.lit("heartbeat").alias("zone"),
-                F.array(
-                    F.struct(testbed.iso(F.col("last") + testbed.hours(24 * 9)).alias("datetime"))
-                ).alias("data"),
-            )
-        ).alias("payload"),
-        *[F.lit("0").alias(name) for name in ("year", "month", "day")],
-    )
-    beat.write.mode("append").parquet(source)
+    _heartbeat(spark, sf_dir).write.mode("append").parquet(source)
     stream_daily_mix(spark, source, gold, checkpoint, **run).awaitTermination()
     return _rounded(read_parquet(spark, gold, MIX_DAILY))
+
+
+def _uncorrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of a feed without corrections: the stored facts as snapshots of a zone's day."""
+    fact = _silver(spark, sf_dir, 0)["fact"]
+    groups: dict[str, list[Column]] = {}
+    for group, name, measure in NESTED_MEASURES:
+        groups.setdefault(group, []).append(F.col(f"mix_{measure}").alias(name))
+    mix = F.struct(
+        *[F.col(f"mix_{name}").alias(name) for name in GENERATION_SOURCES],
+        *[F.struct(*fields).alias(group) for group, fields in groups.items()],
+    )
+    item = F.struct(
+        testbed.iso(F.col("datetime")).alias("datetime"), testbed.iso(F.col("updated_at")).alias("updatedAt"), mix.alias("mix")
+    )
+    snapshots = fact.groupBy("zone", "dt", "temporal_granularity", "unit").agg(
+        F.sort_array(F.collect_list(item)).alias("data"), F.max("extracted_at").alias("extracted_at")
+    )
+    payload = F.to_json(F.struct("zone", F.col("temporal_granularity").alias("temporalGranularity"), "unit", "data"))
+    return snapshots.select(
+        "extracted_at", F.lit("repeated").alias("source_url"), payload.alias("payload"),
+        *[F.date_format("dt", form).alias(name) for name, form in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))],
+    )
+
+
+@query
+def stream_daily_deduped(spark, sf_dir):
+    """A feed that repeats its snapshots, some of them a drop later, with the state of keys alone."""
+    source, gold = scratch_path(spark, "stream-source"), scratch_path(spark, "stream-gold")
+    checkpoint = scratch_path(spark, "checkpoint")
+    run = {"state_partitions": spark.sparkContext.defaultParallelism, "corrected": False}
+    snapshots = _uncorrected(spark, sf_dir)
+    first, rest = snapshots.where("day < '16'"), snapshots.where("day >= '15'")
+    for drop in (first.unionByName(first), rest, _heartbeat(spark, sf_dir)):
+        drop.write.mode("append").parquet(source)
+        stream_daily_mix(spark, source, gold, checkpoint, **run).awaitTermination()
+    return _rounded(read_parquet(spark, gold, MIX_DAILY))

@@ -7,10 +7,10 @@ from contextlib import nullcontext
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gridspark.functions import keys_match
-from gridspark.operators.checks import assert_unique
+from gridspark.operators.checks import assert_kept, assert_unique, observed
 from gridspark.operators.upsert import upsert
 from gridspark.session import staged
 from gridspark.sinks.evolution import SCHEMA_FILE, evolved, fitted, keep_schema, kept_schema, plain, read_as, widened
@@ -19,6 +19,7 @@ from gridspark.sinks.layout import between_ends, for_files, partitions_follow_ke
 from gridspark.sinks.lease import Lease
 from gridspark.sinks.swap import replacing, replacing_files, writing
 from gridspark.sources.silver import read_parquet
+from gridspark.spec import ColumnSpec
 
 
 def overwrite_parquet(
@@ -30,6 +31,7 @@ def overwrite_parquet(
     only_touched: bool = False,
     gone: Callable[[str], bool] = lambda unit: False,
     lease: Lease | None = None,
+    contract: Sequence[ColumnSpec] = (),
 ) -> None:
     """Replace a directory, or with `only_touched` just the partitions that `df` has rows in, and
     those that `gone` names (by `a=1/b=2`) although it has none.
@@ -37,6 +39,8 @@ def overwrite_parquet(
     The new files are written once, next to the old ones, and take their place when they are whole.
     `df` may read the directory itself. With `only_touched` the other partitions stay readable next to
     it, whatever columns it has. A second writer is refused; `lease` is that of the caller, if it has it.
+    NULLs in columns that `contract` declares non-null are counted while the files are written, and
+    fail the write before any of them is in place.
     """
     if only_touched and not partition_by:
         raise ValueError("only_touched needs partition columns")
@@ -47,10 +51,12 @@ def overwrite_parquet(
             df = ready_for(df, path, partition_by, lease)
         kept = None if only_touched else kept_schema(files)
         with replacing(spark, path, len(partition_by) if only_touched else 0, gone, lease) as folder:
-            writer = for_files(df, partition_by, sort_by).write
+            rows, counts = observed(for_files(df, partition_by, sort_by), contract)
+            writer = rows.write
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             writer.parquet(folder)
+            assert_kept(counts)
         if kept is not None:
             # All files are new and agree; until here the wider columns of the old ones were kept.
             files.delete(SCHEMA_FILE)
@@ -66,30 +72,40 @@ def ready_for(df: DataFrame, path: str, partition_by: Sequence[str], lease: Leas
     existing = read_parquet(spark, path)
     if existing is None:
         return df
-    stored = plain(existing.schema)
-    now = evolved(stored, plain(df.schema))
-    changed = widened(stored, now)
-    if set(changed) & set(partition_by):
-        raise TypeError(f"{path}: partition columns keep their types: {sorted(set(changed) & set(partition_by))}")
+    # Partition columns are text in the names of folders, whatever type rows have there.
+    parts = set(files.partition_columns()) | set(partition_by)
+    rest = lambda schema: StructType([f for f in schema if f.name not in parts])
+    stored = rest(plain(existing.schema))
+    now = evolved(stored, rest(plain(df.schema)))
     kinds = {field.name: field.dataType for field in now}
     if not all(read_as(f.dataType, kinds[f.name]) for f in stored):
-        parts = files.partition_columns()
-        old = fitted(existing, type(now)([f for f in now if f.name in set(existing.columns)]))
-        overwrite_parquet(old, path, parts, lease=lease)
-    elif changed or (files.exists(SCHEMA_FILE) and len(now) > len(stored)):
+        old = StructType([f if f.name in parts else StructField(f.name, kinds[f.name]) for f in existing.schema])
+        overwrite_parquet(fitted(existing, old), path, files.partition_columns(), lease=lease)
+    elif widened(stored, now) or (files.exists(SCHEMA_FILE) and len(now) > len(stored)):
         # Before the files: the wider columns hold for the old ones as well.
-        keep_schema(files, now)
-    own = {name.lower() for name in df.columns}
-    return fitted(df, type(now)([f for f in now if f.name.lower() in own]))
+        keep_schema(files, StructType([*now, *[StructField(name, StringType()) for name in files.partition_columns()]]))
+    own = {f.name.lower(): f for f in df.schema}
+    columns = [f for f in now if f.name.lower() in own] + [f for f in df.schema if f.name in parts]
+    return fitted(df, StructType(columns))
 
 
-def append_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    with writing(df.sparkSession, path) as lease:
+def append_parquet(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), *, contract: Sequence[ColumnSpec] = (), laid_out: bool = False
+) -> None:
+    """Add rows to a directory; with a `contract` none is in place before all of them are checked."""
+    spark = df.sparkSession
+    with writing(spark, path) as lease:
+        if read_parquet(spark, path) is None:
+            overwrite_parquet(df, path, partition_by, lease=lease, contract=contract)
+            return
         rows = ready_for(df, path, partition_by, lease)
-        writer = for_files(rows, partition_by).write.mode("append")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        with replacing_files(spark, path, [], lease) as folder:
+            rows, counts = observed(rows if laid_out else for_files(rows, partition_by), contract)
+            writer = rows.write
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.parquet(folder)
+            assert_kept(counts)
 
 
 def upsert_parquet(

@@ -10,17 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.functions import keys_match
-from gridspark.operators.checks import assert_unique
+from gridspark.operators.checks import ContractViolation, assert_kept, assert_unique, contract_violations, observed
 from gridspark.operators.latest import ranks_before, require_columns
 from gridspark.operators.upsert import upsert
 from gridspark.session import staged
 from gridspark.sinks.evolution import add_table_columns, evolved, fitted, plain, widened
 from gridspark.sinks.layout import for_files, partitions_follow_keys, touched_rows
 from gridspark.sinks.lease import Lease, leased
-from gridspark.sinks.parquet import overwrite_parquet, upsert_files
+from gridspark.sinks.parquet import append_parquet, overwrite_parquet, upsert_files
 from gridspark.sinks.swap import replacing
 from gridspark.sources.silver import read_parquet
-from gridspark.spec import PipelineSpec
+from gridspark.spec import ColumnSpec, PipelineSpec
 
 # Table formats with row-level writes of their own; DataFrame.mergeInto goes to them, and they
 # replace a table's rows in one step by themselves.
@@ -73,24 +73,27 @@ def create_table(
     buckets: tuple[int, Sequence[str]] | None = None,
     laid_out: bool = False,
     lease: Lease | None = None,
+    contract: Sequence[ColumnSpec] = (),
 ) -> None:
     """Create the table, or replace its rows and its schema.
 
     The new table is built under a name of its own, once, and then takes the old one's name; the old
     table goes last. `df` may read the table itself. A second writer is refused; `lease` is that of the
-    caller, if it has the table's.
+    caller, if it has the table's. NULLs in columns that `contract` declares non-null are counted while
+    the table is built, and fail the write before it takes the old one's place.
     """
     spark = df.sparkSession
     if lease is None:
         with writing_table(spark, table) as lease:
             create_table(
-                df, table, partition_by, sort_by=sort_by, format=format, buckets=buckets, laid_out=laid_out, lease=lease
+                df, table, partition_by, sort_by=sort_by, format=format, buckets=buckets, laid_out=laid_out, lease=lease,
+                contract=contract,
             )
         return
     exists = spark.catalog.tableExists(table)
     in_place = not exists or format in ROW_LEVEL_FORMATS
     target = table if in_place else table + BUILDING + uuid.uuid4().hex[:8]
-    rows = df if laid_out else for_files(df, partition_by, sort_by)
+    rows, counts = observed(df if laid_out else for_files(df, partition_by, sort_by), contract)
     writer = rows.write.format(format).mode("overwrite").option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -99,8 +102,9 @@ def create_table(
         writer = writer.bucketBy(count, *names).sortBy(*names)
     try:
         writer.saveAsTable(target)
+        assert_kept(counts)
     except BaseException:
-        if target != table:
+        if target != table or not exists:
             spark.sql(f"DROP TABLE IF EXISTS {quoted(target)}")
         raise
     if target != table:
@@ -294,9 +298,14 @@ def write_bronze(
     keys: Sequence[str] = (),
     buckets: int | None = None,
     backfill: bool = False,
+    checked: bool = True,
 ) -> None:
     """Write bronze rows by the spec's disposition: append, replace, or merge on `keys`.
 
+    NULLs in columns that the spec declares non-null fail the write, before a row of it is in the
+    table; they are counted by the write itself (not where a format, a merge or buckets do the writing:
+    there `contract_violations` is run before). `checked=False` leaves it to the caller.
+
     Declared column comments and the table comment are kept. Rows are sorted by the spec's cluster
     columns inside each partition, so that files can be skipped by them; `buckets` makes the table
     bucketed by them as well. The payloads are not shuffled, since a batch was ingested at one time
@@ -321,18 +330,28 @@ def write_bronze(
         rows = df.sortWithinPartitions(*parts, *bronze.cluster) if bronze.cluster else df
     bucketing = (buckets, bronze.cluster) if bronze.cluster and buckets else None
     existed = spark.catalog.tableExists(table)
+    contract = [c for c in spec.columns if not c.nullable] if checked else []
+    appending = bronze.write_disposition == "append" and existed
+    if contract and (bronze.write_disposition == "merge" or (appending and bucketing)):
+        found = {r["column_name"]: r["violations"] for r in contract_violations(df, contract).collect()}
+        if any(found.values()):
+            raise ContractViolation(found)
     if bronze.write_disposition == "merge":
         if not keys:
             raise ValueError("merging bronze needs keys")
         merge_table(df, table, keys, parts)
-    elif bronze.write_disposition == "append" and existed:
+    elif appending and bucketing:
         writer = rows.write.format("parquet").mode("append").partitionBy(*parts)
-        if bucketing:
-            writer = writer.bucketBy(buckets, *bronze.cluster).sortBy(*bronze.cluster)
-        writer.saveAsTable(table)
+        writer.bucketBy(buckets, *bronze.cluster).sortBy(*bronze.cluster).saveAsTable(table)
+        return
+    elif appending:
+        with writing_table(spark, table) as lease:
+            rows = evolve_table(rows, table, lease)
+            append_parquet(rows, _described(spark, table)["Location"], parts, contract=contract, laid_out=True)
+            _sync_partitions(spark, table)
         return
     else:
-        create_table(rows, table, parts, buckets=bucketing, laid_out=True)
+        create_table(rows, table, parts, buckets=bucketing, laid_out=True, contract=contract)
     if bronze.table_comment:
         text = bronze.table_comment.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"COMMENT ON TABLE {quoted(table)} IS '{text}'")

@@ -148,6 +148,21 @@ def daily_mix_stream(bronze: DataFrame, delay: str) -> DataFrame:
     return label_mix(add_shares(daily).withColumn("dt", F.to_date("day.start")))
 
 
+def daily_mix_stream_of_firsts(bronze: DataFrame, delay: str) -> DataFrame:
+    """The same of a feed that repeats snapshots but never corrects them: of an interval the version
+    that arrives first counts.
+
+    The state of the dedupe is the keys of open intervals, without their values, and goes with the
+    watermark; the daily sums are the only values kept.
+    """
+    rows = mix_rows(bronze)
+    for name in CLOCKS:
+        rows = rows.withColumn(name, F.date_trunc("second", name))
+    firsts = rows.withWatermark("datetime", delay).dropDuplicatesWithinWatermark([*MIX_KEYS])
+    daily = energy_by_day(firsts, F.window("datetime", "1 day").alias("day"))
+    return label_mix(add_shares(daily).withColumn("dt", F.to_date("day.start")))
+
+
 def stream_daily_mix(
     spark: SparkSession,
     bronze: str | None,
@@ -158,16 +173,21 @@ def stream_daily_mix(
     delay: str = "2 days",
     max_files: int | None = None,
     state_partitions: int | None = None,
+    corrected: bool = True,
 ) -> StreamingQuery:
     """Closed days of the daily mix, appended to a Parquet directory partitioned by `dt`.
 
     `bronze` is a path, or None for the table of `spec`.
 
+    With `corrected=False` the feed is one that only repeats itself, and the state is smaller
+    (`daily_mix_stream_of_firsts`); a checkpoint stays with the form it began with.
+
     `state_partitions` is the number of state stores, by default the session's shuffle partitions;
     it is fixed when a checkpoint is first used, and AQE does not adjust it.
     """
+    daily = daily_mix_stream if corrected else daily_mix_stream_of_firsts
     writer = (
-        daily_mix_stream(read_bronze_stream(spark, bronze, max_files, spec=spec), delay)
+        daily(read_bronze_stream(spark, bronze, max_files, spec=spec), delay)
         .writeStream.format("parquet")
         .outputMode("append")
         .partitionBy("dt")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridspark.functions import keys_match
+from gridspark.operators.checks import ContractViolation, observed
 from gridspark.operators.latest import ranks_before
 from gridspark.operators.upsert import upsert
 from gridspark.plans.pipeline import write_output
@@ -15,7 +16,7 @@ from gridspark.sinks import tables
 from gridspark.sinks.files import Files
 from gridspark.sinks.layout import touched_rows
 from gridspark.sinks.lease import Busy, leased
-from gridspark.sinks.parquet import overwrite_parquet, upsert_files, upsert_parquet
+from gridspark.sinks.parquet import append_parquet, overwrite_parquet, upsert_files, upsert_parquet
 from gridspark.sinks.swap import recover, replacing
 from gridspark.sinks.tables import (
     create_table,
@@ -583,3 +584,51 @@ def test_stale_lease_is_taken_over(spark, path, monkeypatch):
         with pytest.raises(Busy):
             with leased(spark, path):
                 pass
+
+
+# ---- contracts inside writes ----
+
+CONTRACT = [ColumnSpec("a", "text", False, ""), ColumnSpec("b", "text", True, "")]
+GOOD, BAD = "SELECT 'x' AS a, CAST(NULL AS STRING) AS b, 'p' AS p", "SELECT nullif(id % 2, 0) AS a, 'y' AS b, 'p' AS p FROM range(10)"
+
+
+@pytest.mark.parametrize("parts", [["p"], []])
+def test_broken_contract_fails_before_anything_is_in_place(spark, path, db, parts):
+    bad = spark.sql(BAD).withColumn("a", F.col("a").cast("string"))
+    overwrite_parquet(spark.sql(GOOD), path, parts, contract=CONTRACT)
+    append_parquet(spark.sql(GOOD), path, parts, contract=CONTRACT)
+    create_table(spark.sql(GOOD), f"{db}.t", parts, contract=CONTRACT)
+    for write in (
+        lambda: overwrite_parquet(bad, path, parts, contract=CONTRACT),
+        lambda: append_parquet(bad, path, parts, contract=CONTRACT),
+        lambda: create_table(bad, f"{db}.t", parts, contract=CONTRACT),
+        lambda: create_table(bad, f"{db}.new", parts, contract=CONTRACT),
+    ):
+        with pytest.raises(ContractViolation) as failed:
+            write()
+        assert failed.value.counts == {"a": 5}
+    assert read_parquet(spark, path).count() == 2 and spark.table(f"{db}.t").count() == 1
+    assert not spark.catalog.tableExists(f"{db}.new")
+    append_parquet(bad, path, parts)
+    assert read_parquet(spark, path).count() == 12
+
+
+def test_contract_needs_no_scan_of_its_own(spark, path):
+    rows, counts = observed(spark.sql(GOOD), CONTRACT)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "CollectMetrics" in plan and plan.count("OneRowRelation") == 1
+    rows.write.parquet(path)
+    assert counts.get == {"a": 0}
+    assert observed(spark.sql(GOOD), [CONTRACT[1]])[1] is None
+
+
+def test_bronze_append_is_checked(spark, db):
+    columns = (ColumnSpec("payload", "text", False, ""), ColumnSpec("day", "text", False, ""))
+    spec = PipelineSpec("feed", BronzeSpec("raw", schema=db, write_disposition="append", partition_by=("day",)), columns=columns)
+    write_bronze(spark.sql("SELECT 'x' AS payload, '01' AS day"), spec)
+    write_bronze(spark.sql("SELECT 'y' AS payload, '02' AS day"), spec)
+    with pytest.raises(ContractViolation):
+        write_bronze(spark.sql("SELECT CAST(NULL AS STRING) AS payload, '02' AS day UNION ALL SELECT 'z', '03'"), spec)
+    assert {tuple(r) for r in spark.table(f"{db}.raw").collect()} == {("x", "01"), ("y", "02")}
+    write_bronze(spark.sql("SELECT CAST(NULL AS STRING) AS payload, '02' AS day"), spec, checked=False)
+    assert spark.table(f"{db}.raw").count() == 3
