@@ -112,6 +112,29 @@ def test_many_copies_and_near_copies(spark):
     assert found(spark, rows) == all_pairs(rows)
 
 
+def test_blocks_of_a_column_in_many_parts(spark, monkeypatch):
+    """Copies that are no links of each other but for some, in parts of few rows."""
+    monkeypatch.setattr(ngram_join, "PART_ROWS", 7)
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(100)]
+    rows = []
+    for i in range(160):
+        copy = list(base)
+        for at in rng.sample(range(100), 4):
+            copy[at] = f"n{i}_{at}"
+        rows.append((i, " ".join(copy)))
+        if i % 5 == 0:
+            copy[rng.randrange(100)] = "other"
+            rows.append((1000 - i, " ".join(copy)))
+    assert found(spark, rows) == all_pairs(rows)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        assert found(spark, rows) == all_pairs(rows)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 @pytest.mark.parametrize("sf_dir", [SF])
 def test_given_documents(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
