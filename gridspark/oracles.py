@@ -450,6 +450,8 @@ for _job in ("etl_tables", "etl_by_table", "etl_incremental"):
     ORACLES[f"{_job}_dim_date"] = ORACLES["dim_date"]
     ORACLES[f"{_job}_imports"] = ORACLES["focal_imports"]
     ORACLES[f"{_job}_exports"] = ORACLES["focal_exports"]
+for _end in ("", "_mix_fact", "_flow_fact", "_dim_date", "_imports", "_exports"):
+    ORACLES[f"etl_resumed{_end}"] = ORACLES[f"etl_incremental{_end}"]
 
 # ---- writes ----
 
@@ -609,3 +611,4 @@ WITH {_flows('flow, (VALUES (0), (6)) AS d(late)', _DROP)}
 SELECT * FROM flows"""
 
 ORACLES["stream_daily_deduped"] = ORACLES["mix_daily"]
+ORACLES["stream_gold"] = ORACLES["mix_daily"]

@@ -6,9 +6,12 @@ Needs a classic session, which Connect is not.
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
+MOVES_AT_A_TIME = 16
+
 
 class Files:
     """The few file operations that a replacement needs."""
@@ -48,6 +51,16 @@ class Files:
         if not self._fs.rename(self.at(*source), self.at(*target)):
             raise OSError(f"{self.root}: {'/'.join(source)} does not move to {'/'.join(target)}")
 
+    def move_all(self, moves: list[tuple[tuple[str, ...], tuple[str, ...]]]) -> None:
+        """Many moves, some at a time: each waits for the file system, not for the driver."""
+        if len(moves) < 4:
+            for move in moves:
+                self.move(*move)
+            return
+        with ThreadPoolExecutor(MOVES_AT_A_TIME) as pool:
+            for _ in pool.map(lambda move: self.move(*move), moves):
+                pass
+
     def make(self, *parts: str) -> None:
         self._fs.mkdirs(self.at(*parts))
 

@@ -7,6 +7,8 @@ keeps a log of its own files in the table's folder, and readers go by that log.
 
 from __future__ import annotations
 
+from contextlib import ExitStack
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,9 +17,10 @@ from gridspark.operators.daily import add_shares, energy_by_day, label_mix
 from gridspark.operators.facts import MIX_KEYS, mix_rows
 from gridspark.operators.latest import CLOCKS, RECENCY
 from gridspark.plans.pipeline import fact_output, write_output
+from gridspark.plans.progress import ProgressLog
 from gridspark.plans.registry import FACTS
 from gridspark.schemas import BRONZE
-from gridspark.session import session_conf, use_utc
+from gridspark.session import session_conf, staged, use_utc
 from gridspark.sinks.parquet import upsert_parquet
 from gridspark.sources.bronze import INGEST_PARTS, bronze_rows, snapshot_url
 from gridspark.sources.landing import landed_lines
@@ -85,12 +88,14 @@ def stream_silver(
     checkpoint: str,
     *,
     max_files: int | None = None,
+    progress: str | None = None,
 ) -> StreamingQuery:
     """New bronze rows to the silver fact; a path, or None for the spec's table, on either side.
 
     Each batch is reduced to its newest rows and upserted only where it is newer than what is
     stored. The outcome does not depend on how the input is cut into batches, on their order, or on
-    a batch being run again.
+    a batch being run again. With `progress`, a shared folder, each batch notes the days it touches
+    before it writes; `run_etl(layer="gold", progress=...)` recomputes them, once each.
     """
     layer = spec.layer("silver")
     output = fact_output(spec)
@@ -98,14 +103,18 @@ def stream_silver(
     keys = list(output.merge_keys or spec.business_keys)
 
     def merge(batch: DataFrame, _: int) -> None:
-        rows = build(batch, keys)
-        if silver is None:
-            write_output(rows, layer, output, merge_keys=keys, guard=RECENCY, unique=True)
-        else:
-            upsert_parquet(
-                rows, silver, keys, layer.partitions(output),
-                guard=RECENCY, schema=STORED.get(output.table), unique=True,
-            )
+        with ExitStack() as copies:
+            rows = build(batch, keys)
+            if progress is not None:
+                rows = copies.enter_context(staged(rows, "batch"))
+                days = [row["dt"] for row in rows.select("dt").where("dt IS NOT NULL").distinct().collect()]
+                ProgressLog(spark, progress).touched(spec.name, days)
+            known = {"guard": RECENCY, "unique": True, "ready": progress is not None}
+            if silver is None:
+                write_output(rows, layer, output, merge_keys=keys, **known)
+            else:
+                schema = STORED.get(output.table)
+                upsert_parquet(rows, silver, keys, layer.partitions(output), schema=schema, **known)
 
     return (
         read_bronze_stream(spark, bronze, max_files, spec=spec)

@@ -307,3 +307,33 @@ def test_command_line(spark, tmp_path):
     main([*common, "--table", "electricity_mix_daily_relative"])
     gold = read_parquet(spark, f"{tmp_path}/out/gold/electricity_mix_daily_relative", MIX_DAILY)
     assert [r.wind_pct for r in gold.collect()] == [60.0]
+
+
+def test_run_lost_before_gold_is_made_up_for(spark, tmp_path, monkeypatch):
+    from gridspark.plans import pipeline
+
+    bronze, root, log = str(tmp_path / "bronze"), str(tmp_path / "out"), str(tmp_path / "progress")
+    options = {
+        "specs": [MIX], "bronze_paths": {MIX.name: bronze}, "bronze_format": "parquet", "newest_wins": True,
+        "output_root": root, "write_tables": False, "progress": log,
+    }
+    gold = MIX.gold.location(MIX.gold.outputs()[0], root)
+
+    def shares():
+        return {(str(r.dt), r.wind_mwh) for r in read_parquet(spark, gold, MIX_DAILY).collect()}
+
+    saved(mix_bronze(spark), bronze)
+    assert [d.day for d in run_etl(spark, **options)[MIX.name]] == [16]
+    later = {"at": "2026-04-18T13:00:00Z", "updated": "13:05"}
+    mix_bronze(spark, wind=80.0, **later).unionByName(mix_bronze(spark, wind=5.0, day=17, **later)).write.mode("append").parquet(bronze)
+    monkeypatch.setattr(pipeline.Run, "gold", lambda *_, **__: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_etl(spark, **options)
+    monkeypatch.undo()
+    assert shares() == {("2026-04-16", 60.0)}
+    # Nothing new: what came at the newest time is read again, the days come from the log.
+    run_etl(spark, **options)
+    assert shares() == {("2026-04-16", 80.0), ("2026-04-17", 5.0)}
+    assert run_etl(spark, layer="gold", **options) == {}
+    with pytest.raises(ValueError, match="not from both"):
+        run_etl(spark, since="2026-04-16", **options)

@@ -1,7 +1,7 @@
 import os
 import random
 import time
-from datetime import datetime
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from gridspark.operators.checks import ContractViolation, observed
 from gridspark.operators.latest import ranks_before
 from gridspark.operators.upsert import upsert
 from gridspark.plans.pipeline import write_output
+from gridspark.plans.progress import Progress, ProgressLog
 from gridspark.sinks import lease as lease_module
 from gridspark.sinks import tables
 from gridspark.sinks.files import Files
@@ -632,3 +633,24 @@ def test_bronze_append_is_checked(spark, db):
     assert {tuple(r) for r in spark.table(f"{db}.raw").collect()} == {("x", "01"), ("y", "02")}
     write_bronze(spark.sql("SELECT CAST(NULL AS STRING) AS payload, '02' AS day"), spec, checked=False)
     assert spark.table(f"{db}.raw").count() == 3
+
+
+def test_progress_of_a_feed(spark, tmp_path):
+    log = ProgressLog(spark, str(tmp_path / "progress"))
+    day, other = date(2026, 4, 16), date(2026, 4, 17)
+    assert log.read("mix") == Progress()
+    log.touched("mix", [day])
+    log.taken("mix", datetime(2026, 4, 16, 12, 0, 0, 5, tzinfo=timezone.utc))
+    log.touched("mix", [day, other])
+    log.recomputed("mix", [day])
+    log.taken("mix", None)
+    now = log.read("mix")
+    assert now.until == datetime(2026, 4, 16, 12, 0, 0, 5, tzinfo=timezone.utc) and now.pending == {other}
+    assert log.read("flows") == Progress() and log.read("mi") == Progress()
+    # A state that was cut short is passed over; one that another run has made meanwhile is not overwritten.
+    Files(spark, str(tmp_path / "progress")).write(f"mix.{now.number + 1}.json", '{"until": ')
+    assert log.read("mix") == now
+    log.touched("mix", [day])
+    assert log.read("mix").pending == {day, other} and log.read("mix").number == now.number + 2
+    with pytest.raises(RuntimeError, match="another run"):
+        log._write("mix", now, now)
