@@ -14,17 +14,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import for_workers, groups, range_bounds, range_of, text_or_empty
+from gridspark.llm.common import for_workers, groups, text_or_empty
 from gridspark.llm.word_ids import word_ids
 
 MAGIC = b"WMX1"
 BLOCK = 512
-#: Documents of a shard, and tokens after which a shard's file gets a further matrix.
-DOCS_PER_SHARD = 2048
+#: Tokens after which a shard's file gets a further matrix, and shards whose sizes are added up together.
 MATRIX_TOKENS = 1 << 18
+SHARDS_TOGETHER = 1024
 #: Bytes of the texts whose words are looked up together.
 GROUP_BYTES = 8 << 20
 
@@ -129,14 +130,19 @@ class WaveletMatrix:
     def _nth(self, level: int, k: int, bit: int) -> int:
         """Position of the bit number `k` (from 0) of a kind in a plane."""
         ones = self._counts(level)
-        before = ones if bit else np.arange(len(ones)) * BLOCK - ones
-        block = int(np.searchsorted(before, k, "right")) - 1
+        # The last block with at most `k` such bits before it.
+        block, above = 0, len(ones)
+        while above - block > 1:
+            middle = (block + above) // 2
+            before = int(ones[middle]) if bit else middle * BLOCK - int(ones[middle])
+            block, above = (middle, above) if before <= k else (block, middle)
+        before = int(ones[block]) if bit else block * BLOCK - int(ones[block])
         begin = block * BLOCK
         part = np.unpackbits(
             self.planes[level][begin // 8 : (begin + BLOCK) // 8],
             count=min(BLOCK, self.n - begin), bitorder="little",
         )
-        return begin + int(np.flatnonzero(part == bit)[k - int(before[block])])
+        return begin + int(np.flatnonzero(part == bit)[k - before])
 
     def positions(self, token: int) -> list[int]:
         return [self.select(token, k) for k in range(self.count(token))]
@@ -174,27 +180,28 @@ def write_shards(
     key: str = "doc_id",
     text: str = "text",
     end_id: int = 0,
-    docs_per_shard: int = DOCS_PER_SHARD,
+    shards: int | None = None,
     matrix_tokens: int = MATRIX_TOKENS,
 ) -> None:
     """Encode `text`, append `end_id` to each document, write in ascending order of `key` below `path`.
 
-    Each shard is a range of keys and holds matrices of about `matrix_tokens` ids, more only where
-    one document is longer; documents are not cut. Null texts count as empty (the end id alone). Null
+    Each shard is a range of keys and texts, as many as Spark cuts the rows into or `shards`, and holds
+    matrices of about `matrix_tokens` ids, more only where one document is longer; documents are not cut. Null texts count as empty (the end id alone). Null
     keys come first. Rows with the same key follow each other in the order of their texts. The files
     are Parquet with one matrix per row: `shard`, `part`, `keys`, `lengths`, `matrix`.
     """
     for_workers(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("key"), text_or_empty(text).alias("text"))
-    bounds = range_bounds(rows.select("key"), "key", docs_per_shard)
-    spread = rows.select(range_of(F.col("key"), bounds).alias("shard"), "key", "text")
-    spread = spread.repartition(max(1, len(bounds) + 1), "shard")
-    spread = spread.sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "text")
+    # By the beginning of the text as well, so that rows of one key are split; Spark samples these
+    # values to find the ranges. Partitions are numbered in the order of the ranges.
+    ranges = [F.col("key").asc_nulls_first(), F.substring("text", 1, 32)]
+    spread = rows.repartitionByRange(*([] if shards is None else [shards]), *ranges)
+    spread = spread.sortWithinPartitions(F.col("key").asc_nulls_first(), "text")
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(tokenizer_file)
-        shard, part, held = None, 0, 0
+        shard, part, held = TaskContext.get().partitionId(), 0, 0
         keys: list = []
         ids: list[np.ndarray] = []
 
@@ -209,13 +216,11 @@ def write_shards(
         ])
         for frame in frames:
             for piece in groups(frame, GROUP_BYTES):
-                found = words.encode(piece.column(2))
-                for at, k, own in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), found, strict=True):
-                    if keys and (at != shard or held >= matrix_tokens):
+                found = words.encode(piece.column(1))
+                for k, own in zip(piece.column(0).to_pylist(), found, strict=True):
+                    if keys and held >= matrix_tokens:
                         yield packed()
-                        part = part + 1 if at == shard else 0
-                        keys, ids, held = [], [], 0
-                    shard = at
+                        part, keys, ids, held = part + 1, [], [], 0
                     keys.append(k)
                     ids.append(np.append(own, np.uint32(end_id)))
                     held += len(own) + 1
@@ -231,6 +236,48 @@ def write_shards(
     made.write.option("compression", "zstd").mode("overwrite").parquet(path)
 
 
+def ids_before(files: DataFrame) -> DataFrame:
+    """`shard`, `part`, `before`: ids in all matrices before each one.
+
+    Sums over sums: matrices of a shard, shards of a group, groups. Only the groups, one for each
+    1,024 shards, meet in one task.
+    """
+    total = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b)
+    sizes = files.select("shard", "part", total.alias("size"))
+    inside = F.sum("size").over(Window.partitionBy("shard").orderBy("part")) - F.col("size")
+    group = F.floor(F.col("shard") / SHARDS_TOGETHER).alias("group")
+    shards = sizes.groupBy("shard").agg(F.sum("size").alias("size")).select("shard", group, "size")
+    of_shard = F.sum("size").over(Window.partitionBy("group").orderBy("shard")) - F.col("size")
+    each = shards.groupBy("group").agg(F.sum("size").alias("size"))
+    of_group = F.sum("size").over(Window.orderBy("group")) - F.col("size")
+    above = shards.select("shard", "group", of_shard.alias("of_shard")).join(each.select("group", of_group.alias("of_group")), "group")
+    return sizes.withColumn("inside", inside).join(above, "shard").select(
+        "shard", "part", (F.col("of_group") + F.col("of_shard") + F.col("inside")).alias("before")
+    )
+
+
+def occurrences(spark, path: str, token: int, key: str = "doc_id") -> DataFrame:
+    """Where a token occurs in the files below `path`: `key` and `position` in the document, by rank
+    and select in each matrix, without unpacking it."""
+    for_workers(spark)
+    files = spark.read.parquet(path)
+    kind = files.schema["keys"].dataType.elementType
+
+    def run(frames):
+        for frame in frames:
+            for row in range(frame.num_rows):
+                lengths, data = frame.column(1)[row].as_py(), frame.column(2)[row].as_py()
+                at = np.array(WaveletMatrix.from_bytes(data).positions(token), np.int64)
+                ends = np.cumsum(np.array(lengths, np.int64))
+                doc = np.searchsorted(ends, at, "right")
+                yield pa.RecordBatch.from_arrays(
+                    [frame.column(0)[row].values.take(pa.array(doc)), pa.array(at - (ends - lengths)[doc])], names=[key, "position"]
+                )
+
+    picked = files.select("keys", "lengths", "matrix")
+    return picked.mapInArrow(run, f"`{key}` {kind.simpleString()}, position long")
+
+
 def read_shards(spark, path: str, key: str = "doc_id") -> DataFrame:
     """One row per document of the files below `path`: `key`, `start`, `n_tokens`, `ids_crc32`.
 
@@ -239,11 +286,7 @@ def read_shards(spark, path: str, key: str = "doc_id") -> DataFrame:
     for_workers(spark)
     files = spark.read.parquet(path)
     kind = files.schema["keys"].dataType.elementType
-    order = Window.orderBy("shard", "part")
-    total = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b)
-    sizes = files.select("shard", "part", total.alias("size"))
-    # One short row per matrix: a few million rows for a trillion ids.
-    before = sizes.select("shard", "part", (F.sum("size").over(order) - F.col("size")).alias("before"))
+    before = ids_before(files)
 
     from pyspark.sql.pandas.types import to_arrow_type
 

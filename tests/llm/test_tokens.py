@@ -197,13 +197,11 @@ def test_matrix_access_count_select(n, most):
         matrix.select(0, n + 1)
 
 
-@pytest.mark.parametrize("per_shard, per_matrix", [(3, 1 << 18), (2, 5), (100, 50)])
-def test_shards_of_odd_rows(spark, library, tmp_path, per_shard, per_matrix):
+@pytest.mark.parametrize("shards, per_matrix", [(3, 1 << 18), (5, 5), (None, 50)])
+def test_shards_of_odd_rows(spark, library, tmp_path, shards, per_matrix):
     rows = [*ODD, (-5, "first"), (9, "x y"), (8, "z" * 300)]
     path = str(tmp_path / "shards")
-    wavelet.write_shards(
-        rows_of(spark, *rows), path, BPE, docs_per_shard=per_shard, matrix_tokens=per_matrix
-    )
+    wavelet.write_shards(rows_of(spark, *rows), path, BPE, shards=shards, matrix_tokens=per_matrix)
     got = sorted(wavelet.read_shards(spark, path).collect(), key=lambda r: r["start"])
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     assert [r["doc_id"] for r in got] == [k for k, _ in order]
@@ -212,6 +210,27 @@ def test_shards_of_odd_rows(spark, library, tmp_path, per_shard, per_matrix):
         ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
         assert (row["start"], row["n_tokens"], row["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
+    # Looking a token up in the files gives the places that going through all ids gives.
+    whole = [(k, [*library.encode(t or "", add_special_tokens=False).ids, 0]) for k, t in rows]
+    for token in (0, whole[3][1][0], 49_999):
+        want = sorted((str(k), at) for k, ids in whole for at, x in enumerate(ids) if x == token)
+        assert sorted((str(r["doc_id"]), r["position"]) for r in wavelet.occurrences(spark, path, token).collect()) == want
+
+
+def test_rows_of_one_key_and_sums_in_levels(spark, library, tmp_path, monkeypatch):
+    monkeypatch.setattr(wavelet, "SHARDS_TOGETHER", 2)
+    rows = [(7, f"text {i:03d}") for i in range(60)] + [(3, "before"), (9, "behind")]
+    path = str(tmp_path / "one-key")
+    wavelet.write_shards(rows_of(spark, *rows).repartition(5), path, BPE, shards=9, matrix_tokens=4)
+    shards = spark.read.parquet(path).selectExpr("shard", "size(keys) AS n").groupBy("shard").sum("n").collect()
+    assert len(shards) > 4 and max(r["sum(n)"] for r in shards) < 40
+    got = sorted(wavelet.read_shards(spark, path).collect(), key=lambda r: r["start"])
+    lengths = [len(library.encode(t, add_special_tokens=False).ids) + 1 for _, t in sorted(rows)]
+    assert [r["n_tokens"] for r in got] == lengths
+    assert [r["start"] for r in got] == [sum(lengths[:i]) for i in range(len(lengths))]
+    text_keys = spark.createDataFrame([("b", "x"), ("a", "y z"), (None, "w")], "doc_id string, text string")
+    wavelet.write_shards(text_keys, str(tmp_path / "text"), BPE)
+    assert [r["doc_id"] for r in sorted(wavelet.read_shards(spark, str(tmp_path / "text")).collect(), key=lambda r: r["start"])] == [None, "a", "b"]
 
 
 def test_no_shards(spark, tmp_path):
