@@ -461,3 +461,83 @@ def damaged(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
         "__copy": F.explode(F.when(F.col("__kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))),
     })
     return rows.drop("__kind", "__copy")
+
+
+#: The query's result in DuckDB's SQL over `conversations`: costs by a recursion from the last turn to
+#: the first, the walk by one that adds a letter at a time.
+SQL = r"""
+WITH RECURSIVE crc AS (
+    SELECT list(list_reduce(list_concat([n], range(8)),
+                            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS of
+    FROM range(256) AS t(n)
+), hashed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           xor(4294967295, list_reduce(
+               list_concat([CAST(4294967295 AS BIGINT)],
+                           [CAST(unicode(x) AS BIGINT) FOR x IN string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '')]),
+               lambda c, b: xor(c >> 8, crc.of[CAST((xor(c, b) & 255) + 1 AS INTEGER)]))) % 20 AS kind
+    FROM conversations, crc
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM hashed WHERE kind <> 0
+), ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+           rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS words
+    FROM damaged
+), marked AS (
+    SELECT *, left(role, 1) AS initial, words = '' AS blank,
+           words <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM ordered
+), turns AS MATERIALIZED (
+    SELECT *, blank OR again AS must, NOT (blank OR again) AND right(words, 1) NOT IN ('.', '!', '?') AS cut FROM marked
+), sums AS (
+    SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate, count(*) FILTER (cut) AS truncated,
+           count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM turns GROUP BY conv_id
+), costs AS (
+    SELECT conv_id, n + 1 AS i, [0, 4, 2, 0] AS b FROM sums
+    UNION ALL
+    SELECT conv_id, i, CASE WHEN must THEN [x + 3 FOR x IN b] ELSE
+        [least(n0, n2 + 2, n3 + 4), least(n1, n2 + 2, n3 + 4), least(n2, n3 + 2), least(n3, n2 + 2)] END
+    FROM (
+        SELECT t.conv_id, t.i, must, b,
+               least(b[1] + 3, b[3] + 2 + cut, CASE initial WHEN 's' THEN b[2] + cut WHEN 'u' THEN b[3] + cut END) AS n0,
+               least(b[2] + 3, b[3] + 2 + cut, CASE initial WHEN 'u' THEN b[3] + cut END) AS n1,
+               least(b[3] + 3, b[4] + 2 + cut, CASE initial WHEN 'a' THEN b[4] + cut END) AS n2,
+               least(b[4] + 3, b[3] + 2 + cut, CASE initial WHEN 'u' THEN b[3] + cut END) AS n3
+        FROM costs c JOIN (SELECT * REPLACE (CAST(cut AS INTEGER) AS cut) FROM turns) t ON t.conv_id = c.conv_id AND t.i = c.i - 1)
+), known AS MATERIALIZED (
+    SELECT c.conv_id, c.i, c.b, d.b AS after, t.role, t.text, t.initial, CAST(t.cut AS INTEGER) AS cut
+    FROM costs c LEFT JOIN costs d ON d.conv_id = c.conv_id AND d.i = c.i + 1
+    LEFT JOIN turns t ON t.conv_id = c.conv_id AND t.i = c.i
+), walk AS (
+    SELECT conv_id, CAST(1 AS BIGINT) AS i, 0 AS s, '' AS audit, CAST([] AS VARCHAR[]) AS lines FROM sums
+    UNION ALL
+    SELECT conv_id, CASE letter WHEN 'I' THEN i ELSE i + 1 END, CASE letter WHEN 'D' THEN s WHEN 'K' THEN kept ELSE due END,
+           audit || letter,
+           CASE letter WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+                WHEN 'R' THEN list_append(lines, who || ':' || text) ELSE list_append(lines, who || ':') END
+    FROM (
+        SELECT *, CASE WHEN role IS NULL THEN CASE WHEN s IN (1, 2) THEN 'I' END
+                       WHEN b[s + 1] = after[s + 1] + 3 THEN 'D' WHEN b[s + 1] = b[due + 1] + 2 THEN 'I'
+                       WHEN b[s + 1] = after[kept + 1] + cut THEN 'K' ELSE 'R' END AS letter
+        FROM (
+            SELECT w.*, k.* EXCLUDE (conv_id, i), CASE s WHEN 2 THEN 3 ELSE 2 END AS due, CASE s WHEN 2 THEN 'assistant' ELSE 'user' END AS who,
+                   CASE WHEN s = 0 AND initial = 's' THEN 1 WHEN s = 2 AND initial = 'a' THEN 3
+                        WHEN s <> 2 AND initial = 'u' THEN 2 END AS kept
+            FROM walk w JOIN known k ON k.conv_id = w.conv_id AND k.i = w.i))
+    WHERE letter IS NOT NULL
+), done AS (
+    SELECT w.conv_id, audit, sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+    FROM walk w JOIN sums s ON s.conv_id = w.conv_id AND w.i = s.n + 1 AND w.s IN (0, 3)
+)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(c.b[1], 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN sums USING (conv_id) LEFT JOIN done USING (conv_id)
+LEFT JOIN costs c ON c.conv_id = a.conv_id AND c.i = 1
+"""

@@ -362,3 +362,31 @@ def joined(
         F.col("id").alias(key), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("component_id")), "id")).alias("component_id"),
     )
+
+
+#: The query's result in DuckDB's SQL over `documents`, all pairs that share an n-gram.
+SQL = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), grams AS MATERIALIZED (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+        ELSE [array_to_string(words[i : i + 3], ' ') FOR i IN range(1, len(words) - 2)] END) AS gram
+    FROM docs
+), sizes AS (
+    SELECT d.doc_id, count(gram) AS n FROM docs d LEFT JOIN grams g USING (doc_id) GROUP BY d.doc_id
+), pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+    FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+    SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * shared >= 85 * (a.n + b.n - shared)
+), ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached AS (
+    SELECT doc_id, doc_id AS root FROM sizes
+    UNION
+    SELECT y, root FROM reached JOIN ways ON x = doc_id
+)
+SELECT doc_id, n AS n_shingles, component_id
+FROM sizes JOIN (SELECT doc_id, min(root) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)
+"""

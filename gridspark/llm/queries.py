@@ -160,3 +160,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+ORACLES["op13_conversation_repair"] = conversation_repair.SQL
+ORACLES["op11_ngram_join"] = ngram_join.SQL
