@@ -4,8 +4,9 @@ One rule for directories and tables: columns stay, new ones are added, and a typ
 narrowest that holds both (`int` to `bigint`, numbers to `double`, fields of structs one by one).
 Rows take the store's columns before they are written; what they lack is NULL.
 
-Files are not touched for a type that Spark's Parquet reader widens by itself. A directory then keeps
-its columns in a file of its own (`SCHEMA_FILE`), because files that disagree cannot be read without.
+Files are not touched for a type that Spark's Parquet reader widens by itself. A directory notes its
+columns in a file of its own (`SCHEMA_FILE`): files that disagree cannot be read without, and readers
+need not look into every file. Files that others put there are read with these columns.
 Only where the reader cannot (`bigint` to `double`, say) the store is rewritten, once.
 """
 

@@ -13,7 +13,7 @@ from gridspark.functions import keys_match
 from gridspark.operators.checks import assert_kept, assert_unique, observed
 from gridspark.operators.upsert import upsert
 from gridspark.session import staged
-from gridspark.sinks.evolution import SCHEMA_FILE, evolved, fitted, keep_schema, kept_schema, plain, read_as, widened
+from gridspark.sinks.evolution import SCHEMA_FILE, evolved, fitted, keep_schema, plain, read_as, widened
 from gridspark.sinks.files import Files
 from gridspark.sinks.layout import between_ends, for_files, partitions_follow_keys, touched_rows
 from gridspark.sinks.lease import Lease
@@ -49,7 +49,9 @@ def overwrite_parquet(
         files = Files(spark, path)
         if only_touched:
             df = ready_for(df, path, partition_by, lease)
-        kept = None if only_touched else kept_schema(files)
+        elif files.exists(SCHEMA_FILE):
+            # Until the new files are all in place, readers look at what the files have.
+            files.delete(SCHEMA_FILE)
         with replacing(spark, path, len(partition_by) if only_touched else 0, gone, lease) as folder:
             rows, counts = observed(for_files(df, partition_by, sort_by), contract)
             writer = rows.write
@@ -57,16 +59,15 @@ def overwrite_parquet(
                 writer = writer.partitionBy(*partition_by)
             writer.parquet(folder)
             assert_kept(counts)
-        if kept is not None:
-            # All files are new and agree; until here the wider columns of the old ones were kept.
-            files.delete(SCHEMA_FILE)
+        if not only_touched:
+            _keep(files, plain(df.schema), partition_by)
 
 
 def ready_for(df: DataFrame, path: str, partition_by: Sequence[str], lease: Lease) -> DataFrame:
     """`df` with the columns that rows of the directory have from now on (`evolution.py`).
 
-    Columns that `df` lacks stay away. The directory keeps its columns if files disagree on a type,
-    and is rewritten before if readers cannot do without.
+    Columns that `df` lacks stay away. The directory notes its columns, and is rewritten before where
+    readers cannot widen a type.
     """
     spark, files = df.sparkSession, Files(df.sparkSession, path)
     existing = read_parquet(spark, path)
@@ -81,14 +82,20 @@ def ready_for(df: DataFrame, path: str, partition_by: Sequence[str], lease: Leas
     if not all(read_as(f.dataType, kinds[f.name]) for f in stored):
         old = StructType([f if f.name in parts else StructField(f.name, kinds[f.name]) for f in existing.schema])
         overwrite_parquet(fitted(existing, old), path, files.partition_columns(), lease=lease)
-    elif widened(stored, now) or (files.exists(SCHEMA_FILE) and len(now) > len(stored)):
+    elif len(now) > len(stored) or widened(stored, now) or not files.exists(SCHEMA_FILE):
         # Before the files: the wider columns hold for the old ones as well.
-        keep_schema(files, StructType([*now, *[StructField(name, StringType()) for name in files.partition_columns()]]))
+        _keep(files, now, files.partition_columns())
     own = {f.name.lower(): f for f in df.schema}
     columns = [f for f in now if f.name.lower() in own] + [f for f in df.schema if f.name in parts]
     return fitted(df, StructType(columns))
 
 
+def _keep(files: Files, schema: StructType, partition_by: Sequence[str]) -> None:
+    """Note the columns, so that no reader has to look into every file for them."""
+    rest = [f for f in schema if f.name not in partition_by]
+    keep_schema(files, StructType([*rest, *[StructField(name, StringType()) for name in partition_by]]))
+
+
 def append_parquet(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), *, contract: Sequence[ColumnSpec] = (), laid_out: bool = False
 ) -> None:

@@ -19,7 +19,7 @@ from gridspark.schemas import (
     MIX_FACT,
 )
 from gridspark.session import use_utc
-from gridspark.sinks.evolution import kept_schema
+from gridspark.sinks.evolution import kept_schema, wider
 from gridspark.sinks.files import Files
 from gridspark.spec import PipelineSpec
 
@@ -51,9 +51,11 @@ def read_parquet(
             return None
         raise
     parts = set(files.partition_columns())
-    kinds = {} if kept is None else {f.name: f.dataType for f in kept}
-    # A declared column that rows were wider than.
-    declared = [] if schema is None else [StructField(f.name, kinds.get(f.name, f.dataType), f.nullable, f.metadata) for f in schema]
+    noted = {} if kept is None else {f.name: f.dataType for f in kept if f.name not in parts}
+    # A declared column that stored rows are wider than is read as wide as they are.
+    declared = [] if schema is None else [
+        StructField(f.name, wider(f.dataType, noted.get(f.name, f.dataType), f.name), f.nullable, f.metadata) for f in schema
+    ]
     known = {field.name.lower() for field in declared}
     more = [
         StructField(f.name, StringType()) if f.name in parts else f
