@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
+from gridspark.session import session_conf
+
 
 def for_files(
     df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()
@@ -26,6 +29,26 @@ def for_files(
     return df.sortWithinPartitions(*order) if order else df
 
 
+@contextmanager
+def all_cores(spark: SparkSession) -> Iterator[None]:
+    """For a partitioned write: AQE may leave a core less than the megabyte that it takes otherwise.
+
+    What takes time there is making files, one per partition, however few rows they hold.
+    """
+    with session_conf(spark, spark__sql__adaptive__coalescePartitions__minPartitionSize="16k"):
+        yield
+
+
+def write_files(rows: DataFrame, folder: str, partition_by: Sequence[str]) -> None:
+    """Write rows that are laid out (`for_files`) to a folder that is not there yet."""
+    writer = rows.write
+    if not partition_by:
+        writer.parquet(folder)
+        return
+    with all_cores(rows.sparkSession):
+        writer.partitionBy(*partition_by).parquet(folder)
+
+
 def not_before(columns: Sequence[str], values: Sequence, *, strict: bool = False) -> Column:
     """The columns, read as one value from left to right, are at least `values`.
 

@@ -15,7 +15,7 @@ from gridspark.operators.upsert import upsert
 from gridspark.session import staged
 from gridspark.sinks.evolution import SCHEMA_FILE, evolved, fitted, keep_schema, plain, read_as, widened
 from gridspark.sinks.files import Files
-from gridspark.sinks.layout import between_ends, for_files, partitions_follow_keys, touched_rows
+from gridspark.sinks.layout import between_ends, for_files, partitions_follow_keys, touched_rows, write_files
 from gridspark.sinks.lease import Lease
 from gridspark.sinks.swap import replacing, replacing_files, writing
 from gridspark.sources.silver import read_parquet
@@ -54,10 +54,7 @@ def overwrite_parquet(
             files.delete(SCHEMA_FILE)
         with replacing(spark, path, len(partition_by) if only_touched else 0, gone, lease) as folder:
             rows, counts = observed(for_files(df, partition_by, sort_by), contract)
-            writer = rows.write
-            if partition_by:
-                writer = writer.partitionBy(*partition_by)
-            writer.parquet(folder)
+            write_files(rows, folder, partition_by)
             assert_kept(counts)
         if not only_touched:
             _keep(files, plain(df.schema), partition_by)
@@ -108,10 +105,7 @@ def append_parquet(
         rows = ready_for(df, path, partition_by, lease)
         with replacing_files(spark, path, [], lease) as folder:
             rows, counts = observed(rows if laid_out else for_files(rows, partition_by), contract)
-            writer = rows.write
-            if partition_by:
-                writer = writer.partitionBy(*partition_by)
-            writer.parquet(folder)
+            write_files(rows, folder, partition_by)
             assert_kept(counts)
 
 
@@ -197,8 +191,5 @@ def upsert_files(
         merged = upsert(rows, incoming, keys, guard)
         files = Files(spark, path)
         with replacing_files(spark, path, [files.inside(uri) for uri in found], lease) as folder:
-            writer = for_files(merged, partition_by, keys).write
-            if partition_by:
-                writer = writer.partitionBy(*partition_by)
-            writer.parquet(folder)
+            write_files(for_files(merged, partition_by, keys), folder, partition_by)
         return len(found)

@@ -15,7 +15,7 @@ from gridspark.operators.latest import ranks_before, require_columns
 from gridspark.operators.upsert import upsert
 from gridspark.session import staged
 from gridspark.sinks.evolution import add_table_columns, evolved, fitted, plain, widened
-from gridspark.sinks.layout import for_files, partitions_follow_keys, touched_rows
+from gridspark.sinks.layout import all_cores, for_files, partitions_follow_keys, touched_rows, write_files
 from gridspark.sinks.lease import Lease, leased
 from gridspark.sinks.parquet import append_parquet, overwrite_parquet, upsert_files
 from gridspark.sinks.swap import replacing
@@ -101,7 +101,8 @@ def create_table(
         count, names = buckets
         writer = writer.bucketBy(count, *names).sortBy(*names)
     try:
-        writer.saveAsTable(target)
+        with all_cores(spark) if partition_by else nullcontext():
+            writer.saveAsTable(target)
         assert_kept(counts)
     except BaseException:
         if target != table or not exists:
@@ -183,7 +184,7 @@ def replace_partitions(
         raise ValueError(f"table {table} has no partitions to replace")
     rows = evolve_table(df, table, lease)
     with replacing(spark, _described(spark, table)["Location"], len(parts), gone) as folder:
-        for_files(rows, parts, sort_by).write.partitionBy(*parts).parquet(folder)
+        write_files(for_files(rows, parts, sort_by), folder, parts)
     _sync_partitions(spark, table)
 
 
