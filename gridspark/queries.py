@@ -931,23 +931,31 @@ def _etl_by_table(spark: SparkSession, sf_dir: str):
 _compared("etl_by_table", _etl_by_table, _OUTPUTS)
 
 
+# Days of ingest from which on mix and flow snapshots belong to the second of two steps.
+_SECOND_STEP = ("20240116", "19980701")
+
+
+def _steps(bronze: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:
+    early = F.concat("year", "month", "day") < day
+    return bronze.where(early), bronze.where(~early)
+
+
 def _cut(spark: SparkSession, bronze: DataFrame, day: str) -> tuple[str, str]:
     paths = scratch_path(spark, "first"), scratch_path(spark, "rest")
-    early = F.concat("year", "month", "day") < day
-    bronze.where(early).write.parquet(paths[0])
-    bronze.where(~early).write.parquet(paths[1])
+    for rows, path in zip(_steps(bronze, day), paths, strict=True):
+        rows.write.option("compression", "zstd").parquet(path)
     return paths
 
 
 @cache
 def _halves(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Mix snapshots ingested before 16 January, and from then on."""
-    return _cut(spark, _mix_bronze(spark, sf_dir), "20240116")
+    return _cut(spark, _mix_bronze(spark, sf_dir), _SECOND_STEP[0])
 
 
 @cache
 def _flow_halves(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    return _cut(spark, _flow_bronze(spark, sf_dir), "19980701")
+    return _cut(spark, _flow_bronze(spark, sf_dir), _SECOND_STEP[1])
 
 
 @cache
@@ -980,10 +988,13 @@ def _etl_resumed(spark: SparkSession, sf_dir: str):
     root, progress = scratch_path(spark, "resumed"), scratch_path(spark, "progress")
     specs = _specs()
     sources = {spec.name: scratch_path(spark, f"bronze-{spec.name}") for spec in specs}
-    steps = [dict(zip(sources, paths, strict=True)) for paths in zip(_halves(spark, sf_dir), _flow_halves(spark, sf_dir), strict=True)]
+    # Straight from the snapshots: halves of their own would be one more copy of all payloads.
+    feeds = zip((_mix_bronze, _flow_bronze), _SECOND_STEP, strict=True)
+    halves = [_steps(bronze(spark, sf_dir), day) for bronze, day in feeds]
+    steps = [dict(zip(sources, frames, strict=True)) for frames in zip(*halves, strict=True)]
     for arrived, layer in ((steps[0], "all"), (steps[1], "silver"), ({}, "all")):
-        for name, path in arrived.items():
-            spark.read.schema(BRONZE).parquet(path).write.mode("append").parquet(sources[name])
+        for name, rows in arrived.items():
+            rows.write.mode("append").option("compression", "zstd").parquet(sources[name])
         run_etl(
             spark, layer=layer, specs=specs, bronze_paths=sources, bronze_format="parquet", newest_wins=True,
             output_root=root, write_tables=False, progress=progress,
