@@ -48,7 +48,7 @@ def stream_bronze(
     `bronze` is a path, or None for the spec's table.
     """
     lines = _files(spark, max_files).option("recursiveFileLookup", "true").text(landing)
-    snapshots = landed_lines(lines).where(F.length(F.trim("payload")) > 0)
+    snapshots = landed_lines(lines).where(F.trim("payload") != "")
     rows = bronze_rows(
         snapshots,
         snapshot_url(spec.source, F.col("payload")),

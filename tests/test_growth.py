@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from gridspark import queries, testbed
 from gridspark.functions import instant
+from gridspark.operators.payload import payload_items
+from gridspark.schemas import MIX_PAYLOAD
 from gridspark.sinks.parquet import overwrite_parquet
 from gridspark.sinks.tables import create_table
 
@@ -94,3 +96,12 @@ def test_resumed_run_keeps_no_halves(spark, tmp_path, monkeypatch):
     assert not cut
     # Twelve flow snapshots of May 1998 and six mix snapshots of January 2024, all of the first step.
     assert [sorted(counts.values()) for counts in ran] == [[6, 12]] * 3
+
+
+def test_payloads_are_opened_without_counting_their_characters(spark):
+    texts = [' \t\n{"zone":"A","data":[{"datetime":"2024-01-02T03:04:05Z"}]}', '{"zone":"B","data":[{}, null]}', "  ", "", None, "<html>"]
+    bronze = spark.createDataFrame([("2024-01-02T00:00:00Z", "u", t) for t in texts], "extracted_at string, source_url string, payload string")
+    rows = payload_items(bronze, MIX_PAYLOAD)
+    plan = _plan(rows)
+    assert "length(" not in plan and "StartsWith(payload" in plan
+    assert sorted(r.zone for r in rows.collect()) == ["A", "B"]
