@@ -49,6 +49,20 @@ def session_conf(spark: SparkSession, **pairs: str) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
+@contextmanager
+def even_tasks(spark: SparkSession) -> Iterator[None]:
+    """For work that costs far more than its bytes tell, as JSON does: four tasks a core or more.
+
+    Spark sizes scans and shuffles to about one task a core, so that one task too many doubles the time.
+    Large inputs have more tasks anyway; a number that the session has set stays.
+    """
+    names = ("spark.sql.files.minPartitionNum", "spark.sql.adaptive.coalescePartitions.minPartitionNum")
+    count = str(4 * spark.sparkContext.defaultParallelism)
+    free = [name for name in names if spark.conf.get(name, None) is None]
+    with session_conf(spark, **dict.fromkeys(free, count)):
+        yield
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder all executors see: `spark.checkpoint.dir`.
 
@@ -85,7 +99,8 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        with even_tasks(spark):
+            df.write.option("compression", "zstd").parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gridspark.functions import request_url
 from gridspark.schemas import GRANULARITY_HOURS, ZONES
-from gridspark.session import scratch_path, use_utc
+from gridspark.session import even_tasks, scratch_path, use_utc
 from gridspark.spec import (
     BronzeSpec,
     ColumnSpec,
@@ -88,31 +88,40 @@ def _snapshot(data: Column) -> Column:
 def _deliveries(
     snapshots: DataFrame, path: str, current: Column, older: Column, untimed: Column
 ) -> DataFrame:
-    """Six bronze rows per snapshot; `fetched` is when the current version was ingested."""
+    """Six bronze rows per snapshot; `fetched` is when the current version was ingested.
+
+    Texts and URL are made once per snapshot, before the rows: what an explode is given is evaluated
+    as often as it is named.
+    """
+    texts = snapshots.select(
+        "zone",
+        "fetched",
+        request_url(BASE_URL, path, {"zone": F.col("zone")}).alias("source_url"),
+        *[_snapshot(data).alias(name) for name, data in (("now", current), ("before", older), ("never", untimed))],
+    )
     fetched = F.col("fetched")
     rows = [
-        (fetched - hours(1), _snapshot(older)),
-        (fetched, _snapshot(current)),
-        (fetched + hours(6), _snapshot(current)),
-        (fetched + hours(7), _snapshot(untimed)),
+        (fetched - hours(1), F.col("before")),
+        (fetched, F.col("now")),
+        (fetched + hours(6), F.col("now")),
+        (fetched + hours(7), F.col("never")),
         (fetched + hours(8), F.concat(F.lit("<html>502 for "), "zone", F.lit("</html>"))),
         (fetched + hours(9), F.lit("")),
     ]
     delivery = F.explode(
         F.array(*[F.struct(at.alias("extracted_at"), body.alias("payload")) for at, body in rows])
     )
+    day = F.col("ingested")
     return (
-        snapshots.select("zone", delivery.alias("d"))
-        .select(
-            "d.extracted_at",
-            request_url(BASE_URL, path, {"zone": F.col("zone")}).alias("source_url"),
-            "d.payload",
-        )
+        texts.select("source_url", delivery.alias("d"))
+        .select("d.extracted_at", "source_url", "d.payload", F.date_format("d.extracted_at", "yyyy MM dd").alias("ingested"))
         .select(
-            "*",
-            F.date_format("extracted_at", "yyyy").alias("year"),
-            F.date_format("extracted_at", "MM").alias("month"),
-            F.date_format("extracted_at", "dd").alias("day"),
+            "extracted_at",
+            "source_url",
+            "payload",
+            F.substring_index(day, " ", 1).alias("year"),
+            F.substring(day, -5, 2).alias("month"),
+            F.substring(day, -2, 2).alias("day"),
         )
     )
 
@@ -223,7 +232,7 @@ def flow_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     def flows(odd: bool) -> Column:
         own = F.filter("found", lambda line: line.odd == F.lit(odd))
         entries = F.transform(
-            own, lambda line: F.struct(nation_zone(line.neighbor), F.when(line.power % 13 != 0, line.power))
+            own, lambda line: F.struct(nation_zone(line.neighbor), F.when(line.power % 13 != 0, line.power.cast("double")))
         )
         return F.when(F.size(own) > 0, F.map_from_entries(F.sort_array(entries)))
 
@@ -246,6 +255,8 @@ def flow_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def data(updated: Column, time: Column, factor: float) -> Column:
         def scaled(name: str) -> Column:
+            if factor == 1.0:
+                return F.col(name)
             return F.transform_values(name, lambda _, power: power * factor).alias(name)
 
         return F.array(
@@ -270,7 +281,8 @@ def flow_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _write(df: DataFrame, label: str) -> str:
     path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    with even_tasks(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return path
 
 

@@ -9,6 +9,7 @@ from gridspark import queries, testbed
 from gridspark.functions import instant
 from gridspark.operators.payload import payload_items
 from gridspark.schemas import MIX_PAYLOAD
+from gridspark.session import staged
 from gridspark.sinks.parquet import overwrite_parquet
 from gridspark.sinks.tables import create_table
 
@@ -105,3 +106,20 @@ def test_payloads_are_opened_without_counting_their_characters(spark):
     plan = _plan(rows)
     assert "length(" not in plan and "StartsWith(payload" in plan
     assert sorted(r.zone for r in rows.collect()) == ["A", "B"]
+
+
+def test_snapshot_texts_are_made_once(spark, tmp_path):
+    tables = _tables(spark, tmp_path)
+    for bronze in (testbed.mix_bronze, testbed.flow_bronze):
+        plan = _plan(bronze(spark, tables))
+        assert plan.count("StructsToJsonEvaluator") + plan.count("to_json(") == 3
+        generate = next(line for line in plan.splitlines() if "Generate explode" in line)
+        assert "ToJson" not in generate and "to_json(" not in generate
+
+
+def test_copies_are_made_by_several_tasks_a_core(spark, tmp_path):
+    spark.range(64).repartition(64).write.parquet(f"{tmp_path}/many")
+    with staged(spark.read.parquet(f"{tmp_path}/many"), "even") as copy:
+        assert len(copy.inputFiles()) > 2 * spark.sparkContext.defaultParallelism
+        assert copy.count() == 64
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
