@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridspark import queries, testbed
 from gridspark.functions import instant
+from gridspark.operators.latest import keep_latest
 from gridspark.operators.payload import payload_items
 from gridspark.schemas import MIX_PAYLOAD
 from gridspark.session import staged
@@ -123,3 +124,13 @@ def test_copies_are_made_by_several_tasks_a_core(spark, tmp_path):
         assert len(copy.inputFiles()) > 2 * spark.sparkContext.defaultParallelism
         assert copy.count() == 64
     assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
+def test_newest_rows_are_sorted_by_narrow_keys_first(spark):
+    at = datetime(2024, 1, 1)
+    rows = [("A", at, i, at + timedelta(hours=i)) for i in range(3)] + [("B", at, 7, None), (None, at, 8, at)]
+    df = spark.createDataFrame(rows, "zone string, datetime timestamp, n int, updated_at timestamp")
+    latest = keep_latest(df, ["zone", "datetime"])
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [datetime" in plan and "Sort [zone" not in plan
+    assert sorted((r.zone, r.n) for r in latest.collect()) == [("A", 2), ("B", 7)]
