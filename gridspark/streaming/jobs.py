@@ -20,13 +20,21 @@ from gridspark.plans.pipeline import fact_output, write_output
 from gridspark.plans.progress import ProgressLog
 from gridspark.plans.registry import FACTS
 from gridspark.schemas import BRONZE
-from gridspark.session import session_conf, staged, use_utc
+from gridspark.session import even_tasks, session_conf, staged, use_utc
 from gridspark.sinks.parquet import upsert_parquet
 from gridspark.sources.bronze import INGEST_PARTS, bronze_rows, snapshot_url
 from gridspark.sources.landing import landed_lines
 from gridspark.sources.silver import STORED
 from gridspark.spec import PipelineSpec
 
+# State stores on disk, and of each batch only what changed written to the checkpoint.
+STATE_ON_DISK = {
+    "spark__sql__streaming__stateStore__providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled": "true",
+}
+
 
 def _files(spark: SparkSession, max_files: int | None):
     use_utc(spark)
@@ -60,9 +68,10 @@ def stream_bronze(
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    if bronze is None:
-        return writer.toTable(spec.bronze.qualified)
-    return writer.option("path", bronze).start()
+    with even_tasks(spark):
+        if bronze is None:
+            return writer.toTable(spec.bronze.qualified)
+        return writer.option("path", bronze).start()
 
 
 def read_bronze_stream(
@@ -116,13 +125,14 @@ def stream_silver(
                 schema = STORED.get(output.table)
                 upsert_parquet(rows, silver, keys, layer.partitions(output), schema=schema, **known)
 
-    return (
+    writer = (
         read_bronze_stream(spark, bronze, max_files, spec=spec)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    with even_tasks(spark):
+        return writer.start()
 
 
 def _newest(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -192,7 +202,9 @@ def stream_daily_mix(
     (`daily_mix_stream_of_firsts`); a checkpoint stays with the form it began with.
 
     `state_partitions` is the number of state stores, by default the session's shuffle partitions;
-    it is fixed when a checkpoint is first used, and AQE does not adjust it.
+    it is fixed when a checkpoint is first used, and AQE does not adjust it. Open intervals are kept in
+    RocksDB, on the executors' disks: in the heap, all of them would have to fit into the memory of
+    a few executors. A checkpoint that was begun with another store stays with it.
     """
     daily = daily_mix_stream if corrected else daily_mix_stream_of_firsts
     writer = (
@@ -205,5 +217,5 @@ def stream_daily_mix(
         .trigger(availableNow=True)
     )
     partitions = state_partitions or spark.conf.get("spark.sql.shuffle.partitions")
-    with session_conf(spark, spark__sql__shuffle__partitions=str(partitions)):
+    with even_tasks(spark), session_conf(spark, spark__sql__shuffle__partitions=str(partitions), **STATE_ON_DISK):
         return writer.start()

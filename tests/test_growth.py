@@ -9,10 +9,11 @@ from gridspark import queries, testbed
 from gridspark.functions import instant
 from gridspark.operators.latest import keep_latest
 from gridspark.operators.payload import payload_items
-from gridspark.schemas import MIX_PAYLOAD
+from gridspark.schemas import BRONZE, MIX_PAYLOAD
 from gridspark.session import staged
 from gridspark.sinks.parquet import overwrite_parquet
 from gridspark.sinks.tables import create_table
+from gridspark.streaming.jobs import stream_daily_mix
 
 
 def _tables(spark, root) -> str:
@@ -134,3 +135,17 @@ def test_newest_rows_are_sorted_by_narrow_keys_first(spark):
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert "Sort [datetime" in plan and "Sort [zone" not in plan
     assert sorted((r.zone, r.n) for r in latest.collect()) == [("A", 2), ("B", 7)]
+
+
+def test_open_intervals_are_kept_on_disk(spark, tmp_path):
+    item = '{"datetime":"2024-01-0%dT02:00:00Z","updatedAt":"2024-01-0%dT03:00:00Z","mix":{"wind":%d.0}}'
+    payloads = ['{"zone":"FR","data":[%s]}' % (item % (1, 1 + i, i)) for i in range(3)] + ['{"zone":"FR","data":[%s]}' % (item % (9, 9, 1))]
+    rows = [(datetime(2024, 1, 9), "u", p, "2024", "01", "09") for p in payloads]
+    for corrected in (True, False):
+        source, gold, check = (f"{tmp_path}/{corrected}-{name}" for name in ("source", "gold", "check"))
+        spark.createDataFrame(rows[: 4 if corrected else 1] + rows[3:], BRONZE).write.parquet(source)
+        stream_daily_mix(spark, source, gold, check, state_partitions=2, corrected=corrected).awaitTermination()
+        assert "RocksDBStateStoreProvider" in Path(check, "offsets", "0").read_text()
+        found = spark.read.parquet(gold).select("dt", "wind_mwh").collect()
+        assert [(str(r.dt), r.wind_mwh) for r in found] == [("2024-01-01", 2.0 if corrected else 0.0)]
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
