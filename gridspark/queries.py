@@ -94,28 +94,43 @@ def _specs(suffix: str = ""):
     return testbed.mix_spec(suffix), testbed.flow_spec(suffix, ("year", "month"))
 
 
+_IN_STORE = {"write_tables": False}
+
+
 @cache
-def _store(spark: SparkSession, sf_dir: str) -> str:
-    """Root of a full run of both feeds, Parquet only."""
+def _store_root(spark: SparkSession, sf_dir: str) -> str:
+    """Root of what both feeds store, Parquet only; the zones are there from the start."""
     root = scratch_path(spark, "store")
-    mix, flows = _specs()
-    run_etl(
-        spark,
-        specs=[mix, flows],
-        bronze_paths={
-            mix.name: testbed.mix_bronze_path(spark, sf_dir),
-            flows.name: testbed.flow_bronze_path(spark, sf_dir),
-        },
-        bronze_format="parquet",
-        output_root=root,
-        write_tables=False,
-    )
+    run_table(spark, "dim_zone", specs=_specs(), output_root=root, **_IN_STORE)
     return root
 
 
 @cache
 def _stored_silver(spark: SparkSession, sf_dir: str, feed: int) -> dict[str, DataFrame]:
-    return read_silver(spark, _specs()[feed], root=_store(spark, sf_dir))
+    """Fact and zones of one feed; a query of one does not wait for the other, nor for gold."""
+    spec, root = _specs()[feed], _store_root(spark, sf_dir)
+    path = (testbed.mix_bronze_path, testbed.flow_bronze_path)[feed](spark, sf_dir)
+    run_silver(spark, spec, bronze_path=path, bronze_format="parquet", output_root=root, **_IN_STORE)
+    return read_silver(spark, spec, root=root, include={"fact", "dim_zone"})
+
+
+@cache
+def _dated_store(spark: SparkSession, sf_dir: str) -> str:
+    """Silver of both feeds with the dates that they share."""
+    root = _store_root(spark, sf_dir)
+    for feed in (0, 1):
+        _stored_silver(spark, sf_dir, feed)
+    run_table(spark, "dim_date", specs=_specs(), output_root=root, **_IN_STORE)
+    return root
+
+
+@cache
+def _store(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a full run of both feeds, gold included."""
+    root = _dated_store(spark, sf_dir)
+    for spec in _specs():
+        run_gold(spark, spec, output_root=root, **_IN_STORE)
+    return root
 
 
 def _silver(spark: SparkSession, sf_dir: str, feed: int) -> dict[str, DataFrame]:
@@ -265,7 +280,7 @@ def source_url(spark, sf_dir):
 @query
 def silver_products(spark, sf_dir):
     products = read_silver(
-        spark, _specs()[0], root=_store(spark, sf_dir), include={"fact", "dim_date"}
+        spark, _specs()[0], root=_dated_store(spark, sf_dir), include={"fact", "dim_date"}
     )
     fact, dates = products["fact"], products["dim_date"]
     per_day = fact.groupBy("dt").agg(F.count("*").alias("facts"))

@@ -149,3 +149,16 @@ def test_open_intervals_are_kept_on_disk(spark, tmp_path):
         found = spark.read.parquet(gold).select("dt", "wind_mwh").collect()
         assert [(str(r.dt), r.wind_mwh) for r in found] == [("2024-01-01", 2.0 if corrected else 0.0)]
     assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_a_query_of_one_feed_builds_only_that_feed(spark, tmp_path, monkeypatch):
+    tables, built = _tables(spark, tmp_path), []
+    for name in ("mix_bronze_path", "flow_bronze_path"):
+        made = getattr(testbed, name)
+        monkeypatch.setattr(testbed, name, lambda *of, name=name, made=made: built.append(name) or made(*of))
+    hours = queries.QUERIES["hours_by_granularity"](spark, tables).collect()
+    assert built == ["mix_bronze_path"] and sum(r.intervals for r in hours) == 1
+    dates = queries.QUERIES["silver_products"](spark, tables).collect()
+    assert built == ["mix_bronze_path", "flow_bronze_path"]
+    # Two orders of one day, of which one has lines, and a day of events.
+    assert sorted((str(r.dt), r.facts) for r in dates) == [("1998-05-01", None), ("2024-01-01", 1)]
