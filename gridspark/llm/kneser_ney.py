@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.llm.common import for_workers, written
@@ -174,49 +174,36 @@ def _shard(codes: np.ndarray, shards: int) -> np.ndarray:
     return ((codes * np.int64(0x9E3779B97F4A7C15 - (1 << 64))) >> np.int64(33)) % shards
 
 
-def counted(packs: DataFrame, trusted: DataFrame, shards: int, order: int = ORDER) -> DataFrame:
-    """`run`, `count` over the trusted texts of the packs; `trusted` has `block`, `key`, `held_out`.
-
-    Blocks send what they counted to the shards of their runs, where it is added up. The last step
-    takes whole shards, so that every use of the table reads one and the same shuffle.
-    """
+def asked(packs: DataFrame, trusted: DataFrame, shards: int, order: int = ORDER) -> DataFrame:
+    """`shard`, `block`, `run`, `count`: the distinct runs of each block, and how often the trusted texts
+    in it that are counted hold them; `trusted` has `block`, `key`, `held_out`."""
 
     def block(packs: pa.Table, labels: pa.Table) -> pa.Table:
         held = labels.column("held_out").to_pylist()
         chosen = {k for k, h in zip(labels.column("key").to_pylist(), held, strict=True) if not h}
-        codes, counts = _distinct((t for k, _, t in documents(packs) if k in chosen), order)
-        return pa.table({"shard": _shard(codes, shards), "run": codes, "count": counts})
-
-    def added(part: pa.Table) -> pa.Table:
-        codes, inverse = np.unique(part.column("run").to_numpy(), return_inverse=True)
-        counts = np.bincount(inverse, part.column("count").to_numpy(), len(codes)).astype(np.int64)
-        return pa.table({"run": codes, "count": counts})
+        inside, counts = _distinct((t for k, _, t in documents(packs) if k in chosen), order)
+        outside, _ = _distinct((t for k, _, t in documents(packs) if k not in chosen), order)
+        outside = np.setdiff1d(outside, inside, assume_unique=True)
+        codes = np.concatenate([inside, outside])
+        counts = np.concatenate([counts, np.zeros(len(outside), np.int64)])
+        # A block may have labels only.
+        number = np.full(len(codes), packs.column("block")[0].as_py() if packs.num_rows else 0, np.int64)
+        return pa.table({"shard": _shard(codes, shards), "block": number, "run": codes, "count": counts})
 
     both = packs.groupBy("block").cogroup(trusted.groupBy("block"))
-    sent = both.applyInArrow(block, "shard long, run long, count long")
-    return sent.groupBy("shard").applyInArrow(added, "run long, count long")
-
-
-def asked(packs: DataFrame, shards: int, order: int = ORDER) -> DataFrame:
-    """`shard`, `block`, `run`: the distinct runs of each block."""
-
-    def block(packs: pa.Table) -> pa.Table:
-        codes, _ = _distinct((t for *_, t in documents(packs)), order)
-        number = np.full(len(codes), packs.column("block")[0].as_py(), np.int64)
-        return pa.table({"shard": _shard(codes, shards), "block": number, "run": codes})
+    return both.applyInArrow(block, "shard long, block long, run long, count long")
 
-    return packs.groupBy("block").applyInArrow(block, "shard long, block long, run long")
 
+def counted(questions: DataFrame) -> DataFrame:
+    """`shard`, `run`, `count`: each run that some block asks for, once, counted over all blocks."""
 
-def wanted(questions: DataFrame) -> DataFrame:
-    """`shard`, `run`: each run that some block asks for."""
-
-    def distinct(part: pa.Table) -> pa.Table:
-        codes = np.unique(part.column("run").to_numpy())
+    def added(part: pa.Table) -> pa.Table:
+        codes, inverse = np.unique(part.column("run").to_numpy(), return_inverse=True)
+        counts = np.bincount(inverse, part.column("count").to_numpy(), len(codes)).astype(np.int64)
         number = np.full(len(codes), part.column("shard")[0].as_py(), np.int64)
-        return pa.table({"shard": number, "run": codes})
+        return pa.table({"shard": number, "run": codes, "count": counts})
 
-    return questions.groupBy("shard").applyInArrow(distinct, "shard long, run long")
+    return questions.groupBy("shard").applyInArrow(added, "shard long, run long, count long")
 
 
 def answered(questions: DataFrame, p: DataFrame) -> DataFrame:
@@ -234,53 +221,67 @@ def answered(questions: DataFrame, p: DataFrame) -> DataFrame:
 
 
 def _discounts(table: DataFrame) -> DataFrame:
-    """One row with the three discounts of an order, from its counts of counts.
+    """The three discounts of each order `k`, from its counts of counts.
 
     Orders with too few counts to estimate them get 0.5, 1 and 1.5.
     """
     n = [F.sum((F.col("count") == i).cast("double")).alias(f"n{i}") for i in range(1, 5)]
-    y = F.expr("n1 / (n1 + 2 * n2)")
+    y = F.expr("try_divide(n1, n1 + 2 * n2)")
 
     def bounded(found: Column, i: int) -> Column:
         return F.when((found > 0) & (found < i), found).otherwise(i / 2)
 
-    return table.agg(*n).select(
-        *[bounded(i - (i + 1) * y * F.expr(f"try_divide(n{i + 1}, n{i})"), i).alias(f"d{i}") for i in (1, 2, 3)]
+    return table.groupBy("k").agg(*n).select(
+        "k", *[bounded(i - (i + 1) * y * F.expr(f"try_divide(n{i + 1}, n{i})"), i).alias(f"d{i}") for i in (1, 2, 3)]
     )
 
 
-def probabilities(counts: DataFrame, runs: DataFrame, order: int = ORDER) -> DataFrame:
-    """`runs` with `p`, the probability of the last byte of each `run` after the bytes before it.
+def probabilities(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """`counts` with `p`, the probability of the last byte of each `run` after the bytes before it.
 
-    `counts` (`run`, `count`) is the table of the highest order; lower orders count in how many ways
-    a run is continued to the left. Bytes are the vocabulary: below order 1 all are alike. Each order
-    is joined by run and by context, its last bytes but one.
+    `counts` has each `run` once, with its `count` in the highest order: 0 for one that is only asked
+    for. Lower orders count in how many ways a run is continued to the left. Bytes are the vocabulary:
+    below order 1 all are alike. The orders `k` are rows of one table, dealt out by the last `k` bytes of
+    the runs and by context, the bytes before the last: one table for each would repeat in the plan all
+    that `counts` is made of.
     """
-    table, p = counts, None
-    out, kept = runs, runs.columns
-    for k in range(order, 0, -1):
-        tail = F.col("run").bitwiseAND((1 << 8 * k) - 1)
-        # A single row of three numbers goes to every shard.
-        with_cuts = table.select("run", "count").join(F.broadcast(_discounts(table)))
-        cut = F.expr("least(count, CASE WHEN count = 1 THEN d1 WHEN count = 2 THEN d2 ELSE d3 END)")
-        with_cuts = with_cuts.withColumn("cut", cut)
-        above = with_cuts.select(F.col("run").alias(f"run{k}"), (F.col("count") - F.col("cut")).alias(f"above{k}"))
-        contexts = with_cuts.groupBy(F.shiftright("run", 8).alias(f"context{k}")).agg(
-            F.sum("count").alias(f"total{k}"), F.sum("cut").alias(f"mass{k}")
+
+    def last(k: int) -> Column:
+        return F.col("run").bitwiseAND((1 << 8 * k) - 1)
+
+    orders = range(1, order + 1)
+    ends = [F.struct(F.lit(k).alias("k"), last(k).alias("end")) for k in orders]
+    longer = [
+        F.struct(
+            F.lit(k).alias("k"), last(k).alias("end"), last(min(k + 1, order)).alias("longer"),
+            (F.col("count") if k == order else F.least("count", F.lit(1).cast("long"))).alias("count"),
         )
-        out = out.withColumn(f"run{k}", tail).withColumn(f"context{k}", F.shiftright(tail, 8))
-        out = out.join(above, f"run{k}", "left").join(contexts, f"context{k}", "left").drop(f"run{k}", f"context{k}")
-        shorter = F.col("run").bitwiseAND((1 << 8 * (k - 1)) - 1)
-        table = table.groupBy(shorter.alias("run")).agg(F.count("*").alias("count"))
+        for k in orders
+    ]
+    table = counts.select(F.inline(F.array(*longer)))
+    table = table.groupBy("k", "end", "longer").agg(F.max("count").alias("count"))
+    table = table.groupBy("k", "end").agg(F.sum("count").alias("count"))
+    # A row of three numbers for each order goes to every task.
+    cut = F.expr("least(count, CASE WHEN count = 1 THEN d1 WHEN count = 2 THEN d2 ELSE d3 END)")
+    cuts = table.join(F.broadcast(_discounts(table)), "k").withColumn("cut", cut)
+    # A context has no more rows than there are bytes.
+    context = Window.partitionBy("k", F.shiftright("end", 8))
+    known = cuts.select(
+        "k", "end", (F.col("count") - F.col("cut")).alias("above"),
+        F.sum("count").over(context).alias("total"), F.sum("cut").over(context).alias("mass"),
+    )
+    known = known.select(
+        "k", "end", F.try_divide("above", "total").alias("own"), F.try_divide("mass", "total").alias("rest")
+    )
+    out = counts.select("*", F.inline(F.array(*ends))).join(known, ["k", "end"])
+    each = [F.max(F.when(F.col("k") == k, F.col(x))).alias(f"{x}{k}") for k in orders for x in ("own", "rest")]
+    out = out.groupBy(*counts.columns).agg(*each)
     p = F.lit(1 / 256)
-    for k in range(1, order + 1):
-        total = F.col(f"total{k}")
-        own = F.coalesce(F.col(f"above{k}"), F.lit(0.0)) / total + F.col(f"mass{k}") / total * p
-        p = F.when(total.isNull(), p).otherwise(own)
-        if k < order:
-            out = out.withColumn(f"p{k}", p)
-            p = F.col(f"p{k}")
-    return out.select(*kept, p.alias("p"))
+    for k in orders:
+        # Contexts that were never counted have no total.
+        out = out.withColumn(f"p{k}", F.coalesce(F.col(f"own{k}") + F.col(f"rest{k}") * p, p))
+        p = F.col(f"p{k}")
+    return out.select(*counts.columns, p.alias("p"))
 
 
 def scored(packs: DataFrame, answers: DataFrame, order: int = ORDER) -> DataFrame:
@@ -347,13 +348,11 @@ def perplexities(
     labelled = labelled.select(block_of(F.col("key"), F.col("part"), blocks).alias("block"), "key", "held_out").distinct()
     packs = packed(df, key, text, lang, blocks, often)
     shards = max(blocks, 16)
-    questions = asked(packs, shards, order)
-    p = probabilities(counted(packs, labelled, shards, order), wanted(questions), order)
-    answers = answered(questions, p)
+    questions = asked(packs, labelled, shards, order)
+    answers = answered(questions, probabilities(counted(questions), order))
     # Written: the thresholds and the decisions both read it.
-    sums = written(scored(packs, answers, order), "perplexity")
-    flags = trusted.groupBy("key").agg(F.max("held_out").alias("held_out"))
-    return sums.join(flags, "key", "left").select(
+    sums = written(scored(packs, answers, order).join(trusted, "key", "left"), "perplexity")
+    return sums.select(
         F.col("key").alias(key), "version", F.col("lang").alias(lang), "n_bytes",
         F.when(F.col("n_bytes") > 0, F.exp(-F.col("log_p") / F.col("n_bytes"))).alias("perplexity"), "held_out",
     )

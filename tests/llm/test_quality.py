@@ -170,3 +170,27 @@ def test_op2_keeps_little_junk(spark):
     bad = [r["doc_id"] for r in labels if r["quality"] == 0]
     assert sum(d in kept for d in good) >= 0.99 * len(good)
     assert sum(d in kept for d in bad) <= 0.05 * len(bad)
+
+
+def test_plans_stay_small(spark, monkeypatch):
+    docs, labels = given(spark, [(i, f"text {i} and more of it", "en", "x", 1) for i in range(20)], [(i, 1, 0) for i in range(20)])
+    sizes, real = {}, kneser_ney.written
+
+    def written(df, label):
+        sizes[label] = df._jdf.queryExecution().optimizedPlan().treeString().count("\n")
+        return real(df, label)
+
+    monkeypatch.setattr(kneser_ney, "written", written)
+    kneser_ney.classified(docs, labels).collect()
+    # 380 when each order of the model was a table of its own; the driver's memory holds plans.
+    assert max(sizes.values()) < 200, sizes
+
+
+def test_no_run_occurs_once_or_twice(spark):
+    rows = [(i, "abcabd", "en", "x", 1) for i in range(20)] + [(50, "abx", "en", "x", 1)]
+    got = kneser_ney.perplexities(*given(spark, rows, [(i, 1, 0) for i in range(20)])).collect()
+    counted = [b"abcabd"] * sum(r["held_out"] is False for r in got)
+    assert len(counted) > 4
+    model = Direct(counted, kneser_ney.ORDER)
+    for r in got:
+        assert r["perplexity"] == pytest.approx(model.perplexity(b"abx" if r["doc_id"] == 50 else b"abcabd"), rel=1e-9)
