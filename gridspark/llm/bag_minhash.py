@@ -140,7 +140,7 @@ def _arrivals(out, seed, of, weight, low, length, horizon) -> None:
         left = (horizon[of] - time) / SECOND * length
         number = np.ceil(left).astype(np.int64) + 2
         # Huge processes in portions, so that a batch stays small.
-        number = np.minimum(number, max(8, (4 << 20) // len(seed)))
+        number = np.minimum(number, max(8, (1 << 20) // len(seed)))
         ends = np.cumsum(number)
         which = np.repeat(np.arange(len(seed)), number)
         k = np.arange(ends[-1]) - np.repeat(ends - number, number) + count[which]

@@ -1,6 +1,7 @@
 """Operator 10: signatures estimate the similarity; classes against all pairs."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -137,3 +138,18 @@ def test_a_key_of_several_texts_has_the_near_copies_of_each(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["class_id"] for r in bag_minhash.near_duplicates(df).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+def test_signatures_need_little_memory():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(map(str, rng.integers(0, 1000, 700))) for _ in range(300)]
+    hashes, doc = bag_minhash.shingles(texts)
+    tracemalloc.start()
+    rows = bag_minhash.signatures(hashes, doc, len(texts), bag_minhash.LONG_SLOTS)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 250 << 20
+    # Each text alone is one portion.
+    for i in (0, 299):
+        alone, one = bag_minhash.shingles([texts[i]])
+        assert (bag_minhash.signatures(alone, one, 1, bag_minhash.LONG_SLOTS)[0] == rows[i]).all()
