@@ -1,5 +1,6 @@
 """What keeps the jobs in proportion to their input: narrow shuffles, writes on all cores, no spare copies."""
 
+import time
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -8,9 +9,11 @@ from pyspark.sql import functions as F
 from gridspark import queries, testbed
 from gridspark.functions import instant
 from gridspark.operators.latest import keep_latest
-from gridspark.operators.payload import payload_items
+from gridspark.operators.payload import judged_payloads, payload_items
+from gridspark.plans.pipeline import run_silver
 from gridspark.schemas import BRONZE, MIX_PAYLOAD
 from gridspark.session import staged
+from gridspark.sinks import dead_letters
 from gridspark.sinks.parquet import overwrite_parquet
 from gridspark.sinks.tables import create_table
 from gridspark.streaming.jobs import stream_daily_mix
@@ -162,3 +165,97 @@ def test_a_query_of_one_feed_builds_only_that_feed(spark, tmp_path, monkeypatch)
     assert built == ["mix_bronze_path", "flow_bronze_path"]
     # Two orders of one day, of which one has lines, and a day of events.
     assert sorted((str(r.dt), r.facts) for r in dates) == [("1998-05-01", None), ("2024-01-01", 1)]
+
+
+def _shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def _size(spark, name: str) -> int:
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return manager.getFile(name).length()
+
+
+def _left(spark, before: set[str]) -> set[str]:
+    """Shuffle files that are new; they are deleted in the background."""
+    until = time.time() + 10
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    return left
+
+
+def test_shuffles_of_a_write_go_with_it(spark, tmp_path):
+    rows = spark.range(1000).select((F.col("id") % 5).alias("dt"), "id").repartition(3, "id")
+    spark.sql(f"CREATE DATABASE freed LOCATION '{tmp_path}/db'")
+    before = _shuffle_files(spark)
+    with staged(rows, "freed") as copy:
+        assert copy.count() == 1000
+        overwrite_parquet(rows, f"{tmp_path}/days", ["dt"])
+        create_table(rows, "freed.days", ["dt"])
+    # The counts are no writes; each leaves one row a task.
+    assert not {name for name in _left(spark, before) if _size(spark, name) > 1000}
+    spark.sql("DROP DATABASE freed CASCADE")
+
+
+def _damaged(spark, path, days, copies=1) -> str:
+    text = {"blank": "", "no object": "<html>", "no zone": '{"data":[{"datetime":"2024-01-01T00:00:00Z"}]}'}
+    good = '{"zone":"A","data":[{"datetime":"2024-01-01T00:00:00Z"}]}'
+    rows = [(at, "u", t) for at in days for t in [*text.values(), good] for _ in range(copies)]
+    spark.createDataFrame(rows, "extracted_at timestamp, source_url string, payload string").write.parquet(path)
+    return path
+
+
+def _bury(spark, tmp_path, source) -> dict[str, set[str]]:
+    root = f"{tmp_path}/out"
+    run_silver(
+        spark, testbed.mix_spec(), bronze_path=source, bronze_format="parquet", output_root=root, write_tables=False,
+        dead_letters=f"{root}/dead",
+    )
+    files: dict[str, set[str]] = {}
+    for path in Path(root, "dead").rglob("part-*.parquet"):
+        files.setdefault(path.parent.name, set()).add(path.name)
+    return files
+
+
+def _letters(spark, tmp_path) -> list[tuple]:
+    rows = spark.read.parquet(f"{tmp_path}/out/dead/grid_mix").select("extracted_at", "reason", "payload", "copies").collect()
+    return sorted(((r.extracted_at, r.reason, r.payload, r.copies) for r in rows), key=str)
+
+
+def test_dead_letters_are_taken_some_days_at_a_time_and_written_once(spark, tmp_path, monkeypatch):
+    days = [datetime(2024, 1, 1, 5), datetime(2024, 1, 2, 5), None, datetime(2024, 1, 4, 5)]
+    taken = []
+    upsert = dead_letters.upsert_files
+    monkeypatch.setattr(dead_letters, "upsert_files", lambda df, *a, **b: taken.append(df.count()) or upsert(df, *a, **b))
+    monkeypatch.setattr(dead_letters, "ROUND_BYTES", 2000)
+    first = _bury(spark, tmp_path, _damaged(spark, f"{tmp_path}/first", days))
+    assert taken == [6, 3, 3]
+    assert len(first) == 4 and all(".zstd." in name for names in first.values() for name in names)
+    letters = _letters(spark, tmp_path)
+    assert [row[1:] for row in letters[:3]] == [
+        ("blank", "", 1), ("no object", "<html>", 1), ("no zone", '{"data":[{"datetime":"2024-01-01T00:00:00Z"}]}', 1)
+    ]
+    assert len(letters) == 12
+    # All of them again: nothing is written. Then a new day, and one on which each comes twice.
+    assert _bury(spark, tmp_path, f"{tmp_path}/first") == first and len(taken) == 3
+    more = _bury(spark, tmp_path, _damaged(spark, f"{tmp_path}/more", [datetime(2024, 1, 5)]))
+    twice = _bury(spark, tmp_path, _damaged(spark, f"{tmp_path}/twice", [datetime(2024, 1, 2, 5)], 2))
+    assert {d: more[d] for d in first} == first and len(more) == 5
+    assert {d for d in more if twice[d] != more[d]} == {"dt=2024-01-02"}
+    found = _letters(spark, tmp_path)
+    assert len(found) == 15 and [r[3] for r in found if str(r[0]) == "2024-01-02 05:00:00"] == [2, 2, 2]
+
+
+def test_part_of_a_round_is_new(spark, tmp_path):
+    day, later = datetime(2024, 1, 1, 5), datetime(2024, 1, 1, 6)
+    _bury(spark, tmp_path, _damaged(spark, f"{tmp_path}/first", [day]))
+    _bury(spark, tmp_path, _damaged(spark, f"{tmp_path}/both", [day, later]))
+    assert [(r[0], r[3]) for r in _letters(spark, tmp_path)] == [(day, 1)] * 3 + [(later, 1)] * 3
+
+
+def test_no_dead_letters_leave_a_directory_that_can_be_read(spark, tmp_path):
+    good = spark.createDataFrame([("2024-01-01", "u", '{"zone":"A","data":[]}')], "extracted_at string, source_url string, payload string")
+    with staged(judged_payloads(good, MIX_PAYLOAD), "judged") as rows:
+        dead_letters.keep_dead_letters(rows, f"{tmp_path}/dead")
+    assert dead_letters.read_parquet(spark, f"{tmp_path}/dead").count() == 0
