@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from gridspark.functions import landing_stamp, past_retention, utc
 
+# Lines of a landed file at most, since a compressed file is read by one task.
+FILE_LINES = 100_000
+
 
 def landing_name(prefix: str, now: datetime | None = None) -> str:
     stamp = (now or datetime.now(timezone.utc)).strftime("%Y%m%dT%H%M%SZ")
@@ -20,10 +23,11 @@ def write_landing(
 ) -> str:
     """Write `payload` as JSON lines below `root/prefix`; returns the stamped directory.
 
-    The name stands on the directory, the tasks write their part files into it.
+    The name stands on the directory, the tasks write their part files into it, compressed.
     """
     path = f"{root.rstrip('/')}/{prefix}/{landing_name(prefix, now)}"
-    payloads.select("payload").write.mode("overwrite").text(path)
+    writer = payloads.select("payload").write.mode("overwrite")
+    writer.option("compression", "gzip").option("maxRecordsPerFile", FILE_LINES).text(path)
     return path
 
 

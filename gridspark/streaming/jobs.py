@@ -65,6 +65,7 @@ def stream_bronze(
     writer = (
         rows.writeStream.format("parquet")
         .partitionBy(*INGEST_PARTS)
+        .option("compression", "zstd")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )

@@ -16,7 +16,9 @@ from gridspark.session import staged
 from gridspark.sinks import dead_letters
 from gridspark.sinks.parquet import overwrite_parquet
 from gridspark.sinks.tables import create_table
-from gridspark.streaming.jobs import stream_daily_mix
+from gridspark.sources import landing
+from gridspark.sources.landing import landing_files, read_landing, write_landing
+from gridspark.streaming.jobs import stream_bronze, stream_daily_mix
 
 
 def _tables(spark, root) -> str:
@@ -259,3 +261,23 @@ def test_no_dead_letters_leave_a_directory_that_can_be_read(spark, tmp_path):
     with staged(judged_payloads(good, MIX_PAYLOAD), "judged") as rows:
         dead_letters.keep_dead_letters(rows, f"{tmp_path}/dead")
     assert dead_letters.read_parquet(spark, f"{tmp_path}/dead").count() == 0
+
+
+def test_landed_text_and_streamed_bronze_are_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "FILE_LINES", 2)
+    texts = ['{"zone":"A","data":[]}', "<html>", "", '{"zone":"\u00e9","data":null}', "  "]
+    rows = spark.createDataFrame([(t,) for t in texts], "payload string").coalesce(1)
+    root, bronze = f"{tmp_path}/landing", f"{tmp_path}/bronze"
+    drop = write_landing(rows, root, "mix", datetime(2026, 4, 16, 12))
+    files = [path.name for path in Path(drop).glob("part-*")]
+    assert len(files) == 3 and all(name.endswith(".txt.gz") for name in files)
+    assert {str(r.stamp) for r in landing_files(spark, root).collect()} == {"2026-04-16 12:00:00"}
+    landed = [(r.payload, str(r.stamp)) for r in read_landing(spark, root).collect()]
+    assert sorted(landed) == sorted((t, "2026-04-16 12:00:00") for t in texts)
+    for _ in range(2):
+        stream_bronze(spark, testbed.mix_spec(), root, bronze, f"{tmp_path}/check").awaitTermination()
+    assert all(".zstd." in path.name for path in Path(bronze).rglob("part-*.parquet"))
+    streamed = spark.read.schema(BRONZE).parquet(bronze).collect()
+    assert sorted((r.payload, str(r.extracted_at), r.day) for r in streamed) == sorted(
+        (t, "2026-04-16 12:00:00", "16") for t in texts if t.strip()
+    )
