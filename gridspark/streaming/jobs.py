@@ -14,19 +14,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridspark.operators.daily import add_shares, energy_by_day, label_mix
-from gridspark.operators.facts import MIX_KEYS, mix_rows
+from gridspark.operators.facts import MIX_KEYS, mix_rows, newest_facts
 from gridspark.operators.latest import CLOCKS, RECENCY
 from gridspark.plans.pipeline import fact_output, write_output
 from gridspark.plans.progress import ProgressLog
-from gridspark.plans.registry import FACTS
+from gridspark.plans.registry import FACTS, RECEIVED
 from gridspark.schemas import BRONZE
 from gridspark.session import even_tasks, session_conf, staged, use_utc
+from gridspark.sinks.layout import day_rounds
 from gridspark.sinks.parquet import upsert_parquet
 from gridspark.sources.bronze import INGEST_PARTS, bronze_rows, snapshot_url
 from gridspark.sources.landing import landed_lines
 from gridspark.sources.silver import STORED
 from gridspark.spec import PipelineSpec
 
+# Stored bytes, of bronze or of a copy of its rows, that silver works off at once.
+ROUND_BYTES = 512 << 20
+
 # State stores on disk, and of each batch only what changed written to the checkpoint.
 STATE_ON_DISK = {
     "spark__sql__streaming__stateStore__providerClass": (
@@ -106,15 +110,31 @@ def stream_silver(
     stored. The outcome does not depend on how the input is cut into batches, on their order, or on
     a batch being run again. With `progress`, a shared folder, each batch notes the days it touches
     before it writes; `run_etl(layer="gold", progress=...)` recomputes them, once each.
+
+    A large batch is opened once into a copy, of which days of data are worked off some at a time, so
+    that what is shuffled at once does not grow with the batch. That is for silver that is merged and
+    partitioned by days or months of a key; elsewhere a round would rewrite what the one before wrote.
     """
     layer = spec.layer("silver")
     output = fact_output(spec)
     build = FACTS[output.table]
     keys = list(output.merge_keys or spec.business_keys)
+    parts = layer.partitions(output)
+    merging = silver is not None or layer.write_disposition == "merge"
+    by_day = merging and "datetime" in keys and bool(parts) and set(parts) <= {"dt", *INGEST_PARTS}
 
     def merge(batch: DataFrame, _: int) -> None:
+        if not by_day or _stored_bytes(batch) <= ROUND_BYTES:
+            upsert(build(batch, keys))
+            return
+        with staged(RECEIVED[output.table](batch), "received") as received:
+            rounds = -(-_stored_bytes(received) // ROUND_BYTES)
+            most = -(-received.count() // rounds)
+            for days in day_rounds(received, "datetime", F.lit(1), most):
+                upsert(newest_facts(received.where(days), keys))
+
+    def upsert(rows: DataFrame) -> None:
         with ExitStack() as copies:
-            rows = build(batch, keys)
             if progress is not None:
                 rows = copies.enter_context(staged(rows, "batch"))
                 days = [row["dt"] for row in rows.select("dt").where("dt IS NOT NULL").distinct().collect()]
@@ -124,7 +144,7 @@ def stream_silver(
                 write_output(rows, layer, output, merge_keys=keys, **known)
             else:
                 schema = STORED.get(output.table)
-                upsert_parquet(rows, silver, keys, layer.partitions(output), schema=schema, **known)
+                upsert_parquet(rows, silver, keys, parts, schema=schema, **known)
 
     writer = (
         read_bronze_stream(spark, bronze, max_files, spec=spec)
@@ -136,6 +156,11 @@ def stream_silver(
         return writer.start()
 
 
+def _stored_bytes(df: DataFrame) -> int:
+    """Size of the files that are read, as Spark's planner knows it; very large if it does not."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def _newest(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """The first row per key in the order of `keep_latest`, as an aggregate that can stream.
 

@@ -4,13 +4,15 @@ import time
 from datetime import datetime, timedelta
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridspark import queries, testbed
 from gridspark.functions import instant
 from gridspark.operators.latest import keep_latest
 from gridspark.operators.payload import judged_payloads, payload_items
-from gridspark.plans.pipeline import run_silver
+from gridspark.plans.pipeline import run_silver, transform_silver
+from gridspark.plans.progress import ProgressLog
 from gridspark.schemas import BRONZE, MIX_PAYLOAD
 from gridspark.session import staged
 from gridspark.sinks import dead_letters
@@ -18,7 +20,8 @@ from gridspark.sinks.parquet import overwrite_parquet
 from gridspark.sinks.tables import create_table
 from gridspark.sources import landing
 from gridspark.sources.landing import landing_files, read_landing, write_landing
-from gridspark.streaming.jobs import stream_bronze, stream_daily_mix
+from gridspark.streaming import jobs
+from gridspark.streaming.jobs import stream_bronze, stream_daily_mix, stream_silver
 
 
 def _tables(spark, root) -> str:
@@ -281,3 +284,47 @@ def test_landed_text_and_streamed_bronze_are_compressed(spark, tmp_path, monkeyp
     assert sorted((r.payload, str(r.extracted_at), r.day) for r in streamed) == sorted(
         (t, "2026-04-16 12:00:00", "16") for t in texts if t.strip()
     )
+
+
+def _flow_snapshots(spark, path, days, updated: str) -> None:
+    item = '{"datetime":"%s","updatedAt":"%s","import":{"DE":%d.0,"BE":null},"export":{"DE":1.0}}'
+    payloads = ["<html>", ""] + [
+        '{"zone":"%s","data":[%s]}' % (zone, item % (at, updated, n)) for n, at in enumerate([*days, "soon"]) for zone in ("FR", "ES")
+    ]
+    rows = [(datetime(2024, 3, 1), "u", p, "2024", "03", "01") for p in [*payloads, *payloads]]
+    spark.createDataFrame(rows, BRONZE).coalesce(1).write.mode("append").parquet(path)
+
+
+@pytest.mark.parametrize("stored", ["path", "table", "unpartitioned"])
+def test_a_large_batch_is_worked_off_some_days_at_a_time(spark, tmp_path, monkeypatch, stored):
+    parts = () if stored == "unpartitioned" else ("year", "month")
+    spec = testbed.flow_spec(f"_rounds_{stored}", parts)
+    bronze, check, progress = (f"{tmp_path}/{name}" for name in ("bronze", "check", "progress"))
+    silver = None if stored == "table" else f"{tmp_path}/silver"
+    if silver is None:
+        spark.sql(f"CREATE DATABASE silver_rounds_table LOCATION '{tmp_path}/db'")
+    taken = []
+    newest = jobs.newest_facts
+    monkeypatch.setattr(jobs, "newest_facts", lambda rows, keys: taken.append(rows.count()) or newest(rows, keys))
+    monkeypatch.setattr(jobs, "ROUND_BYTES", 600)
+
+    def run() -> None:
+        stream_silver(spark, spec, bronze, silver, check, progress=progress).awaitTermination()
+
+    days = [f"2024-01-{day:02d}T05:00:00Z" for day in (1, 2, 31)] + ["2024-02-01T00:00Z", "1998-02-03T23:59:59Z"]
+    _flow_snapshots(spark, bronze, days, "2024-02-02T00:00:00Z")
+    run()
+    # Corrections of two days, of which the one is too old.
+    _flow_snapshots(spark, bronze, days[1:2], "2024-02-03T00:00:00Z")
+    _flow_snapshots(spark, bronze, days[2:3], "2024-02-01T00:00:00Z")
+    run()
+    rounds = len(taken)
+    assert rounds == 0 if stored == "unpartitioned" else rounds > 3 and sum(taken) == 12 * (5 + 2)
+    fact = spark.table(spec.silver.qualified(spec.silver.outputs()[0])) if silver is None else spark.read.parquet(silver)
+    want = transform_silver(spark.read.schema(BRONZE).parquet(bronze), spec)["fact"]
+    names = [name for name in want.columns if name not in ("year", "month", "day")]
+    rows = sorted(map(str, fact.select(names).collect()))
+    assert rows == sorted(map(str, want.select(names).collect())) and len(rows) == 30
+    assert len(ProgressLog(spark, progress).read(spec.name).pending) == 5
+    if silver is None:
+        spark.sql("DROP DATABASE silver_rounds_table CASCADE")
