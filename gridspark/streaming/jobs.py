@@ -29,7 +29,7 @@ from gridspark.sources.silver import STORED
 from gridspark.spec import PipelineSpec
 
 # Stored bytes, of bronze or of a copy of its rows, that silver works off at once.
-ROUND_BYTES = 512 << 20
+ROUND_BYTES = 256 << 20
 
 # State stores on disk, and of each batch only what changed written to the checkpoint.
 STATE_ON_DISK = {
